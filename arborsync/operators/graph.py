@@ -25,7 +25,7 @@ def _links(commits: DataFrame) -> DataFrame:
     Of several commits with the same first parent the one with the smallest id
     continues the parent's chain.
     """
-    firsts = commits.select("repo_id", "sha", F.try_element_at("parents", F.lit(1)).alias("first_parent"))
+    firsts = commits.select("repo_id", "sha", F.get("parents", F.lit(0)).alias("first_parent"))
     heirs = (
         firsts.where("first_parent IS NOT NULL")
         .groupBy("repo_id", "first_parent")
@@ -128,6 +128,14 @@ def ancestor_reach(heads: DataFrame, commits: DataFrame, index: DataFrame) -> Da
     return reach
 
 
+def ancestors(heads: DataFrame, commits: DataFrame, index: DataFrame) -> DataFrame:
+    """``repo_id, head, sha``: every commit reachable from each head, the head included."""
+    reach = ancestor_reach(heads, commits, index)
+    return (
+        reach.join(index, ["repo_id", "chain"]).where(F.col("pos") <= F.col("reach")).select("repo_id", "head", "sha")
+    )
+
+
 def compare_commits(pairs: DataFrame, commits: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Add ``is_reachable`` and ``distance`` to distinct (repo_id, old_sha, new_sha) pairs.
 

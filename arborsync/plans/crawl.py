@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.functions import keys, paths
@@ -56,7 +56,8 @@ def eligible(tree: DataFrame) -> DataFrame:
     return files_only(tree).where(skip_reason(F.col("path"), F.col("size"), F.col("mode"), None).isNull())
 
 
-def _passes(path: str = "path"):
+def passes(path: str = "path") -> Column:
+    """The path test of joined source columns."""
     return paths.passes_filter(F.col(path), F.col("subdir"), F.col("extension_list"))
 
 
@@ -66,7 +67,7 @@ def full_paths(tree: DataFrame, sources: DataFrame) -> DataFrame:
         "config_hash", "repo_id", F.col("head_sha").alias("commit_sha"), "subdir", "extension_list"
     )
     joined = lookup_join(tree, filters, ["repo_id", "commit_sha"], spread_by=["path"], how="inner")
-    return joined.where(_passes()).select("config_hash", "path", "blob_sha", F.lit("add").alias("action"))
+    return joined.where(passes()).select("config_hash", "path", "blob_sha", F.lit("add").alias("action"))
 
 
 def source_changes(tree: DataFrame, sources: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def incremental_paths(
         F.lit(1).alias("_rank"),
     )
     wanted = sync_state.retry_queue(
-        failed, sources.select("config_hash", "repo_id", "head_sha", "subdir", "extension_list"), _passes()
+        failed, sources.select("config_hash", "repo_id", "head_sha", "subdir", "extension_list"), passes()
     )
     current = tree.select("repo_id", F.col("commit_sha").alias("head_sha"), "path", "blob_sha")
     retried = wanted.join(current, ["repo_id", "head_sha", "path"], "left").select(

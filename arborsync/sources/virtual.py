@@ -36,11 +36,12 @@ def _pick(key: Column, values: tuple) -> Column:
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, source, path, text``."""
+    """``doc_id, source, section, path, text``; a section is a source and a language."""
     doc = F.col("doc_id")
     name = F.concat(F.lit("doc_"), doc.cast("string"), _pick(doc, EXTENSIONS))
     return read_table(spark, folder, "documents").select(
-        "doc_id", "source", F.concat_ws("/", "source", "lang", name).alias("path"), "text"
+        "doc_id", "source", F.concat_ws("-", "source", "lang").alias("section"),
+        F.concat_ws("/", "source", "lang", name).alias("path"), "text",
     )
 
 
@@ -58,6 +59,11 @@ def _versions(docs: DataFrame, version: str) -> DataFrame:
     return docs.where(tens != 1).withColumn("path", path).withColumn("text", text)
 
 
+def texts(spark: SparkSession, folder: str, version: str) -> DataFrame:
+    """``doc_id, source, section, path, text`` of one snapshot."""
+    return _versions(files(spark, folder), version)
+
+
 def _tree_rows(docs: DataFrame, version: str, repo: Column, planted: bool) -> DataFrame:
     content = planted_content(F.col("text"), F.col("doc_id")) if planted else F.encode("text", "UTF-8")
     blob = planted_sha(F.col("text"), F.col("doc_id")) if planted else F.sha2("text", 256)
@@ -73,20 +79,19 @@ def _tree_rows(docs: DataFrame, version: str, repo: Column, planted: bool) -> Da
     )
 
 
-def tree(spark: SparkSession, folder: str, per_source: bool = False, planted: bool = False) -> DataFrame:
-    """Tree rows of both snapshots, as one repository or as one per document source."""
-    repo = F.col("source") if per_source else F.lit(CORPUS)
-    docs = files(spark, folder)
-    return _tree_rows(docs, OLD, repo, planted).unionByName(_tree_rows(docs, NEW, repo, planted))
-
-
 def snapshot_pair(
-    spark: SparkSession, folder: str, per_source: bool = False, planted: bool = False
+    spark: SparkSession, folder: str, repo: str | None = None, planted: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(old, new) tree rows."""
-    repo = F.col("source") if per_source else F.lit(CORPUS)
+    """(old, new) tree rows: one repository, or one per value of the column ``repo``."""
+    name = F.col(repo) if repo else F.lit(CORPUS)
     docs = files(spark, folder)
-    return _tree_rows(docs, OLD, repo, planted), _tree_rows(docs, NEW, repo, planted)
+    return _tree_rows(docs, OLD, name, planted), _tree_rows(docs, NEW, name, planted)
+
+
+def tree(spark: SparkSession, folder: str, repo: str | None = None, planted: bool = False) -> DataFrame:
+    """Tree rows of both snapshots."""
+    old, new = snapshot_pair(spark, folder, repo, planted)
+    return old.unionByName(new)
 
 
 # --- planted content ---------------------------------------------------------
@@ -149,6 +154,29 @@ def page_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def page_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """``page_id, url``: page addresses rewritten to every kind of repository address by page_id % 6.
+
+    0 as it is, 1 git@, 2 ssh://, 3 local path, 4 git://, 5 with login; page_id % 12 = 10
+    is an ssh address without its path.
+    """
+    page = F.col("page_id")
+    host = F.regexp_extract("url", "^https?://([^/]+)", 1)
+    rest = F.regexp_extract("url", "^https?://[^/]+/([^?#]*)", 1)
+    variant = (
+        F.when(page % 12 == 10, F.concat(F.lit("git@"), host))
+        .when(page % 6 == 0, F.col("url"))
+        .when(page % 6 == 1, F.concat(F.lit(" git@"), host, F.lit(":"), rest, F.lit(".git")))
+        .when(page % 6 == 2, F.concat(F.lit("ssh://git@"), host, F.lit("/"), rest))
+        .when(page % 6 == 3, F.concat(F.lit("/srv/git/"), rest))
+        .when(page % 6 == 4, F.concat(F.lit("git://"), host, F.lit("/"), rest))
+        .otherwise(F.concat(
+            F.lit("https://token:secret-"), page.cast("string"), F.lit("@"), host, F.lit("/"), rest, F.lit(".git")
+        ))
+    )
+    return read_table(spark, folder, "pages").select("page_id", variant.alias("url"))
+
+
 def crawl_sources(spark: SparkSession, folder: str) -> DataFrame:
     """One source per distinct document source, with its number ``n``."""
     names = read_table(spark, folder, "documents").select(F.col("source").alias("repo_id")).distinct()
@@ -207,13 +235,37 @@ def crawl_repository(spark: SparkSession, folder: str) -> Repository:
         sources=sources,
         refs=refs,
         commits=first.unionByName(second),
-        tree=tree(spark, folder, per_source=True, planted=True),
+        tree=tree(spark, folder, repo="source", planted=True),
         blobs=planted_blobs(spark, folder),
         sync_state=state,
         failed_paths=failed,
     )
 
 
+def tree_entries(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(entries, roots): the new snapshot as nested folders, a folder's id being a hash of its path."""
+    _, new = snapshot_pair(spark, folder)
+    steps = new.withColumn("parts", F.split("path", "/")).select(
+        "blob_sha", "size", "parts", F.posexplode("parts").alias("level", "name")
+    )
+    is_file = F.col("level") == F.size("parts") - 1
+
+    def folder_id(levels: Column) -> Column:
+        return F.sha1(F.array_join(F.slice("parts", F.lit(1), levels), "/"))
+
+    entries = steps.select(
+        folder_id(F.col("level")).alias("parent_id"),
+        "name",
+        F.when(is_file, "blob").otherwise("tree").alias("kind"),
+        F.when(is_file, F.col("blob_sha")).otherwise(folder_id(F.col("level") + 1)).alias("child_id"),
+        F.when(is_file, F.col("size")).alias("size"),
+    ).distinct()
+    roots = entries.where(F.col("parent_id") == F.sha1(F.lit(""))).select(
+        F.lit(CORPUS).alias("repo_id"), F.col("parent_id").alias("tree_id")
+    ).distinct()
+    return entries, roots
+
+
 # --- commits and touches -------------------------------------------------------
 
 
