@@ -1,2 +1,78 @@
+"""Streaming jobs run to their end; the final state is compared."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from arborsync.catalog import Catalog
+from arborsync.catalog.fragments import changes as changes_sql
+from arborsync.session import new_work_path
+from arborsync.sources import virtual
+from arborsync.sources.tables import read_table
+from arborsync.staging import stage
+from arborsync.streaming import changefeed, events, sink
+
 CATALOG = Catalog()
+
+EVENT_FILES = 3
+
+
+@CATALOG.query(
+    f"""with {changes_sql('source')}
+select repo_id, cast(1 as bigint) as sync_id, 'A' as status, null as old_path, path as new_path from o
+union all select repo_id, 2, status, old_path, new_path from changes"""
+)
+def stream_changefeed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two snapshots per source, announced one after the other."""
+    work = new_work_path(spark, "changefeed")
+    tree = stage(virtual.tree(spark, folder, repo="source").drop("doc_id"), "tree")
+    repos = read_table(spark, folder, "documents").select(F.col("source").alias("repo_id")).distinct()
+    for sync_id, version in enumerate((virtual.OLD, virtual.NEW), start=1):
+        announced = repos.select(
+            "repo_id", F.lit(sync_id).cast("bigint").alias("sync_id"),
+            virtual.commit_sha(F.col("repo_id"), version).alias("commit_sha"),
+        )
+        announced.coalesce(1).write.mode("append").parquet(f"{work}/announced")
+    stream = changefeed.read_announcements(spark, f"{work}/announced", files_per_batch=1)
+    changefeed.start_changefeed(stream, tree, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    schema = spark.read.parquet(f"{work}/out/changes").drop(sink.BATCH).schema
+    feed = sink.read_batches(spark, f"{work}/out/changes", schema)
+    return feed.select("repo_id", "sync_id", "status", "old_path", "new_path")
+
+
+def _event_stream(spark: SparkSession, folder: str, work: str) -> DataFrame:
+    """The events table replayed from files in time order."""
+    rows = read_table(spark, folder, "events")
+    rows.repartitionByRange(EVENT_FILES, "ts").write.parquet(f"{work}/events")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events")
+    return stream.select(
+        F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("path"),
+        "ts", F.col("event_id").alias("seq"), "event_type", "props",
+        (F.col("event_type") == "error").alias("failed"),
+    )
+
+
+@CATALOG.query(
+    """select 'user/' || cast(user_id as varchar) as path, ts, event_id as seq, event_type, props
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events) where k = 1"""
+)
+def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest event per path."""
+    work = new_work_path(spark, "latest")
+    state = events.latest_per_path(_event_stream(spark, folder, work), ["event_type", "props"])
+    events.start_updates(state, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return events.read_latest(spark, f"{work}/out", state.schema)
+
+
+@CATALOG.query(
+    """select 'user/' || cast(user_id as varchar) as path, ts as failed_at, event_id as seq
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events)
+where k = 1 and event_type = 'error'"""
+)
+def stream_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths whose last event is a failed read, after all micro-batches."""
+    work = new_work_path(spark, "retry")
+    state = events.last_outcomes(_event_stream(spark, folder, work))
+    events.start_updates(state, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return events.read_retry_queue(spark, f"{work}/out", state.schema)

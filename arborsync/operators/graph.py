@@ -142,8 +142,11 @@ def compare_commits(pairs: DataFrame, commits: DataFrame, index: DataFrame | Non
     Reachable: old is new or an ancestor of it; an unknown commit is not.
     Distance: commits reachable from new and not from old; null if either is unknown.
     """
-    index = index if index is not None else chain_index(commits)
     pairs = pairs.select("repo_id", "old_sha", "new_sha")
+    if index is None:
+        # Only repositories that are asked about are indexed.
+        commits = commits.join(pairs.select("repo_id").distinct(), "repo_id", "left_semi")
+        index = chain_index(commits)
     ends = pairs.select("repo_id", F.explode(F.array("old_sha", "new_sha")).alias("head"))
     reach = ancestor_reach(ends.where("head IS NOT NULL").distinct(), commits, index)
     of_new = pairs.join(

@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Below this estimated size a plain join is left to the planner and AQE.
+# Below this input size a plain join is left to the planner and AQE.
 SPLIT_FROM_BYTES = 1 << 30
 # A key is hot from this share of the rows on; so there are at most 1/share of them.
 HOT_SHARE = 0.002
 SALTS = 64
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables below ``df``, as the planner knows it; costs no optimizer run."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str]:
@@ -42,7 +43,7 @@ def lookup_join(
     spread over salts by a hash of ``spread_by`` and only the hot rows of
     ``table`` are repeated per salt. All other rows join unsalted.
     """
-    if estimated_bytes(rows) < split_from_bytes:
+    if input_bytes(rows) < split_from_bytes:
         return rows.join(table, list(on), how)
     joint = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in on])
     hot = hot_keys(rows.select(joint.alias("_joint")), "_joint")

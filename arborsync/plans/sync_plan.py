@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.operators.graph import compare_commits
+from arborsync.staging import stage
 
 # Fixed value: more commits than this between two syncs make the next one full.
 MAX_INCREMENTAL_COMMITS = 1000
@@ -30,6 +31,8 @@ def plan_syncs(
     known = sources.join(state, "config_hash", "left").withColumn(
         "n_failed", F.coalesce("n_failed", F.lit(0).cast("bigint"))
     )
+    # One row per source, and read by every round of the graph walk.
+    known = stage(known, "known")
     moved = (
         known.where("last_sha IS NOT NULL AND head_sha IS NOT NULL AND last_sha <> head_sha")
         .select("repo_id", F.col("last_sha").alias("old_sha"), F.col("head_sha").alias("new_sha"))

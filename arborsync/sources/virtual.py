@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from arborsync.operators.refs import HEADS, REMOTES, TAGS
 from arborsync.plans.crawl import Repository, with_config
 from arborsync.sources.tables import read_table
+from arborsync.staging import stage
 
 # Fixed values of the derived repository.
 EXTENSIONS = (".md", ".TXT", ".py", ".json", ".tar.gz", "")
@@ -65,16 +66,17 @@ def texts(spark: SparkSession, folder: str, version: str) -> DataFrame:
 
 
 def _tree_rows(docs: DataFrame, version: str, repo: Column, planted: bool) -> DataFrame:
-    content = planted_content(F.col("text"), F.col("doc_id")) if planted else F.encode("text", "UTF-8")
-    blob = planted_sha(F.col("text"), F.col("doc_id")) if planted else F.sha2("text", 256)
-    link = F.when(F.col("doc_id") % 11 == 4, LINK_MODE).otherwise(FILE_MODE) if planted else F.lit(FILE_MODE)
-    return _versions(docs, version).select(
-        repo.alias("repo_id"),
-        commit_sha(repo, version).alias("commit_sha"),
+    doc = F.col("doc_id")
+    content = planted_content(F.col("text"), doc) if planted else F.encode("text", "UTF-8")
+    link = F.when(doc % 11 == 4, LINK_MODE).otherwise(FILE_MODE) if planted else F.lit(FILE_MODE)
+    rows = _versions(docs, version).select("doc_id", "path", repo.alias("repo_id"), content.alias("content"))
+    return rows.select(
+        "repo_id",
+        commit_sha(F.col("repo_id"), version).alias("commit_sha"),
         "path",
         link.alias("mode"),
-        blob.alias("blob_sha"),
-        F.coalesce(F.octet_length(content), F.lit(0)).cast("bigint").alias("size"),
+        (_planted_sha() if planted else F.sha2("content", 256)).alias("blob_sha"),
+        F.coalesce(F.octet_length("content"), F.lit(0)).cast("bigint").alias("size"),
         "doc_id",
     )
 
@@ -115,27 +117,24 @@ def planted_content(text: Column, doc: Column) -> Column:
     )
 
 
-def planted_sha(text: Column, doc: Column) -> Column:
-    of_content = F.sha2(planted_content(text, doc), 256)
-    unread = F.sha2(F.concat(F.lit("unread:"), doc.cast("string")), 256)
-    return F.coalesce(of_content, unread)
+def _planted_sha() -> Column:
+    """Blob id from a row's ``content`` and ``doc_id``; what cannot be read has an id of its own."""
+    unread = F.sha2(F.concat(F.lit("unread:"), F.col("doc_id").cast("string")), 256)
+    return F.coalesce(F.sha2("content", 256), unread)
 
 
 def planted_blobs(spark: SparkSession, folder: str) -> DataFrame:
     """``blob_sha, content, read_error``, one row per blob; missing ones have none."""
     docs = files(spark, folder)
     doc = F.col("doc_id")
-
-    def held(rows: DataFrame) -> DataFrame:
-        return rows.where(doc % 9 != 4).select(
-            planted_sha(F.col("text"), doc).alias("blob_sha"),
-            planted_content(F.col("text"), doc).alias("content"),
-            F.when(doc % 9 == 5, "Input/output error").alias("read_error"),
-        )
-
     # Texts as in the old snapshot, and the edited ones of the new snapshot.
     edited = _versions(docs, NEW).where(doc % 10 == 2)
-    return held(docs).unionByName(held(edited)).dropDuplicates(["blob_sha"])
+    held = docs.unionByName(edited).where(doc % 9 != 4)
+    rows = held.select("doc_id", planted_content(F.col("text"), doc).alias("content"))
+    return rows.select(
+        _planted_sha().alias("blob_sha"), "content",
+        F.when(doc % 9 == 5, "Input/output error").alias("read_error"),
+    ).dropDuplicates(["blob_sha"])
 
 
 # --- sources -----------------------------------------------------------------
@@ -201,7 +200,9 @@ def crawl_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def crawl_repository(spark: SparkSession, folder: str) -> Repository:
     """All tables of a crawl. Stored state by n % 4: none, in step, one commit behind, unknown commit."""
-    sources = crawl_sources(spark, folder)
+    # The tables a crawl finds stored, so they are derived once.
+    sources = stage(crawl_sources(spark, folder), "sources")
+    stored_tree = stage(tree(spark, folder, repo="source", planted=True).drop("doc_id"), "tree")
     repo = F.col("repo_id")
     branch = F.when(F.col("n") % 3 == 2, "dev").otherwise("main")
     refs = sources.select(
@@ -235,7 +236,7 @@ def crawl_repository(spark: SparkSession, folder: str) -> Repository:
         sources=sources,
         refs=refs,
         commits=first.unionByName(second),
-        tree=tree(spark, folder, repo="source", planted=True),
+        tree=stored_tree,
         blobs=planted_blobs(spark, folder),
         sync_state=state,
         failed_paths=failed,
