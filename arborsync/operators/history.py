@@ -39,7 +39,7 @@ def file_history(touches: DataFrame, commits: DataFrame, depth: int = HISTORY_DE
     before the shuffle.
     """
     newest_first = Window.partitionBy("repo_id", "path").orderBy(F.col("ts").desc(), F.col("sha").desc())
-    seen = touches_with_commit(touches, commits).dropDuplicates(["repo_id", "path", "sha"])
+    seen = touches_with_commit(touches.select("repo_id", "path", "sha").distinct(), commits)
     return seen.withColumn("n", F.row_number().over(newest_first)).where(F.col("n") <= depth)
 
 
