@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arborsync.catalog import Catalog
 from arborsync.catalog.fragments import CRAWL, SNAPSHOTS, changes as changes_sql
 from arborsync.functions import paths
-from arborsync.operators import actions, diff, export, snapshot, upsert
+from arborsync.operators import actions, diff, export, renames, snapshot, upsert
 from arborsync.operators.refs import resolve_refs
 from arborsync.plans import crawl
 from arborsync.sources import virtual
@@ -231,3 +231,18 @@ def listing_with_tombstones(spark: SparkSession, folder: str) -> DataFrame:
     deleted = actions.upserts_and_deletes(diff.changeset(old, new)).where(F.col("action") == actions.DELETE)
     listed = snapshot.list_files(new).select("repo_id", "path", F.lit("listed").alias("status"))
     return listed.unionByName(deleted.select("repo_id", "path", F.lit("gone").alias("status")))
+
+
+@CATALOG.query()
+def renames_similar(spark: SparkSession, folder: str) -> DataFrame:
+    """Deleted and added files of similar text, paired one to one. Checked against brute force in the tests."""
+    changed = stage(_changes(spark, folder), "changeset")
+    return renames.similar_renames(changed, virtual.text_blobs(spark, folder))
+
+
+@CATALOG.query()
+def changeset_similar(spark: SparkSession, folder: str) -> DataFrame:
+    """The change set with similar pairs shown as renames."""
+    changed = stage(_changes(spark, folder), "changeset")
+    similar = renames.similar_renames(changed, virtual.text_blobs(spark, folder))
+    return renames.merge_similar(changed, similar).select(*SHOWN)

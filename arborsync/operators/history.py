@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arborsync.operators.numbering import number_rows
 from arborsync.operators.skew import lookup_join
+from arborsync.staging import stage
 
 HISTORY_DEPTH = 10
 
@@ -19,16 +21,27 @@ def touches_with_commit(touches: DataFrame, commits: DataFrame) -> DataFrame:
     return lookup_join(touches.select("repo_id", "path", "sha"), told, ["repo_id", "sha"], ["path"], "inner")
 
 
+def commit_positions(commits: DataFrame) -> DataFrame:
+    """``repo_id, sha, ts, position``: commits numbered per repository, oldest first, ties by id."""
+    return number_rows(commits.select("repo_id", "sha", "ts"), ["repo_id"], ["ts", "sha"], "position")
+
+
 def last_commit_per_file(touches: DataFrame, commits: DataFrame) -> DataFrame:
     """Newest commit touching each (repo_id, path); equal times are told apart by commit id.
 
-    An aggregate, so that a file touched by most commits is combined before the shuffle.
+    Commits are few next to touches, so they are numbered first: the aggregate over
+    the touches is then a maximum of numbers, hashed and combined before the
+    shuffle, however many commits touch one file.
     """
-    times = commits.select("repo_id", "sha", "ts")
-    timed = lookup_join(touches.select("repo_id", "path", "sha"), times, ["repo_id", "sha"], ["path"], "inner")
-    newest = timed.groupBy("repo_id", "path").agg(F.max(F.struct("ts", "sha")).alias("c"))
-    return newest.select(
-        "repo_id", "path", F.col("c.sha").alias("last_commit_sha"), F.col("c.ts").alias("last_commit_time")
+    places = stage(commit_positions(commits), "positions")
+    placed = lookup_join(
+        touches.select("repo_id", "path", "sha"), places.select("repo_id", "sha", "position"),
+        ["repo_id", "sha"], ["path"], "inner",
+    )
+    newest = placed.groupBy("repo_id", "path").agg(F.max("position").alias("position"))
+    told = lookup_join(newest, places, ["repo_id", "position"], ["path"], "inner")
+    return told.select(
+        "repo_id", "path", F.col("sha").alias("last_commit_sha"), F.col("ts").alias("last_commit_time")
     )
 
 

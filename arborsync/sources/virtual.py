@@ -96,6 +96,16 @@ def tree(spark: SparkSession, folder: str, repo: str | None = None, planted: boo
     return old.unionByName(new)
 
 
+def text_blobs(spark: SparkSession, folder: str) -> DataFrame:
+    """``blob_sha, content, read_error`` of the plain texts in both snapshots."""
+    docs = files(spark, folder)
+    texts = _versions(docs, OLD).select("text").unionByName(_versions(docs, NEW).select("text"))
+    rows = texts.select(F.encode("text", "UTF-8").alias("content"))
+    return rows.select(
+        F.sha2("content", 256).alias("blob_sha"), "content", F.lit(None).cast("string").alias("read_error")
+    ).dropDuplicates(["blob_sha"])
+
+
 # --- planted content ---------------------------------------------------------
 
 
@@ -306,7 +316,7 @@ def commits(spark: SparkSession, folder: str, forked: bool = False) -> DataFrame
         .when(merge, F.array(before, before_that))
         .otherwise(F.array(before))
     )
-    return _order_chain(spark, folder).select(
+    rows = _order_chain(spark, folder).select(
         F.col("o_custkey").cast("string").alias("repo_id"),
         order_sha(key).alias("sha"),
         parents.alias("parents"),
@@ -315,6 +325,8 @@ def commits(spark: SparkSession, folder: str, forked: bool = False) -> DataFrame
         F.concat(F.lit("order "), key.cast("string"), F.lit("\nstatus "), "o_orderstatus").alias("message"),
         "age",
     )
+    # A stored table in a real engine, so it is derived once.
+    return stage(rows, "commits")
 
 
 def touches(spark: SparkSession, folder: str) -> DataFrame:
