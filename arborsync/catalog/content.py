@@ -46,7 +46,7 @@ def classify_utf8(spark: SparkSession, folder: str) -> DataFrame:
     attached = reading.attach_content(_new(spark, folder), virtual.planted_blobs(spark, folder))
     kind = F.col("doc_id") % 9
     head = F.octet_length(F.encode(F.substring("_text", 1, 10), "UTF-8"))
-    texts = virtual.texts(spark, folder, virtual.NEW).select("path", F.col("text").alias("_text"))
+    texts = virtual.texts(spark, folder, virtual.NEW, planted=True).select("path", F.col("text").alias("_text"))
     valid = F.when((kind != 1) | (head == 10), tests.is_utf8(F.col("content")))
     plain = F.when(kind >= 7, tests.decode_utf8(F.col("content")).cast("string"))
     held = attached.where("content IS NOT NULL").join(texts, "path")

@@ -80,7 +80,7 @@ def batches_by_range(spark: SparkSession, folder: str) -> DataFrame:
         F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("path"),
         outcome.alias("outcome"),
     )
-    return batching.assign_batches(outcomes, batch_files=7, hot_group_rows=1).drop("outcome")
+    return batching.assign_batches(outcomes, batch_files=7, hot_group_rows=20).drop("outcome")
 
 
 @CATALOG.query(

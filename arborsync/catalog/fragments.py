@@ -49,12 +49,12 @@ PLANTED = (
     FILES
     + """,
 versions as (
-  select 'old' as version, doc_id, source, text, path from files where doc_id % 10 <> 0
+  select 'old' as version, doc_id, source, text, path from files where doc_id // 20 % 10 <> 0
   union all
   select 'new', doc_id, source,
-         case when doc_id % 10 = 2 then text || ' v2' else text end,
-         case when doc_id % 10 = 3 then 'moved/' || path else path end
-  from files where doc_id % 10 <> 1),
+         case when doc_id // 20 % 10 = 2 then text || ' v2' else text end,
+         case when doc_id // 20 % 10 = 3 then 'moved/' || path else path end
+  from files where doc_id // 20 % 10 <> 1),
 planted as (
   select *, octet_length(encode(text)) as text_bytes,
          case when doc_id % 9 in (4, 5) then 'unread:' || cast(doc_id as varchar)

@@ -33,9 +33,9 @@ def snapshot_list(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.list_files(_new(spark, folder))
 
 
-@CATALOG.query(_listing_sql("path like 'src3/en/%'"))
+@CATALOG.query(_listing_sql("path like 'src4/en/%'"))
 def snapshot_subtree(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshot.subtree(_new(spark, folder), "src3/en")
+    return snapshot.subtree(_new(spark, folder), "src4/en")
 
 
 @CATALOG.query(_listing_sql("true") + " order by path limit 25")
@@ -72,9 +72,9 @@ def filter_extensions(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.list_files(_new(spark, folder), extensions=paths.parse_extensions(EXTENSIONS))
 
 
-@CATALOG.query(_listing_sql("starts_with(path, 'src1/')"))
+@CATALOG.query(_listing_sql("starts_with(path, 'src5/')"))
 def filter_subdir(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshot.list_files(_new(spark, folder), subdir=" /src1/ ")
+    return snapshot.list_files(_new(spark, folder), subdir=" /src5/ ")
 
 
 @CATALOG.query(_listing_sql("starts_with(path, 'src2/') and regexp_matches(lower(path), '[.](py|json)$')"))

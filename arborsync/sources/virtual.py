@@ -2,8 +2,9 @@
 
 Rules (they are also written out in the oracle SQL):
 files      documents, path = source/lang/doc_<id><ext>, ext by doc_id % 6
-snapshots  old: doc_id % 10 <> 0; new: doc_id % 10 <> 1, with % 10 = 2 edited
-           and % 10 = 3 moved below moved/
+snapshots  old: slot <> 0; new: slot <> 1, with slot 2 edited and slot 3 moved below
+           moved/; slot = doc_id % 10, in the planted repository doc_id / 20 % 10, as
+           a document's source follows doc_id % 20
 planted    content by doc_id % 9: 0 PNG head, 1 early NUL, 2 late NUL, 3 bad byte,
            4 blob missing, 5 read error, 6 text starting MZ, else plain
            symbolic link where doc_id % 11 = 4
@@ -50,9 +51,13 @@ def commit_sha(repo: Column, version: str) -> Column:
     return F.sha1(F.concat(repo, F.lit(f":{version}")))
 
 
-def _versions(docs: DataFrame, version: str) -> DataFrame:
+def _slot(planted: bool) -> Column:
+    return F.floor(F.col("doc_id") / 20) % 10 if planted else F.col("doc_id") % 10
+
+
+def _versions(docs: DataFrame, version: str, planted: bool) -> DataFrame:
     """The files of one snapshot, with their path and text in it."""
-    tens = F.col("doc_id") % 10
+    tens = _slot(planted)
     if version == OLD:
         return docs.where(tens != 0)
     path = F.when(tens == 3, F.concat(F.lit("moved/"), "path")).otherwise(F.col("path"))
@@ -60,16 +65,16 @@ def _versions(docs: DataFrame, version: str) -> DataFrame:
     return docs.where(tens != 1).withColumn("path", path).withColumn("text", text)
 
 
-def texts(spark: SparkSession, folder: str, version: str) -> DataFrame:
+def texts(spark: SparkSession, folder: str, version: str, planted: bool = False) -> DataFrame:
     """``doc_id, source, section, path, text`` of one snapshot."""
-    return _versions(files(spark, folder), version)
+    return _versions(files(spark, folder), version, planted)
 
 
 def _tree_rows(docs: DataFrame, version: str, repo: Column, planted: bool) -> DataFrame:
     doc = F.col("doc_id")
     content = planted_content(F.col("text"), doc) if planted else F.encode("text", "UTF-8")
     link = F.when(doc % 11 == 4, LINK_MODE).otherwise(FILE_MODE) if planted else F.lit(FILE_MODE)
-    rows = _versions(docs, version).select("doc_id", "path", repo.alias("repo_id"), content.alias("content"))
+    rows = _versions(docs, version, planted).select("doc_id", "path", repo.alias("repo_id"), content.alias("content"))
     return rows.select(
         "repo_id",
         commit_sha(F.col("repo_id"), version).alias("commit_sha"),
@@ -99,7 +104,7 @@ def tree(spark: SparkSession, folder: str, repo: str | None = None, planted: boo
 def text_blobs(spark: SparkSession, folder: str) -> DataFrame:
     """``blob_sha, content, read_error`` of the plain texts in both snapshots."""
     docs = files(spark, folder)
-    texts = _versions(docs, OLD).select("text").unionByName(_versions(docs, NEW).select("text"))
+    texts = _versions(docs, OLD, False).select("text").unionByName(_versions(docs, NEW, False).select("text"))
     rows = texts.select(F.encode("text", "UTF-8").alias("content"))
     return rows.select(
         F.sha2("content", 256).alias("blob_sha"), "content", F.lit(None).cast("string").alias("read_error")
@@ -138,7 +143,7 @@ def planted_blobs(spark: SparkSession, folder: str) -> DataFrame:
     docs = files(spark, folder)
     doc = F.col("doc_id")
     # Texts as in the old snapshot, and the edited ones of the new snapshot.
-    edited = _versions(docs, NEW).where(doc % 10 == 2)
+    edited = _versions(docs, NEW, True).where(_slot(True) == 2)
     held = docs.unionByName(edited).where(doc % 9 != 4)
     rows = held.select("doc_id", planted_content(F.col("text"), doc).alias("content"))
     return rows.select(
@@ -238,7 +243,7 @@ def crawl_repository(spark: SparkSession, folder: str) -> Repository:
     )
     # Failed before: files that still cannot be read and files that now can.
     failing = configured.where((F.col("n") % 8 == 1) | (F.col("n") % 4 == 2)).select("config_hash", "repo_id")
-    old_files = _versions(files(spark, folder), OLD).where((F.col("doc_id") % 9).isin(5, 7))
+    old_files = _versions(files(spark, folder), OLD, True).where((F.col("doc_id") % 9).isin(5, 7))
     failed = old_files.join(failing, F.col("source") == F.col("repo_id")).select(
         "config_hash", sync_id.alias("sync_id"), "path", F.lit("read_error").alias("reason")
     )

@@ -57,15 +57,17 @@ def main() -> None:
     for name, query in catalog.queries.items():
         if names and name not in names:
             continue
-        start = time.time()
+        start, size = time.time(), 0
         try:
             sql = catalog.oracles.get(name)
             result = query(spark, folder)
             verdict = differences(connection, sql, result) if sql else f"no oracle, {result.count()} rows"
+            if verdict is None:
+                size = connection.execute(f"select count(*) from ({sql})").fetchall()[0][0]
         except Exception as error:  # report and go on with the next query
             verdict = f"{type(error).__name__}: {str(error)[:700]}"
         failures += verdict is not None and not verdict.startswith("no oracle")
-        print(f"{name}: {verdict or 'ok'} ({time.time() - start:.1f}s)", flush=True)
+        print(f"{name}: {verdict or f'ok, {size} rows'} ({time.time() - start:.1f}s)", flush=True)
     print(f"{failures} failures", flush=True)
 
 
