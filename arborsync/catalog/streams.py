@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
+from arborsync.catalog.fragments import SNAPSHOTS
 from arborsync.catalog.fragments import changes as changes_sql
 from arborsync.session import new_work_path
 from arborsync.sources import virtual
@@ -25,6 +26,16 @@ union all select repo_id, 2, status, old_path, new_path from changes"""
 )
 def stream_changefeed(spark: SparkSession, folder: str) -> DataFrame:
     """Two snapshots per source, announced one after the other."""
+    return _feed(spark, folder)
+
+
+@CATALOG.query(f"with {SNAPSHOTS} select source as repo_id, path from new_tree")
+def stream_current(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that exist once the whole feed is applied: those of the last snapshot."""
+    return changefeed.current_paths(_feed(spark, folder))
+
+
+def _feed(spark: SparkSession, folder: str) -> DataFrame:
     work = new_work_path(spark, "changefeed")
     tree = stage(virtual.tree(spark, folder, repo="source").drop("doc_id"), "tree")
     repos = read_table(spark, folder, "documents").select(F.col("source").alias("repo_id")).distinct()

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborsync.operators.skew import lookup_join
 from arborsync.staging import stage
 
 # Merge links are grouped by this many positions of a chain, so that a long
@@ -82,9 +83,10 @@ def merge_links(commits: DataFrame, index: DataFrame) -> DataFrame:
     parent = index.select(
         "repo_id", F.col("sha").alias("parent"), F.col("chain").alias("to_chain"), F.col("pos").alias("to_pos")
     )
+    placed = links.join(child, ["repo_id", "sha"])
+    # A release commit may be the parent of very many branches.
     return (
-        links.join(child, ["repo_id", "sha"])
-        .join(parent, ["repo_id", "parent"])
+        lookup_join(placed, parent, ["repo_id", "parent"], spread_by=["sha"], how="inner")
         .where(F.col("chain") != F.col("to_chain"))
         .groupBy("repo_id", "chain", "pos", "to_chain")
         .agg(F.max("to_pos").alias("to_pos"))
@@ -131,9 +133,8 @@ def ancestor_reach(heads: DataFrame, commits: DataFrame, index: DataFrame) -> Da
 def ancestors(heads: DataFrame, commits: DataFrame, index: DataFrame) -> DataFrame:
     """``repo_id, head, sha``: every commit reachable from each head, the head included."""
     reach = ancestor_reach(heads, commits, index)
-    return (
-        reach.join(index, ["repo_id", "chain"]).where(F.col("pos") <= F.col("reach")).select("repo_id", "head", "sha")
-    )
+    met = lookup_join(index, reach, ["repo_id", "chain"], spread_by=["sha"], how="inner")
+    return met.where(F.col("pos") <= F.col("reach")).select("repo_id", "head", "sha")
 
 
 def compare_commits(pairs: DataFrame, commits: DataFrame, index: DataFrame | None = None) -> DataFrame:

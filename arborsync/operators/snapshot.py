@@ -82,13 +82,14 @@ def flatten_trees(entries: DataFrame, roots: DataFrame) -> DataFrame:
     file names are joined on once, at the end, with large folders split.
     """
     entries = entries.select("parent_id", "name", "kind", "child_id", "size")
-    folders = entries.where("kind = 'tree'").select("parent_id", "name", "child_id")
+    folders = entries.where("kind = 'tree'").select(F.col("parent_id").alias("folder_id"), "name", "child_id")
     level = stage(
         roots.select("repo_id", F.col("tree_id").alias("folder_id"), F.lit("").alias("prefix")), "level"
     )
     reached = level
     while True:
-        below = level.join(folders, F.col("folder_id") == F.col("parent_id")).select(
+        met = lookup_join(folders, level, ["folder_id"], spread_by=["name"], how="inner")
+        below = met.select(
             "repo_id",
             F.col("child_id").alias("folder_id"),
             F.concat("prefix", "name", F.lit("/")).alias("prefix"),

@@ -22,7 +22,11 @@ from arborsync.staging import stage
 
 @dataclass(frozen=True)
 class Repository:
-    """The input tables of a crawl."""
+    """The input tables of a crawl.
+
+    ``known`` (``config_hash, path``): the documents held before; with it a full
+    sync also reports those that are gone.
+    """
 
     sources: DataFrame
     refs: DataFrame
@@ -31,6 +35,7 @@ class Repository:
     blobs: DataFrame
     sync_state: DataFrame
     failed_paths: DataFrame
+    known: DataFrame | None = None
 
 
 def with_config(sources: DataFrame) -> DataFrame:
@@ -130,10 +135,14 @@ def work_set(repo: Repository, planned: DataFrame) -> tuple[DataFrame, DataFrame
     incremental = planned.where(F.col("mode") == INCREMENTAL)
     changes = stage(source_changes(tree, incremental), "source-changes")
     failed = sync_state.failed_of_last_sync(repo.sync_state, repo.failed_paths)
-    work = full_paths(tree, full).unionByName(incremental_paths(changes, failed, incremental, tree))
+    listed = full_paths(tree, full)
+    work = listed.unionByName(incremental_paths(changes, failed, incremental, tree))
     deletes = changes.where(F.col("status").isin(DELETED, RENAMED)).select(
         "config_hash", F.col("old_path").alias("path")
     )
+    if repo.known is not None:
+        held = repo.known.select("config_hash", "path").join(full.select("config_hash"), "config_hash", "left_semi")
+        deletes = deletes.unionByName(held.join(listed, ["config_hash", "path"], "left_anti"))
     return work, deletes
 
 

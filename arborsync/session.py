@@ -16,7 +16,10 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.parquet.columnarReaderBatchSize": "1024",
+    # Rows of the content scan may hold megabytes each.
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    # Lets the 10,000-row failed lists be cut before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.ui.enabled": "false",
 }
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from arborsync.operators.diff import changeset
+from arborsync.operators.diff import MODIFIED, changeset
 from arborsync.operators.skew import lookup_join
 from arborsync.streaming.sink import read_batches, run_available, write_batch
 
@@ -60,6 +60,17 @@ def batch_changes(announced: DataFrame, heads: DataFrame, tree: DataFrame) -> Da
     )
 
 
+def current_paths(feed: DataFrame) -> DataFrame:
+    """``repo_id, path`` of the files that exist after all changes of the feed, replays included."""
+    there = F.struct(F.col("new_path").alias("path"), F.lit(True).alias("exists"))
+    gone = F.struct(F.col("old_path").alias("path"), F.lit(False).alias("exists"))
+    # An edited file is on both sides of its row: only its new side counts.
+    ends = F.when(F.col("status") == MODIFIED, F.array(there)).otherwise(F.array(there, gone))
+    steps = feed.select("repo_id", "sync_id", F.explode(ends).alias("end")).where("end.path IS NOT NULL")
+    last = steps.groupBy("repo_id", "end.path").agg(F.max_by("end.exists", "sync_id").alias("exists"))
+    return last.where("exists").select("repo_id", "path")
+
+
 def start_changefeed(announcements: DataFrame, tree: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
     """Write ``output/changes`` and ``output/heads``; a repeated micro-batch rewrites the same folders."""
 

@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,6 +155,14 @@ def test_filters_and_edges_of_a_rename(spark):
     assert [r["path"] for r in after.deletes.collect()] == ["in/a.md"]
 
 
+def test_full_sync_reports_what_is_gone(spark):
+    repo = repository(spark, [{"a.md": b"1"}])
+    key = crawl.plan(repo).first()["config_hash"]
+    known = spark.createDataFrame([(key, "a.md"), (key, "old.md"), ("other", "x")], "config_hash string, path string")
+    result = crawl.crawl_outcomes(replace(repo, known=known))
+    assert [tuple(r) for r in result.deletes.collect()] == [(key, "old.md")]
+
+
 def test_failed_list_limit(spark):
     rows = outcomes(spark, ["read_error"] * 30).unionByName(outcomes(spark, ["read_error"] * 3, key="d"))
     kept = sync_state.next_failed(rows, 1, limit=10)
