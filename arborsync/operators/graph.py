@@ -20,23 +20,63 @@ from arborsync.staging import stage
 BLOCK = 65_536
 
 
+def _subtree_sizes(commits: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``repo_id, sha, size``: commits that reach a commit by first parents alone, itself included.
+
+    Doubling again: after k rounds a size covers 2^k steps and the pointer is 2^k
+    steps back; each round adds the sizes found that far ahead.
+    """
+    state = stage(
+        commits.select("repo_id", "sha")
+        .join(firsts, ["repo_id", "sha"], "left")
+        .select("repo_id", "sha", F.col("first_parent").alias("back"), F.lit(1).cast("bigint").alias("size")),
+        "sizes",
+    )
+    while not state.where("back IS NOT NULL").isEmpty():
+        active = state.where("back IS NOT NULL")
+        ahead = active.groupBy("repo_id", F.col("back").alias("sha")).agg(F.sum("size").alias("more"))
+        target = state.select("repo_id", F.col("sha").alias("back"), F.col("back").alias("_next"))
+        stepped = lookup_join(active, target, ["repo_id", "back"], spread_by=["sha"], how="inner")
+        moved = stepped.select("repo_id", "sha", F.col("_next").alias("back"), "size")
+        state = stage(
+            moved.unionByName(state.where("back IS NULL"))
+            .join(ahead, ["repo_id", "sha"], "left")
+            .select("repo_id", "sha", "back", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")),
+            "sizes",
+        )
+    return state.select("repo_id", "sha", "size")
+
+
 def _links(commits: DataFrame) -> DataFrame:
     """Each commit with the first parent it continues, null where it starts a chain.
 
-    Of several commits with the same first parent the one with the smallest id
-    continues the parent's chain.
+    Of several commits with the same first parent the one with most commits behind
+    it continues the chain: so following first parents changes chain at most
+    log2(commits) times, and a main line is not broken by the branches it feeds.
     """
-    firsts = commits.select("repo_id", "sha", F.get("parents", F.lit(0)).alias("first_parent"))
-    heirs = (
-        firsts.where("first_parent IS NOT NULL")
-        .groupBy("repo_id", "first_parent")
-        .agg(F.min("sha").alias("heir"))
-    )
-    # A parent that was never ingested starts nothing to continue.
+    parents = commits.select("repo_id", "sha", F.get("parents", F.lit(0)).alias("first_parent"))
     known = commits.select("repo_id", F.col("sha").alias("first_parent"))
-    links = heirs.join(known, ["repo_id", "first_parent"], "left_semi").select(
-        "repo_id", F.col("heir").alias("sha"), F.col("first_parent").alias("link")
+    # A parent that was never ingested is none.
+    firsts = stage(
+        lookup_join(
+            parents.where("first_parent IS NOT NULL"), known, ["repo_id", "first_parent"], ["sha"], "inner"
+        ).select("repo_id", "sha", "first_parent"),
+        "first-parents",
     )
+    children = firsts.groupBy("repo_id", "first_parent").agg(F.count("*").alias("n"), F.max("sha").alias("heir"))
+    forked = stage(children.where("n > 1").select("repo_id").distinct(), "forked")
+    heirs = children.select("repo_id", "first_parent", "heir")
+    if not forked.isEmpty():
+        within = firsts.join(forked, "repo_id", "left_semi")
+        sizes = _subtree_sizes(commits.join(forked, "repo_id", "left_semi"), within)
+        heaviest = (
+            within.join(sizes, ["repo_id", "sha"])
+            .groupBy("repo_id", "first_parent")
+            .agg(F.max(F.struct("size", "sha")).alias("best"))
+            .select("repo_id", "first_parent", F.col("best.sha").alias("heir"))
+        )
+        heirs = heirs.join(forked, "repo_id", "left_anti").unionByName(heaviest)
+    links = heirs.select("repo_id", F.col("heir").alias("sha"), F.col("first_parent").alias("link"))
     return commits.select("repo_id", "sha").join(links, ["repo_id", "sha"], "left")
 
 

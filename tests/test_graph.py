@@ -69,7 +69,31 @@ def test_long_chain_takes_few_rounds(spark, monkeypatch):
     index = graph.chain_index(spark.createDataFrame(rows, COMMITS))
     assert index.where("pos = 3000").first()["sha"] == f"{n - 1:05d}"
     assert index.select("chain").distinct().count() == 1
-    assert len(rounds) <= 8
+    assert rounds.count("chains") <= 8
+
+
+def test_main_line_is_not_broken_by_dead_ends(spark, monkeypatch):
+    """Dead-end branches and merges all along a history cost no rounds of their own."""
+    n = 600
+    rows = []
+    for i in range(n):
+        parents = [f"{i - 1:05d}"] if i else []
+        if i > 3 and i % 11 == 3:
+            parents = [f"{i - 2:05d}"]
+        elif i > 3 and i % 5 == 0:
+            parents = [f"{i - 1:05d}", f"{i - 4:05d}"]
+        rows.append(("r", f"{i:05d}", parents))
+    known = ancestors(rows)
+    commits = spark.createDataFrame(rows, COMMITS)
+    index = graph.chain_index(commits)
+    rounds = []
+    original = graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, label: rounds.append(label) or original(df, label))
+    old, new = f"{n // 2:05d}", f"{n - 1:05d}"
+    pairs = spark.createDataFrame([("r", old, new)], "repo_id string, old_sha string, new_sha string")
+    row = graph.compare_commits(pairs, commits, index).first()
+    assert (row["is_reachable"], row["distance"]) == (old in known[new], len(known[new] - known[old]))
+    assert rounds.count("reach") <= 5
 
 
 def test_plan_thresholds(spark):
