@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import quality_rules
+from arborsync.llm import decontamination, quality_rules, token_counts
 
 CATALOG = Catalog()
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the installed public tokenizer files lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -53,3 +60,41 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
+@CATALOG.query()
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, tokenizer_file("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+_DECONTAMINATE_SQL = r"""
+with low as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as up, 'abcdefghijklmnopqrstuvwxyz' as down),
+ d as (select row_number() over () as rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), up, down), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents, low),
+ b as (select item_id, regexp_extract_all(translate(text, up, down), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+       from benchmark, low where text is not null),
+ b2 as (select item_id, words, least(len(words), 10) as m from b where len(words) > 0),
+ p as (select distinct item_id, m, list_slice(words, i, i + m - 1) as gram
+       from (select item_id, words, m, unnest(range(1, len(words) - m + 2)) as i from b2)),
+ lengths as (select distinct m from p),
+ g as (select rid, i, m, list_slice(words, i, i + m - 1) as gram
+       from (select rid, words, m, unnest(range(1, greatest(len(words) - m + 2, 1))) as i from d, lengths)),
+ o as (select rid, i, m, item_id from g join p using (m, gram)),
+ hits as (select rid, count(distinct k) as n_hit from (select rid, unnest(range(i, i + m)) as k from o) group by rid),
+ found as (select rid, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from o group by rid)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hits using (rid) left join found using (rid)"""
+
+
+@CATALOG.query(_DECONTAMINATE_SQL)
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, folder, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["word_end"] - s["word_begin"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
