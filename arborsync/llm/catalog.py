@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, quality_rules, token_counts
+from arborsync.llm import decontamination, jaccard_join, quality_rules, token_counts
 
 CATALOG = Catalog()
 
@@ -98,3 +98,9 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+@CATALOG.query()
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard_join.similar_texts(docs).select("doc_id", "class_id", "n_links", "n_copies")
