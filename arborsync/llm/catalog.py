@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, quality_rules, token_counts
+from arborsync.llm import decontamination, jaccard_join, line_templates, quality_rules, token_counts
 
 CATALOG = Catalog()
 
@@ -104,3 +104,14 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return jaccard_join.similar_texts(docs).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@CATALOG.query()
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = F.coalesce("_left", F.lit(""))
+    return line_templates.drop_recurring(docs).select(
+        "doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+        F.octet_length(left).cast("bigint").alias("bytes_left"), F.crc32(left.cast("binary")).alias("left_crc32"),
+        ((F.col("_dropped") > 0) & ~left.rlike("[^\\x20\\x09-\\x0D]")).alias("emptied"),
+    )
