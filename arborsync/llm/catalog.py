@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, line_templates, quality_rules, token_counts
+from arborsync.llm import decontamination, jaccard_join, line_templates, quality_rules, sentencepiece_stream, token_counts
 
 CATALOG = Catalog()
 
@@ -115,3 +115,15 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.octet_length(left).cast("bigint").alias("bytes_left"), F.crc32(left.cast("binary")).alias("left_crc32"),
         ((F.col("_dropped") > 0) & ~left.rlike("[^\\x20\\x09-\\x0D]")).alias("emptied"),
     )
+
+
+@CATALOG.query()
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    tokenizer = sentencepiece_stream.Tokenizer(spark, tokenizer_file("piece_bpe_32k.model"))
+    encoded = docs.withColumn("ids", tokenizer.encode("text"))
+    decoded = encoded.withColumn("decoded", tokenizer.decode("ids"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids",
+        (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))).alias("round_trip"),
+    )
