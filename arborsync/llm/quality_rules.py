@@ -93,14 +93,19 @@ def measure(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STO
     })
     ratio = lambda part, whole: F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
     n_words, chars = F.col("n_words"), F.col("word_chars")
-    return counted.withColumns({
+    ratios = {
         "repeat_ratio": ratio(F.col("n_repeat_words"), n_words),
         "symbol_ratio": ratio(F.col("n_symbols"), chars),
         "exclaim_ratio": ratio(F.col("_exclaims"), chars),
         "mean_word_chars": ratio(chars, n_words),
         "dup_line_ratio": ratio(F.col("n_dup_lines"), F.size("_lines")),
         "stop_ratio": ratio(F.col("_stops"), n_words),
-    }).drop("_words", "_n", "_exclaims", "_lines", "_stops", "_windows", "_sorted", "_starts")
+    }
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (*BASE, *ratios)]
+    # Handed on through a generator of one row: a filter on a measure must not be pushed below it,
+    # which would copy the measuring into the filter, once for each use.
+    measures = F.struct(*[F.col(c) for c in BASE], *[r.alias(c) for c, r in ratios.items()])
+    return counted.select(*others, F.inline(F.array(measures)))
 
 
 def passes(rules: Sequence[Rule] = RULES) -> Column:
