@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, line_templates, quality_rules, sentencepiece_stream, token_counts
+from arborsync.llm import decontamination, jaccard_join, line_templates, quality_rules, sentencepiece_stream, sharding, token_counts
 
 CATALOG = Catalog()
 
@@ -127,3 +127,13 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids",
         (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))).alias("round_trip"),
     )
+
+
+@CATALOG.query()
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    body = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(body) + 1).cast("bigint").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"))
+    placed = sharding.assign_shards(docs, ["doc_id"], shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
