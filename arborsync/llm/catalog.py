@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, line_templates, quality_rules, sentencepiece_stream, sharding, token_counts
+from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, quality_rules, sentencepiece_stream, sharding, token_counts
 
 CATALOG = Catalog()
 
@@ -22,6 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold(count: int) -> Column:
+    """crc32 of the document id as text, modulo ``count``; a null id counts as the empty string."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % count
+
+
 def _quality_sql() -> str:
     symbols = "".join(f"replace(" for _ in quality_rules.SYMBOLS) + "body" + "".join(f", '{c}', '')" for c in quality_rules.SYMBOLS)
     stops = ", ".join(f"'{w}'" for w in [*quality_rules.STOP_WORDS, *[w.capitalize() for w in quality_rules.STOP_WORDS]])
@@ -137,3 +142,10 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.assign_shards(docs, ["doc_id"], shards=8)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@CATALOG.query()
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", fold(3) == 1)
+    model = language_id.fit(docs.where(~F.col("held_out")), "doc_id", "text", "lang")
+    return language_id.predict(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
