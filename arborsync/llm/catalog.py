@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, quality_rules, sentencepiece_stream, sharding, token_counts
+from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts
 
 CATALOG = Catalog()
 
@@ -149,3 +149,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", fold(3) == 1)
     model = language_id.fit(docs.where(~F.col("held_out")), "doc_id", "text", "lang")
     return language_id.predict(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@CATALOG.query()
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality_classifier.score_quality(docs, table(spark, folder, "labels"), learn=fold(4) != 2)
+    return scored.select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))

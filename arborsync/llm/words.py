@@ -71,10 +71,11 @@ def split_words(texts: list[bytes | None], table: np.ndarray, lower: bool = Fals
     sizes = np.fromiter((len(t) + 1 for t in plain), dtype=np.int64, count=len(plain))
     text_starts = np.concatenate(([0], np.cumsum(sizes)))
     bounds = np.searchsorted(starts, text_starts)
-    return Words(_hash(raw, starts, lengths), bounds, data, starts, lengths)
+    return Words(hash_runs(raw, starts, lengths), bounds, data, starts, lengths)
 
 
-def _hash(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def hash_runs(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of bytes; ``raw`` must go on for eight bytes behind the last."""
     eights = np.ndarray((max(len(raw) - 7, 0),), dtype="<u8", buffer=raw.data, strides=(1,))
     out = mix(lengths.astype(np.uint64))
     left, at, rows = lengths, starts, None
