@@ -1,8 +1,8 @@
 """Quality scores from random-indexing word vectors and a two-layer network.
 
 Random indexing gives every token a fixed sparse vector of +1 and -1; the vector of a word is the sum
-of those of its neighbours over the whole corpus. A document is the mean and the spread of its
-words' vectors. A small network learns the label from a bounded sample, and a temperature fitted on
+of those of its neighbours over the whole corpus. A document is pooled from its words'
+vectors: their mean, their spread, and how alike neighbours are. A small network learns the label from a bounded sample, and a temperature fitted on
 rows it has not seen makes its outputs probabilities.
 """
 
@@ -96,20 +96,26 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def pool(texts: list[bytes | None], vectors: np.ndarray) -> np.ndarray:
-    """Per text the mean and the spread of its tokens' vectors, and the logarithm of their number."""
+    """Per text the mean and the spread of its tokens' vectors, how alike neighbours are, and the
+    logarithm of the number of tokens."""
     bucket, bounds = tokens(texts)
     size = np.diff(bounds)
     total, square = np.zeros((2, len(texts), DIMENSIONS))
+    alike = np.zeros(len(texts))
     text = np.repeat(np.arange(len(texts)), size)
     for begin in range(0, len(bucket), 1 << 18):
-        own, row = text[begin : begin + (1 << 18)], vectors[bucket[begin : begin + (1 << 18)]]
+        end = min(begin + (1 << 18), len(bucket))
+        own, row = text[begin:end], vectors[bucket[begin:end]]
         first = np.flatnonzero(np.diff(own, prepend=-1))
         total[own[first]] += np.add.reduceat(row, first, axis=0)
         square[own[first]] += np.add.reduceat(row * row, first, axis=0)
+        inner = np.flatnonzero(text[begin + 1 : end + 1] == text[begin : min(end, len(text) - 1)])
+        near = vectors[bucket[begin + 1 : end + 1][inner]]
+        alike += np.bincount(own[inner], np.einsum("ij,ij->i", row[inner], near), len(texts))
     count = np.maximum(size, 1)[:, None]
     mean = total / count
     spread = np.sqrt(np.maximum(square / count - mean**2, 0))
-    return np.hstack((mean, spread, np.log1p(size)[:, None])).astype(np.float32)
+    return np.hstack((mean, spread, (alike / count[:, 0])[:, None], np.log1p(size)[:, None])).astype(np.float32)
 
 
 @dataclass
