@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts
+from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts, tool_calls
 
 CATALOG = Catalog()
 
@@ -157,3 +157,66 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_classifier.score_quality(docs, table(spark, folder, "labels"), learn=fold(4) != 2)
     return scored.select(
         "doc_id", (fold(4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+# Tools that the turns of a conversation are read as: a system turn instructs, a user turn asks.
+TOOLS = {
+    "ask": {
+        "properties": {
+            "question": {"type": "string", "minLength": 20, "maxLength": 350}, "turn": {"type": "integer", "minimum": 0},
+            "words": {"type": "integer", "minimum": 3, "maximum": 60},
+        },
+        "required": ["question", "turn", "words"], "additionalProperties": False,
+    },
+    "instruct": {
+        "properties": {"question": {"type": "string"}, "turn": {"type": "integer", "maximum": 0}},
+        "required": ["question"], "additionalProperties": False,
+    },
+}
+
+_TOOL_CALLS_SQL = """
+with t as (select conv_id, turn, role, coalesce(text, '') as body, role <> 'assistant' as is_call,
+    concat(conv_id, '-', case when role = 'assistant' then turn - 1 else turn end) as id,
+    len(list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0b\\f\\r]+'), lambda w: w <> '')) as words from conversations),
+ c as (select * from t where is_call), r as (select * from t where not is_call),
+ calls as (select c.*, row_number() over (partition by c.conv_id order by c.turn) as step, r.id is not null as answered,
+     case when before.id is not null then before.id end as needs
+   from c left join r using (id) left join c as before on before.conv_id = c.conv_id and before.turn = c.turn - 2),
+ judged as (select *, list_sort(list_filter(case when role = 'user' then
+       [case when length(body) < 20 then 'question: minLength' end, case when length(body) > 350 then 'question: maxLength' end,
+        case when words < 3 then 'words: minimum' end, case when words > 60 then 'words: maximum' end]
+     else ['words: not allowed', case when turn > 0 then 'turn: maximum' end] end, lambda e: e is not null)) as found,
+     case when turn >= 2 and needs is null then [concat('needs ', conv_id, '-', turn - 2, ': missing')] else [] end as absent from calls)
+select conv_id, turn, 'call' as kind, id, case when answered then 'linked' else 'unanswered' end as status, step,
+  array_to_string(list_concat(found, absent), '; ') as errors, len(found) + len(absent) as n_errors,
+  concat('{"arguments":{"question":', to_json(body)::varchar, ',"turn":', turn, ',"words":', words, '},"id":"', id, '","kind":"call","needs":',
+    case when turn >= 2 then concat('["', conv_id, '-', turn - 2, '"]') else '[]' end, ',"tool":"', case when role = 'user' then 'ask' else 'instruct' end, '"}') as json
+from judged
+union all
+select r.conv_id, r.turn, 'result', r.id, case when calls.id is not null then 'linked' else 'orphan' end, calls.step, '', 0,
+  concat('{"content":', to_json(r.body)::varchar, ',"id":"', r.id, '","kind":"result"}')
+from r left join calls on calls.id = r.id"""
+
+
+@CATALOG.query(_TOOL_CALLS_SQL)
+def op4_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as tool use: a turn that is not the assistant's is a call that builds on the call
+    two turns before; an assistant's turn is the result of the turn before."""
+    turns = table(spark, folder, "conversations")
+    body = F.coalesce("text", F.lit(""))
+    name = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    trimmed = F.btrim(body, F.lit(quality_rules.SPACES))
+    words = F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, quality_rules.SPACE_RUN)))
+    is_result = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    calls = turns.where(~is_result).select(
+        F.col("conv_id").alias("conversation"), name(F.col("turn")).alias("id"), F.col("turn").alias("position"),
+        F.when(F.col("role") == "user", "ask").otherwise("instruct").alias("tool"),
+        F.to_json(F.struct(words.alias("words"), F.col("turn"), body.alias("question"))).alias("arguments"),
+        F.when(F.col("turn") >= 2, F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>")).alias("needs"),
+    )
+    results = turns.where(is_result).select(
+        F.col("conv_id").alias("conversation"), name(F.col("turn") - 1).alias("id"), F.col("turn").alias("position"), body.alias("content"))
+    linked = tool_calls.link_calls(calls, results, TOOLS)
+    return linked.select(
+        F.col("conversation").alias("conv_id"), F.col("position").alias("turn"), "kind", "id", "status", "step",
+        F.concat_ws("; ", "errors").alias("errors"), "n_errors", "json")
