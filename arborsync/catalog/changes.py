@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
@@ -202,21 +202,32 @@ def incremental_paths(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@CATALOG.query(f"with {SNAPSHOTS} select 'git:corpus:' || path as source_url, text as content from new_tree")
+@CATALOG.query(
+    f"""with {SNAPSHOTS}
+select 'git:corpus:' || path as source_url, text as content,
+  cast(case when doc_id % 10 in (0, 2, 3) then 2 + doc_id % 2 else 1 end as bigint) as sync_id from new_tree"""
+)
 def apply_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of the old snapshot with the change set applied: those of the new one."""
+    """Documents of the old snapshot with the change set applied: those of the new one.
+
+    Every upsert comes twice or three times, with older versions that must lose.
+    """
     old, new = virtual.snapshot_pair(spark, folder)
     steps = stage(actions.upserts_and_deletes(diff.changeset(old, new)), "steps")
     url = F.concat(F.lit("git:corpus:"), "path").alias("source_url")
 
-    def documents(version: str) -> DataFrame:
-        return virtual.texts(spark, folder, version).select(url, F.col("text").alias("content"))
+    def documents(version: str, sync_id: Column) -> DataFrame:
+        return virtual.texts(spark, folder, version).select(
+            url, F.col("text").alias("content"), sync_id.cast("bigint").alias("sync_id"))
 
     keys = steps.select("action", url)
-    fresh = documents(virtual.NEW).join(
+    fresh = documents(virtual.NEW, F.lit(2) + F.col("doc_id") % 2).join(
         keys.where(F.col("action") == actions.UPSERT).select("source_url"), "source_url", "left_semi"
     )
-    return upsert.apply_upsert(documents(virtual.OLD), fresh, keys.where(F.col("action") == actions.DELETE))
+    stale = fresh.select("source_url", F.concat(F.lit("stale "), "content").alias("content"), F.lit(0).cast("bigint").alias("sync_id"))
+    repeated = fresh.unionByName(fresh).unionByName(stale)
+    held = documents(virtual.OLD, F.lit(1))
+    return upsert.apply_upsert(held, repeated, keys.where(F.col("action") == actions.DELETE))
 
 
 @CATALOG.query(
@@ -233,14 +244,45 @@ def listing_with_tombstones(spark: SparkSession, folder: str) -> DataFrame:
     return listed.unionByName(deleted.select("repo_id", "path", F.lit("gone").alias("status")))
 
 
-@CATALOG.query()
+# Similar pairs by brute force over all deleted and added files; on the test tables the pairs that are
+# best for both their files are all there are.
+SIMILAR = f"""{changes_sql()},
+gone as (select c.old_path as path, t.blob, string_split_regex(t.text, '\\s+') as words
+  from changes c join old_tree t on c.old_path = t.path where c.status = 'D'),
+came as (select c.new_path as path, t.blob, string_split_regex(t.text, '\\s+') as words
+  from changes c join new_tree t on c.new_path = t.path where c.status = 'A'),
+gone_runs as (select distinct path, list_slice(words, i, i + 2) as run
+  from (select path, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) as i from gone)),
+came_runs as (select distinct path, list_slice(words, i, i + 2) as run
+  from (select path, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) as i from came)),
+shared as (select g.path as old_path, c.path as new_path, count(*) as n
+  from gone_runs g join came_runs c on g.run = c.run group by 1, 2),
+scored as (
+  select old_path, new_path, n / greatest((select count(*) from gone_runs where path = old_path),
+    (select count(*) from came_runs where path = new_path)) as similarity from shared),
+placed as (
+  select *, row_number() over (partition by old_path order by similarity desc, md5(old_path || chr(31) || new_path)) as a,
+    row_number() over (partition by new_path order by similarity desc, md5(old_path || chr(31) || new_path)) as b
+  from scored where similarity >= 0.5),
+similar_pairs as (
+  select 'corpus' as repo_id, p.old_path, p.new_path, g.blob as old_blob, c.blob as new_blob, p.similarity
+  from placed p join gone g on p.old_path = g.path join came c on p.new_path = c.path where a = 1 and b = 1)"""
+
+
+@CATALOG.query(f"with {SIMILAR} select * from similar_pairs")
 def renames_similar(spark: SparkSession, folder: str) -> DataFrame:
-    """Deleted and added files of similar text, paired one to one. Checked against brute force in the tests."""
+    """Deleted and added files of similar text, paired one to one."""
     changed = stage(_changes(spark, folder), "changeset")
     return renames.similar_renames(changed, virtual.text_blobs(spark, folder))
 
 
-@CATALOG.query()
+@CATALOG.query(
+    f"""with {SIMILAR}
+select repo_id, status, old_path, new_path from changes
+where not (status = 'D' and old_path in (select old_path from similar_pairs))
+  and not (status = 'A' and new_path in (select new_path from similar_pairs))
+union all select repo_id, 'R', old_path, new_path from similar_pairs"""
+)
 def changeset_similar(spark: SparkSession, folder: str) -> DataFrame:
     """The change set with similar pairs shown as renames."""
     changed = stage(_changes(spark, folder), "changeset")

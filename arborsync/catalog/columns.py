@@ -218,11 +218,14 @@ def mask_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     """select c_custkey, '***' as Access_Token, c_mktsegment as segment, '***' as db_password,
-  case when c_nationkey = 0 then '0' else '***' end as nation_secret, '***' as map_api_key, c_mktsegment as map_region
+  case when c_nationkey = 0 then '0' else '***' end as nation_secret, '***' as map_api_key, c_mktsegment as map_region,
+  case when c_nationkey = 0 then '0' else '***' end as number_token, cast(c_custkey as varchar) as number_plain,
+  '***' as list_secret, '["' || c_mktsegment || '"]' as list_plain, '***' as outer_secret,
+  '{"password":"***","region":"' || c_mktsegment || '"}' as outer_plain
 from customer"""
 )
 def mask_columns(spark: SparkSession, folder: str) -> DataFrame:
-    """Columns, a nested struct and a map, masked by key name."""
+    """Columns, a nested struct and maps of text, numbers, lists and maps, masked by key name."""
     config = read_table(spark, folder, "customer").select(
         "c_custkey",
         F.col("c_name").alias("Access_Token"),
@@ -231,10 +234,19 @@ def mask_columns(spark: SparkSession, folder: str) -> DataFrame:
             F.struct(F.col("c_name").alias("db_password"), F.col("c_nationkey").alias("nation_secret")).alias("login"),
         ).alias("auth"),
         F.create_map(F.lit("API_KEY"), "c_name", F.lit("region"), "c_mktsegment").alias("extra"),
+        F.create_map(F.lit("token"), F.col("c_nationkey").cast("bigint"), F.lit("plain"), F.col("c_custkey").cast("bigint")).alias("numbers"),
+        F.create_map(F.lit("my_secret"), F.array("c_name"), F.lit("plain"), F.array("c_mktsegment")).alias("lists"),
+        F.create_map(
+            F.lit("Secret"), F.create_map(F.lit("x"), "c_name", F.lit("region"), "c_name"),
+            F.lit("plain"), F.create_map(F.lit("password"), "c_name", F.lit("region"), "c_mktsegment"),
+        ).alias("maps"),
     )
     return masking.mask_columns(config).select(
         "c_custkey", "Access_Token", "auth.segment", "auth.login.db_password", "auth.login.nation_secret",
         F.col("extra")["API_KEY"].alias("map_api_key"), F.col("extra")["region"].alias("map_region"),
+        F.col("numbers")["token"].alias("number_token"), F.col("numbers")["plain"].alias("number_plain"),
+        F.col("lists")["my_secret"].alias("list_secret"), F.col("lists")["plain"].alias("list_plain"),
+        F.col("maps")["Secret"].alias("outer_secret"), F.col("maps")["plain"].alias("outer_plain"),
     )
 
 

@@ -21,36 +21,34 @@ def _new(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query(
-    f"""with {PLANTED} select path, outcome = 'binary' as is_binary from judged
-where version = 'new' and {HELD_SQL}"""
+    f"""with {PLANTED} select path, case when {HELD_SQL} then late_nul_is_text = 'binary' end as is_binary,
+  case when {HELD_SQL} then outcome = 'binary' end as is_binary_anywhere from judged where version = 'new'"""
 )
 def classify_binary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file: by its first 8192 bytes, and by all of them; null where no content is held."""
     attached = reading.attach_content(_new(spark, folder), virtual.planted_blobs(spark, folder))
-    held = attached.where("content IS NOT NULL")
-    return held.select("path", tests.is_binary(F.col("content")).alias("is_binary"))
+    content = F.col("content")
+    return attached.select(
+        "path", F.when(content.isNotNull(), tests.is_binary(content, tests.SNIFF_BYTES)).alias("is_binary"),
+        F.when(content.isNotNull(), tests.is_binary(content)).alias("is_binary_anywhere"),
+    )
 
 
 @CATALOG.query(
-    f"""with {PLANTED} select path, doc_id % 9 not in (0, 3) as is_utf8,
-  case when doc_id % 9 >= 7 then text end as plain_text from judged
-where version = 'new' and {HELD_SQL} and doc_id % 9 <> 1
-union all
-select path, true, null from judged where version = 'new' and doc_id % 9 = 1
-  and octet_length(encode(left(text, 10))) = 10
-union all
-select path, null, null from judged where version = 'new' and doc_id % 9 = 1
-  and octet_length(encode(left(text, 10))) <> 10"""
+    f"""with {PLANTED} select path, case when {HELD_SQL} then doc_id % 9 not in (0, 3) end as is_utf8,
+  case when {HELD_SQL} and doc_id % 9 not in (0, 3) then planted_bytes end as text_bytes,
+  case when doc_id % 9 >= 7 then sha256(text) end as plain_sha from judged where version = 'new'"""
 )
 def classify_utf8(spark: SparkSession, folder: str) -> DataFrame:
-    """Validity of all held content. A NUL planted between bytes may cut a character: left open there."""
+    """Validity of every file, null where no content is held; the length of each valid text, plain texts by hash."""
     attached = reading.attach_content(_new(spark, folder), virtual.planted_blobs(spark, folder))
-    kind = F.col("doc_id") % 9
-    head = F.octet_length(F.encode(F.substring("_text", 1, 10), "UTF-8"))
-    texts = virtual.texts(spark, folder, virtual.NEW, planted=True).select("path", F.col("text").alias("_text"))
-    valid = F.when((kind != 1) | (head == 10), tests.is_utf8(F.col("content")))
-    plain = F.when(kind >= 7, tests.decode_utf8(F.col("content")).cast("string"))
-    held = attached.where("content IS NOT NULL").join(texts, "path")
-    return held.select("path", valid.alias("is_utf8"), plain.alias("plain_text"))
+    content = F.col("content")
+    text = tests.decode_utf8(content).cast("string")
+    return attached.select(
+        "path", F.when(content.isNotNull(), tests.is_utf8(content)).alias("is_utf8"),
+        F.octet_length(text).cast("bigint").alias("text_bytes"),
+        F.when(F.col("doc_id") % 9 >= 7, F.sha2(text, 256)).alias("plain_sha"),
+    )
 
 
 @CATALOG.query(

@@ -72,7 +72,7 @@ placed as (
 select config_hash, path, batch_no, attempted from placed"""
 )
 def batches_by_range(spark: SparkSession, folder: str) -> DataFrame:
-    """Batches of 7 over all documents, on the plan for sources too big for one task."""
+    """Batches of 7 over all documents."""
     kind = F.col("doc_id") % 9
     outcome = F.when(kind == 5, "read_error").when(kind.isin(0, 3, 4), "binary").otherwise("ok")
     outcomes = read_table(spark, folder, "documents").select(
@@ -80,7 +80,7 @@ def batches_by_range(spark: SparkSession, folder: str) -> DataFrame:
         F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("path"),
         outcome.alias("outcome"),
     )
-    return batching.assign_batches(outcomes, batch_files=7, hot_group_rows=20).drop("outcome")
+    return batching.assign_batches(outcomes, batch_files=7).drop("outcome")
 
 
 @CATALOG.query(
@@ -92,14 +92,17 @@ counted as (
     count(*) filter (is_transient) as errors
   from attempts group by 1),
 gone as (select config_hash, count(*) as files_deleted from delete_feed group by 1)
-select p.config_hash, p.mode as sync_type, coalesce(files_added, 0) as files_added,
+select p.config_hash, p.mode as sync_type, (select min(ts) from events) as started_at, (select max(ts) from events) as finished_at,
+  (select date_diff('microsecond', min(ts), max(ts)) / 1e6 from events) as duration_seconds, coalesce(files_added, 0) as files_added,
   coalesce(files_updated, 0) as files_updated, coalesce(files_deleted, 0) as files_deleted,
   coalesce(files_skipped, 0) as files_skipped, coalesce(errors, 0) as errors
 from plan p left join counted c on p.config_hash = c.config_hash left join gone g on p.config_hash = g.config_hash"""
 )
 def sync_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the crawl; its times are those of the first and last event."""
     result = crawl.crawl_outcomes(virtual.crawl_repository(spark, folder))
-    return metrics.sync_metrics(result.plan, result.attempts, result.deletes)
+    times = read_table(spark, folder, "events").agg(F.min("ts"), F.max("ts")).first()
+    return metrics.sync_metrics(result.plan, result.attempts, result.deletes, *times)
 
 
 @CATALOG.query(f"with {CRAWL} select * from delete_feed")

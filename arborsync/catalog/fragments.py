@@ -69,10 +69,14 @@ judged as (
            when 2 then greatest(text_bytes, 8192) + 5 when 3 then text_bytes + 1
            when 4 then 0 when 5 then 0 when 6 then text_bytes + 2 else text_bytes end as size,
          case when doc_id % 9 = 4 then 'not_found' when doc_id % 9 = 5 then 'read_error'
-              when doc_id % 9 in (0, 1, 6) or starts_with(text, 'MZ') or starts_with(text, 'GIF8')
+              when doc_id % 9 in (0, 1, 2, 6) or starts_with(text, 'MZ') or starts_with(text, 'GIF8')
                    or starts_with(text, '%PDF') then 'binary'
               when doc_id % 9 = 3 then 'non_utf8'
               else 'ok' end as outcome,
+         case when doc_id % 9 in (0, 1, 6) or starts_with(text, 'MZ') or starts_with(text, 'GIF8')
+                   or starts_with(text, '%PDF') then 'binary' else 'text' end as late_nul_is_text,
+         case doc_id % 9 when 1 then text_bytes + 1 when 2 then greatest(text_bytes, 8192) + 5
+           when 6 then text_bytes + 2 else text_bytes end as planted_bytes,
          case when doc_id % 9 = 2
               then text || repeat(' ', greatest(0, 8192 - text_bytes)) || chr(0) || 'tail'
               else text end as content
@@ -147,8 +151,17 @@ sided as (
 changed_paths as (
   select config_hash, repo_id, new_path as path, case when status = 'M' then 'update' else 'add' end as action
   from sided where new_ok and status in ('A', 'M', 'R')),
+held as (
+  select e.config_hash, e.path from passing e join plan p on e.config_hash = p.config_hash
+  where p.n % 4 <> 0 and e.version = 'old' and e.outcome = 'ok' and e.doc_id % 7 <> 3
+  union
+  select config_hash, 'never/listed_' || cast(n as varchar) || '.md' from plan where n % 4 <> 0),
 delete_feed as (
-  select config_hash, old_path as path from sided where old_ok and status in ('D', 'R')),
+  select config_hash, old_path as path from sided where old_ok and status in ('D', 'R')
+  union all
+  select h.config_hash, h.path from held h join plan p on h.config_hash = p.config_hash
+  where p.mode = 'full' and not exists (
+    select 1 from passing e where e.config_hash = h.config_hash and e.version = 'new' and e.path = h.path)),
 retried as (
   select f.config_hash, f.repo_id, f.path, 'add' as action
   from failed_before f join plan p on f.config_hash = p.config_hash

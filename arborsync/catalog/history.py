@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
+from arborsync.functions import keys
 from arborsync.operators import graph, history, refs, snapshot
 from arborsync.plans.sync_plan import plan_syncs
 from arborsync.sources import virtual
@@ -40,7 +41,8 @@ ANCESTORS = """anc as (
 REFS = """refs as (
   select repo_id, 'refs/remotes/origin/main' as name, 'remote' as kind, sha from chain where age = 1 and o_custkey % 3 <> 0
   union all select repo_id, 'refs/heads/main', 'branch', sha from chain where age = 2
-  union all select repo_id, 'refs/tags/v1', 'tag', sha from chain where age = 3)"""
+  union all select repo_id, 'refs/tags/v1', 'tag', sha from chain where age = 3
+  union all select repo_id, 'HEAD', 'head', sha from chain where age = 4 and o_custkey % 2 = 0)"""
 
 
 def _sources(spark: SparkSession, folder: str, commits: DataFrame) -> DataFrame:
@@ -59,21 +61,23 @@ named as (
     when 4 then 'nosuch' end, 'main') as branch
   from chain s left join chain t on s.repo_id = t.repo_id and t.age = 3 where s.age = 1)
 select n.repo_id, coalesce(r.sha, h.sha) as remote_first, coalesce(h.sha, r.sha) as local_first,
-  coalesce(h.sha, t.sha, c.sha) as any_name
+  coalesce(h.sha, t.sha, c.sha) as any_name, coalesce(h.sha, hd.sha) as bare
 from named n left join refs r on r.repo_id = n.repo_id and r.name = 'refs/remotes/origin/' || n.branch
 left join refs h on h.repo_id = n.repo_id and h.name = 'refs/heads/' || n.branch
 left join refs t on t.repo_id = n.repo_id and t.name = 'refs/tags/' || n.branch
-left join chain c on c.repo_id = n.repo_id and c.sha = n.branch"""
+left join chain c on c.repo_id = n.repo_id and c.sha = n.branch
+left join refs hd on hd.repo_id = n.repo_id and hd.name = 'HEAD'"""
 )
 def resolve_refs(spark: SparkSession, folder: str) -> DataFrame:
-    """Each source's branch under three lookup orders."""
+    """Each source's branch under four lookup orders."""
     commits = virtual.commits(spark, folder)
     known = virtual.customer_refs(commits)
     found = _sources(spark, folder, commits)
     found = refs.resolve_refs(found, known, refs.REMOTE_FIRST, name="remote_first")
     found = refs.resolve_refs(found, known, refs.LOCAL_FIRST, name="local_first")
     found = refs.resolve_refs(found, known, refs.ANY_NAME, commits=commits, name="any_name")
-    return found.select("repo_id", "remote_first", "local_first", "any_name")
+    found = refs.resolve_refs(found, known, refs.BARE, name="bare")
+    return found.select("repo_id", "remote_first", "local_first", "any_name", "bare")
 
 
 @CATALOG.query(f"with {CHAIN}, {REFS} select repo_id, kind, name, sha from refs")
@@ -83,9 +87,9 @@ def list_refs(spark: SparkSession, folder: str) -> DataFrame:
 
 LAST_TOUCH = """touched as (
   select l_partkey, l_suppkey, o_orderkey, o_orderdate, sha1('order:' || cast(o_orderkey as varchar)) as sha,
-    o_orderpriority as author from lineitem join orders on l_orderkey = o_orderkey),
+    o_orderpriority as author, 'order ' || cast(o_orderkey as varchar) as message from lineitem join orders on l_orderkey = o_orderkey),
 last as (
-  select l_partkey, o_orderdate, sha, author from (
+  select l_partkey, o_orderdate, sha, author, message from (
     select *, row_number() over (partition by l_partkey order by o_orderdate desc, sha desc) as k from touched)
   where k = 1)"""
 
@@ -93,7 +97,7 @@ last as (
 @CATALOG.query(
     f"""with {LAST_TOUCH}
 select 'corpus' as repo_id, 'parts/' || cast(l_partkey as varchar) || '.md' as path,
-  sha as last_commit_sha, o_orderdate as last_commit_time from last"""
+  sha as last_commit_sha, o_orderdate as last_commit_time, author as last_commit_author, message as last_commit_message from last"""
 )
 def last_commit_per_file(spark: SparkSession, folder: str) -> DataFrame:
     return history.last_commit_per_file(virtual.touches(spark, folder), virtual.touch_commits(spark, folder))
@@ -115,7 +119,8 @@ def file_history(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query(
     f"""with {LAST_TOUCH}
 select 'corpus' as repo_id, 'parts/' || cast(p_partkey as varchar) || '.md' as path, p_size as size,
-  sha as last_commit_sha, o_orderdate as last_commit_time from part left join last on p_partkey = l_partkey"""
+  sha as last_commit_sha, o_orderdate as last_commit_time, author as last_commit_author, message as last_commit_message,
+  'corpus::main::parts/' || cast(p_partkey as varchar) || '.md' as document_id from part left join last on p_partkey = l_partkey"""
 )
 def snapshot_with_history(spark: SparkSession, folder: str) -> DataFrame:
     files = read_table(spark, folder, "part").select(
@@ -124,7 +129,8 @@ def snapshot_with_history(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_size").alias("size"),
     )
     newest = history.last_commit_per_file(virtual.touches(spark, folder), virtual.touch_commits(spark, folder))
-    return snapshot.with_history(files, newest)
+    listed = snapshot.with_history(files, newest)
+    return listed.withColumn("document_id", keys.item_id(F.col("repo_id"), F.lit("main"), F.col("path")))
 
 
 @CATALOG.query(
@@ -206,7 +212,7 @@ measured as (
 told as (
   select *, case when last_sha is null then 'first_sync' when last_sha = head_sha and n_failed = 0 then 'unchanged'
     when last_sha = head_sha then 'retry_only' when not hit then 'history_rewritten'
-    when apart > 1000 then 'too_many_commits' else 'changes' end as reason
+    else 'changes' end as reason
   from measured)
 select 'cfg-' || repo_id as config_hash, last_sha, head_sha, n_failed, reason,
   case when reason = 'unchanged' then 'noop' when reason in ('changes', 'retry_only') then 'incremental' else 'full' end as mode,

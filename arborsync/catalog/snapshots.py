@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arborsync.catalog import Catalog
 from arborsync.catalog.fragments import CRAWL_SOURCES, FILES, PLANTED, SNAPSHOTS
 from arborsync.functions import mime, paths
-from arborsync.operators import listing, snapshot
+from arborsync.operators import export, listing, snapshot
 from arborsync.operators.refs import resolve_refs
 from arborsync.plans import crawl
 from arborsync.sources import virtual
@@ -33,14 +33,31 @@ def snapshot_list(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.list_files(_new(spark, folder))
 
 
+@CATALOG.query(
+    f"""with {SNAPSHOTS}
+select section as repo_id, '{{"path":"' || path || '","name":"' || string_split(path, '/')[-1] || '","size":' || size || ',"type":"file"}}' as file_info,
+  path, size from new_tree"""
+)
+def listing_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing rows as JSON objects, and path and size read back from them."""
+    exported = export.export_listing(snapshot.list_files(virtual.snapshot_pair(spark, folder, repo="section")[1]))
+    back = export.import_listing(exported).select("repo_id", "path", "size")
+    return exported.withColumn("path", F.get_json_object("file_info", "$.path")).join(back, ["repo_id", "path"])
+
+
 @CATALOG.query(_listing_sql("path like 'src4/en/%'"))
 def snapshot_subtree(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.subtree(_new(spark, folder), "src4/en")
 
 
-@CATALOG.query(_listing_sql("true") + " order by path limit 25")
+@CATALOG.query(
+    f"""with {SNAPSHOTS}
+select source as repo_id, path, string_split(path, '/')[-1] as name, size, 'file' as type
+from (select *, row_number() over (partition by source order by path) as k from new_tree) where k <= 25"""
+)
 def snapshot_capped(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshot.list_files(_new(spark, folder), max_files=25)
+    """The first files of each source's repository."""
+    return snapshot.list_files(virtual.snapshot_pair(spark, folder, repo="source")[1], max_files=25)
 
 
 @CATALOG.query(
@@ -202,31 +219,32 @@ def normalize_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     f"""with {SNAPSHOTS},
-kids as (select case when starts_with(path, 'moved/') then substr(path, 7) end as below, size from new_tree)
-select 'moved/' || string_split(below, '/')[1] as id, string_split(below, '/')[1] as name,
+kids as (select section as repo_id, case when starts_with(path, 'moved/') then substr(path, 7) end as below, size from new_tree)
+select repo_id, 'moved/' || string_split(below, '/')[1] as id, string_split(below, '/')[1] as name,
   cast(sum(size) as bigint) as size, case when contains(below, '/') then 'folder' else 'file' end as type
-from kids where below is not null group by 1, 2, 4"""
+from kids where below is not null group by 1, 2, 3, 5"""
 )
 def folder_children(spark: SparkSession, folder: str) -> DataFrame:
-    return listing.folder_children(_new(spark, folder), "/moved")
+    """Children of one folder in the repositories of all sections; those of one source share folder names."""
+    return listing.folder_children(virtual.snapshot_pair(spark, folder, repo="section")[1], "/moved")
 
 
 @CATALOG.query(
     f"""with {SNAPSHOTS},
-folders as (select string_split(path, '/')[1] as name, sum(size) as size from new_tree group by 1),
-files2 as (select path as id, string_split(path, '/')[-1] as name, size from new_tree),
+folders as (select section as repo_id, string_split(path, '/')[1] as name, sum(size) as size from new_tree group by 1, 2),
+files2 as (select section as repo_id, path as id, string_split(path, '/')[-1] as name, size from new_tree),
 entries as (
-  select name as id, name, cast(size as bigint) as size, 'folder' as type from folders
-  union all select id, name, size, 'file' from files2 where regexp_matches(lower(name), '[.](md|py)$')),
-ranked as (select row_number() over (order by case when type = 'folder' then 0 else 1 end, lower(name), id) as n,
+  select repo_id, name as id, name, cast(size as bigint) as size, 'folder' as type from folders
+  union all select repo_id, id, name, size, 'file' from files2 where regexp_matches(lower(name), '[.](md|py)$')),
+ranked as (select row_number() over (order by case when type = 'folder' then 0 else 1 end, lower(name), id, repo_id) as n,
   count(*) over () as total, * from entries)
-select cast(n as integer) as n, id, name, size, type, total > 60 as is_truncated from ranked where n <= 60"""
+select cast(n as integer) as n, repo_id, id, name, size, type, total > 60 as is_truncated from ranked where n <= 60"""
 )
 def listing_page(spark: SparkSession, folder: str) -> DataFrame:
-    """First page over the top folders and all files, extension test on files only."""
-    new = _new(spark, folder)
+    """First page over the top folders and all files of several repositories, extension test on files only."""
+    new = virtual.snapshot_pair(spark, folder, repo="section")[1]
     top = listing.folder_children(new).where("type = 'folder'")
-    files = snapshot.list_files(new).select(F.col("path").alias("id"), "name", "size", "type")
+    files = snapshot.list_files(new).select("repo_id", F.col("path").alias("id"), "name", "size", "type")
     return listing.listing_page(top.unionByName(files), 60, paths.parse_extensions("md,py"))
 
 
@@ -234,12 +252,12 @@ def listing_page(spark: SparkSession, folder: str) -> DataFrame:
     f"""with {SNAPSHOTS},
 entries as (select path as id, string_split(path, '/')[-1] as name, size from new_tree),
 ranked as (select row_number() over (order by lower(name), id) as n, count(*) over () as total, * from entries)
-select cast(n - 20 as integer) as n, id, name, size, 'file' as type, total > 40 as is_truncated
+select cast(n - 20 as integer) as n, 'corpus' as repo_id, id, name, size, 'file' as type, total > 40 as is_truncated
 from ranked where n > 20 and n <= 40"""
 )
 def listing_next_page(spark: SparkSession, folder: str) -> DataFrame:
     """The second page, continued by the key of the last row of the first."""
-    files = snapshot.list_files(_new(spark, folder)).select(F.col("path").alias("id"), "name", "size", "type")
+    files = snapshot.list_files(_new(spark, folder)).select("repo_id", F.col("path").alias("id"), "name", "size", "type")
     token = listing.page_token(listing.listing_page(files))
     return listing.listing_page(files, after=token)
 

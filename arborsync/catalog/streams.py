@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from arborsync.session import new_work_path
 from arborsync.sources import virtual
 from arborsync.sources.tables import read_table
 from arborsync.staging import stage
-from arborsync.streaming import changefeed, events, sink
+from arborsync.streaming import changefeed, events
 
 CATALOG = Catalog()
 
@@ -22,34 +24,49 @@ EVENT_FILES = 3
 @CATALOG.query(
     f"""with {changes_sql('source')}
 select repo_id, cast(1 as bigint) as sync_id, 'A' as status, null as old_path, path as new_path from o
-union all select repo_id, 2, status, old_path, new_path from changes"""
+union all select repo_id, 2, status, old_path, new_path from changes
+union all select repo_id, 3, case status when 'A' then 'D' when 'D' then 'A' else status end, new_path, old_path from changes"""
 )
 def stream_changefeed(spark: SparkSession, folder: str) -> DataFrame:
-    """Two snapshots per source, announced one after the other."""
+    """Three snapshots per source, the old one, the new one and the old one again, announced out of order and repeatedly."""
     return _feed(spark, folder)
 
 
-@CATALOG.query(f"with {SNAPSHOTS} select source as repo_id, path from new_tree")
+@CATALOG.query(f"with {SNAPSHOTS} select source as repo_id, path from old_tree")
 def stream_current(spark: SparkSession, folder: str) -> DataFrame:
     """The files that exist once the whole feed is applied: those of the last snapshot."""
     return changefeed.current_paths(_feed(spark, folder))
 
 
 def _feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshots 1 and 3 come first, then 2, then 1 and 2 once more; 2 is stored after the stream was set up."""
     work = new_work_path(spark, "changefeed")
     tree = stage(virtual.tree(spark, folder, repo="source").drop("doc_id"), "tree")
+    is_new = F.col("commit_sha") == virtual.commit_sha(F.col("repo_id"), virtual.NEW)
+    tree.where(~is_new).write.parquet(f"{work}/tree")
     repos = read_table(spark, folder, "documents").select(F.col("source").alias("repo_id")).distinct()
-    for sync_id, version in enumerate((virtual.OLD, virtual.NEW), start=1):
-        announced = repos.select(
-            "repo_id", F.lit(sync_id).cast("bigint").alias("sync_id"),
-            virtual.commit_sha(F.col("repo_id"), version).alias("commit_sha"),
-        )
-        announced.coalesce(1).write.mode("append").parquet(f"{work}/announced")
+    sizes = tree.groupBy("repo_id", "commit_sha").agg(F.count("*").alias("files"))
+    versions = {1: virtual.OLD, 2: virtual.NEW, 3: virtual.OLD}
+
+    def announce(*sync_ids: int) -> None:
+        told = [
+            repos.select(
+                "repo_id", F.lit(number).cast("bigint").alias("sync_id"),
+                virtual.commit_sha(F.col("repo_id"), versions[number]).alias("commit_sha"),
+            ).join(sizes, ["repo_id", "commit_sha"], "left").select(
+                "repo_id", "sync_id", "commit_sha", F.coalesce("files", F.lit(0).cast("bigint")).alias("files"))
+            for number in sync_ids
+        ]
+        reduce(DataFrame.unionByName, told).coalesce(1).write.mode("append").parquet(f"{work}/announced")
+
+    announce(1, 3)
     stream = changefeed.read_announcements(spark, f"{work}/announced", files_per_batch=1)
-    changefeed.start_changefeed(stream, tree, f"{work}/out", f"{work}/checkpoint").awaitTermination()
-    schema = spark.read.parquet(f"{work}/out/changes").drop(sink.BATCH).schema
-    feed = sink.read_batches(spark, f"{work}/out/changes", schema)
-    return feed.select("repo_id", "sync_id", "status", "old_path", "new_path")
+    changefeed.start_changefeed(stream, f"{work}/tree", f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    tree.where(is_new).write.mode("append").parquet(f"{work}/tree")
+    announce(2)
+    announce(2, 1)
+    changefeed.start_changefeed(stream, f"{work}/tree", f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return changefeed.read_feed(spark, f"{work}/out")
 
 
 def _event_stream(spark: SparkSession, folder: str, work: str) -> DataFrame:

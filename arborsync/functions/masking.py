@@ -95,23 +95,39 @@ def _is_set(value: Column, kind: DataType) -> Column:
 
 def _masked(name: str, value: Column, kind: DataType) -> Column:
     if is_sensitive_name(name):
-        shown = value if isinstance(kind, StringType) else F.to_json(value) if kind.typeName() in (
-            "struct", "array", "map"
-        ) else value.cast("string")
-        return F.when(_is_set(value, kind), MASK).otherwise(shown)
+        return _hidden(value, kind)
     if isinstance(kind, StructType):
         fields = [_masked(f.name, value[f.name], f.dataType).alias(f.name) for f in kind]
         return F.when(value.isNotNull(), F.struct(*fields))
-    if isinstance(kind, MapType) and isinstance(kind.valueType, StringType):
+    if isinstance(kind, MapType) and isinstance(kind.keyType, StringType):
+        held = kind.valueType
         return F.transform_values(
-            value,
-            lambda k, v: F.when(is_sensitive_key(k) & (F.coalesce(v, F.lit("")) != ""), MASK).otherwise(v),
-        )
-    if isinstance(kind, MapType) and isinstance(kind.valueType, (MapType, StructType)):
-        return F.transform_values(value, lambda _, v: _masked("", v, kind.valueType))
+            value, lambda k, v: F.when(is_sensitive_key(k), _hidden(v, held)).otherwise(_inside_map(v, held)))
     return value
 
 
+def _as_text(value: Column, kind: DataType) -> Column:
+    """A value of any type as a string; nested ones as JSON."""
+    if isinstance(kind, StringType):
+        return value
+    return F.to_json(value) if kind.typeName() in ("struct", "array", "map") else value.cast("string")
+
+
+def _hidden(value: Column, kind: DataType) -> Column:
+    """The mask for a value that is set, else the value as text."""
+    return F.when(_is_set(value, kind), MASK).otherwise(_as_text(value, kind))
+
+
+def _inside_map(value: Column, kind: DataType) -> Column:
+    """A value under a harmless key, as text: a map holds one type, and its masked entries are strings."""
+    return _as_text(_masked("", value, kind), kind)
+
+
 def mask_columns(df: DataFrame) -> DataFrame:
-    """Mask every sensitive column, struct field and map entry, following the schema."""
+    """Mask every sensitive column, struct field and map entry, following the schema.
+
+    A key is tested before what it holds, so nothing under a sensitive key is shown, whatever its
+    type. What is masked becomes a string; so do all values of a map with string keys, nested ones
+    as JSON, since a map holds one type.
+    """
     return df.select([_masked(f.name, F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema])

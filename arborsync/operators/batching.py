@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.functions.content import OK
-from arborsync.operators.numbering import HOT_GROUP_ROWS, running_totals
+from arborsync.operators.numbering import running_totals
 
 BATCH_FILES = 50
 
 
-def assign_batches(
-    outcomes: DataFrame, batch_files: int = BATCH_FILES, hot_group_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def assign_batches(outcomes: DataFrame, batch_files: int = BATCH_FILES) -> DataFrame:
     """Add ``batch_no`` (from 0) and ``attempted`` (rank in the sync) to (config_hash, path, outcome) rows.
 
     A batch closes at its last success, so the batch of a row follows from the
@@ -22,7 +20,6 @@ def assign_batches(
     numbered = running_totals(
         outcomes, ["config_hash"], ["path"],
         {"_good_before": (F.col("outcome") == OK).cast("int"), "_rows_before": F.lit(1)},
-        hot_group_rows=hot_group_rows,
     )
     return numbered.select(
         *outcomes.columns,

@@ -26,11 +26,11 @@ def attach_content(files: DataFrame, blobs: DataFrame) -> DataFrame:
     Equal files share a blob, so the join key may be hot (empty files, licences).
     """
     stored = needed_blobs(files, blobs).select("blob_sha", "content", "read_error", F.lit(True).alias("found"))
-    joined = lookup_join(files, stored, ["blob_sha"], spread_by=["path"])
+    joined = lookup_join(files, stored, ["blob_sha"])
     return joined.withColumn("found", F.coalesce("found", F.lit(False)))
 
 
-def blob_outcomes(blobs: DataFrame, limit: int | None = tests.MAX_FILE_BYTES) -> DataFrame:
+def blob_outcomes(blobs: DataFrame, limit: int | None = None) -> DataFrame:
     """``blob_sha, outcome, bytes`` of every blob: a scan that emits no content."""
     content = F.col("content")
     return blobs.select(
@@ -40,12 +40,10 @@ def blob_outcomes(blobs: DataFrame, limit: int | None = tests.MAX_FILE_BYTES) ->
     )
 
 
-def read_outcomes(
-    files: DataFrame, blobs: DataFrame, limit: int | None = tests.MAX_FILE_BYTES
-) -> DataFrame:
+def read_outcomes(files: DataFrame, blobs: DataFrame, limit: int | None = None) -> DataFrame:
     """Files with ``outcome, is_transient, bytes``. Only the verdicts on blobs are shuffled, not the blobs."""
     verdicts = blob_outcomes(needed_blobs(files, blobs), limit)
-    judged = lookup_join(files, verdicts, ["blob_sha"], spread_by=["path"])
+    judged = lookup_join(files, verdicts, ["blob_sha"])
     return _with_verdict(judged, F.coalesce("outcome", F.lit(tests.NOT_FOUND)))
 
 
@@ -56,7 +54,7 @@ def _with_verdict(files: DataFrame, outcome: Column) -> DataFrame:
     )
 
 
-def read_texts(files: DataFrame, blobs: DataFrame, limit: int | None = tests.MAX_FILE_BYTES) -> DataFrame:
+def read_texts(files: DataFrame, blobs: DataFrame, limit: int | None = None) -> DataFrame:
     """Files with ``outcome, is_transient, text``; text is null unless the outcome is ok.
 
     For jobs that want the content anyway: it is scanned and shuffled once.

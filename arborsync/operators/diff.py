@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.functions.paths import passes_filter
-from arborsync.operators.numbering import HOT_GROUP_ROWS, number_rows
+from arborsync.operators.numbering import number_rows
 from arborsync.staging import stage
 
 ADDED, MODIFIED, DELETED, RENAMED = "A", "M", "D", "R"
@@ -37,7 +37,7 @@ def compare_snapshots(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def pair_renames(changes: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def pair_renames(changes: DataFrame) -> DataFrame:
     """Pair deleted and added paths of equal content one to one, in path order.
 
     ``changes`` comes from compare_snapshots, staged. The n-th deleted path of a
@@ -48,7 +48,6 @@ def pair_renames(changes: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> Da
     )
     ranked = number_rows(
         moved, ["repo_id", "blob", "status"], ["path"], "rank",
-        cluster=["repo_id", "blob"], hot_group_rows=hot_group_rows,
     )
     path = F.col("path")
     paired = ranked.groupBy("repo_id", "blob", "rank").agg(
@@ -69,9 +68,9 @@ def pair_renames(changes: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> Da
     return edits.unionByName(moves)
 
 
-def changeset(old: DataFrame, new: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def changeset(old: DataFrame, new: DataFrame) -> DataFrame:
     """All changes from ``old`` to ``new``, long form: one row per added, modified, deleted or renamed file."""
-    return pair_renames(stage(compare_snapshots(old, new), "changes"), hot_group_rows)
+    return pair_renames(stage(compare_snapshots(old, new), "changes"))
 
 
 def _sides(

@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.operators.diff import ADDED, DELETED, MODIFIED, RENAMED
-from arborsync.operators.numbering import HOT_GROUP_ROWS, number_rows
-from arborsync.schemas import CHANGESET_JSON
+from arborsync.operators.numbering import number_rows
+from arborsync.schemas import CHANGESET_JSON, FILE_INFO_JSON
 
 PART_CHANGES = 10_000
 
 
-def export_changesets(
-    changes: DataFrame, part_changes: int = PART_CHANGES, hot_group_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def export_changesets(changes: DataFrame, part_changes: int = PART_CHANGES) -> DataFrame:
     """``repo_id, part, changeset`` rows, each a JSON object of four sorted lists.
 
     A repository's change set may exceed one row or one task, so it is cut into
@@ -25,7 +23,7 @@ def export_changesets(
         "repo_id", "status", "old_path", "new_path",
         F.coalesce("new_path", "old_path").alias("path"),
     )
-    numbered = number_rows(keyed, ["repo_id"], ["path", "status"], "n", hot_group_rows=hot_group_rows)
+    numbered = number_rows(keyed, ["repo_id"], ["path", "status"], "n")
     part = F.floor((F.col("n") - 1) / part_changes).cast("bigint")
 
     def paths_of(code: str, side: str):
@@ -46,6 +44,19 @@ def export_changesets(
     )
 
 
+def export_listing(listing: DataFrame) -> DataFrame:
+    """``repo_id, file_info``: each row of a listing (``path, name, size, type``) as a JSON object."""
+    return listing.select("repo_id", F.to_json(F.struct(*[f.name for f in FILE_INFO_JSON])).alias("file_info"))
+
+
+def import_listing(exported: DataFrame) -> DataFrame:
+    """Listing rows back from JSON; a missing size is 0 and a missing type a file."""
+    row = exported.select("repo_id", F.from_json("file_info", FILE_INFO_JSON).alias("f"))
+    return row.select(
+        "repo_id", "f.path", "f.name", F.coalesce("f.size", F.lit(0).cast("bigint")).alias("size"),
+        F.coalesce("f.type", F.lit("file")).alias("type"))
+
+
 def import_changesets(exported: DataFrame) -> DataFrame:
     """The long form back from JSON parts; missing lists count as empty."""
     lists = exported.select("repo_id", F.from_json("changeset", CHANGESET_JSON).alias("c"))

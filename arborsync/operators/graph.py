@@ -36,7 +36,7 @@ def _subtree_sizes(commits: DataFrame, firsts: DataFrame) -> DataFrame:
         active = state.where("back IS NOT NULL")
         ahead = active.groupBy("repo_id", F.col("back").alias("sha")).agg(F.sum("size").alias("more"))
         target = state.select("repo_id", F.col("sha").alias("back"), F.col("back").alias("_next"))
-        stepped = lookup_join(active, target, ["repo_id", "back"], spread_by=["sha"], how="inner")
+        stepped = lookup_join(active, target, ["repo_id", "back"], how="inner")
         moved = stepped.select("repo_id", "sha", F.col("_next").alias("back"), "size")
         state = stage(
             moved.unionByName(state.where("back IS NULL"))
@@ -59,7 +59,7 @@ def _links(commits: DataFrame) -> DataFrame:
     # A parent that was never ingested is none.
     firsts = stage(
         lookup_join(
-            parents.where("first_parent IS NOT NULL"), known, ["repo_id", "first_parent"], ["sha"], "inner"
+            parents.where("first_parent IS NOT NULL"), known, ["repo_id", "first_parent"], "inner"
         ).select("repo_id", "sha", "first_parent"),
         "first-parents",
     )
@@ -126,7 +126,7 @@ def merge_links(commits: DataFrame, index: DataFrame) -> DataFrame:
     placed = links.join(child, ["repo_id", "sha"])
     # A release commit may be the parent of very many branches.
     return (
-        lookup_join(placed, parent, ["repo_id", "parent"], spread_by=["sha"], how="inner")
+        lookup_join(placed, parent, ["repo_id", "parent"], how="inner")
         .where(F.col("chain") != F.col("to_chain"))
         .groupBy("repo_id", "chain", "pos", "to_chain")
         .agg(F.max("to_pos").alias("to_pos"))
@@ -173,7 +173,7 @@ def ancestor_reach(heads: DataFrame, commits: DataFrame, index: DataFrame) -> Da
 def ancestors(heads: DataFrame, commits: DataFrame, index: DataFrame) -> DataFrame:
     """``repo_id, head, sha``: every commit reachable from each head, the head included."""
     reach = ancestor_reach(heads, commits, index)
-    met = lookup_join(index, reach, ["repo_id", "chain"], spread_by=["sha"], how="inner")
+    met = lookup_join(index, reach, ["repo_id", "chain"], how="inner")
     return met.where(F.col("pos") <= F.col("reach")).select("repo_id", "head", "sha")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arborsync.functions.strings import strip
 from arborsync.operators.numbering import number_rows
 from arborsync.operators.skew import lookup_join
 from arborsync.staging import stage
@@ -12,22 +13,28 @@ from arborsync.staging import stage
 HISTORY_DEPTH = 10
 
 
+def first_line(message: Column) -> Column:
+    """The first line of a message, white space around the whole message apart."""
+    return F.substring_index(strip(message), "\n", 1)
+
+
 def touches_with_commit(touches: DataFrame, commits: DataFrame) -> DataFrame:
     """(repo_id, path, sha) touches with time, author and first message line of their commit."""
     told = commits.select(
         "repo_id", "sha", "ts", "author",
-        F.substring_index(F.trim(F.col("message")), "\n", 1).alias("message"),
+        first_line(F.col("message")).alias("message"),
     )
-    return lookup_join(touches.select("repo_id", "path", "sha"), told, ["repo_id", "sha"], ["path"], "inner")
+    return lookup_join(touches.select("repo_id", "path", "sha"), told, ["repo_id", "sha"], "inner")
 
 
 def commit_positions(commits: DataFrame) -> DataFrame:
-    """``repo_id, sha, ts, position``: commits numbered per repository, oldest first, ties by id."""
-    return number_rows(commits.select("repo_id", "sha", "ts"), ["repo_id"], ["ts", "sha"], "position")
+    """``repo_id, sha, ts, author, message, position``: commits numbered per repository, oldest first, ties by id."""
+    told = commits.select("repo_id", "sha", "ts", "author", first_line(F.col("message")).alias("message"))
+    return number_rows(told, ["repo_id"], ["ts", "sha"], "position")
 
 
 def last_commit_per_file(touches: DataFrame, commits: DataFrame) -> DataFrame:
-    """Newest commit touching each (repo_id, path); equal times are told apart by commit id.
+    """Newest commit touching each (repo_id, path), with time, author and first message line; equal times are told apart by commit id.
 
     Commits are few next to touches, so they are numbered first: the aggregate over
     the touches is then a maximum of numbers, hashed and combined before the
@@ -36,12 +43,13 @@ def last_commit_per_file(touches: DataFrame, commits: DataFrame) -> DataFrame:
     places = stage(commit_positions(commits), "positions")
     placed = lookup_join(
         touches.select("repo_id", "path", "sha"), places.select("repo_id", "sha", "position"),
-        ["repo_id", "sha"], ["path"], "inner",
+        ["repo_id", "sha"], "inner",
     )
     newest = placed.groupBy("repo_id", "path").agg(F.max("position").alias("position"))
-    told = lookup_join(newest, places, ["repo_id", "position"], ["path"], "inner")
+    told = lookup_join(newest, places, ["repo_id", "position"], "inner")
     return told.select(
-        "repo_id", "path", F.col("sha").alias("last_commit_sha"), F.col("ts").alias("last_commit_time")
+        "repo_id", "path", F.col("sha").alias("last_commit_sha"), F.col("ts").alias("last_commit_time"),
+        F.col("author").alias("last_commit_author"), F.col("message").alias("last_commit_message"),
     )
 
 
@@ -62,5 +70,5 @@ def changed_since(last_commits: DataFrame, stored: DataFrame) -> DataFrame:
     A repository without a stored time gives all its files.
     """
     marks = stored.select("repo_id", "stored_time")
-    joined = lookup_join(last_commits, marks, ["repo_id"], ["path"], "left")
+    joined = lookup_join(last_commits, marks, ["repo_id"], "left")
     return joined.where(F.col("stored_time").isNull() | (F.col("last_commit_time") > F.col("stored_time")))

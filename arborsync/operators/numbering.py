@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,38 +9,16 @@ from pyspark.sql import functions as F
 
 from arborsync.staging import stage
 
-# A group up to this many (narrow) rows is sorted in one task.
-HOT_GROUP_ROWS = 2_000_000
 
-
-def running_totals(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    measures: dict[str, Column],
-    cluster: Sequence[str] | None = None,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], measures: dict[str, Column]) -> DataFrame:
     """Add, per measure, its sum over the rows of the group strictly before the row.
 
-    ``order`` must be unique within a group and ``group`` free of nulls. ``df`` is
-    read twice, so a costly one should come staged. ``cluster`` names the columns
-    (a subset of ``group``) to spread rows by, where a later step can use that.
-
-    Groups of ordinary size run as one window. If any group is larger, rows are
+    ``order`` must be unique within a group and ``group`` free of nulls. Rows are
     spread by range over (group, order), which cuts big groups into pieces; each
     piece is totalled on its own and shifted by the totals of the pieces before it.
     """
     named = df.select("*", *[m.cast("bigint").alias(f"_m_{n}") for n, m in measures.items()])
-    sizes = df.groupBy(*group).count()
-    largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
-    if (largest or 0) <= hot_group_rows:
-        if cluster:
-            named = named.repartition(*cluster)
-        return _totals_before(named, group, order, measures)
-
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = max(math.ceil(total / hot_group_rows), slots)
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The piece number is a fact of this one shuffle, so it is written down
     # before anything is computed from it.
     ranged = stage(
@@ -70,38 +47,7 @@ def _totals_before(
     return df.select("*", *[c.alias(n) for n, c in sums.items()]).drop(*[f"_m_{n}" for n in measures])
 
 
-def number_rows(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    cluster: Sequence[str] | None = None,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """row_number() from 1 within each group, safe for hot groups."""
-    counted = running_totals(df, group, order, {name: F.lit(1)}, cluster, hot_group_rows)
+    counted = running_totals(df, group, order, {name: F.lit(1)})
     return counted.withColumn(name, F.col(name) + 1)
-
-
-def first_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], limit: int, spread_by: Sequence[str]
-) -> DataFrame:
-    """The first ``limit`` rows of each group.
-
-    Two steps: groups are cut by a hash of ``spread_by`` and each cut keeps its own
-    first rows, so the final sort of a group sees at most cuts x limit rows.
-    """
-    cuts = 64
-    cut = F.pmod(F.xxhash64(*spread_by), F.lit(cuts))
-    in_cut = Window.partitionBy(*group, "_cut").orderBy(*order)
-    in_group = Window.partitionBy(*group).orderBy(*order)
-    kept = (
-        df.withColumn("_cut", cut)
-        .withColumn("_n", F.row_number().over(in_cut))
-        .where(F.col("_n") <= limit)
-    )
-    return (
-        kept.withColumn("_n", F.row_number().over(in_group))
-        .where(F.col("_n") <= limit)
-        .drop("_cut", "_n")
-    )

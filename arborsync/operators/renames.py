@@ -1,9 +1,9 @@
 """Renames with edits: unpaired deleted and added files of similar text.
 
-Files are sketched by minhash bands. Within a band bucket the n-th deleted file
-meets the n-th added one, so the number of candidates is linear in the files even
-if one bucket holds most of them. Candidates are scored on whole texts, mutual
-best matches are taken, and the rest goes round again until a round finds nothing.
+A text is the set of its runs of three words. A repository's runs are ordered from rare to
+common, and each file is known by its first ones in that order: so many that two files over the
+threshold must share one of them. No pair is lost, and headers that many files share hardly ever
+make a candidate. Candidates are scored on whole texts and matched one to one, best pairs first.
 """
 
 from __future__ import annotations
@@ -14,17 +14,11 @@ from pyspark.sql import functions as F
 from arborsync.functions.content import is_binary, is_utf8
 from arborsync.operators.content import needed_blobs
 from arborsync.operators.diff import ADDED, DELETED, RENAMED
-from arborsync.operators.numbering import HOT_GROUP_ROWS, number_rows
-from arborsync.operators.skew import lookup_join
 from arborsync.staging import stage
 
 # Fixed value: the share of common text from which on two files count as one renamed.
 MIN_SIMILARITY = 0.5
 SHINGLE_WORDS = 3
-# Rows per minhash band: strict bands find near copies, single rows find halves.
-BAND_ROWS = (4, 4, 2, 2, 2, 2, 1, 1, 1, 1, 1, 1, 1, 1)
-
-
 def shingles(words: Column) -> Column:
     """Distinct hashes of the runs of three words. ``words`` must be a stored column: it is read per run."""
     starts = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0)))
@@ -32,96 +26,89 @@ def shingles(words: Column) -> Column:
     return F.array_distinct(runs)
 
 
-def _minimum(grams: Column, seed: int) -> Column:
-    return F.array_min(F.transform(grams, lambda g: F.xxhash64(g, F.lit(seed))))
-
-
-def band_keys(grams: Column) -> Column:
-    """One hash per band, of the minima of its rows."""
-    seeds = iter(range(sum(BAND_ROWS)))
-    return F.array(*[F.xxhash64(*[_minimum(grams, next(seeds)) for _ in range(rows)]) for rows in BAND_ROWS])
-
-
-def blob_sketches(blobs: DataFrame) -> DataFrame:
-    """``blob_sha, grams, n, bands`` of text blobs."""
+def blob_grams(blobs: DataFrame) -> DataFrame:
+    """``blob_sha, grams, n`` of text blobs."""
     content = F.col("content")
     texts = blobs.where(content.isNotNull() & ~is_binary(content) & is_utf8(content))
     words = texts.select("blob_sha", F.split(content.cast("string"), r"\s+").alias("words"))
     grams = words.select("blob_sha", shingles(F.col("words")).alias("grams"))
-    return grams.select("blob_sha", "grams", F.size("grams").alias("n"), band_keys(F.col("grams")).alias("bands"))
+    return grams.select("blob_sha", "grams", F.size("grams").alias("n"))
 
 
-def _candidates(files: DataFrame, hot_group_rows: int) -> DataFrame:
-    """Distinct pairs met in some band: ``repo_id, old_path, old_blob, new_path, new_blob``."""
-    keyed = files.select(
-        "repo_id", "status", "path", "blob_sha", "n", F.posexplode("bands").alias("band", "bucket")
-    )
-    ranked = number_rows(
-        keyed, ["repo_id", "band", "bucket", "status"], ["n", "path"], "rank",
-        cluster=["repo_id", "band", "bucket"], hot_group_rows=hot_group_rows,
+def _candidates(sides: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """``repo_id, old_blob, new_blob``: all pairs that can reach ``threshold``, and some that do not.
+
+    ``sides``: ``repo_id, status, blob_sha``. Two sets share at least threshold * n runs if they reach
+    the threshold, n being the larger size; so they share one of the first n - threshold * n + 1 of
+    each, in any order common to both.
+    """
+    per_blob = sides.select("repo_id", "blob_sha").distinct().join(grams, "blob_sha")
+    runs = per_blob.select("repo_id", "blob_sha", "n", F.explode("grams").alias("gram"))
+    common = runs.groupBy("repo_id", "gram").agg(F.count("*").alias("held_by"))
+    rare_first = Window.partitionBy("repo_id", "blob_sha").orderBy("held_by", "gram")
+    first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1
+    known_by = (
+        runs.join(common, ["repo_id", "gram"])
+        .withColumn("_place", F.row_number().over(rare_first))
+        .where((F.col("_place") <= first) & (F.col("held_by") > 1))
+        .select("repo_id", "blob_sha", "n", "gram")
     )
+    index = stage(known_by, "rename-index")
 
-    def side(code: str, column: str) -> Column:
-        return F.max(F.when(F.col("status") == code, F.col(column)))
+    def side(code: str, name: str) -> DataFrame:
+        own = sides.where(F.col("status") == code).select("repo_id", "blob_sha").distinct()
+        return index.join(own, ["repo_id", "blob_sha"]).select(
+            "repo_id", "gram", F.col("blob_sha").alias(f"{name}_blob"), F.col("n").alias(f"{name}_n"))
 
-    met = ranked.groupBy("repo_id", "band", "bucket", "rank").agg(
-        side(DELETED, "path").alias("old_path"), side(DELETED, "blob_sha").alias("old_blob"),
-        side(ADDED, "path").alias("new_path"), side(ADDED, "blob_sha").alias("new_blob"),
-    )
-    pairs = met.where("old_path IS NOT NULL AND new_path IS NOT NULL")
-    return pairs.select("repo_id", "old_path", "old_blob", "new_path", "new_blob").distinct()
-
-
-def _scored(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs with their ``similarity``; each pair of blobs is compared once."""
-    blob_pairs = pairs.select("old_blob", "new_blob").distinct()
-    old = sketches.select(F.col("blob_sha").alias("old_blob"), F.col("grams").alias("old_grams"))
-    new = sketches.select(F.col("blob_sha").alias("new_blob"), F.col("grams").alias("new_grams"))
-    common = F.size(F.array_intersect("old_grams", "new_grams"))
-    similarity = common / F.greatest(F.size("old_grams"), F.size("new_grams"))
-    scores = blob_pairs.join(old, "old_blob").join(new, "new_blob").select(
-        "old_blob", "new_blob", similarity.alias("similarity")
-    )
-    return pairs.join(scores, ["old_blob", "new_blob"])
+    met = side(DELETED, "old").join(side(ADDED, "new"), ["repo_id", "gram"])
+    fitting = met.where(F.least("old_n", "new_n") >= F.lit(threshold) * F.greatest("old_n", "new_n"))
+    return fitting.select("repo_id", "old_blob", "new_blob").distinct()
+
+
+def _scored(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that reach the threshold, with their ``similarity``."""
+    old = grams.select(F.col("blob_sha").alias("old_blob"), F.col("grams").alias("old_grams"))
+    new = grams.select(F.col("blob_sha").alias("new_blob"), F.col("grams").alias("new_grams"))
+    shared = F.size(F.array_intersect("old_grams", "new_grams"))
+    similarity = shared / F.greatest(F.size("old_grams"), F.size("new_grams"))
+    scores = pairs.join(old, "old_blob").join(new, "new_blob").select(
+        "repo_id", "old_blob", "new_blob", similarity.alias("similarity"))
+    return scores.where(F.col("similarity") >= threshold)
 
 
-def similar_renames(
-    changes: DataFrame,
-    blobs: DataFrame,
-    threshold: float = MIN_SIMILARITY,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def similar_renames(changes: DataFrame, blobs: DataFrame, threshold: float = MIN_SIMILARITY) -> DataFrame:
     """``repo_id, old_path, new_path, old_blob, new_blob, similarity``, one to one.
 
-    ``changes`` is a paired change set; only its deleted and added rows take part.
+    ``changes`` is a paired change set; only its deleted and added rows take part. A pair is taken
+    if it is the best of both its files, and so on with the files left. Equal scores go by a hash of
+    the two paths, which keeps the rounds few where many files are alike.
     """
     loose = changes.where(F.col("status").isin(DELETED, ADDED)).select(
         "repo_id", "status", F.coalesce("old_path", "new_path").alias("path"),
         F.coalesce("old_blob", "new_blob").alias("blob_sha"),
     )
     loose = stage(loose, "loose")
-    sketches = stage(blob_sketches(needed_blobs(loose, blobs)), "sketches")
-    slim = sketches.select("blob_sha", "n", "bands")
-    left = stage(lookup_join(loose, slim, ["blob_sha"], ["path"], "inner"), "unmatched")
+    grams = stage(blob_grams(needed_blobs(loose, blobs)), "grams")
+    scores = _scored(_candidates(loose.select("repo_id", "status", "blob_sha"), grams, threshold), grams, threshold)
+    old = loose.where(F.col("status") == DELETED).select("repo_id", F.col("path").alias("old_path"), F.col("blob_sha").alias("old_blob"))
+    new = loose.where(F.col("status") == ADDED).select("repo_id", F.col("path").alias("new_path"), F.col("blob_sha").alias("new_blob"))
+    left = stage(scores.join(old, ["repo_id", "old_blob"]).join(new, ["repo_id", "new_blob"]).select(
+        "repo_id", "old_path", "new_path", "old_blob", "new_blob", "similarity"), "similar-pairs")
+    lot = F.md5(F.concat_ws("\x1f", "old_path", "new_path"))
+    place = F.struct(-F.col("similarity"), lot, "old_path", "new_path")
     found = None
     while True:
-        scored = _scored(_candidates(left, hot_group_rows), sketches).where(F.col("similarity") >= threshold)
-        # A file has at most one candidate per band, so these windows are small.
-        best = (F.col("similarity").desc(), "old_path", "new_path")
-        ranked = scored.withColumn(
-            "_old", F.row_number().over(Window.partitionBy("repo_id", "old_path").orderBy(*best))
-        ).withColumn("_new", F.row_number().over(Window.partitionBy("repo_id", "new_path").orderBy(*best)))
-        taken = ranked.where("_old = 1 AND _new = 1").select(
-            "repo_id", "old_path", "new_path", "old_blob", "new_blob", "similarity"
-        )
-        matched = stage(taken, "matched")
+        best_old = left.groupBy("repo_id", "old_path").agg(F.min(place).alias("_best_old"))
+        best_new = left.groupBy("repo_id", "new_path").agg(F.min(place).alias("_best_new"))
+        ranked = left.join(best_old, ["repo_id", "old_path"]).join(best_new, ["repo_id", "new_path"])
+        matched = stage(
+            ranked.where((place == F.col("_best_old")) & (place == F.col("_best_new"))).select(*left.columns), "matched")
         found = matched if found is None else found.unionByName(matched)
         if matched.isEmpty():
             return found
-        used = matched.select("repo_id", F.lit(DELETED).alias("status"), F.col("old_path").alias("path")).unionByName(
-            matched.select("repo_id", F.lit(ADDED).alias("status"), F.col("new_path").alias("path"))
-        )
-        left = stage(left.join(used, ["repo_id", "status", "path"], "left_anti"), "unmatched")
+        left = stage(
+            left.join(matched.select("repo_id", "old_path"), ["repo_id", "old_path"], "left_anti")
+            .join(matched.select("repo_id", "new_path"), ["repo_id", "new_path"], "left_anti"), "similar-pairs")
 
 
 def merge_similar(changes: DataFrame, renames: DataFrame) -> DataFrame:

@@ -1,57 +1,17 @@
-"""Lookup joins (many rows to few) that split hot keys."""
+"""Lookup joins: many rows to a table with few rows per key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Below this input size a plain join is left to the planner and AQE.
-SPLIT_FROM_BYTES = 1 << 30
-# A key is hot from this share of the rows on; so there are at most 1/share of them.
-HOT_SHARE = 0.002
-SALTS = 64
 
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables below ``df``, as the planner knows it; costs no optimizer run."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str]:
-    """All keys holding at least ``share`` of the rows, and perhaps a few more; bounded by 1/share.
-
-    One map-side pass that keeps a bounded table of counters.
-    """
-    found = df.stat.freqItems([key], share).first()[0]
-    return [k for k in found if k is not None]
-
-
-def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "left",
-    split_from_bytes: int = SPLIT_FROM_BYTES,
-) -> DataFrame:
+def lookup_join(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``rows`` to a ``table`` with few rows per key (``how``: left or inner).
 
-    Where one key may hold a large share of ``rows``, the rows of hot keys are
-    spread over salts by a hash of ``spread_by`` and only the hot rows of
-    ``table`` are repeated per salt. All other rows join unsalted.
+    One key may hold a large share of ``rows``. The join is left to adaptive execution,
+    which measures the shuffled partitions and reads an oversized one of ``rows`` in
+    slices, each with the matching rows of ``table``; session.JOB_CONF switches that on.
     """
-    if input_bytes(rows) < split_from_bytes:
-        return rows.join(table, list(on), how)
-    joint = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in on])
-    hot = hot_keys(rows.select(joint.alias("_joint")), "_joint")
-    if not hot:
-        return rows.join(table, list(on), how)
-    is_hot = joint.isin(hot)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(SALTS))).otherwise(F.lit(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_rows = rows.withColumn("_salt", salt.cast("int"))
-    salted_table = table.withColumn("_salt", F.explode(copies))
-    return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")
+    return rows.join(table, list(on), how)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborsync.functions import content, paths
@@ -35,7 +35,8 @@ def list_files(
 ) -> DataFrame:
     """Listing rows ``repo_id, path, name, size, type`` that pass all filters.
 
-    Only metadata is read. ``max_files`` keeps the first files in path order.
+    Only metadata is read. ``max_files`` keeps the first files of each repository in path order;
+    such a filter on row_number() cuts rows before the shuffle.
     """
     path = F.col("path")
     kept = files_only(tree).where(
@@ -46,7 +47,10 @@ def list_files(
     listing = kept.select(
         "repo_id", "path", paths.file_name(path).alias("name"), "size", F.lit("file").alias("type")
     )
-    return listing.orderBy("path", "repo_id").limit(max_files) if max_files else listing
+    if not max_files:
+        return listing
+    in_order = Window.partitionBy("repo_id").orderBy("path")
+    return listing.withColumn("_n", F.row_number().over(in_order)).where(F.col("_n") <= max_files).drop("_n")
 
 
 def subtree(tree: DataFrame, subdir: str) -> DataFrame:
@@ -63,7 +67,7 @@ def lookup_files(wanted: DataFrame, tree: DataFrame) -> DataFrame:
     )
 
 
-def with_skip_reason(tree: DataFrame, limit: int | None = content.MAX_FILE_BYTES) -> DataFrame:
+def with_skip_reason(tree: DataFrame, limit: int | None = None) -> DataFrame:
     return tree.withColumn(
         "skip_reason", content.skip_reason(F.col("path"), F.col("size"), F.col("mode"), limit)
     )
@@ -88,7 +92,7 @@ def flatten_trees(entries: DataFrame, roots: DataFrame) -> DataFrame:
     )
     reached = level
     while True:
-        met = lookup_join(folders, level, ["folder_id"], spread_by=["name"], how="inner")
+        met = lookup_join(folders, level, ["folder_id"], how="inner")
         below = met.select(
             "repo_id",
             F.col("child_id").alias("folder_id"),
@@ -100,7 +104,7 @@ def flatten_trees(entries: DataFrame, roots: DataFrame) -> DataFrame:
         reached = reached.unionByName(level)
     files = entries.where("kind = 'blob'").withColumnRenamed("parent_id", "folder_id")
     # One folder can hold very many files: those rows are split where needed.
-    placed = lookup_join(files, reached, ["folder_id"], spread_by=["name"], how="inner")
+    placed = lookup_join(files, reached, ["folder_id"], how="inner")
     return placed.select(
         "repo_id", F.concat("prefix", "name").alias("path"), F.col("child_id").alias("blob_sha"), "size"
     )

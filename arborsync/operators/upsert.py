@@ -8,12 +8,25 @@ from pyspark.sql import functions as F
 KEY = "source_url"
 
 
-def apply_upsert(documents: DataFrame, upserts: DataFrame, deletes: DataFrame | None = None) -> DataFrame:
+def _one_per_key(rows: DataFrame, version: str) -> DataFrame:
+    """The greatest row of each key, by ``version`` first where there is such a column."""
+    columns = rows.columns
+    first = [version] if version in columns else []
+    order = first + [c for c in columns if c not in (KEY, *first)]
+    best = rows.groupBy(KEY).agg(F.max(F.struct(*order)).alias("_best"))
+    return best.select(*[F.col(c) if c == KEY else F.col(f"_best.`{c}`") for c in columns])
+
+
+def apply_upsert(
+    documents: DataFrame, upserts: DataFrame, deletes: DataFrame | None = None, version: str = "sync_id"
+) -> DataFrame:
     """The table after one sync: an upsert replaces its key, a delete removes it unless upserted too.
 
-    Only the keys of the change meet the table; a small change set is broadcast by
-    the planner and the documents are then not shuffled at all.
+    A key upserted several times ends as one row: the greatest by ``version`` if ``upserts`` has that
+    column, and by the other columns among equals. Only the keys of the change meet the table; a
+    small change set is broadcast by the planner and the documents are then not shuffled at all.
     """
+    upserts = _one_per_key(upserts, version)
     touched = upserts.select(KEY)
     if deletes is not None:
         touched = touched.union(deletes.select(KEY))
@@ -22,6 +35,5 @@ def apply_upsert(documents: DataFrame, upserts: DataFrame, deletes: DataFrame |
 
 
 def latest_versions(documents: DataFrame, version: str = "sync_id") -> DataFrame:
-    """One row per key, the newest version: makes a replayed append harmless."""
-    newest = documents.groupBy(KEY).agg(F.max(version).alias(version))
-    return documents.join(newest, [KEY, version], "left_semi").dropDuplicates([KEY])
+    """One row per key, the newest version and among equals the greatest row: makes a replayed append harmless."""
+    return _one_per_key(documents, version)

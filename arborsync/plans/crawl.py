@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,10 @@ from arborsync.operators.refs import resolve_refs
 from arborsync.operators.skew import lookup_join
 from arborsync.operators.snapshot import files_only
 from arborsync.plans import state as sync_state
+from arborsync.plans.metrics import sync_metrics
 from arborsync.plans.sync_plan import FULL, INCREMENTAL, plan_syncs
+from arborsync.schemas import ATTEMPTS, DELETES
+from arborsync.sources.tables import read_or_empty
 from arborsync.staging import stage
 
 
@@ -24,8 +28,8 @@ from arborsync.staging import stage
 class Repository:
     """The input tables of a crawl.
 
-    ``known`` (``config_hash, path``): the documents held before; with it a full
-    sync also reports those that are gone.
+    ``attempts`` (``config_hash, sync_id, path, outcome``) and ``deletes`` (``config_hash, sync_id,
+    path``) are what earlier syncs wrote; from them a full sync tells which documents are gone.
     """
 
     sources: DataFrame
@@ -35,7 +39,8 @@ class Repository:
     blobs: DataFrame
     sync_state: DataFrame
     failed_paths: DataFrame
-    known: DataFrame | None = None
+    attempts: DataFrame | None = None
+    deletes: DataFrame | None = None
 
 
 def with_config(sources: DataFrame) -> DataFrame:
@@ -50,7 +55,19 @@ def plan(repo: Repository) -> DataFrame:
     """One row per source with its mode; staged, since every later step reads it."""
     sources = resolve_refs(with_config(repo.sources), repo.refs)
     stored = sync_state.load_state(sources, repo.sync_state, repo.failed_paths)
-    return stage(plan_syncs(sources, stored, repo.commits), "plan")
+    snapshots = repo.tree.select("repo_id", "commit_sha")
+    return stage(plan_syncs(sources, stored, repo.commits, snapshots=snapshots), "plan")
+
+
+def held_documents(attempts: DataFrame, deletes: DataFrame) -> DataFrame:
+    """``config_hash, path`` of the documents that earlier syncs left: read, and not deleted since.
+
+    A path deleted and read in one sync was replaced and is still held.
+    """
+    kept = attempts.where(F.col("outcome") == OK).groupBy("config_hash", "path").agg(F.max("sync_id").alias("_kept"))
+    gone = deletes.groupBy("config_hash", "path").agg(F.max("sync_id").alias("_gone"))
+    joined = kept.join(gone, ["config_hash", "path"], "left")
+    return joined.where(F.col("_gone").isNull() | (F.col("_kept") >= F.col("_gone"))).select("config_hash", "path")
 
 
 def eligible(tree: DataFrame) -> DataFrame:
@@ -71,7 +88,7 @@ def full_paths(tree: DataFrame, sources: DataFrame) -> DataFrame:
     filters = sources.select(
         "config_hash", "repo_id", F.col("head_sha").alias("commit_sha"), "subdir", "extension_list"
     )
-    joined = lookup_join(tree, filters, ["repo_id", "commit_sha"], spread_by=["path"], how="inner")
+    joined = lookup_join(tree, filters, ["repo_id", "commit_sha"], how="inner")
     return joined.where(passes()).select("config_hash", "path", "blob_sha", F.lit("add").alias("action"))
 
 
@@ -87,13 +104,13 @@ def source_changes(tree: DataFrame, sources: DataFrame) -> DataFrame:
 
     def side(sha: str) -> DataFrame:
         at = distinct_spans.select("span", "repo_id", F.col(sha).alias("commit_sha"))
-        rows = lookup_join(tree, at, ["repo_id", "commit_sha"], spread_by=["path"], how="inner")
+        rows = lookup_join(tree, at, ["repo_id", "commit_sha"], how="inner")
         return rows.select(F.col("span").alias("repo_id"), "path", "blob_sha", "mode")
 
     changes = changeset(side("last_sha"), side("head_sha")).withColumnRenamed("repo_id", "span")
     filters = spans.select("span", "config_hash", "subdir", "extension_list")
     seen = lookup_join(
-        changes, filters, ["span"], spread_by=["old_path", "new_path"], how="inner"
+        changes, filters, ["span"], how="inner"
     )
     return filter_changes(seen, F.col("subdir"), F.col("extension_list")).select(
         "config_hash", "status", "old_path", "new_path", "new_blob"
@@ -140,17 +157,21 @@ def work_set(repo: Repository, planned: DataFrame) -> tuple[DataFrame, DataFrame
     deletes = changes.where(F.col("status").isin(DELETED, RENAMED)).select(
         "config_hash", F.col("old_path").alias("path")
     )
-    if repo.known is not None:
-        held = repo.known.select("config_hash", "path").join(full.select("config_hash"), "config_hash", "left_semi")
-        deletes = deletes.unionByName(held.join(listed, ["config_hash", "path"], "left_anti"))
-    return work, deletes
+    if repo.attempts is not None:
+        deleted = repo.deletes if repo.deletes is not None else repo.attempts.where("false")
+        held = held_documents(repo.attempts, deleted)
+        # Each document meets its own source's mode; a source without a full sync has none here.
+        stale = held.join(listed, ["config_hash", "path"], "left_anti")
+        deletes = deletes.unionByName(lookup_join(stale, full.select("config_hash"), ["config_hash"], "inner"))
+    # Read by several joins and jobs below, and narrow.
+    return stage(work, "work-set"), deletes
 
 
 def _describe(files: DataFrame, planned: DataFrame) -> DataFrame:
     """Document columns for files with a text."""
     origin = planned.select("config_hash", "repo_url", keys.branch_or_default(F.col("branch")).alias("branch"))
     title = paths.normalize_path(F.col("path"))
-    described = lookup_join(files, origin, ["config_hash"], spread_by=["path"], how="inner")
+    described = lookup_join(files, origin, ["config_hash"], how="inner")
     return described.select(
         "config_hash", "path", "outcome", "is_transient", "action",
         title.alias("title"),
@@ -195,21 +216,32 @@ def crawl_outcomes(repo: Repository) -> CrawlResult:
 def run_crawl(repo: Repository, output: str, sync_id: int) -> CrawlResult:
     """Write one sync below ``output``: documents and deletes first, the state last.
 
-    The attempts are written once, content included; batches and the failed list
-    then read only its narrow columns. A rerun of the same ``sync_id`` overwrites
-    its own folders, so a sync that died before the state row is simply repeated.
+    The documents held before come from what earlier syncs wrote there, unless ``repo`` brings them.
+    The attempts are written once, content included; batches, metrics and the failed list then read
+    only its narrow columns. A rerun of the same ``sync_id`` overwrites its own folders, so a sync
+    that died before the state row is simply repeated.
     """
-    result = crawl(repo)
+    started = datetime.now(timezone.utc)
     spark = repo.sources.sparkSession
+    if repo.attempts is None:
+        earlier = F.col("sync_id") < sync_id
+        repo = replace(
+            repo, attempts=read_or_empty(spark, f"{output}/attempts", ATTEMPTS).where(earlier),
+            deletes=read_or_empty(spark, f"{output}/deletes", DELETES).where(earlier),
+        )
+    result = crawl(repo)
     attempts_path = f"{output}/attempts/sync_id={sync_id}"
-    result.attempts.write.mode("overwrite").partitionBy("config_hash").parquet(attempts_path)
+    result.attempts.write.mode("overwrite").parquet(attempts_path)
     schema = result.attempts.schema
     written = spark.read.schema(schema).parquet(attempts_path)
-    saved = CrawlResult(result.plan, written, result.deletes)
-    saved.deletes.write.mode("overwrite").parquet(f"{output}/deletes/sync_id={sync_id}")
+    deletes_path = f"{output}/deletes/sync_id={sync_id}"
+    result.deletes.write.mode("overwrite").parquet(deletes_path)
+    saved = CrawlResult(result.plan, written, spark.read.schema(result.deletes.schema).parquet(deletes_path))
     saved.batches().write.mode("overwrite").parquet(f"{output}/batches/sync_id={sync_id}")
     failed = sync_state.next_failed(written, sync_id)
     failed.drop("sync_id").write.mode("overwrite").parquet(f"{output}/failed_paths/sync_id={sync_id}")
+    counted = sync_metrics(saved.plan, written, saved.deletes, started, datetime.now(timezone.utc))
+    counted.write.mode("overwrite").parquet(f"{output}/metrics/sync_id={sync_id}")
     state = sync_state.next_state(result.plan, sync_id)
     state.drop("sync_id").write.mode("overwrite").parquet(f"{output}/sync_state/sync_id={sync_id}")
     return saved

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborsync.operators.numbering import first_per_group
-
-# Fixed value: failed paths kept per source.
-MAX_FAILED_PATHS = 10_000
-
 
 def last_syncs(sync_state: DataFrame) -> DataFrame:
     """``config_hash, last_sha, last_sync_id`` of each configuration's newest sync."""
@@ -52,11 +47,11 @@ def next_state(plan: DataFrame, sync_id: int) -> DataFrame:
     )
 
 
-def next_failed(attempts: DataFrame, sync_id: int, limit: int = MAX_FAILED_PATHS) -> DataFrame:
-    """The failed list of one sync: transient failures, the first ``limit`` per source in path order."""
-    failed = attempts.where("is_transient").select("config_hash", "path", F.col("outcome").alias("reason"))
-    kept = first_per_group(failed, ["config_hash"], ["path"], limit, spread_by=["path"])
-    return kept.select("config_hash", F.lit(sync_id).cast("bigint").alias("sync_id"), "path", "reason")
+def next_failed(attempts: DataFrame, sync_id: int) -> DataFrame:
+    """The failed list of one sync: every transient failure, so that none is lost when the head moves on."""
+    return attempts.where("is_transient").select(
+        "config_hash", F.lit(sync_id).cast("bigint").alias("sync_id"), "path", F.col("outcome").alias("reason")
+    )
 
 
 def retry_queue(failed: DataFrame, sources: DataFrame, passes: Column) -> DataFrame:

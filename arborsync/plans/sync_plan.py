@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from arborsync.operators.graph import compare_commits
 from arborsync.staging import stage
 
-# Fixed value: more commits than this between two syncs make the next one full.
-MAX_INCREMENTAL_COMMITS = 1000
-
 FULL, INCREMENTAL, NOOP = "full", "incremental", "noop"
 
 
@@ -19,14 +16,17 @@ def plan_syncs(
     state: DataFrame,
     commits: DataFrame,
     index: DataFrame | None = None,
-    max_commits: int = MAX_INCREMENTAL_COMMITS,
+    snapshots: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``last_sha, n_failed, distance, mode, reason`` to sources with ``config_hash, repo_id, head_sha``.
 
     ``state``: ``config_hash, last_sha, n_failed`` (see load_state). A changed
     configuration has a new hash, so no state, so a full sync. Only sources whose
     head moved are looked up in the commit graph. A distance that cannot be told
-    means a full sync.
+    means a full sync, and so does an old snapshot that is not among ``snapshots``
+    (``repo_id, commit_sha``, any number of rows each) where these are given. How far
+    apart two commits are is told, but a comparison of snapshots costs the same at any
+    distance, so it does not choose the mode.
     """
     known = sources.join(state, "config_hash", "left").withColumn(
         "n_failed", F.coalesce("n_failed", F.lit(0).cast("bigint"))
@@ -42,6 +42,13 @@ def plan_syncs(
         "repo_id", F.col("old_sha").alias("last_sha"), F.col("new_sha").alias("head_sha"),
         "is_reachable", F.col("distance").alias("_apart"),
     )
+    kept = F.lit(True)
+    if snapshots is not None:
+        asked = moved.select("repo_id", F.col("old_sha").alias("commit_sha"))
+        found = snapshots.join(asked, ["repo_id", "commit_sha"], "left_semi").distinct()
+        compared = compared.join(
+            found.select("repo_id", F.col("commit_sha").alias("last_sha"), F.lit(True).alias("_kept")), ["repo_id", "last_sha"], "left")
+        kept = F.coalesce("_kept", F.lit(False))
     same = F.col("last_sha") == F.col("head_sha")
     distance = F.when(same, F.lit(0).cast("bigint")).otherwise(F.col("_apart"))
     reason = (
@@ -51,7 +58,7 @@ def plan_syncs(
         .when(same, "retry_only")
         .when(~F.coalesce("is_reachable", F.lit(False)), "history_rewritten")
         .when(F.col("distance").isNull(), "distance_unknown")
-        .when(F.col("distance") > max_commits, "too_many_commits")
+        .when(~kept, "snapshot_missing")
         .otherwise("changes")
     )
     mode = (
@@ -64,5 +71,5 @@ def plan_syncs(
         .withColumn("distance", distance)
         .withColumn("reason", reason)
         .withColumn("mode", mode)
-        .drop("_apart", "is_reachable")
+        .drop("_apart", "is_reachable", "_kept")
     )

@@ -39,10 +39,16 @@ DOCUMENTS_OUT = _table(
     ("source_url", STRING), ("description", STRING),
 )
 SYNC_STATE = _table(("config_hash", STRING), ("sync_id", LONG), ("head_sha", STRING))
+# What later syncs read of the attempts and deletes of earlier ones.
+ATTEMPTS = _table(("config_hash", STRING), ("sync_id", LONG), ("path", STRING), ("outcome", STRING))
+DELETES = _table(("config_hash", STRING), ("sync_id", LONG), ("path", STRING))
 FAILED_PATHS = _table(
     ("config_hash", STRING), ("sync_id", LONG), ("path", STRING), ("reason", STRING),
 )
 
+# An exported row of a listing.
+FILE_INFO_JSON = _table(("path", STRING), ("name", STRING), ("size", LONG), ("type", STRING))
+
 # The exported change set: four lists, a rename being an [old, new] pair.
 CHANGESET_JSON = StructType(
     [

@@ -14,12 +14,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Lookup joins rely on it for hot keys, at the price of a further shuffle where one is needed.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Rows of the content scan may hold megabytes each.
     "spark.sql.parquet.columnarReaderBatchSize": "512",
-    # Lets the 10,000-row failed lists be cut before the shuffle.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.ui.enabled": "false",
 }
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborsync.functions.content import MAX_FILE_BYTES, SYMLINK_MODE
+from arborsync.functions.content import SYMLINK_MODE, TOO_LARGE, is_too_large
 from arborsync.staging import stage
 
 # A chunk of rows or bytes handed to Arrow at a time.
@@ -23,7 +23,10 @@ CHUNK_ROWS = 10_000
 CHUNK_BYTES = 32 * 1024 * 1024
 SKIPPED_FOLDER = ".git"
 
-ENTRY_COLUMNS = "path string, is_folder boolean, mode string, size bigint"
+# The mode of a folder that could not be listed: it stands in the tree with its read error.
+UNREADABLE_MODE = "040000"
+
+ENTRY_COLUMNS = "path string, is_folder boolean, mode string, size bigint, read_error string"
 CONTENT_COLUMNS = "path string, mode string, size bigint, content binary, read_error string"
 
 
@@ -33,7 +36,8 @@ def _list_folders(root: str):
     def entries(folder: str) -> Iterator[tuple]:
         try:
             listing = os.scandir(os.path.join(root, folder))
-        except OSError:
+        except OSError as problem:
+            yield folder or ".", False, UNREADABLE_MODE, 0, str(problem)
             return
         with listing:
             for item in listing:
@@ -41,14 +45,14 @@ def _list_folders(root: str):
                 status = item.stat(follow_symlinks=False)
                 if item.is_dir(follow_symlinks=False):
                     if item.name != SKIPPED_FOLDER:
-                        yield path, True, "040000", 0
+                        yield path, True, "040000", 0, None
                 elif item.is_symlink():
-                    yield path, False, SYMLINK_MODE, status.st_size
+                    yield path, False, SYMLINK_MODE, status.st_size, None
                 elif stat.S_ISREG(status.st_mode):
-                    yield path, False, "100755" if status.st_mode & 0o100 else "100644", status.st_size
+                    yield path, False, "100755" if status.st_mode & 0o100 else "100644", status.st_size, None
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["path", "is_folder", "mode", "size"]
+        columns = ["path", "is_folder", "mode", "size", "read_error"]
         rows: list[tuple] = []
         for batch in batches:
             for folder in batch["path"]:
@@ -63,13 +67,16 @@ def _list_folders(root: str):
 
 
 def list_directory(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
-    """``path, mode, size`` of every file below ``root``, a folder all executors see."""
+    """``path, mode, size, read_error`` of every file below ``root``, a folder all executors see.
+
+    A folder that cannot be listed is a row with its error, so that its files are not taken for deleted.
+    """
     tasks = tasks or spark.sparkContext.defaultParallelism
     level = spark.createDataFrame([("",)], "path string")
     files = None
     while True:
         entries = stage(level.repartition(tasks).mapInPandas(_list_folders(root), ENTRY_COLUMNS), "listing")
-        found = entries.where("NOT is_folder").select("path", "mode", "size")
+        found = entries.where("NOT is_folder").select("path", "mode", "size", "read_error")
         files = found if files is None else files.unionByName(found)
         level = entries.where("is_folder").select("path")
         if level.isEmpty():
@@ -99,23 +106,25 @@ def _read_files(root: str):
     return read
 
 
-def read_directory(files: DataFrame, root: str, limit: int = MAX_FILE_BYTES) -> DataFrame:
+def read_directory(files: DataFrame, root: str, limit: int | None = None) -> DataFrame:
     """``path, mode, size, content, read_error``; a failed read is a row, not a failed job.
 
-    Links are not followed and files over the limit not opened: they keep a null
-    content and no error.
+    Links are not followed and, with a limit, files over it not opened: they keep a null content;
+    the error of a file over the limit is ``too_large``.
     """
-    readable = (F.col("mode") != SYMLINK_MODE) & (F.col("size") <= limit)
-    opened = files.where(readable).mapInPandas(_read_files(root), CONTENT_COLUMNS)
-    null = F.lit(None)
-    closed = files.where(~readable).select(
-        "path", "mode", "size", null.cast("binary").alias("content"), null.cast("string").alias("read_error")
+    known = files if "read_error" in files.columns else files.withColumn("read_error", F.lit(None).cast("string"))
+    too_large = is_too_large(F.col("size"), limit) & (F.col("mode") != SYMLINK_MODE)
+    readable = (F.col("mode") != SYMLINK_MODE) & F.col("read_error").isNull() & ~too_large
+    opened = known.where(readable).select("path", "mode", "size").mapInPandas(_read_files(root), CONTENT_COLUMNS)
+    closed = known.where(~readable).select(
+        "path", "mode", "size", F.lit(None).cast("binary").alias("content"),
+        F.when(too_large, TOO_LARGE).otherwise(F.col("read_error")).alias("read_error"),
     )
     return opened.unionByName(closed)
 
 
 def ingest_directory(
-    spark: SparkSession, root: str, repo_id: str, commit_sha: str, limit: int = MAX_FILE_BYTES
+    spark: SparkSession, root: str, repo_id: str, commit_sha: str, limit: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(tree rows, blobs) of a directory, in the engine's own tables."""
     read = stage(read_directory(list_directory(spark, root), root, limit), "files")

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from arborsync.functions.paths import passes_filter
+from arborsync.operators.content import read_outcomes
 from arborsync.operators.refs import HEADS, REMOTES, TAGS
 from arborsync.plans.crawl import Repository, with_config
 from arborsync.sources.tables import read_table
@@ -123,7 +125,7 @@ def planted_content(text: Column, doc: Column) -> Column:
     padding = F.encode(F.repeat(F.lit(" "), F.greatest(F.lit(0), F.lit(8192) - size)), "UTF-8")
     return (
         F.when(kind == 0, F.concat(F.lit(bytearray(b"\x89PNG\r\n\x1a\n")), raw))
-        .when(kind == 1, F.concat(F.substring(raw, 1, 10), nul, F.substring(raw, F.lit(11), size)))
+        .when(kind == 1, F.concat(F.encode(F.substring(text, 1, 10), "UTF-8"), nul, F.encode(F.substring(text, F.lit(11), size), "UTF-8")))
         .when(kind == 2, F.concat(raw, padding, nul, F.lit(bytearray(b"tail"))))
         .when(kind == 3, F.concat(raw, F.lit(bytearray(b"\xff"))))
         .when(kind.isin(4, 5), F.lit(None).cast("binary"))
@@ -247,7 +249,26 @@ def crawl_repository(spark: SparkSession, folder: str) -> Repository:
     failed = old_files.join(failing, F.col("source") == F.col("repo_id")).select(
         "config_hash", sync_id.alias("sync_id"), "path", F.lit("read_error").alias("reason")
     )
+    # Written by earlier syncs: sync 0 read the old snapshot, sync 1 deleted some of its files again;
+    # a file outside any snapshot was read, deleted and read once more.
+    stated = configured.where(F.col("n") % 4 != 0)
+    old_tree = stored_tree.where((F.col("commit_sha") == commit_sha(F.col("repo_id"), OLD)) & (F.col("mode") != LINK_MODE))
+    listed = old_tree.join(stated.select("repo_id", "config_hash", "subdir", "extension_list"), "repo_id").where(
+        passes_filter(F.col("path"), F.col("subdir"), F.col("extension_list"))
+    )
+    doc = F.regexp_extract("path", "doc_([0-9]+)", 1).cast("bigint")
+    read = read_outcomes(listed, planted_blobs(spark, folder)).select("config_hash", "path", "outcome", doc.alias("doc"))
+    extra = stated.select("config_hash", F.concat(F.lit("never/listed_"), F.col("n").cast("string"), F.lit(".md")).alias("path"))
+    zero = F.lit(0).cast("bigint")
+    attempts = read.select("config_hash", zero.alias("sync_id"), "path", "outcome").unionByName(
+        extra.select("config_hash", F.explode(F.array(zero, zero + 2)).alias("sync_id"), "path", F.lit("ok").alias("outcome"))
+    )
+    deletes = read.where("doc % 7 = 3").select("config_hash", sync_id.alias("sync_id"), "path").unionByName(
+        extra.select("config_hash", sync_id.alias("sync_id"), "path")
+    )
     return Repository(
+        attempts=attempts,
+        deletes=deletes,
         sources=sources,
         refs=refs,
         commits=first.unionByName(second),
@@ -289,6 +310,12 @@ def order_sha(key: Column) -> Column:
     return F.sha1(F.concat(F.lit("order:"), key.cast("string")))
 
 
+def order_message(key: Column) -> Column:
+    """Two lines; every third message starts with white space and blank lines."""
+    head = F.when(key % 3 == 0, F.lit("\n \t\n ")).otherwise(F.lit(""))
+    return F.concat(head, F.lit("order "), key.cast("string"), F.lit("\nstatus "), "o_orderstatus")
+
+
 def _order_chain(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the one and two orders before them of the same customer."""
     history = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
@@ -327,7 +354,7 @@ def commits(spark: SparkSession, folder: str, forked: bool = False) -> DataFrame
         parents.alias("parents"),
         F.col("o_orderdate").alias("ts"),
         F.col("o_orderpriority").alias("author"),
-        F.concat(F.lit("order "), key.cast("string"), F.lit("\nstatus "), "o_orderstatus").alias("message"),
+        order_message(key).alias("message"),
         "age",
     )
     # A stored table in a real engine, so it is derived once.
@@ -349,7 +376,7 @@ def touch_commits(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "orders").select(
         F.lit(CORPUS).alias("repo_id"), order_sha(key).alias("sha"), F.col("o_orderdate").alias("ts"),
         F.col("o_orderpriority").alias("author"),
-        F.concat(F.lit("order "), key.cast("string"), F.lit("\nstatus "), "o_orderstatus").alias("message"),
+        order_message(key).alias("message"),
     )
 
 
@@ -379,7 +406,8 @@ def customer_refs(graph: DataFrame) -> DataFrame:
     """Refs of the customers' repositories.
 
     A remote main at the newest commit unless the customer key is a multiple of 3,
-    a local main at the second newest, a tag at the oldest known third newest.
+    a local main at the second newest, a tag at the third newest, and for even keys a
+    HEAD at the fourth newest.
     """
     customer = F.col("repo_id").cast("bigint")
 
@@ -389,4 +417,5 @@ def customer_refs(graph: DataFrame) -> DataFrame:
         )
 
     remote = ref(1, REMOTES, "main", "remote").where(customer % 3 != 0)
-    return remote.unionByName(ref(2, HEADS, "main", "branch")).unionByName(ref(3, TAGS, "v1", "tag"))
+    detached = ref(4, "", "HEAD", "head").where(customer % 2 == 0)
+    return remote.unionByName(ref(2, HEADS, "main", "branch")).unionByName(ref(3, TAGS, "v1", "tag")).unionByName(detached)

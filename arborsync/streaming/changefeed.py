@@ -1,8 +1,8 @@
 """Change feed: each announced snapshot is compared with the one before it.
 
 A snapshot's tree rows are stored first, then its announcement
-(``repo_id, sync_id, commit_sha``) is dropped into a folder, so a micro-batch
-always sees whole snapshots.
+(``repo_id, sync_id, commit_sha, files``, the number of its tree rows) is dropped
+into a folder, so a micro-batch always sees whole snapshots.
 """
 
 from __future__ import annotations
@@ -14,13 +14,25 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from arborsync.operators.diff import MODIFIED, changeset
 from arborsync.operators.skew import lookup_join
-from arborsync.streaming.sink import read_batches, run_available, write_batch
+from arborsync.staging import stage
+from arborsync.streaming.sink import BATCH, read_batches, run_available, write_batch
 
 ANNOUNCEMENTS = StructType(
     [
         StructField("repo_id", StringType(), True),
         StructField("sync_id", LongType(), True),
         StructField("commit_sha", StringType(), True),
+        StructField("files", LongType(), True),
+    ]
+)
+
+CHANGES = StructType(
+    [
+        StructField("repo_id", StringType(), True),
+        StructField("sync_id", LongType(), True),
+        StructField("status", StringType(), True),
+        StructField("old_path", StringType(), True),
+        StructField("new_path", StringType(), True),
     ]
 )
 
@@ -29,27 +41,34 @@ def read_announcements(spark: SparkSession, folder: str, files_per_batch: int =
     return spark.readStream.schema(ANNOUNCEMENTS).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def batch_changes(announced: DataFrame, heads: DataFrame, tree: DataFrame) -> DataFrame:
-    """Change rows with their ``sync_id`` for newly announced snapshots.
+def batch_steps(announced: DataFrame, heads: DataFrame) -> DataFrame:
+    """``repo_id, sync_id, commit_sha, files, previous`` of the steps that newly announced snapshots make or change.
 
-    ``heads``: announcements handled before. Every snapshot meets its predecessor,
-    so the feed does not depend on how announcements fall into batches.
+    ``heads``: announcements handled before. A snapshot's predecessor is the one with the greatest
+    sync_id below its own, whenever either was announced; so a late one also changes the step of its
+    successor, which is told again.
     """
-    newest = heads.groupBy("repo_id").agg(F.max_by("commit_sha", "sync_id").alias("before"))
+    told = ("repo_id", "sync_id", F.struct("commit_sha", "files").alias("_told"))
+    fresh = announced.select(*told, F.lit(True).alias("_fresh"))
+    mine = fresh.select("repo_id").distinct()
+    earlier = heads.join(mine, "repo_id", "left_semi").select(*told, F.lit(False).alias("_fresh"))
+    known = fresh.unionByName(earlier).groupBy("repo_id", "sync_id").agg(
+        F.max_by("_told", "_fresh").alias("_told"), F.max("_fresh").alias("_fresh")
+    ).select("repo_id", "sync_id", "_told.*", "_fresh")
     in_order = Window.partitionBy("repo_id").orderBy("sync_id")
-    steps = (
-        announced.dropDuplicates(["repo_id", "sync_id"])
-        .withColumn("previous", F.lag("commit_sha").over(in_order))
-        .join(newest, "repo_id", "left")
-        .select(
-            F.concat_ws("\x1f", "repo_id", F.col("sync_id").cast("string")).alias("step"),
-            "repo_id", "commit_sha", F.coalesce("previous", "before").alias("previous"),
-        )
-    )
+    lined_up = known.withColumns({
+        "previous": F.lag("commit_sha").over(in_order), "_after_fresh": F.coalesce(F.lag("_fresh").over(in_order), F.lit(False)),
+    })
+    return lined_up.where("_fresh OR _after_fresh").select("repo_id", "sync_id", "commit_sha", "files", "previous")
+
+
+def step_changes(steps: DataFrame, tree: DataFrame) -> DataFrame:
+    """Change rows with their ``sync_id`` for ``steps`` (see batch_steps)."""
+    named = steps.withColumn("step", F.concat_ws("\x1f", "repo_id", F.col("sync_id").cast("string")))
 
     def side(sha: str) -> DataFrame:
-        at = steps.select("step", "repo_id", F.col(sha).alias("commit_sha"))
-        rows = lookup_join(tree, at, ["repo_id", "commit_sha"], spread_by=["path"], how="inner")
+        at = named.select("step", "repo_id", F.col(sha).alias("commit_sha"))
+        rows = lookup_join(tree, at, ["repo_id", "commit_sha"], how="inner")
         return rows.select(F.col("step").alias("repo_id"), "path", "blob_sha", "mode")
 
     changes = changeset(side("previous"), side("commit_sha"))
@@ -71,13 +90,33 @@ def current_paths(feed: DataFrame) -> DataFrame:
     return last.where("exists").select("repo_id", "path")
 
 
-def start_changefeed(announcements: DataFrame, tree: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Write ``output/changes`` and ``output/heads``; a repeated micro-batch rewrites the same folders."""
+def read_feed(spark: SparkSession, output: str) -> DataFrame:
+    """``repo_id, sync_id, status, old_path, new_path``: of each step, what the last batch that told it said."""
+    told = read_batches(spark, f"{output}/heads", ANNOUNCEMENTS).groupBy("repo_id", "sync_id").agg(F.max(BATCH).alias(BATCH))
+    changes = read_batches(spark, f"{output}/changes", CHANGES)
+    return changes.join(told, ["repo_id", "sync_id", BATCH], "left_semi").drop(BATCH)
+
+
+def start_changefeed(announcements: DataFrame, tree_path: str, output: str, checkpoint: str) -> StreamingQuery:
+    """Write ``output/changes`` and ``output/heads``; a repeated micro-batch rewrites the same folders.
+
+    The tree table is listed anew in every batch, so snapshots stored after the start are seen. A
+    snapshot with other than the announced number of rows there (none at all, where no number is
+    given) fails the batch: it was announced before it was stored.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         heads = read_batches(spark, f"{output}/heads", ANNOUNCEMENTS, before=batch_id)
-        write_batch(batch_changes(batch, heads, tree), f"{output}/changes", batch_id)
-        write_batch(batch, f"{output}/heads", batch_id)
+        tree = spark.read.parquet(tree_path)
+        steps = stage(batch_steps(batch, heads), "steps")
+        key = ["repo_id", "commit_sha"]
+        stored = tree.join(steps.select(*key).distinct(), key, "left_semi").groupBy(*key).agg(F.count("*").alias("_rows"))
+        counted = steps.join(stored, key, "left").withColumn("_rows", F.coalesce("_rows", F.lit(0)))
+        missing = counted.where(F.coalesce(F.col("files") != F.col("_rows"), F.col("_rows") == 0)).first()
+        if missing:
+            raise RuntimeError(f"snapshot {missing['commit_sha']} of {missing['repo_id']} is announced but not stored in full")
+        write_batch(step_changes(steps, tree), f"{output}/changes", batch_id)
+        write_batch(steps.drop("previous"), f"{output}/heads", batch_id)
 
     return run_available(announcements, handle, checkpoint)

@@ -8,8 +8,8 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
 
-# Small inputs are planned as literal tables, and few tasks do for few rows.
-TEST_CONF = {"spark.sql.shuffle.partitions": "2", "spark.sql.codegen.wholeStage": "false"}
+# Few tasks do for few rows.
+TEST_CONF = {"spark.sql.shuffle.partitions": "2"}
 
 
 def _table(create):

@@ -98,13 +98,17 @@ def test_mask_columns(spark):
     row = spark.sql(
         "select 'u' as user, 'p' as PASSWORD, '' as secret, 0 as token_count, 5 as api_keys,"
         " named_struct('private_key', 'k', 'inner', named_struct('secret_x', true, 'y', 1)) as nested,"
-        " map('my_token', 't', 'z', 'w', 'secret', '') as m, array('a') as secret_list, map('k', map('password', 'x')) as deep"
+        " map('my_token', 't', 'z', 'w', 'secret', '') as m, array('a') as secret_list, map('k', map('password', 'x')) as deep,"
+        " map('api_key', 12345, 'n', 7) as numbers, map('token', array('t'), 'l', array('v')) as lists,"
+        " map('secret', map('x', 'y'), 'open', map('x', 'y')) as maps, map(1, 'kept') as by_number"
     )
     got = masking.mask_columns(row).first().asDict(recursive=True)
     assert got == {
         "user": "u", "PASSWORD": "***", "secret": "", "token_count": "0", "api_keys": "***",
         "nested": {"private_key": "***", "inner": {"secret_x": "***", "y": 1}},
-        "m": {"my_token": "***", "z": "w", "secret": ""}, "secret_list": "***", "deep": {"k": {"password": "***"}},
+        "m": {"my_token": "***", "z": "w", "secret": ""}, "secret_list": "***", "deep": {"k": '{"password":"***"}'},
+        "numbers": {"api_key": "***", "n": "7"}, "lists": {"token": "***", "l": '["v"]'},
+        "maps": {"secret": "***", "open": '{"x":"y"}'}, "by_number": {1: "kept"},
     }
 
 
@@ -136,7 +140,8 @@ def test_content_classes(evaluate):
         b"x" * 8191 + b"\x00", b"x" * 8192 + b"\x00", "привет".encode(), b"", b"\xef\xbb\xbfbom", b"\xff", b"\xc3",
     ]
     rows = [bytearray(s) for s in samples]
-    assert evaluate(rows, content.is_binary, "binary") == [True] * 9 + [False] * 6
+    assert evaluate(rows, lambda c: content.is_binary(c, content.SNIFF_BYTES), "binary") == [True] * 9 + [False] * 6
+    assert evaluate(rows, content.is_binary, "binary") == [True] * 10 + [False] * 5
     assert evaluate(rows[9:], content.is_utf8, "binary") == [True] * 4 + [False] * 2
     assert evaluate([bytearray("é﻿".encode())], lambda c: content.decode_utf8(c).cast("string"), "binary") == ["é﻿"]
 

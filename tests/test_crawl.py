@@ -1,6 +1,6 @@
 import random
-from collections import Counter
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,9 +34,9 @@ def test_batches_close_at_their_fiftieth_success(spark):
     assert progress(spark, []) == [(0, 0, 0, 0, "completed")]
 
 
-@pytest.mark.parametrize("hot", [10_000, 40])
-def test_batches_follow_the_loop(spark, hot):
-    rng = random.Random(hot)
+@pytest.mark.parametrize("seed", [1, 40])
+def test_batches_follow_the_loop(spark, seed):
+    rng = random.Random(seed)
     kinds = [rng.choice(["ok", "ok", "binary", "read_error"]) for _ in range(400)]
     expected, batch, good = [], 0, 0
     for kind in kinds:
@@ -44,7 +44,7 @@ def test_batches_follow_the_loop(spark, hot):
         good += kind == "ok"
         if good == 50:
             batch, good = batch + 1, 0
-    rows = assign_batches(outcomes(spark, kinds), hot_group_rows=hot).orderBy("path").collect()
+    rows = assign_batches(outcomes(spark, kinds)).orderBy("path").collect()
     assert [r["batch_no"] for r in rows] == expected
     assert [r["attempted"] for r in rows] == list(range(1, 401))
 
@@ -138,7 +138,7 @@ def test_failed_paths_come_back(spark, tmp_path):
     later = crawl.crawl_outcomes(repository(spark, [files, {"a.md": b"1", "b.md": b"2"}], state, failed))
     assert {r["path"]: r["outcome"] for r in later.attempts.collect()} == {"b.md": "ok", "gone.md": "not_found"}
     assert sync_state.next_failed(later.attempts, 2).count() == 0
-    counted = metrics.sync_metrics(later.plan, later.attempts, later.deletes).first()
+    counted = metrics.sync_metrics(later.plan, later.attempts, later.deletes, datetime(2024, 1, 1), datetime(2024, 1, 2)).first()
     assert (counted["files_added"], counted["files_deleted"], counted["files_skipped"]) == (1, 1, 1)
 
 
@@ -158,16 +158,39 @@ def test_filters_and_edges_of_a_rename(spark):
 def test_full_sync_reports_what_is_gone(spark):
     repo = repository(spark, [{"a.md": b"1"}])
     key = crawl.plan(repo).first()["config_hash"]
-    known = spark.createDataFrame([(key, "a.md"), (key, "old.md"), ("other", "x")], "config_hash string, path string")
-    result = crawl.crawl_outcomes(replace(repo, known=known))
-    assert [tuple(r) for r in result.deletes.collect()] == [(key, "old.md")]
-
-
-def test_failed_list_limit(spark):
-    rows = outcomes(spark, ["read_error"] * 30).unionByName(outcomes(spark, ["read_error"] * 3, key="d"))
-    kept = sync_state.next_failed(rows, 1, limit=10)
-    assert Counter(r["config_hash"] for r in kept.collect()) == {"c": 10, "d": 3}
-    assert max(r["path"] for r in kept.where(F.col("config_hash") == "c").collect()) == "00009"
+    attempts = [(key, 1, "a.md", "ok"), (key, 1, "old.md", "ok"), (key, 1, "bad.md", "binary"), (key, 1, "late.md", "ok"), ("other", 1, "x", "ok"),
+                (key, 1, "gone.md", "ok"), (key, 3, "back.md", "ok")]
+    deletes = [(key, 2, "gone.md"), (key, 3, "back.md")]
+    told = replace(
+        repo, attempts=spark.createDataFrame(attempts, schemas.ATTEMPTS), deletes=spark.createDataFrame(deletes, schemas.DELETES))
+    result = crawl.crawl_outcomes(told)
+    assert sorted(tuple(r) for r in result.deletes.collect()) == [(key, "back.md"), (key, "late.md"), (key, "old.md")]
+
+
+@pytest.mark.parametrize("history", ["kept", "rewritten", "pruned"])
+def test_deletes_do_not_depend_on_the_mode(spark, tmp_path, history):
+    """The same trees give the same deletes, whether the old commit is an ancestor, unknown or no longer stored."""
+    out = str(tmp_path / "out")
+    crawl.run_crawl(repository(spark, [FIRST]), out, 1)
+    state, failed = read_state(spark, out)
+    repo = repository(spark, [FIRST, SECOND], state, failed)
+    if history == "rewritten":
+        repo = replace(repo, commits=spark.createDataFrame([("r", "c0", []), ("r", "c1", [])], "repo_id string, sha string, parents array<string>"))
+    if history == "pruned":
+        repo = replace(repo, tree=repo.tree.where("commit_sha = 'c1'"))
+    result = crawl.run_crawl(repo, out, 2)
+    reason = {"kept": "changes", "rewritten": "history_rewritten", "pruned": "snapshot_missing"}[history]
+    assert result.plan.first()["reason"] == reason
+    assert sorted(r["path"] for r in result.deletes.collect()) == ["docs/b.md", "docs/c.md"]
+    row = spark.read.parquet(f"{out}/metrics/sync_id=2").first()
+    assert row["files_deleted"] == 2 and row["duration_seconds"] > 0 and row["finished_at"] > row["started_at"]
+
+
+def test_no_failure_is_lost(spark):
+    rows = spark.range(12_000).select(
+        F.lit("c").alias("config_hash"), F.format_string("p%05d", "id").alias("path"),
+        F.lit("read_error").alias("outcome"), F.lit(True).alias("is_transient"))
+    assert sync_state.next_failed(rows, 1).count() == 12_000
 
 
 def test_stored_failed_lists(evaluate):

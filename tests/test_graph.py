@@ -96,7 +96,7 @@ def test_main_line_is_not_broken_by_dead_ends(spark, monkeypatch):
     assert rounds.count("reach") <= 5
 
 
-def test_plan_thresholds(spark):
+def test_plan_modes(spark):
     from arborsync.plans.sync_plan import plan_syncs
 
     rows = [("r", f"{i:05d}", [f"{i - 1:05d}"] if i else []) for i in range(1100)]
@@ -105,7 +105,7 @@ def test_plan_thresholds(spark):
     cases = {
         "none": (None, 0, "full", "first_sync"), "same": (head, 0, "noop", "unchanged"),
         "retry": (head, 3, "incremental", "retry_only"), "edge": ("00099", 0, "incremental", "changes"),
-        "far": ("00098", 0, "full", "too_many_commits"), "lost": ("gone", 0, "full", "history_rewritten"),
+        "far": ("00098", 0, "incremental", "changes"), "lost": ("gone", 0, "full", "history_rewritten"),
     }
     sources = spark.createDataFrame([(c, "r", head) for c in cases], "config_hash string, repo_id string, head_sha string")
     state = spark.createDataFrame([(c, v[0], v[1]) for c, v in cases.items()], "config_hash string, last_sha string, n_failed long")

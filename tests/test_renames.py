@@ -1,7 +1,5 @@
 import random
 
-import pytest
-
 from arborsync.operators import diff, renames
 
 
@@ -25,25 +23,24 @@ def similarity(a, b):
     return len(grams(a) & grams(b)) / max(len(grams(a)), len(grams(b)))
 
 
-def run(spark, old, new, hot=1_000_000):
+def run(spark, old, new):
     tree = "repo_id string, path string, blob_sha string, mode string"
     make = spark.createDataFrame
     sides = [make([("r", p, f"s{hash(t)}", "100644") for p, t in files.items()], tree) for files in (old, new)]
     texts = {t for files in (old, new) for t in files.values()}
     blobs = make([(f"s{hash(t)}", bytearray(t.encode()), None) for t in texts], "blob_sha string, content binary, read_error string")
     changes = diff.changeset(*sides)
-    return changes, renames.similar_renames(changes, blobs, hot_group_rows=hot)
+    return changes, renames.similar_renames(changes, blobs)
 
 
-@pytest.mark.parametrize("hot", [1_000_000, 3])
-def test_near_copies_pair_and_strangers_do_not(spark, hot):
+def test_near_copies_pair_and_strangers_do_not(spark):
     rng = random.Random(5)
     bases = [text(rng) for _ in range(25)]
     old = {f"old/{i:02d}": b for i, b in enumerate(bases)}
     new = {f"new/{i:02d}": edited(rng, b, 4) for i, b in enumerate(bases)}
     old |= {f"gone/{i}": text(rng) for i in range(5)}
     new |= {f"fresh/{i}": text(rng) for i in range(5)}
-    changes, found = run(spark, old, new, hot)
+    changes, found = run(spark, old, new)
     pairs = {r["old_path"]: (r["new_path"], r["similarity"]) for r in found.collect()}
     # Brute force: exactly the pairs over the threshold, each with its exact score.
     expected = {
@@ -65,3 +62,13 @@ def test_one_big_bucket_stays_one_to_one(spark):
     assert len({r["old_path"] for r in rows}) == len({r["new_path"] for r in rows}) == len(rows) == 40
     for r in rows:
         assert r["similarity"] == similarity(old[r["old_path"]], new[r["new_path"]]) >= 0.5
+
+
+def test_a_shared_header_loses_no_pair(spark):
+    rng = random.Random(7)
+    header = text(rng, 40)
+    bases = [header + " " + text(rng, 60) for _ in range(150)]
+    old = {f"old/{i:03d}": b for i, b in enumerate(bases)}
+    new = {f"new/{i:03d}": edited(rng, b, 3) for i, b in enumerate(bases)}
+    _, found = run(spark, old, new)
+    assert sorted((r["old_path"][4:], r["new_path"][4:]) for r in found.collect()) == [(f"{i:03d}",) * 2 for i in range(150)]

@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from arborsync.operators import history, listing, snapshot
+from arborsync.operators.content import read_outcomes
 from arborsync.sources import directory, tables
 
 
@@ -25,10 +26,21 @@ def test_directory_source_sees_hidden_names(spark, tmp_path):
     rows = {r["path"]: r for r in tree.collect()}
     assert set(rows) == set(files) | {"link"}
     assert rows["link"]["mode"] == "120000" and rows["big.txt"]["size"] == 100
-    content = {r["blob_sha"]: bytes(r["content"]) for r in blobs.collect()}
+    content = {r["blob_sha"]: bytes(r["content"] or b"") for r in blobs.collect()}
     assert content[rows["pkg/deep/er/f.txt"]["blob_sha"]] == b"f"
-    assert rows["big.txt"]["blob_sha"] not in content
     assert rows["__init__.py"]["blob_sha"] in content
+    outcomes = {r["path"]: r["outcome"] for r in read_outcomes(tree, blobs).collect()}
+    assert outcomes["big.txt"] == "too_large" and outcomes["bin"] == "binary" and outcomes["readme.md"] == "ok"
+    everything, _ = directory.ingest_directory(spark, str(tmp_path), "local", "now")
+    assert everything.count() == len(files) + 1
+
+
+def test_unreadable_folder_is_a_row(spark, tmp_path):
+    files = directory.list_directory(spark, str(tmp_path / "nowhere"))
+    (row,) = files.collect()
+    assert "No such file" in row["read_error"]
+    tree, blobs = directory.ingest_directory(spark, str(tmp_path / "nowhere"), "local", "now")
+    assert tree.count() == 1 and "No such file" in blobs.first()["read_error"]
 
 
 def test_unreadable_file_is_a_row(spark, tmp_path):
@@ -76,7 +88,7 @@ def test_document_rerun_replaces_its_partitions(spark, tmp_path):
 
 def test_listing_pages_cover_everything_once(spark):
     rows = [(f"F{i % 7}/x{i}", f"{'B' if i % 2 else 'b'}{i:02d}", i, "folder" if i % 3 == 0 else "file") for i in range(45)]
-    entries = spark.createDataFrame(rows, "id string, name string, size long, type string")
+    entries = spark.createDataFrame([("r", *row) for row in rows], "repo_id string, id string, name string, size long, type string")
     seen, token = [], None
     while True:
         page = listing.listing_page(entries, 20, after=token)
