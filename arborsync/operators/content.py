@@ -9,6 +9,7 @@ from arborsync.functions import content as tests
 from arborsync.functions import paths
 from arborsync.functions.mime import with_mime_type
 from arborsync.operators.skew import lookup_join
+from arborsync.sources.tables import PREFIX, key_prefix
 
 
 def needed_blobs(files: DataFrame, blobs: DataFrame) -> DataFrame:
@@ -16,8 +17,15 @@ def needed_blobs(files: DataFrame, blobs: DataFrame) -> DataFrame:
 
     Cut down first: with few files the planner broadcasts their keys and no
     content is shuffled; with many, the join to come reuses this one's partitioning.
+    Of blobs stored by key prefix (tables.write_blobs_by_prefix) only the folders are
+    read that some file points into; ``files`` should then be a written table.
     """
-    return blobs.join(files.select("blob_sha").distinct(), "blob_sha", "left_semi")
+    wanted = files.select("blob_sha").distinct()
+    if PREFIX in blobs.columns:
+        # One row for each prefix in use: 256 at most.
+        used = wanted.select(key_prefix(F.col("blob_sha")).alias("p")).distinct().collect()
+        blobs = blobs.where(F.col(PREFIX).isin([r["p"] for r in used])).drop(PREFIX)
+    return blobs.join(wanted, "blob_sha", "left_semi")
 
 
 def attach_content(files: DataFrame, blobs: DataFrame) -> DataFrame:

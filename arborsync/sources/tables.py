@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Blobs may be stored in folders by the first digits of their key.
+PREFIX, PREFIX_DIGITS = "key_prefix", 2
+
+
+def key_prefix(key: Column) -> Column:
+    """Starts with a letter, so that no folder name is read back as a number."""
+    return F.concat(F.lit("k"), F.substring(key, 1, PREFIX_DIGITS))
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -35,6 +43,16 @@ def write_blobs(blobs: DataFrame, table: str, buckets: int) -> None:
     )
 
 
+def write_blobs_by_prefix(blobs: DataFrame, path: str) -> None:
+    """Blobs in folders by the first hex digits of their key, sorted by it.
+
+    For tables of which a sync needs little: content.needed_blobs reads only the folders in use,
+    and the order lets statistics skip row groups.
+    """
+    keyed = blobs.withColumn(PREFIX, key_prefix(F.col("blob_sha")))
+    keyed.repartitionByRange(PREFIX, "blob_sha").sortWithinPartitions(PREFIX, "blob_sha").write.mode("append").partitionBy(PREFIX).parquet(path)
+
+
 def write_documents(documents: DataFrame, path: str, sync_id: int) -> None:
     """Documents of one sync; a rerun of the sync replaces its own partitions only."""
     (

@@ -14,6 +14,8 @@ sources    one per distinct document source (crawl), or one per page (key jobs)
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,17 @@ OLD, NEW = "old", "new"
 FILE_MODE, LINK_MODE = "100644", "120000"
 
 
+_written: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that a real engine would find stored: derived and written once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _written:
+        _written[key] = stage(build(), name)
+    return _written[key]
+
+
 def _pick(key: Column, values: tuple) -> Column:
     """values[key % n]; None stands for null."""
     chosen = F.lit(values[-1])
@@ -105,6 +118,10 @@ def tree(spark: SparkSession, folder: str, repo: str | None = None, planted: boo
 
 def text_blobs(spark: SparkSession, folder: str) -> DataFrame:
     """``blob_sha, content, read_error`` of the plain texts in both snapshots."""
+    return stored(spark, folder, "text-blobs", lambda: _text_blobs(spark, folder))
+
+
+def _text_blobs(spark: SparkSession, folder: str) -> DataFrame:
     docs = files(spark, folder)
     texts = _versions(docs, OLD, False).select("text").unionByName(_versions(docs, NEW, False).select("text"))
     rows = texts.select(F.encode("text", "UTF-8").alias("content"))
@@ -142,6 +159,10 @@ def _planted_sha() -> Column:
 
 def planted_blobs(spark: SparkSession, folder: str) -> DataFrame:
     """``blob_sha, content, read_error``, one row per blob; missing ones have none."""
+    return stored(spark, folder, "planted-blobs", lambda: _planted_blobs(spark, folder))
+
+
+def _planted_blobs(spark: SparkSession, folder: str) -> DataFrame:
     docs = files(spark, folder)
     doc = F.col("doc_id")
     # Texts as in the old snapshot, and the edited ones of the new snapshot.
@@ -217,9 +238,8 @@ def crawl_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def crawl_repository(spark: SparkSession, folder: str) -> Repository:
     """All tables of a crawl. Stored state by n % 4: none, in step, one commit behind, unknown commit."""
-    # The tables a crawl finds stored, so they are derived once.
-    sources = stage(crawl_sources(spark, folder), "sources")
-    stored_tree = stage(tree(spark, folder, repo="source", planted=True).drop("doc_id"), "tree")
+    sources = stored(spark, folder, "sources", lambda: crawl_sources(spark, folder))
+    stored_tree = stored(spark, folder, "tree", lambda: tree(spark, folder, repo="source", planted=True).drop("doc_id"))
     repo = F.col("repo_id")
     branch = F.when(F.col("n") % 3 == 2, "dev").otherwise("main")
     refs = sources.select(
@@ -267,8 +287,8 @@ def crawl_repository(spark: SparkSession, folder: str) -> Repository:
         extra.select("config_hash", sync_id.alias("sync_id"), "path")
     )
     return Repository(
-        attempts=attempts,
-        deletes=deletes,
+        attempts=stored(spark, folder, "attempts", lambda: attempts),
+        deletes=stored(spark, folder, "deletes", lambda: deletes),
         sources=sources,
         refs=refs,
         commits=first.unionByName(second),
@@ -357,8 +377,7 @@ def commits(spark: SparkSession, folder: str, forked: bool = False) -> DataFrame
         order_message(key).alias("message"),
         "age",
     )
-    # A stored table in a real engine, so it is derived once.
-    return stage(rows, "commits")
+    return stored(spark, folder, "forked-commits" if forked else "commits", lambda: rows)
 
 
 def touches(spark: SparkSession, folder: str) -> DataFrame:

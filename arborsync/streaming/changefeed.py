@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from arborsync.operators.diff import MODIFIED, changeset
 from arborsync.operators.skew import lookup_join
 from arborsync.staging import stage
-from arborsync.streaming.sink import BATCH, read_batches, run_available, write_batch
+from arborsync.streaming.sink import BATCH, merge_batches, read_batches, run_available, write_batch
 
 ANNOUNCEMENTS = StructType(
     [
@@ -90,6 +90,12 @@ def current_paths(feed: DataFrame) -> DataFrame:
     return last.where("exists").select("repo_id", "path")
 
 
+def _last_told(heads: DataFrame) -> DataFrame:
+    """One row per step: what the last batch said."""
+    last = F.max(F.struct(BATCH, "commit_sha", "files")).alias("last")
+    return heads.groupBy("repo_id", "sync_id").agg(last).select("repo_id", "sync_id", "last.*").select(*heads.columns)
+
+
 def read_feed(spark: SparkSession, output: str) -> DataFrame:
     """``repo_id, sync_id, status, old_path, new_path``: of each step, what the last batch that told it said."""
     told = read_batches(spark, f"{output}/heads", ANNOUNCEMENTS).groupBy("repo_id", "sync_id").agg(F.max(BATCH).alias(BATCH))
@@ -107,6 +113,7 @@ def start_changefeed(announcements: DataFrame, tree_path: str, output: str, chec
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        merge_batches(spark, f"{output}/heads", ANNOUNCEMENTS, _last_told, batch_id)
         heads = read_batches(spark, f"{output}/heads", ANNOUNCEMENTS, before=batch_id)
         tree = spark.read.parquet(tree_path)
         steps = stage(batch_steps(batch, heads), "steps")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from arborsync.streaming.sink import read_batches, run_available, write_batch
+from arborsync.streaming.sink import merge_batches, read_batches, run_available, write_batch
 
 POSITION = ("ts", "seq")
 
@@ -38,10 +38,16 @@ def still_failing(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def _newest(rows: DataFrame) -> DataFrame:
+    """One row per path: every other column is a position or starts with one, so its maximum is the newest."""
+    return rows.groupBy("path").agg(*[F.max(c).alias(c) for c in rows.columns if c != "path"])
+
+
 def start_updates(state: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed keys of a streaming aggregate, one folder per micro-batch."""
+    """Write the changed keys of a streaming aggregate, one folder per micro-batch, merged now and then."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        merge_batches(batch.sparkSession, output, state.schema, _newest, batch_id)
         write_batch(batch, output, batch_id)
 
     return run_available(state, handle, checkpoint, mode="update")

@@ -1,10 +1,14 @@
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from arborsync.operators import history, listing, snapshot
-from arborsync.operators.content import read_outcomes
+from arborsync.operators.content import attach_content, needed_blobs, read_outcomes
+from arborsync import session
 from arborsync.sources import directory, tables
+from arborsync.staging import stage
+from arborsync.streaming import events, sink
 
 
 def make_files(root):
@@ -135,3 +139,41 @@ def test_history_limits_rows_before_the_shuffle(spark):
     out = history.file_history(touches, commits, 3)
     assert "WindowGroupLimit" in out._jdf.queryExecution().toString()
     assert [(r["n"], r["sha"], r["message"]) for r in out.orderBy("n").collect()] == [(1, "2999", "m"), (2, "2998", "m"), (3, "2997", "m")]
+
+
+def test_blobs_by_prefix_are_pruned(spark, tmp_path):
+    blobs = spark.range(500).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("blob_sha"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content"),
+        F.lit(None).cast("string").alias("read_error"))
+    path = str(tmp_path / "blobs")
+    tables.write_blobs_by_prefix(blobs, path)
+    stored = spark.read.parquet(path)
+    files = spark.range(3).select(F.sha2(F.col("id").cast("string"), 256).alias("blob_sha"), F.lit("f").alias("path"))
+    read = attach_content(files, stored)
+    assert sorted(bytes(r["content"]) for r in read.collect()) == [b"0", b"1", b"2"]
+    plan = needed_blobs(files, stored)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*key_prefix#\d+ IN", plan)
+
+
+def test_clear_work_deletes_staged_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "work_root", lambda _: str(tmp_path))
+    stage(spark.range(3), "kept")
+    assert any(tmp_path.rglob("*.parquet"))
+    session.clear_work(spark)
+    assert not any(tmp_path.rglob("*.parquet"))
+
+
+def test_merged_batches_read_like_all_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "MERGE_EVERY", 3)
+    table, schema = str(tmp_path / "t"), spark.createDataFrame([], "path string, latest long").schema
+    newest = {}
+    for batch in range(8):
+        rows = [(f"p{(batch * 2 + i) % 5}", batch * 10 + i) for i in range(2)]
+        newest |= dict(rows)
+        for _ in range(2):  # a repeated batch changes nothing
+            sink.merge_batches(spark, table, schema, events._newest, batch)
+            sink.write_batch(spark.createDataFrame(rows, schema), table, batch)
+    assert sink._bases(spark, table) == [3, 6]
+    got = events._newest(sink.read_batches(spark, table, schema)).collect()
+    assert {r["path"]: r["latest"] for r in got} == newest
+    assert sink.read_batches(spark, table, schema, before=2).count() == 4
