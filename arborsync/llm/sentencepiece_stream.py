@@ -10,6 +10,7 @@ later pieces can start from run through one boundary, everything before it is gi
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 # Segments and pairs remembered by a worker before it starts afresh; longer segments are not remembered.
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 300_000
 MEMO_CHARS = 48
 _NONE = -1
 
@@ -62,10 +63,11 @@ def read_model(path: str) -> Model:
     return Model(ids, scores, byte_ids, surface, rules.add_dummy_prefix, alone)
 
 
-def merge(text: str, scores: dict[str, float]) -> list[str]:
-    """Pieces of a short text by merging the best-scored neighbours first, leftmost among equals."""
+def merge(text: str, scores: dict[str, float], until: int = 1) -> list[str]:
+    """Pieces of a short text by merging the best-scored neighbours first, leftmost among equals;
+    stops when ``until`` pieces are left."""
     parts = list(text)
-    while len(parts) > 1:
+    while len(parts) > until:
         best, at = None, -1
         for i in range(len(parts) - 1):
             score = scores.get(parts[i] + parts[i + 1])
@@ -77,6 +79,30 @@ def merge(text: str, scores: dict[str, float]) -> list[str]:
     return parts
 
 
+def _segments(pieces: list[str]) -> re.Pattern:
+    """How text is cut into segments that no piece crosses, proved from the pieces.
+
+    Where no piece has a space behind another character, every word start is a boundary; where a line
+    break stands in no longer piece, it is a segment of its own; and characters other than letters
+    that follow only each other or a space within pieces start a segment after anything else.
+    """
+    behind: dict[str, set[str]] = {}
+    for piece in pieces:
+        for before, character in zip(piece, piece[1:]):
+            behind.setdefault(character, set()).add(before)
+    if behind.get(SPACE, set()) - {SPACE}:
+        return re.compile(".+", re.DOTALL)
+    alone = "\n" if not any("\n" in p and len(p) > 1 for p in pieces) else ""
+    marks = {c for p in pieces for c in p if unicodedata.category(c)[0] not in "LM"} - {SPACE, "\n"}
+    while crossed := {m for m in marks if behind.get(m, set()) - marks - {SPACE}}:
+        marks -= crossed
+    mark = "".join(map(re.escape, sorted(marks)))
+    single = f"{alone}|" if alone else ""
+    if not mark:
+        return re.compile(f"{single}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
+    return re.compile(f"{single}{SPACE}*[{mark}]*[^{SPACE}{alone}{mark}]+|{SPACE}*[{mark}]+|{SPACE}+")
+
+
 class Encoder(dict):
     """Ids of a segment of normalised text, as int32 bytes; remembers short segments."""
 
@@ -86,24 +112,20 @@ class Encoder(dict):
         self.pieces = {p: model.ids[p] for p in model.alone}
         self.names = {i: p for p, i in self.pieces.items()}
         self.longest = max(map(len, self.pieces), default=1)
-        # The longest piece that ends in these two characters bounds how far a node looks back.
+        # The longest piece that ends in these three characters bounds how far a node looks back.
         self.reach: dict[str, int] = {}
         for piece in self.pieces:
-            if len(piece) > 1:
-                self.reach[piece[-2:]] = max(self.reach.get(piece[-2:], 1), len(piece))
+            if len(piece) > 2:
+                self.reach[piece[-3:]] = max(self.reach.get(piece[-3:], 2), len(piece))
+        turns = {score: turn for turn, score in enumerate(sorted(set(model.scores.values()), reverse=True))}
+        self.turn = {p: turns[score] for p, score in model.scores.items()}
+        self.halves: dict[str, tuple[str, str]] = {}
         self.pairs: dict[int, bool] = {}
-        multi = [p for p in model.scores if len(p) > 1]
-        # Where no piece has a space behind another character, every word start is a boundary;
-        # where a line break stands in no longer piece, it is a piece of its own.
-        if any(SPACE in p.lstrip(SPACE) for p in multi):
-            self.segments = re.compile(".+", re.DOTALL)
-        elif any("\n" in p for p in multi):
-            self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        else:
-            self.segments = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+        self.segments = _segments(list(model.scores))
 
     def __missing__(self, segment: str) -> bytes:
-        ids = np.fromiter(self.stream(segment), dtype=np.int32).tobytes()
+        whole = self.pieces.get(segment)
+        ids = np.fromiter(self.stream(segment) if whole is None else (whole,), dtype=np.int32).tobytes()
         if len(segment) <= MEMO_CHARS:
             if len(self) >= MEMO_LIMIT:
                 self.clear()
@@ -125,10 +147,39 @@ class Encoder(dict):
         if known is None:
             if len(self.pairs) >= MEMO_LIMIT:
                 self.pairs.clear()
-            one, two = self.names[before], self.names[after]
-            known = self.pairs[key] = merge(one + two, self.model.scores) == [one, two]
+            known = self.pairs[key] = self._apart(self.names[before], self.names[after])
         return known
 
+    def _apart(self, one: str, two: str) -> bool:
+        """Whether merging ``one + two`` never joins characters across the two.
+
+        Merges are undone from the last: whatever stood next to the border when a later merge took
+        place was not joined over the border, unless that join had its turn before. Of two merges
+        with the same turn the left one comes first.
+        """
+        turn = self.turn
+        limit = len(turn) + 1
+        while True:
+            joint = turn.get(one + two)
+            if joint is not None and joint < limit:
+                return False
+            made_one = turn[one] if len(one) > 1 else -1
+            made_two = turn[two] if len(two) > 1 else -1
+            if made_one < 0 and made_two < 0:
+                return True
+            if made_one > made_two:
+                limit, one = made_one, self._half(one)[1]
+            else:
+                limit, two = made_two + 1, self._half(two)[0]
+
+    def _half(self, piece: str) -> tuple[str, str]:
+        """The two parts whose merge made ``piece``."""
+        halves = self.halves.get(piece)
+        if halves is None:
+            first, second = merge(piece, self.model.scores, 2)
+            halves = self.halves[piece] = (first, second)
+        return halves
+
     def stream(self, text: str) -> Iterator[int]:
         """Ids of ``text``, given out as soon as they are certain."""
         pieces, reach, pairs = self.pieces, self.reach, self.pairs
@@ -136,18 +187,18 @@ class Encoder(dict):
         nodes: list[tuple[int, int]] = [(_NONE, 0)]  # last piece of the path into a node, and its length
         limit = 4 * self.longest
         for end in range(1, len(text) + 1):
-            size = min(reach.get(text[end - 2 : end], 1) if end > 1 else 1, end)
+            size = reach.get(text[end - 3 : end], 2) if end > 2 else 2
+            if size > end - start:
+                size = end - start
             while size:
                 piece = pieces.get(text[end - size : end])
                 if piece is not None:
-                    at = end - size - start
-                    if at >= 0:
-                        before = nodes[at][0]
-                        if before == _NONE:
-                            break
-                        agree = pairs.get(before << 32 | piece)
-                        if agree or (agree is None and self.agree(before, piece)):
-                            break
+                    before = nodes[-size][0]
+                    if before == _NONE:
+                        break
+                    agree = pairs.get(before << 32 | piece)
+                    if agree or (agree is None and self.agree(before, piece)):
+                        break
                 size -= 1
             nodes.append((piece, size) if size else (_NONE, 1))
             if len(nodes) > limit:
@@ -223,7 +274,10 @@ class Tokenizer:
         @F.arrow_udf("string")
         def run(lists):
             model = shipped.value
-            return pa.array([decode(own.as_py() or [], model) for own in lists], pa.string())
+            bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            given = lists.is_valid().to_numpy(zero_copy_only=False)
+            return pa.array(
+                [decode(flat[a:b].tolist(), model) if here else "" for a, b, here in zip(bounds, bounds[1:], given)], pa.string())
 
         return run(ids)
 

@@ -11,6 +11,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,7 +119,8 @@ def chunks(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
     yield text[begin:]
 
 
-_counters: dict[int, Counter] = {}
+# The counter of the file a worker was last given.
+_counters: dict[int, tuple[tuple, Counter]] = {}
 
 
 def token_count(spark, text: Column | str, path: str) -> Column:
@@ -134,16 +136,15 @@ def token_count(spark, text: Column | str, path: str) -> Column:
     if kind.get("type") != "ByteLevel" or kind.get("add_prefix_space") or not kind.get("use_regex", True):
         raise ValueError("the shortcut is proved for plain byte-level pre-tokens")
     shipped = spark.sparkContext.broadcast((model, whole_tokens(model)))
-    number = shipped.id if hasattr(shipped, "id") else hash(path)
 
     @F.arrow_udf("long")
     def count(texts):
-        import pyarrow as pa
-
-        counter = _counters.get(number)
-        if counter is None:
+        given = shipped.value
+        held, counter = _counters.get(id(given), (None, None))
+        if held is not given:
             _counters.clear()
-            counter = _counters[number] = Counter(*shipped.value)
+            counter = Counter(*given)
+            _counters[id(given)] = given, counter
         return pa.array([counter.count(t.as_py()) for t in texts], pa.int64())
 
     return count(text)
