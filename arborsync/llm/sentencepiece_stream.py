@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-# Segments and pairs remembered by a worker before it starts afresh; longer segments are not remembered.
-MEMO_LIMIT = 300_000
+# Segments and pairs remembered by a worker, twice: when so many are new, the older half is forgotten.
+# Longer segments are not remembered.
+MEMO_LIMIT = 250_000
 MEMO_CHARS = 48
+LATIN_END = 0x250
+_BEYOND_LATIN = re.compile(f"[^\0-{chr(LATIN_END - 1)}]")
 _NONE = -1
 
 
@@ -79,8 +83,8 @@ def merge(text: str, scores: dict[str, float], until: int = 1) -> list[str]:
     return parts
 
 
-def _segments(pieces: list[str]) -> re.Pattern:
-    """How text is cut into segments that no piece crosses, proved from the pieces.
+def _segments(pieces: list[str], below: int = 0x110000) -> re.Pattern:
+    """How text of characters under ``below`` is cut into segments that no piece crosses, proved from the pieces.
 
     Where no piece has a space behind another character, every word start is a boundary; where a line
     break stands in no longer piece, it is a segment of its own; and characters other than letters
@@ -96,7 +100,7 @@ def _segments(pieces: list[str]) -> re.Pattern:
     marks = {c for p in pieces for c in p if unicodedata.category(c)[0] not in "LM"} - {SPACE, "\n"}
     while crossed := {m for m in marks if behind.get(m, set()) - marks - {SPACE}}:
         marks -= crossed
-    mark = "".join(map(re.escape, sorted(marks)))
+    mark = "".join(re.escape(m) for m in sorted(marks) if ord(m) < below)
     single = f"{alone}|" if alone else ""
     if not mark:
         return re.compile(f"{single}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
@@ -121,13 +125,19 @@ class Encoder(dict):
         self.turn = {p: turns[score] for p, score in model.scores.items()}
         self.halves: dict[str, tuple[str, str]] = {}
         self.pairs: dict[int, bool] = {}
-        self.segments = _segments(list(model.scores))
+        self.older: dict[str, bytes] = {}
+        self.older_pairs: dict[int, bool] = {}
+        # The same cuts in a smaller class for texts of Latin characters.
+        self.segments, self.latin_segments = _segments(list(model.scores)), _segments(list(model.scores), LATIN_END)
 
     def __missing__(self, segment: str) -> bytes:
-        whole = self.pieces.get(segment)
-        ids = np.fromiter(self.stream(segment) if whole is None else (whole,), dtype=np.int32).tobytes()
+        ids = self.older.get(segment)
+        if ids is None:
+            whole = self.pieces.get(segment)
+            ids = array("i", (whole,) if whole is not None else self.stream(segment)).tobytes()
         if len(segment) <= MEMO_CHARS:
             if len(self) >= MEMO_LIMIT:
+                self.older = dict(self)
                 self.clear()
             self[segment] = ids
         return ids
@@ -135,19 +145,21 @@ class Encoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        pattern = self.segments if _BEYOND_LATIN.search(text) else self.latin_segments
         normal = text.replace(" ", SPACE)
         if self.model.dummy_prefix:
             normal = SPACE + normal
-        return b"".join(map(self.__getitem__, self.segments.findall(normal)))
+        return b"".join(map(self.__getitem__, pattern.findall(normal)))
 
-    def agree(self, before: int, after: int) -> bool:
-        """Whether the two pieces stay apart when their joint text is merged."""
-        key = before << 32 | after
-        known = self.pairs.get(key)
+    def agree(self, key: int) -> bool:
+        """Whether two pieces, ``before << 32 | after``, stay apart when their joint text is merged."""
+        known = self.older_pairs.get(key)
         if known is None:
-            if len(self.pairs) >= MEMO_LIMIT:
-                self.pairs.clear()
-            known = self.pairs[key] = self._apart(self.names[before], self.names[after])
+            known = self._apart(self.names[key >> 32], self.names[key & 0xFFFFFFFF])
+        if len(self.pairs) >= MEMO_LIMIT:
+            self.older_pairs = dict(self.pairs)
+            self.pairs.clear()
+        self.pairs[key] = known
         return known
 
     def _apart(self, one: str, two: str) -> bool:
@@ -182,53 +194,66 @@ class Encoder(dict):
 
     def stream(self, text: str) -> Iterator[int]:
         """Ids of ``text``, given out as soon as they are certain."""
+        start, last, size = 0, [_NONE], [0]
+        step = 4 * self.longest
+        for end in range(min(step, len(text)), len(text), self.longest):
+            self._extend(text, start, end, last, size)
+            shared = self._shared(size)
+            if shared:
+                yield from self._path(text, start, last, size, shared)
+                start, last, size = start + shared, last[shared:], size[shared:]
+        self._extend(text, start, len(text), last, size)
+        yield from self._path(text, start, last, size, len(size) - 1)
+
+    def _extend(self, text: str, start: int, end: int, last: list[int], size: list[int]) -> None:
+        """Take the lattice on to boundary ``end``.
+
+        ``last[k]`` and ``size[k]`` are the last piece of the path into boundary start + k, and its length.
+        """
         pieces, reach, pairs = self.pieces, self.reach, self.pairs
-        start = 0  # boundary up to which ids are out; nodes[k] is boundary start + k
-        nodes: list[tuple[int, int]] = [(_NONE, 0)]  # last piece of the path into a node, and its length
-        limit = 4 * self.longest
-        for end in range(1, len(text) + 1):
-            size = reach.get(text[end - 3 : end], 2) if end > 2 else 2
-            if size > end - start:
-                size = end - start
-            while size:
-                piece = pieces.get(text[end - size : end])
+        for to in range(start + len(last), end + 1):
+            length = reach.get(text[to - 3 : to], 2) if to > 2 else 2
+            if length > to - start:
+                length = to - start
+            while length:
+                piece = pieces.get(text[to - length : to])
                 if piece is not None:
-                    before = nodes[-size][0]
+                    before = last[-length]
                     if before == _NONE:
                         break
-                    agree = pairs.get(before << 32 | piece)
-                    if agree or (agree is None and self.agree(before, piece)):
+                    key = before << 32 | piece
+                    agree = pairs.get(key)
+                    if agree or (agree is None and self.agree(key)):
                         break
-                size -= 1
-            nodes.append((piece, size) if size else (_NONE, 1))
-            if len(nodes) > limit:
-                shared = self._shared(nodes)
-                if shared:
-                    yield from self._path(nodes, shared, text, start)
-                    nodes = nodes[shared:]
-                    start += shared
-        yield from self._path(nodes, len(nodes) - 1, text, start)
-
-    def _shared(self, nodes: list[tuple[int, int]]) -> int:
+                length -= 1
+            if length:
+                last.append(piece)
+                size.append(length)
+            else:  # no piece: the character is spelled in bytes
+                last.append(_NONE)
+                size.append(1)
+
+    def _shared(self, size: list[int]) -> int:
         """The boundary on which the paths into the last nodes converge (0: only where they start)."""
-        open_nodes = set(range(max(len(nodes) - self.longest, 0), len(nodes)))
+        open_nodes = set(range(max(len(size) - self.longest, 0), len(size)))
         while len(open_nodes) > 1:
             latest = max(open_nodes)
             open_nodes.remove(latest)
-            open_nodes.add(latest - nodes[latest][1])
+            open_nodes.add(latest - size[latest])
         return open_nodes.pop()
 
-    def _path(self, nodes: list[tuple[int, int]], end: int, text: str, start: int) -> Iterator[int]:
-        path: list[tuple[int, int]] = []
+    def _path(self, text: str, start: int, last: list[int], size: list[int], end: int) -> list[int]:
+        """Ids of the path into boundary start + ``end``."""
+        path: list[int] = []
         while end:
-            path.append((nodes[end][0], start + end))
-            end -= nodes[end][1]
-        for piece, behind in reversed(path):
+            piece = last[end]
             if piece == _NONE:
-                for byte in text[behind - 1].encode():
-                    yield self.model.byte_ids[byte]
+                path.extend(self.model.byte_ids[byte] for byte in reversed(text[start + end - 1].encode()))
             else:
-                yield piece
+                path.append(piece)
+            end -= size[end]
+        path.reverse()
+        return path
 
 
 def decode(ids: list[int], model: Model) -> str:
