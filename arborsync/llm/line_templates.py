@@ -25,7 +25,7 @@ AGREE = 0.75
 # Shorter lines recur by chance.
 LEAST_TOKENS = 4
 # Different texts that must hold a template for it to be dropped.
-LEAST_TEXTS = 3
+LEAST_TEXTS = 2
 
 _FIELD = np.uint64(0xA5A5_5A5A_0F0F_F0F1)
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
