@@ -22,21 +22,24 @@ from arborsync.staging import stage
 LEADING = 3
 SEGMENTS = 8
 AGREE = 0.75
-# Shorter lines recur by chance.
-LEAST_TOKENS = 4
 # Different texts that must hold a template for it to be dropped.
 LEAST_TEXTS = 2
+# Lines of fewer tokens, unless they hold so many bytes (scripts without white space), recur by
+# chance sooner and need more different texts.
+LONG_TOKENS = 4
+LONG_BYTES = 30
+SHORT_TEXTS = 5
 
 _FIELD = np.uint64(0xA5A5_5A5A_0F0F_F0F1)
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
-_OCCURRENCE = "doc_id bigint, key binary, line_no int, line binary, leaf bigint, segments array<int>"
+_OCCURRENCE = "doc_id bigint, key binary, line_no int, line binary, short boolean, leaf bigint, segments array<int>"
 
 
-def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int = SEGMENTS, least: int = LEAST_TOKENS) -> dict:
-    """Columns (text, line_no, line, leaf, segments as offsets and values) of all lines of at least ``least`` tokens.
+def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int = SEGMENTS, least: int = LONG_TOKENS) -> dict:
+    """Columns (text, line_no, line, short, leaf, segments as offsets and values) of all lines of at least ``least`` tokens.
 
     ``line`` identifies the line with its variable fields masked, ``leaf`` its place in the tree.
-    ``least`` must be above ``leading``.
+    A line of no more than ``leading`` tokens has no segments and a leaf of its own.
     """
     words = split_words(texts, NOT_SPACE)
     raw = np.frombuffer(words.data, dtype=np.uint8)
@@ -49,7 +52,7 @@ def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int
     keep = np.flatnonzero(count >= least)
     if not len(keep):
         nothing = np.zeros(0, dtype=np.int64)
-        return {"text": nothing, "line_no": nothing, "line": b"", "leaf": nothing, "offsets": np.zeros(1, np.int32), "values": nothing}
+        return {"text": nothing, "line_no": nothing, "line": b"", "short": nothing.astype(bool), "leaf": nothing, "offsets": np.zeros(1, np.int32), "values": nothing}
     chosen = np.repeat(count >= least, count)
     token, size = token[chosen], count[keep]
     start = np.cumsum(size) - size
@@ -61,19 +64,20 @@ def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int
     early = np.where(place < leading, mix(token + ~salt), np.uint64(0))
     leaf = mix(np.add.reduceat(early, start) ^ length)
     # Tokens after the leading ones, dealt over at most ``segments`` even segments.
-    rest = np.repeat(size - leading, size)
-    segment = np.where(rest > segments, (place - leading) * segments // rest, place - leading)
     tail = np.flatnonzero(place >= leading)
+    rest, at = np.repeat(size - leading, size)[tail], place[tail] - leading
+    segment = np.where(rest > segments, at * segments // np.maximum(rest, 1), at)
     row = np.repeat(np.arange(len(size)), size)[tail]
-    opens = np.flatnonzero(np.diff(row * (segments + 1) + segment[tail], prepend=-1))
+    opens = np.flatnonzero(np.diff(row * (segments + 1) + segment, prepend=-1))
     values = np.add.reduceat(mix(token[tail] + salt[tail]), opens)
-    offsets = np.concatenate(([0], np.cumsum(np.minimum(size - leading, segments)))).astype(np.int32)
+    offsets = np.concatenate(([0], np.cumsum(np.clip(size - leading, 0, segments)))).astype(np.int32)
+    short = (size < LONG_TOKENS) & (np.add.reduceat(words.lengths[chosen], start) < LONG_BYTES)
     line_id = line[first[keep]]
     text_start = np.concatenate(([0], np.cumsum([len(t or b"") + 1 for t in texts])))
     text = np.searchsorted(text_start, words.starts[first[keep]], side="right") - 1
     return {
         "text": text, "line_no": line_id - np.searchsorted(ends, text_start)[text],
-        "line": np.column_stack((one, two)).tobytes(), "leaf": leaf.view(np.int64),
+        "line": np.column_stack((one, two)).tobytes(), "short": short, "leaf": leaf.view(np.int64),
         "offsets": offsets, "values": (values >> np.uint64(32)).astype(np.uint32).view(np.int32),
     }
 
@@ -90,10 +94,10 @@ def _parse(leading: int, segments: int, least: int):
                     [
                         part.column(0), part.column(1), pa.array(found["line_no"].astype(np.int32)),
                         pa.Array.from_buffers(pa.binary(), rows, [None, bounds, pa.py_buffer(found["line"])]),
-                        pa.array(found["leaf"]),
+                        pa.array(found["short"]), pa.array(found["leaf"]),
                         pa.ListArray.from_arrays(pa.array(found["offsets"]), pa.array(found["values"], pa.int32())),
                     ],
-                    names=["doc_id", "key", "line_no", "line", "leaf", "segments"],
+                    names=["doc_id", "key", "line_no", "line", "short", "leaf", "segments"],
                 )
 
     return run
@@ -116,33 +120,37 @@ def _alike(lines: DataFrame, least_texts: int, agree: float) -> DataFrame:
 
 
 def recurring_lines(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", least_texts: int = LEAST_TEXTS, agree: float = AGREE
+    docs: DataFrame, id: str = "doc_id", text: str = "text", least_texts: int = LEAST_TEXTS, agree: float = AGREE,
+    short_texts: int = SHORT_TEXTS,
 ) -> DataFrame:
     """(key, line_numbers): for texts, known by the md5 of their bytes, the lines to drop.
 
-    A template recurs if at least ``least_texts`` different texts hold it; copies of a text count
-    once. The text of the least (id, key) keeps it. Lines of fewer than four tokens are never dropped.
+    A template recurs if at least ``least_texts`` different texts hold it, a short line if
+    ``short_texts`` do; copies of a text count once. The text of the least (id, key) keeps it.
     """
     plain = docs.select(
         F.col(f"`{id}`").cast("bigint").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text}`").cast("binary"))).alias("key"),
         F.col(f"`{text}`").cast("binary").alias("_bytes"),
     ).where("_bytes is not null")
-    seen = stage(plain.mapInArrow(_parse(LEADING, SEGMENTS, LEAST_TOKENS), _OCCURRENCE), "lines")
+    seen = stage(plain.mapInArrow(_parse(LEADING, SEGMENTS, 1), _OCCURRENCE), "lines")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key")).alias("first")
     per_text = seen.groupBy("line", "key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("leaf").alias("leaf"), F.first("segments").alias("segments"))
+        F.min("doc_id").alias("doc_id"), F.min("short").alias("short"), F.first("leaf").alias("leaf"),
+        F.first("segments").alias("segments"))
     lines = stage(
         per_text.groupBy("line").agg(
-            F.count("*").alias("n_texts"), first, F.first("leaf").alias("leaf"), F.first("segments").alias("segments")),
+            F.count("*").alias("n_texts"), first, F.min("short").alias("short"), F.first("leaf").alias("leaf"),
+            F.first("segments").alias("segments")),
         "distinct_lines",
     )
     template = connected_components(_alike(lines, least_texts, agree)).select(
         F.col("node").alias("line"), F.col("label").alias("template"))
     merged = seen.join(template, "line").groupBy("template", "key").agg(F.min("doc_id").alias("doc_id")).groupBy("template").agg(
         F.count("*").alias("n_texts"), first)
-    alone = lines.join(template, "line", "left_anti").select("line", "n_texts", "first")
-    together = template.join(merged, "template").select("line", "n_texts", "first")
-    recurring = alone.union(together).where(F.col("n_texts") >= least_texts).select("line", F.col("first.key").alias("keeper"))
+    alone = lines.join(template, "line", "left_anti").select("line", "n_texts", "first", "short")
+    together = template.join(merged, "template").select("line", "n_texts", "first", F.lit(False).alias("short"))
+    enough = F.when(F.col("short"), F.greatest(F.lit(short_texts), F.lit(least_texts))).otherwise(least_texts)
+    recurring = alone.union(together).where(F.col("n_texts") >= enough).select("line", F.col("first.key").alias("keeper"))
     return seen.select("key", "line", "line_no").join(recurring, "line").where("key <> keeper").groupBy("key").agg(
         F.collect_set("line_no").alias("line_numbers"))
 

@@ -13,3 +13,14 @@ def test_passage_in_exactly_two_texts(docs, prose):
     rows = [(1, prose(1, 30) + "\n" + passage), (2, passage + "\n" + prose(2, 30)), (3, prose(3, 30) + "\n" + wrapped), (4, wrapped + "\n" + prose(4, 30))]
     rows += [(5, prose(5, 30)), (6, prose(5, 30))]
     assert left(docs(rows)) == {**dict(rows), 2: prose(2, 30), 4: prose(4, 30)}
+
+
+def test_short_lines_and_scripts_without_spaces(docs, prose):
+    chinese = "本网站的所有内容均受版权法保护未经许可不得转载"
+    rows = [(i, prose(i, 30) + "\nAll rights reserved." + ("\nrare end" if i < 4 else "") + ("\n" + chinese if i > 5 else "")) for i in range(8)]
+    got = left(docs(rows))
+    assert [i for i, text in got.items() if "All rights reserved." in text] == [0]
+    assert [i for i, text in got.items() if "rare end" in text] == [0, 1, 2, 3]
+    assert [i for i, text in got.items() if chinese in text] == [6]
+    assert all(text.startswith(prose(i, 30)) for i, text in got.items())
+    assert t.parse_lines([b"one"], least=1)["offsets"].tolist() == [0, 0]
