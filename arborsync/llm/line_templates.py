@@ -8,11 +8,13 @@ texts are dropped everywhere but in the first text that has them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.llm.components import connected_components
@@ -103,20 +105,39 @@ def _parse(leading: int, segments: int, least: int):
     return run
 
 
-def _alike(lines: DataFrame, least_texts: int, agree: float) -> DataFrame:
-    """(a, b): lines and the most frequent line of their leaf that shares a segment and agrees in enough of them."""
-    leaves = lines.groupBy("leaf").agg(F.count("*").alias("lines"), F.sum("n_texts").alias("texts"))
-    crowded = lines.join(leaves.where((F.col("lines") > 1) & (F.col("texts") >= least_texts)).select("leaf"), "leaf")
-    shared = stage(crowded.select("leaf", "line", "n_texts", "segments", F.posexplode("segments").alias("at", "segment")), "segments")
-    model = shared.groupBy("leaf", "at", "segment").agg(
-        F.count("*").alias("lines"),
-        F.max(F.struct("n_texts", "line", "segments")).alias("model"),
-    ).where("lines > 1").drop("lines")
-    pairs = shared.join(model, ["leaf", "at", "segment"]).where("line <> model.line")
-    same = F.size(F.filter(F.zip_with("segments", "model.segments", lambda x, y: x == y), lambda x: x))
-    return pairs.where(same >= F.ceil(F.lit(agree) * F.size("segments"))).groupBy(F.col("line").alias("a")).agg(
-        F.max(F.struct("model.n_texts", "model.line")).alias("best")
-    ).select("a", F.col("best.line").alias("b"))
+def _keys(agree: float, segments: int, parts: bool) -> Column:
+    """Hashes of sets of segments, by their count: two lines of a leaf that agree in enough of them have a hash in common.
+
+    The sets are all that are just large enough, so that a common hash means enough agreement too.
+    With ``parts`` they are as few disjoint runs as agreeing lines cannot all differ in: fewer hashes,
+    and a common one means nothing yet.
+    """
+    chosen = F.array().cast("array<bigint>")
+    for count in range(1, segments + 1):
+        need = math.ceil(agree * count)
+        if need == count:
+            continue  # the same line
+        runs = min(count - need + 1, count)
+        sets = [range(i * count // runs, (i + 1) * count // runs) for i in range(runs)] if parts else combinations(range(count), need)
+        hashes = [F.xxhash64(F.lit(i), *[F.get("segments", F.lit(at)) for at in held]) for i, held in enumerate(sets)]
+        chosen = F.when(F.size("segments") == count, F.array(*hashes)).otherwise(chosen)
+    return chosen
+
+
+def _met(lines: DataFrame, keys: Column, label: str) -> DataFrame:
+    """(line, first): lines that have a key in common with other lines of their leaf, and the least of these lines."""
+    keyed = stage(lines.select("leaf", "line", F.explode(keys).alias("at")), label)
+    shared = keyed.groupBy("leaf", "at").agg(F.min("line").alias("first"), F.max("line").alias("last")).where("first <> last")
+    return keyed.join(shared.select("leaf", "at", "first"), ["leaf", "at"]).select("line", "first")
+
+
+def _alike(lines: DataFrame, agree: float) -> DataFrame:
+    """(a, b): links that connect all lines of a leaf which agree in enough segments, directly or by way of others."""
+    rows = lines.select("leaf", "line", "segments").where(F.size(_keys(agree, SEGMENTS, True)) > 0)
+    leaves = rows.groupBy("leaf").agg(F.count("*").alias("lines")).where("lines > 1").select("leaf")
+    near = _met(rows.join(leaves, "leaf"), _keys(agree, SEGMENTS, True), "parts").select("line").distinct()
+    links = _met(rows.join(near, "line"), _keys(agree, SEGMENTS, False), "sets")
+    return links.where("line <> first").select(F.col("line").alias("a"), F.col("first").alias("b")).distinct()
 
 
 def recurring_lines(
@@ -143,7 +164,7 @@ def recurring_lines(
             F.first("segments").alias("segments")),
         "distinct_lines",
     )
-    template = connected_components(_alike(lines, least_texts, agree)).select(
+    template = connected_components(_alike(lines, agree)).select(
         F.col("node").alias("line"), F.col("label").alias("template"))
     merged = seen.join(template, "line").groupBy("template", "key").agg(F.min("doc_id").alias("doc_id")).groupBy("template").agg(
         F.count("*").alias("n_texts"), first)

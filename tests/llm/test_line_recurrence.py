@@ -1,5 +1,9 @@
 """Which lines recur: how many texts it takes, short lines, all pairs of a leaf, numbers."""
 
+import itertools
+import math
+import random
+
 from arborsync.llm import line_templates as t
 
 
@@ -24,3 +28,43 @@ def test_short_lines_and_scripts_without_spaces(docs, prose):
     assert [i for i, text in got.items() if chinese in text] == [6]
     assert all(text.startswith(prose(i, 30)) for i, text in got.items())
     assert t.parse_lines([b"one"], least=1)["offsets"].tolist() == [0, 0]
+
+
+def grouped(pairs, nodes):
+    """The least member of each node's group."""
+    root = {n: n for n in nodes}
+    for a, b in pairs:
+        low, high = sorted((root[a], root[b]))
+        root = {n: low if r == high else r for n, r in root.items()}
+    return root
+
+
+def test_all_pairs_of_a_leaf_are_compared(spark, docs):
+    draw = random.Random(5)
+    lines = []
+    for size in (5, 7, 8, 9, 10, 11, 17):
+        for _ in range(60):
+            lines.append("one two three " + " ".join(draw.choice("abc") for _ in range(size - 3)))
+    lines = sorted(set(lines))
+    found = t.parse_lines([x.encode() for x in lines], least=1)
+    name = [found["line"][16 * i : 16 * i + 16] for i in range(len(lines))]
+    parts = [found["values"][a:b].tolist() for a, b in zip(found["offsets"], found["offsets"][1:])]
+    rows = [(int(leaf), line, own) for leaf, line, own in zip(found["leaf"], name, parts)]
+    table = spark.createDataFrame(rows, "leaf bigint, line binary, segments array<int>")
+    got = [(bytes(r["a"]), bytes(r["b"])) for r in t._alike(table, 0.75).collect()]
+    want = [
+        (x[1], y[1]) for x, y in itertools.combinations(rows, 2)
+        if x[0] == y[0] and sum(p == q for p, q in zip(x[2], y[2])) >= math.ceil(0.75 * len(x[2]))
+    ]
+    assert grouped(got, name) == grouped(want, name) and len(set(grouped(want, name).values())) < len(lines)
+
+
+def test_frequent_lines_do_not_hide_a_template(docs, prose):
+    line = "one two three a1 b c d e f g h".replace("a1", "a").split()
+    variants = [" ".join(line[:8] + [*tail]) for tail in (["f", "g", "w"], ["f", "y", "h"], ["z", "g", "h"])]
+    models = ["one two three a b c d e q r s", "one two three m n o p u f g h"]
+    rows = [(i, prose(i, 30) + "\n" + v) for i, v in enumerate(variants)]
+    rows += [(10 + i, prose(10 + i, 30) + "\n" + models[i % 2]) for i in range(10)]
+    got = left(docs(rows))
+    assert [i for i in range(3) if variants[i] in got[i]] == [0]
+    assert [i for i in range(10, 20) if "one two three" in got[i]] == [10, 11]
