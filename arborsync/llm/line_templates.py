@@ -1,8 +1,9 @@
 """Line deduplication by a tree of log templates.
 
-A line is its white-space separated tokens; tokens with a digit are variable fields. The tree has a
-fixed depth: the number of tokens, then the leading tokens one by one. In a leaf, lines that agree in
-most segments of their remaining tokens share a template. Templates that recur across different
+A line is its white-space separated tokens, in which numbers are variable fields; a line of mostly
+numbers has no fields and stands for itself. The tree has a fixed depth: the number of tokens, then
+the leading tokens one by one. In a leaf, lines that agree in most segments of their remaining tokens
+share a template. Templates that recur across different
 texts are dropped everywhere but in the first text that has them.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.llm.components import connected_components
-from arborsync.llm.words import NOT_SPACE, mix, slices, split_words
+from arborsync.llm.words import NOT_SPACE, byte_class, hash_runs, mix, slices, split_words
 from arborsync.staging import stage
 
 LEADING = 3
@@ -32,23 +33,61 @@ LONG_TOKENS = 4
 LONG_BYTES = 30
 SHORT_TEXTS = 5
 
-_FIELD = np.uint64(0xA5A5_5A5A_0F0F_F0F1)
+# Numbers of a line are fields only if so many of its tokens are words without a digit.
+FIXED = 0.5
+
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
 _OCCURRENCE = "doc_id bigint, key binary, line_no int, line binary, short boolean, leaf bigint, segments array<int>"
 
 
+# Bytes of letters, digits and all characters beyond ASCII; of these the letters; digits of base 16.
+_WORD = byte_class(bytes(b for b in range(0x80) if not chr(b).isalnum()))
+_LETTER = byte_class(bytes(b for b in range(0x80) if not chr(b).isalpha()))
+_HEX = np.isin(np.arange(256), list(b"0123456789abcdefABCDEF"))
+
+
+def _masked(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, length) of tokens with their numbers masked: runs of digits, with ``.`` or ``,`` between
+    digits, and whole runs of letters and digits that read as a number of base 16. What is around them stays."""
+    ends = np.cumsum(lengths + 1)
+    begins = ends - lengths - 1
+    # Each token and the separator behind it, one after the other.
+    data = raw[np.repeat(starts - begins, lengths + 1) + np.arange(ends[-1] if len(ends) else 0)]
+    digit = (data >= 48) & (data <= 57)
+    edges = np.flatnonzero(np.diff(_WORD[data].view(np.int8), prepend=0, append=0))
+    low, high = edges[0::2], edges[1::2]
+    held = lambda marks: (lambda total: total[high] - total[low])(np.concatenate(([0], np.cumsum(marks, dtype=np.int64))))
+    whole = (held(_HEX[data]) == high - low) & (held(digit) > 0)
+    step = np.zeros(len(data) + 1, dtype=np.int8)
+    step[low[whole]], step[high[whole]] = 1, -1
+    field = digit | (np.cumsum(step[:-1], dtype=np.int8) > 0)
+    point = np.zeros(len(data), dtype=bool)
+    point[1:-1] = ((data[1:-1] == 46) | (data[1:-1] == 44)) & digit[:-2] & digit[2:]
+    field |= point
+    stays = ~field
+    stays[:1] |= field[:1]
+    stays[1:] |= field[1:] & ~field[:-1]
+    at = np.concatenate(([0], np.cumsum(stays)))
+    text = np.concatenate((np.where(field, np.uint8(48), data)[stays], np.zeros(8, np.uint8)))
+    size = at[begins + lengths] - at[begins]
+    return hash_runs(text, at[begins], size), size
+
+
 def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int = SEGMENTS, least: int = LONG_TOKENS) -> dict:
     """Columns (text, line_no, line, short, leaf, segments as offsets and values) of all lines of at least ``least`` tokens.
 
     ``line`` identifies the line with its variable fields masked, ``leaf`` its place in the tree.
+    A line in which less than ``FIXED`` of the tokens hold a letter and no digit keeps its numbers and
+    has no segments: it is like no other line.
     A line of no more than ``leading`` tokens has no segments and a leaf of its own.
     """
     words = split_words(texts, NOT_SPACE)
     raw = np.frombuffer(words.data, dtype=np.uint8)
     ends = np.flatnonzero(raw == 10)
     line = np.searchsorted(ends, words.starts)
-    digits = np.concatenate(([0], np.cumsum((raw >= 48) & (raw <= 57), dtype=np.int32)))
-    token = np.where(digits[words.starts + words.lengths] > digits[words.starts], _FIELD, words.hashes)
+    holds = lambda marks: (
+        lambda total: total[words.starts + words.lengths] > total[words.starts])(np.concatenate(([0], np.cumsum(marks, dtype=np.int32))))
+    numeric = holds((raw >= 48) & (raw <= 57))
     first = np.flatnonzero(np.diff(line, prepend=-1))
     count = np.diff(np.append(first, len(line)))
     keep = np.flatnonzero(count >= least)
@@ -56,8 +95,12 @@ def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int
         nothing = np.zeros(0, dtype=np.int64)
         return {"text": nothing, "line_no": nothing, "line": b"", "short": nothing.astype(bool), "leaf": nothing, "offsets": np.zeros(1, np.int32), "values": nothing}
     chosen = np.repeat(count >= least, count)
-    token, size = token[chosen], count[keep]
+    size = count[keep]
     start = np.cumsum(size) - size
+    token, length_of, numeric = words.hashes[chosen], words.lengths[chosen], numeric[chosen]
+    fixed = np.add.reduceat((holds(_LETTER[raw])[chosen] & ~numeric).astype(np.int64), start) >= FIXED * size
+    fields = np.flatnonzero(numeric & np.repeat(fixed, size))
+    token[fields], length_of[fields] = _masked(raw, words.starts[chosen][fields], length_of[fields])
     place = np.arange(len(token)) - np.repeat(start, size)
     salt = place.astype(np.uint64) * _PLACE
     length = mix(size.astype(np.uint64))
@@ -66,14 +109,14 @@ def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int
     early = np.where(place < leading, mix(token + ~salt), np.uint64(0))
     leaf = mix(np.add.reduceat(early, start) ^ length)
     # Tokens after the leading ones, dealt over at most ``segments`` even segments.
-    tail = np.flatnonzero(place >= leading)
+    tail = np.flatnonzero((place >= leading) & np.repeat(fixed, size))
     rest, at = np.repeat(size - leading, size)[tail], place[tail] - leading
     segment = np.where(rest > segments, at * segments // np.maximum(rest, 1), at)
     row = np.repeat(np.arange(len(size)), size)[tail]
     opens = np.flatnonzero(np.diff(row * (segments + 1) + segment, prepend=-1))
     values = np.add.reduceat(mix(token[tail] + salt[tail]), opens)
-    offsets = np.concatenate(([0], np.cumsum(np.clip(size - leading, 0, segments)))).astype(np.int32)
-    short = (size < LONG_TOKENS) & (np.add.reduceat(words.lengths[chosen], start) < LONG_BYTES)
+    offsets = np.concatenate(([0], np.cumsum(np.where(fixed, np.clip(size - leading, 0, segments), 0)))).astype(np.int32)
+    short = (size < LONG_TOKENS) & (np.add.reduceat(length_of, start) < LONG_BYTES)
     line_id = line[first[keep]]
     text_start = np.concatenate(([0], np.cumsum([len(t or b"") + 1 for t in texts])))
     text = np.searchsorted(text_start, words.starts[first[keep]], side="right") - 1

@@ -68,3 +68,31 @@ def test_frequent_lines_do_not_hide_a_template(docs, prose):
     got = left(docs(rows))
     assert [i for i in range(3) if variants[i] in got[i]] == [0]
     assert [i for i in range(10, 20) if "one two three" in got[i]] == [10, 11]
+
+
+def same(one, other):
+    found = t.parse_lines([one.encode(), other.encode()], least=1)["line"]
+    return found[:16] == found[16:32]
+
+
+def test_fields_are_numbers_only():
+    assert same("took 12 ms for node7 at 10:31", "took 3,250.75 ms for node12 at 9:05")
+    assert same("session 9f3ab2c1 closed by peer", "session 04d closed by peer")
+    assert same("the total is price=12 here", "the total is price=7 here")
+    assert not same("the total is price=12 here", "the total is qty=7 here")
+    assert not same("x é12 a b", "x è12 a b")
+    assert not same("2019 31.5 44 12", "2020 31.5 44 12") and same("2019 31.5 44 12", "2019  31.5 44 12")
+    assert not same("| 12 | 13 |", "| 12 | 14 |") and not same("12", "13")
+    found = t.parse_lines([b"7 8 9 1 2 3 4 5 6 7 8\nthe 1 is not a 2 but 3 of the rest"])
+    assert found["offsets"].tolist() == [0, 0, 8]
+
+
+def test_tables_of_numbers_stay(docs, prose):
+    draw = random.Random(6)
+    table = lambda: "\n".join(" ".join(str(draw.randrange(10_000)) for _ in range(4)) for _ in range(10))
+    # Zeros and ones of one leaf that differ in one number.
+    flags = lambda i: "\n".join("0 0 0 " + " ".join(str(int(k == i * 4 + j)) for k in range(16)) for j in range(4))
+    rows = [(i, prose(i, 30) + "\n" + table()) for i in range(4)] + [(10 + i, prose(10 + i, 30) + "\n" + flags(i)) for i in range(4)]
+    shared = "\n1999 28.5 41 11"
+    rows += [(20, prose(20, 30) + shared), (21, prose(21, 30) + shared)]
+    assert left(docs(rows)) == {**dict(rows), 21: prose(21, 30)}
