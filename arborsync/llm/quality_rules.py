@@ -20,6 +20,16 @@ STOP_WORDS = (
     "le la les de des et un une du que qui dans pour sur au "
     "el los las y en del por con para se una"
 ).split()
+# Of other languages that are written with the same letters.
+FURTHER_STOP_WORDS = (
+    "het een van dat zijn il che di non della os da do em och att som det til ja ei na nie si cu din az hogy ve bir bu "
+    "yang dan itu dengan untuk dari ini ang ng sa mga ya wa kwa ni est cum yn agus eta iyo ny sy"
+).split()
+# The letters of these languages, composed or not. A text with more than this share of others is in a
+# language that the lists do not know.
+LETTERS = "a-zA-ZäöüßÄÖÜẞàâæçéèêëîïôœùûÿÀÂÆÇÉÈÊËÎÏÔŒÙÛŸáíñóúÁÍÑÓÚ\\u0300-\\u0303\\u0308\\u0327"
+OTHER_LETTERS = 0.02
+LEAST_STOPS = 0.01
 
 
 @dataclass(frozen=True)
@@ -39,7 +49,7 @@ RULES = (
     Rule("exclaim_ratio", high=0.1),
     Rule("mean_word_chars", low=1.5, high=60),
     Rule("dup_line_ratio", high=0.6),
-    Rule("stop_ratio", low=0.01, from_words=100),
+    Rule("stop_ratio", low=LEAST_STOPS, from_words=100),
 )
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -52,24 +62,33 @@ def _without(text: Column, characters: str) -> Column:
     return text
 
 
-def measure(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+def _unknown(text: Column) -> Column:
+    """Whether more than ``OTHER_LETTERS`` of the letters of ``text`` are in no language of the stop words."""
+    letters = F.char_length(F.regexp_replace(text, "[^\\p{L}\\p{M}]+", ""))
+    others = F.char_length(F.regexp_replace(text, f"[{LETTERS}]+|[^\\p{{L}}\\p{{M}}]+", ""))
+    return others > OTHER_LETTERS * letters
+
+
+def measure(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = (*STOP_WORDS, *FURTHER_STOP_WORDS)) -> DataFrame:
     """Add the counts and ratios that rules refer to.
 
     Words are runs of anything but ASCII white space. A null or empty text has zero in every
-    count and ratio. Added columns replace input columns of the same name.
+    count and ratio. Stop words count in any case; stop_ratio is null for a text with next to none
+    whose letters show a language that the list does not know. Added columns replace input columns
+    of the same name.
     """
-    stops = [*stop_words, *[w.capitalize() for w in stop_words]]
+    stops = sorted({w.lower() for w in stop_words})
     body = F.coalesce(F.col(text), F.lit(""))
     trimmed = F.btrim(body, F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
-    step = docs.withColumns({"_words": words, "_n": F.octet_length(body)})
+    step = docs.withColumns({"_body": body, "_words": words, "_n": F.octet_length(body)})
     found = step.withColumns({
         "n_words": F.size("_words").cast("bigint"),
         "word_chars": F.char_length(F.regexp_replace(body, SPACE_RUN, "")).cast("bigint"),
         "n_symbols": (F.col("_n") - F.octet_length(_without(body, SYMBOLS))).cast("bigint"),
         "_exclaims": F.col("_n") - F.octet_length(_without(body, "!")),
         "_lines": F.filter(F.split(body, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")),
-        "_stops": F.size(F.filter("_words", lambda word: word.isin(stops))),
+        "_stops": F.size(F.filter("_words", lambda word: F.lower(word).isin(stops))),
         "_windows": F.when(
             F.size("_words") >= WINDOW,
             F.transform(F.sequence(F.lit(1), F.size("_words") - WINDOW + 1),
@@ -99,7 +118,8 @@ def measure(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STO
         "exclaim_ratio": ratio(F.col("_exclaims"), chars),
         "mean_word_chars": ratio(chars, n_words),
         "dup_line_ratio": ratio(F.col("n_dup_lines"), F.size("_lines")),
-        "stop_ratio": ratio(F.col("_stops"), n_words),
+        "stop_ratio": F.when((F.col("_stops") < LEAST_STOPS * n_words) & _unknown(F.col("_body")), F.lit(None)).otherwise(
+            ratio(F.col("_stops"), n_words)),
     }
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (*BASE, *ratios)]
     # Handed on through a generator of one row: a filter on a measure must not be pushed below it,
@@ -109,7 +129,7 @@ def measure(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STO
 
 
 def passes(rules: Sequence[Rule] = RULES) -> Column:
-    """One boolean expression for a whole table of rules."""
+    """One boolean expression for a whole table of rules; a metric that is null breaks none."""
     verdict = F.lit(True)
     for rule in rules:
         held = F.lit(True)
@@ -117,7 +137,7 @@ def passes(rules: Sequence[Rule] = RULES) -> Column:
             held = held & (F.col(rule.metric) >= rule.low)
         if rule.high is not None:
             held = held & (F.col(rule.metric) <= rule.high)
-        verdict = verdict & ((F.col("n_words") < rule.from_words) | held)
+        verdict = verdict & ((F.col("n_words") < rule.from_words) | F.coalesce(held, F.lit(True)))
     return verdict
 
 
