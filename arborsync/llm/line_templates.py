@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborsync.llm.components import connected_components
-from arborsync.llm.words import NOT_SPACE, byte_class, hash_runs, mix, slices, split_words
+from arborsync.llm.words import NOT_SPACE, byte_class, hash_runs, mix, split_words
 from arborsync.staging import stage
 
 LEADING = 3
@@ -36,6 +36,10 @@ SHORT_TEXTS = 5
 # Numbers of a line are fields only if so many of its tokens are words without a digit.
 FIXED = 0.5
 
+# Lines are parsed about so many bytes at a time, whichever texts they are from. Parsing takes up to
+# 70 bytes for one of them; only a single longer line is parsed in one go.
+PARSE_BYTES = 512 << 10
+
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
 _OCCURRENCE = "doc_id bigint, key binary, line_no int, line binary, short boolean, leaf bigint, segments array<int>"
 
@@ -52,11 +56,11 @@ def _masked(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[n
     ends = np.cumsum(lengths + 1)
     begins = ends - lengths - 1
     # Each token and the separator behind it, one after the other.
-    data = raw[np.repeat(starts - begins, lengths + 1) + np.arange(ends[-1] if len(ends) else 0)]
+    data = raw[np.repeat((starts - begins).astype(np.int32), lengths + 1) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
     digit = (data >= 48) & (data <= 57)
     edges = np.flatnonzero(np.diff(_WORD[data].view(np.int8), prepend=0, append=0))
     low, high = edges[0::2], edges[1::2]
-    held = lambda marks: (lambda total: total[high] - total[low])(np.concatenate(([0], np.cumsum(marks, dtype=np.int64))))
+    held = lambda marks: (lambda total: total[high] - total[low])(np.concatenate(([0], np.cumsum(marks, dtype=np.int32))))
     whole = (held(_HEX[data]) == high - low) & (held(digit) > 0)
     step = np.zeros(len(data) + 1, dtype=np.int8)
     step[low[whole]], step[high[whole]] = 1, -1
@@ -67,7 +71,7 @@ def _masked(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[n
     stays = ~field
     stays[:1] |= field[:1]
     stays[1:] |= field[1:] & ~field[:-1]
-    at = np.concatenate(([0], np.cumsum(stays)))
+    at = np.concatenate(([0], np.cumsum(stays, dtype=np.int32)))
     text = np.concatenate((np.where(field, np.uint8(48), data)[stays], np.zeros(8, np.uint8)))
     size = at[begins + lengths] - at[begins]
     return hash_runs(text, at[begins], size), size
@@ -84,7 +88,7 @@ def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int
     words = split_words(texts, NOT_SPACE)
     raw = np.frombuffer(words.data, dtype=np.uint8)
     ends = np.flatnonzero(raw == 10)
-    line = np.searchsorted(ends, words.starts)
+    line = np.searchsorted(ends, words.starts).astype(np.int32)
     holds = lambda marks: (
         lambda total: total[words.starts + words.lengths] > total[words.starts])(np.concatenate(([0], np.cumsum(marks, dtype=np.int32))))
     numeric = holds((raw >= 48) & (raw <= 57))
@@ -127,17 +131,45 @@ def parse_lines(texts: list[bytes | None], leading: int = LEADING, segments: int
     }
 
 
+def line_slices(batch: pa.RecordBatch, column: str, limit: int = PARSE_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Runs of (row, number of the first line, whole lines) of a binary ``column``, about ``limit`` bytes each.
+
+    Longer texts are cut at line ends, the end itself left out.
+    """
+    values = batch.column(batch.schema.get_field_index(column))
+    held, size = [], 0
+    for row in range(len(values)):
+        text = values[row].as_py() or b""
+        begin = line = 0
+        while begin <= len(text):
+            end = len(text) if len(text) - begin <= limit - size else text.find(b"\n", begin + limit - size)
+            end = len(text) if end < 0 else end
+            piece = text[begin:end]
+            held.append((row, line, piece))
+            size += len(piece) + 1
+            if size >= limit:
+                yield held
+                held, size = [], 0
+            line += piece.count(b"\n") + 1
+            begin = end + 1
+    if held:
+        yield held
+
+
 def _parse(leading: int, segments: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, texts in slices(batch, "_bytes"):
-                found = parse_lines(texts, leading, segments, least)
+            for pieces in line_slices(batch, "_bytes"):
+                found = parse_lines([p for _, _, p in pieces], leading, segments, least)
                 rows = len(found["text"])
-                part = batch.slice(begin, len(texts)).take(pa.array(found["text"]))
+                if not rows:
+                    continue
+                at = pa.array(np.array([r for r, _, _ in pieces])[found["text"]])
+                found["line_no"] = found["line_no"] + np.array([n for _, n, _ in pieces])[found["text"]]
                 bounds = pa.py_buffer((np.arange(rows + 1, dtype=np.int32) * 16).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), part.column(1), pa.array(found["line_no"].astype(np.int32)),
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array(found["line_no"].astype(np.int32)),
                         pa.Array.from_buffers(pa.binary(), rows, [None, bounds, pa.py_buffer(found["line"])]),
                         pa.array(found["short"]), pa.array(found["leaf"]),
                         pa.ListArray.from_arrays(pa.array(found["offsets"]), pa.array(found["values"], pa.int32())),

@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import pytest
@@ -9,21 +10,35 @@ def left(docs):
     return {r["doc_id"]: r["text"] for r in t.deduplicate_lines(docs).collect()}
 
 
-def brute(texts, least=3):
-    """Without merging by likeness: masked lines in ``least`` texts go, but from the first text."""
-    mask = lambda line: tuple("<*>" if any(c.isdigit() for c in w) else w for w in line.split())
+def masked(line):
+    """The shipped reading of one line: numbers are fields where half of the tokens are words."""
+    tokens = re.split("[ \\t\\x0b\\f\\r]+", line.strip(" \t\x0b\f\r"))
+    words = sum(any(c.isalpha() for c in w) and not any(c in "0123456789" for c in w) for w in tokens)
+    if 2 * words < len(tokens):
+        return tuple(tokens)
+    number = re.compile("(?<![0-9A-Za-z\\x80-\U0010ffff])(?=[0-9A-Fa-f]*[0-9])[0-9A-Fa-f]+(?![0-9A-Za-z\\x80-\U0010ffff])|[0-9]+")
+    return tuple(re.sub("0+", "0", re.sub("0(?:[.,]?0)*", "0", number.sub("0", w))) for w in tokens)
+
+
+def brute(texts):
+    """Without merging by likeness: lines that recur in two different texts (five, if short) stay in the first text only."""
     held = defaultdict(list)
     for i, text in texts:
         for line in (text or "").split("\n"):
-            if len(line.split()) >= 4 and text not in [x for _, x in held[mask(line)]]:
-                held[mask(line)].append((i, text))
+            if line.strip() and text not in [x for _, x in held[masked(line)]]:
+                held[masked(line)].append((i, text))
+
+    def needs(line):
+        tokens = masked(line)
+        return 5 if len(tokens) < 4 and sum(len(w.encode()) for w in tokens) < 30 else 2
+
     out = {}
     for i, text in texts:
         if text is None:
             out[i] = None
             continue
-        lines = [x for x in text.split("\n")]
-        kept = [x for x in lines if len(held[mask(x)]) < least or len(x.split()) < 4 or held[mask(x)][0][1] == text]
+        lines = text.split("\n")
+        kept = [x for x in lines if not x.strip() or len(held[masked(x)]) < needs(x) or held[masked(x)][0][1] == text]
         if kept == lines or "".join(kept).strip():
             out[i] = "\n".join(kept)
     return out
@@ -38,6 +53,13 @@ def planted(prose):
     rows += [(60, prose(60, 40)), (61, prose(60, 40)), (62, prose(60, 40)), (63, prose(60, 40))]
     rows += [(70, "All the same line here"), (71, "All the same line here\nAll the same line here"), (72, "x\nAll the same line here"), (73, None), (74, "")]
     rows += [(80 + i, "the end\n" + prose(80 + i, 20)) for i in range(4)]
+    rows += [(90 + i, "one short end\n" + prose(90 + i, 20)) for i in range(5)]
+    rows += [(100 + i, "exactly four plain words\n" + prose(100 + i, 20)) for i in range(2)]
+    rows += [(110 + i, "a" * 26 + " bc d\n" + prose(110 + i, 20)) for i in range(4)]
+    rows += [(120 + i, "a" * 27 + " bc d\n" + prose(120 + i, 20)) for i in range(2)]
+    rows += [(130 + i, f"only half {i} {i * 7}\n" + prose(130 + i, 20)) for i in range(2)]
+    rows += [(140 + i, f"less {i} {i * 7} {i * 5}\n" + prose(140 + i, 20)) for i in range(2)]
+    rows += [(150 + i, f"paid 1{i},000.5{i} at shop{i}a by card {i}af\n" + prose(150 + i, 20)) for i in range(2)]
     return rows
 
 
@@ -68,6 +90,32 @@ def test_empty_table(docs):
     assert t.deduplicate_lines(docs([])).count() == 0
 
 
+def test_long_texts_are_cut_at_line_ends(prose):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [b"a b c d\n\nlast one\n", None, b"", prose(1, 300).encode(), b"x" * 900 + b"\n" + b"y z"]
+    for limit in (1, 7, 100, 1 << 20):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["_bytes"])
+        got = {}
+        for pieces in t.line_slices(batch, "_bytes", limit):
+            for row, line, piece in pieces:
+                for i, one in enumerate(piece.split(b"\n")):
+                    got[row, line + i] = one
+        assert got == {(r, i): one for r, x in enumerate(texts) for i, one in enumerate((x or b"").split(b"\n"))}
+
+    # A text of 64 MB needs its own size, and little more, at a time.
+    text = b"\n".join([b"some 12 words of a line, " + str(i).encode() for i in range(2_000_000)])
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([b"k"]), pa.array([text], pa.binary())], names=["doc_id", "key", "_bytes"])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in t._parse(t.LEADING, t.SEGMENTS, 1)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2_000_000 and len(text) > 60 << 20 and peak < len(text) + 60 * (1 << 20)
+
+
 def test_lines_and_segments():
     found = t.parse_lines([b"a b c d e\nshort one\n\nx1 b c d e", None, b"", b"a b c d e"])
     assert found["text"].tolist() == [0, 0, 3] and found["line_no"].tolist() == [0, 3, 0]
