@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts, tool_calls
+from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, phrase_mining, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts, tool_calls
 
 CATALOG = Catalog()
 
@@ -220,3 +220,34 @@ def op4_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return linked.select(
         F.col("conversation").alias("conv_id"), F.col("position").alias("turn"), "kind", "id", "status", "step",
         F.concat_ws("; ", "errors").alias("errors"), "n_errors", "json")
+
+
+_PHRASES_SQL = r"""
+with low as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as up, 'abcdefghijklmnopqrstuvwxyz' as down),
+ p as (select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), up, down), '[.,;:!?\x0A-\x0D]')) as piece from documents, low),
+ w as (select row_number() over () as pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from p),
+ t as (select lang, sum(len(words))::hugeint as n from w group by lang),
+ g as (select lang, array_to_string(list_slice(words, i, i + k - 1), ' ') as phrase, k
+       from (select lang, words, k, unnest(range(1, greatest(len(words) - k + 2, 1))) as i from w, range(1, 6) as o(k))),
+ f as (select lang, phrase, any_value(k) as k, count(*)::hugeint as f from g group by lang, phrase having count(*) >= 100),
+ c as (select lang, phrase, k, f as a, string_split(phrase, ' ') as words from f where k > 1),
+ cuts as (select c.*, j, array_to_string(list_slice(words, 1, j), ' ') as front, array_to_string(list_slice(words, j + 1, k), ' ') as back
+       from (select *, unnest(range(1, k)) as j from c) as c),
+ scored as (select cuts.lang, cuts.phrase, a, l.f as l, r.f as r, n, j, (1000 * a * n) // (l.f * r.f) as score
+       from cuts join f as l on l.lang = cuts.lang and l.phrase = front join f as r on r.lang = cuts.lang and r.phrase = back
+         join t on t.lang = cuts.lang),
+ best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+ inner_of as (select lang, a as longer, array_to_string(list_slice(words, i, i + m - 1), ' ') as phrase
+       from (select *, unnest(range(1, k - m + 2)) as i from (select *, unnest(range(2, k)) as m from c))),
+ gone as (select distinct best.lang, best.phrase from best join inner_of using (lang, phrase) where 100 * longer >= 100 * a),
+ ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank
+       from best anti join gone using (lang, phrase))
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked where rank <= 2000"""
+
+
+@CATALOG.query(_PHRASES_SQL)
+def op12_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return phrase_mining.mine_phrases(docs, id="doc_id")
