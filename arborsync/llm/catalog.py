@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, language_id, line_templates, phrase_mining, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts, tool_calls
+from arborsync.llm import decontamination, jaccard_join, language_id, license_scan, line_templates, phrase_mining, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts, tool_calls
 
 CATALOG = Catalog()
 
@@ -251,3 +251,51 @@ from ranked where rank <= 2000"""
 def op12_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     return phrase_mining.mine_phrases(docs, id="doc_id")
+
+
+def _license_sql() -> str:
+    words = [license_scan.split_license_words(text) for _, text in license_scan.TEMPLATES]
+    grams = [
+        (i, label, len(own), at, own[at : at + 3])
+        for i, ((label, _), own) in enumerate(zip(license_scan.TEMPLATES, words)) for at in range(len(own) - 2)
+    ]
+    places = ", ".join(f"({i}, '{label}', {width}, {at}, '{g[0]}', '{g[1]}', '{g[2]}')" for i, label, width, at, g in grams)
+    stands = " or ".join(
+        "(" + " and ".join(f"{c} = '{w}'" for c, w in zip("abc", phrase.split(" "))) + f" and base = '{label}')"
+        for phrase, label in license_scan.PHRASES.items())
+    bases = ", ".join(f"('{label}')" for label in license_scan.PHRASES.values())
+    return rf"""
+with low as (select '{license_scan.UPPER}' as up, '{license_scan.UPPER.lower()}' as down),
+ d as (select row_number() over () as rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), up, down), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents, low),
+ w as (select rid, i - 1 as i, words[i] as a, words[i + 1] as b, words[i + 2] as c
+       from (select rid, words, unnest(range(1, len(words) + 1)) as i from d)),
+ base as (select rid, i, base from w, (values {bases}) as v(base) where {stands}),
+ b as (select rid, count(*) as n_base, min(i) as first_word, max(i) as last_word from base group by rid),
+ t0 as (select * from (values {places}) as v(template, label, width, place, a, b, c)),
+ own as (select a, b, c from t0 group by a, b, c having count(distinct label) = 1),
+ t as (select t0.*, own.a is not null as own from t0 left join own using (a, b, c)),
+ sizes as (select template, count(*) as n_places, count(*) filter (own) as n_own from t group by template),
+ m as (select rid, template, label, width, i - place as diagonal, place, own from w join t using (a, b, c)),
+ v as (select distinct rid, template, label, width, diagonal from m),
+ n as (select *, sum(apart) over (partition by rid, template order by diagonal) as notice from
+       (select *, case when diagonal - lag(diagonal) over (partition by rid, template order by diagonal) > floor(width * 0.25) then 1 else 0 end as apart from v)),
+ s as (select rid, template, label, notice, count(distinct place) / any_value(n_places) as share,
+         count(distinct place) / any_value(n_places) >= 0.6 and any_value(n_own) > 0
+           and count(distinct place) filter (own) >= 0.6 * any_value(n_own) as verified
+       from m join n using (rid, template, label, width, diagonal) join sizes using (template) group by all),
+ best as (select rid, max(share) as share from s group by rid),
+ named as (select rid, base as label, true as is_base from base union select rid, label, false from s where verified),
+ l as (select rid, string_agg(distinct label, ',' order by label) as labels,
+         string_agg(distinct label, ',' order by label) filter (is_base) as base_labels from named group by rid)
+select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
+  last_word::bigint as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  case when n_base > 0 then 1.0 else coalesce(share, 0) end::double as score
+from d left join b using (rid) left join best using (rid) left join l using (rid)"""
+
+
+@CATALOG.query(_license_sql())
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return license_scan.find_licenses(docs).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
