@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.llm import decontamination, jaccard_join, language_id, license_scan, line_templates, phrase_mining, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts, tool_calls
+from arborsync.llm import decontamination, jaccard_join, language_id, license_scan, line_templates, phrase_mining, prefix_trie, quality_classifier, quality_rules, sentencepiece_stream, sharding, token_counts, tool_calls
 
 CATALOG = Catalog()
 
@@ -299,3 +299,35 @@ def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return license_scan.find_licenses(docs).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+_TRIE_SQL = """
+with turns as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+ t as (select conv_id, list({'role': role, 'text': text} order by turn nulls first, md5(concat(strlen(role), ':', role, text))) as own
+       from turns group by conv_id),
+ h as (select conv_id, own, conv_id - conv_id % 5 as source, (xor(list_reduce(
+           list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+           lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda p, i: case when p % 2 = 1 then xor(p // 2, 3988292384) else p // 2 end)
+         ), 4294967295) % 9)::bigint as head from t),
+ r as (select h.conv_id, list_concat(coalesce(list_slice(b.own, 1, head), []), list_slice(h.own, head + 1, len(h.own))) as turns
+       from h left join t as b on b.conv_id = h.source),
+ p as (select conv_id, d, len(turns) = d as ends_here, list_slice(turns, 1, d) as key, turns[d].text as last
+       from (select *, unnest(range(0, len(turns) + 1)) as d from r)),
+ n as (select key, any_value(last) as last, d as depth, min(conv_id) as conv_id, count(*) as n_convs,
+         coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends_here), '') as ends from p group by key, d),
+ c as (select list_slice(key, 1, depth - 1) as key, count(*) as n_children from n where depth > 0 group by 1),
+ m as (select n.*, coalesce(n_children, 0) as n_children from n left join c on c.key = n.key),
+ below as (select a.key, count(*) filter (b.n_children = 0) as n_leaves, sum((b.n_convs - 1) * coalesce(strlen(b.last), 0)) as saved
+       from m as a join m as b on b.depth >= a.depth and list_slice(b.key, 1, a.depth) = a.key group by a.key)
+select m.conv_id, m.depth::bigint as depth, up.conv_id as parent_conv_id, m.n_convs::bigint as n_convs, m.n_children::bigint as n_children,
+  n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(m.ends) as ends_sha256
+from m join below on below.key = m.key left join m as up on m.depth > 0 and up.key = list_slice(m.key, 1, m.depth - 1)"""
+
+
+@CATALOG.query(_TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations rebuilt to share beginnings: up to eight first turns come from the first of each five."""
+    turns = prefix_trie.hashed_turns(table(spark, folder, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    shared = prefix_trie.rebuilt(turns, head, F.col("conv_id") - F.col("conv_id") % 5, most=8)
+    return prefix_trie.prefix_trie(shared, turns.select("conv_id"))
