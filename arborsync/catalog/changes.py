@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arborsync.catalog import Catalog
 from arborsync.catalog.fragments import CRAWL, SNAPSHOTS, changes as changes_sql
 from arborsync.functions import paths
-from arborsync.operators import actions, diff, export, renames, snapshot, upsert
+from arborsync.operators import actions, diff, export, merkle, renames, snapshot, upsert
 from arborsync.operators.refs import resolve_refs
 from arborsync.plans import crawl
 from arborsync.sources import virtual
@@ -31,6 +31,19 @@ def changeset(spark: SparkSession, folder: str) -> DataFrame:
     return _changes(spark, folder).select(*SHOWN)
 
 
+@CATALOG.query(f"with {changes_sql('source')} select * from changes")
+def changeset_by_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """What changed in every source, found from the top folders down: folders that are the same are not entered."""
+    entries, roots = virtual.folder_store(spark, folder)
+
+    def tops(version: str, name: str) -> DataFrame:
+        at = roots.where(F.col("commit_sha") == virtual.commit_sha(F.col("repo_id"), version))
+        return at.select("repo_id", F.col("tree_id").alias(name))
+
+    pairs = tops(virtual.OLD, "old_tree").join(tops(virtual.NEW, "new_tree"), "repo_id", "full_outer")
+    return merkle.merkle_changeset(pairs, entries).select(*SHOWN)
+
+
 @CATALOG.query(
     f"""with {changes_sql('source')}
 select repo_id, count(*) filter (status = 'A') as added, count(*) filter (status = 'M') as modified,

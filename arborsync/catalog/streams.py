@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from arborsync.catalog import Catalog
 from arborsync.catalog.fragments import SNAPSHOTS
 from arborsync.catalog.fragments import changes as changes_sql
+from arborsync.operators import merkle
 from arborsync.session import new_work_path
 from arborsync.sources import virtual
 from arborsync.sources.tables import read_table
@@ -43,7 +44,7 @@ def _feed(spark: SparkSession, folder: str) -> DataFrame:
     work = new_work_path(spark, "changefeed")
     tree = stage(virtual.tree(spark, folder, repo="source").drop("doc_id"), "tree")
     is_new = F.col("commit_sha") == virtual.commit_sha(F.col("repo_id"), virtual.NEW)
-    tree.where(~is_new).write.parquet(f"{work}/tree")
+    merkle.store_snapshots(tree.where(~is_new), f"{work}/store", 1)
     repos = read_table(spark, folder, "documents").select(F.col("source").alias("repo_id")).distinct()
     sizes = tree.groupBy("repo_id", "commit_sha").agg(F.count("*").alias("files"))
     versions = {1: virtual.OLD, 2: virtual.NEW, 3: virtual.OLD}
@@ -61,11 +62,11 @@ def _feed(spark: SparkSession, folder: str) -> DataFrame:
 
     announce(1, 3)
     stream = changefeed.read_announcements(spark, f"{work}/announced", files_per_batch=1)
-    changefeed.start_changefeed(stream, f"{work}/tree", f"{work}/out", f"{work}/checkpoint").awaitTermination()
-    tree.where(is_new).write.mode("append").parquet(f"{work}/tree")
+    changefeed.start_changefeed(stream, f"{work}/store", f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    merkle.store_snapshots(tree.where(is_new), f"{work}/store", 2)
     announce(2)
     announce(2, 1)
-    changefeed.start_changefeed(stream, f"{work}/tree", f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    changefeed.start_changefeed(stream, f"{work}/store", f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return changefeed.read_feed(spark, f"{work}/out")
 
 

@@ -33,6 +33,11 @@ TREE_ENTRIES = _table(
     ("repo_id", STRING), ("commit_sha", STRING), ("path", STRING),
     ("mode", STRING), ("blob_sha", STRING), ("size", LONG),
 )
+# Folders by their content: each entry of each folder, and the top folder of each snapshot.
+FOLDER_ENTRIES = _table(
+    ("folder_id", STRING), ("name", STRING), ("kind", STRING), ("child_id", STRING), ("mode", STRING), ("size", LONG),
+)
+SNAPSHOT_ROOTS = _table(("repo_id", STRING), ("commit_sha", STRING), ("tree_id", STRING), ("files", LONG))
 BLOBS = _table(("blob_sha", STRING), ("content", BinaryType()), ("read_error", STRING))
 DOCUMENTS_OUT = _table(
     ("config_hash", STRING), ("sync_id", LONG), ("title", STRING), ("content", STRING),

@@ -21,8 +21,12 @@ from pyspark.sql import functions as F
 
 from arborsync.functions.paths import passes_filter
 from arborsync.operators.content import read_outcomes
+from arborsync.operators.merkle import read_roots, store_snapshots
 from arborsync.operators.refs import HEADS, REMOTES, TAGS
 from arborsync.plans.crawl import Repository, with_config
+from arborsync.schemas import FOLDER_ENTRIES
+from arborsync.session import new_work_path
+from arborsync.sources.keyed import read_segments
 from arborsync.sources.tables import read_table
 from arborsync.staging import stage
 
@@ -34,6 +38,7 @@ FILE_MODE, LINK_MODE = "100644", "120000"
 
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
+_paths: dict[tuple[str, str, str], str] = {}
 
 
 def stored(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -44,6 +49,16 @@ def stored(spark: SparkSession, folder: str, name: str, build: Callable[[], Data
     return _written[key]
 
 
+def stored_path(spark: SparkSession, folder: str, name: str, write: Callable[[str], None]) -> str:
+    """Like ``stored`` for a table with a layout of its own, which ``write`` writes below a path."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _paths:
+        path = new_work_path(spark, name)
+        write(path)
+        _paths[key] = path
+    return _paths[key]
+
+
 def _pick(key: Column, values: tuple) -> Column:
     """values[key % n]; None stands for null."""
     chosen = F.lit(values[-1])
@@ -116,6 +131,17 @@ def tree(spark: SparkSession, folder: str, repo: str | None = None, planted: boo
     return old.unionByName(new)
 
 
+def folder_store(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(entries, roots) of both snapshots of every source, stored in two ingests."""
+    path = stored_path(spark, folder, "folders", lambda path: _store_folders(spark, folder, path))
+    return read_segments(spark, f"{path}/entries", FOLDER_ENTRIES), read_roots(spark, path)
+
+
+def _store_folders(spark: SparkSession, folder: str, path: str) -> None:
+    for segment, snapshot in enumerate(snapshot_pair(spark, folder, "source")):
+        store_snapshots(snapshot.drop("doc_id"), path, segment)
+
+
 def text_blobs(spark: SparkSession, folder: str) -> DataFrame:
     """``blob_sha, content, read_error`` of the plain texts in both snapshots."""
     return stored(spark, folder, "text-blobs", lambda: _text_blobs(spark, folder))

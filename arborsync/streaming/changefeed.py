@@ -1,8 +1,10 @@
 """Change feed: each announced snapshot is compared with the one before it.
 
-A snapshot's tree rows are stored first, then its announcement
-(``repo_id, sync_id, commit_sha, files``, the number of its tree rows) is dropped
-into a folder, so a micro-batch always sees whole snapshots.
+A snapshot is stored first (merkle.store_snapshots), then its announcement
+(``repo_id, sync_id, commit_sha, files``, the number of its files) is dropped
+into a folder, so a micro-batch always sees whole snapshots. Two snapshots are
+compared from their top folders down, and folders that are the same in both are
+not read: a micro-batch costs what changed, not what is stored.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from arborsync.operators.diff import MODIFIED, changeset
-from arborsync.operators.skew import lookup_join
+from arborsync.operators.diff import MODIFIED
+from arborsync.operators.merkle import merkle_changeset, read_roots, stored_folders
 from arborsync.staging import stage
 from arborsync.streaming.sink import BATCH, merge_batches, read_batches, run_available, write_batch
 
@@ -62,16 +64,21 @@ def batch_steps(announced: DataFrame, heads: DataFrame) -> DataFrame:
     return lined_up.where("_fresh OR _after_fresh").select("repo_id", "sync_id", "commit_sha", "files", "previous")
 
 
-def step_changes(steps: DataFrame, tree: DataFrame) -> DataFrame:
-    """Change rows with their ``sync_id`` for ``steps`` (see batch_steps)."""
-    named = steps.withColumn("step", F.concat_ws("\x1f", "repo_id", F.col("sync_id").cast("string")))
+def with_roots(steps: DataFrame, roots: DataFrame) -> DataFrame:
+    """Add ``new_tree, stored`` (files of the stored snapshot, 0 where there is none) and ``old_tree`` to ``steps``."""
+    key = ["repo_id", "commit_sha"]
+    asked = steps.select(*key).union(steps.select("repo_id", F.col("previous").alias("commit_sha"))).distinct()
+    known = stage(roots.join(asked, key, "left_semi"), "roots")
+    new = known.select(*key, F.col("tree_id").alias("new_tree"), F.col("files").alias("stored"))
+    old = known.select("repo_id", F.col("commit_sha").alias("previous"), F.col("tree_id").alias("old_tree"))
+    found = steps.join(new, key, "left").join(old, ["repo_id", "previous"], "left")
+    return found.withColumn("stored", F.coalesce("stored", F.lit(0).cast("bigint")))
 
-    def side(sha: str) -> DataFrame:
-        at = named.select("step", "repo_id", F.col(sha).alias("commit_sha"))
-        rows = lookup_join(tree, at, ["repo_id", "commit_sha"], how="inner")
-        return rows.select(F.col("step").alias("repo_id"), "path", "blob_sha", "mode")
 
-    changes = changeset(side("previous"), side("commit_sha"))
+def step_changes(steps: DataFrame, folders) -> DataFrame:
+    """Change rows with their ``sync_id`` for ``steps`` (see with_roots); ``folders`` as for merkle.folder_changes."""
+    step = F.concat_ws("\x1f", "repo_id", F.col("sync_id").cast("string")).alias("repo_id")
+    changes = merkle_changeset(steps.select(step, "old_tree", "new_tree"), folders)
     return changes.select(
         F.split_part("repo_id", F.lit("\x1f"), F.lit(1)).alias("repo_id"),
         F.split_part("repo_id", F.lit("\x1f"), F.lit(2)).cast("bigint").alias("sync_id"),
@@ -103,27 +110,23 @@ def read_feed(spark: SparkSession, output: str) -> DataFrame:
     return changes.join(told, ["repo_id", "sync_id", BATCH], "left_semi").drop(BATCH)
 
 
-def start_changefeed(announcements: DataFrame, tree_path: str, output: str, checkpoint: str) -> StreamingQuery:
+def start_changefeed(announcements: DataFrame, store: str, output: str, checkpoint: str) -> StreamingQuery:
     """Write ``output/changes`` and ``output/heads``; a repeated micro-batch rewrites the same folders.
 
-    The tree table is listed anew in every batch, so snapshots stored after the start are seen. A
-    snapshot with other than the announced number of rows there (none at all, where no number is
-    given) fails the batch: it was announced before it was stored.
+    ``store`` is a folder store; it is listed anew in every batch, so snapshots stored after the start
+    are seen. A snapshot with other than the announced number of files there (none at all, where no
+    number is given) fails the batch: it was announced before it was stored.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         merge_batches(spark, f"{output}/heads", ANNOUNCEMENTS, _last_told, batch_id)
         heads = read_batches(spark, f"{output}/heads", ANNOUNCEMENTS, before=batch_id)
-        tree = spark.read.parquet(tree_path)
-        steps = stage(batch_steps(batch, heads), "steps")
-        key = ["repo_id", "commit_sha"]
-        stored = tree.join(steps.select(*key).distinct(), key, "left_semi").groupBy(*key).agg(F.count("*").alias("_rows"))
-        counted = steps.join(stored, key, "left").withColumn("_rows", F.coalesce("_rows", F.lit(0)))
-        missing = counted.where(F.coalesce(F.col("files") != F.col("_rows"), F.col("_rows") == 0)).first()
+        steps = stage(with_roots(batch_steps(batch, heads), read_roots(spark, store)), "steps")
+        missing = steps.where(F.coalesce(F.col("files") != F.col("stored"), F.col("stored") == 0)).first()
         if missing:
             raise RuntimeError(f"snapshot {missing['commit_sha']} of {missing['repo_id']} is announced but not stored in full")
-        write_batch(step_changes(steps, tree), f"{output}/changes", batch_id)
-        write_batch(steps.drop("previous"), f"{output}/heads", batch_id)
+        write_batch(step_changes(steps, stored_folders(spark, store)), f"{output}/changes", batch_id)
+        write_batch(steps.select("repo_id", "sync_id", "commit_sha", "files"), f"{output}/heads", batch_id)
 
     return run_available(announcements, handle, checkpoint)
