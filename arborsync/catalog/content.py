@@ -82,6 +82,16 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("path", "outcome", "text")
 
 
+@CATALOG.query(
+    f"""with {PLANTED} select path, case when size > 20000 then 'too_large' else outcome end as outcome,
+  case when outcome = 'ok' and size <= 20000 then content end as text from judged where version = 'new'"""
+)
+def read_texts_by_size(spark: SparkSession, folder: str) -> DataFrame:
+    """The same limit by the size that the tree lists: larger files are not read at all."""
+    read = reading.read_texts(_new(spark, folder), virtual.planted_blobs(spark, folder), 20_000, by_size=True)
+    return read.select("path", "outcome", "text")
+
+
 @CATALOG.query(
     f"""with {PLANTED} select path, string_split(path, '/')[-1] as file_name,
   case doc_id % 6 when 0 then 'text/markdown' when 1 then 'text/plain' when 2 then 'text/x-python'

@@ -9,7 +9,8 @@ from arborsync.functions import content as tests
 from arborsync.functions import paths
 from arborsync.functions.mime import with_mime_type
 from arborsync.operators.skew import lookup_join
-from arborsync.sources.tables import PREFIX, key_prefix
+from arborsync.sources.keyed import SEGMENT, rows_with_keys
+from arborsync.staging import stage
 
 
 def needed_blobs(files: DataFrame, blobs: DataFrame) -> DataFrame:
@@ -17,14 +18,12 @@ def needed_blobs(files: DataFrame, blobs: DataFrame) -> DataFrame:
 
     Cut down first: with few files the planner broadcasts their keys and no
     content is shuffled; with many, the join to come reuses this one's partitioning.
-    Of blobs stored by key prefix (tables.write_blobs_by_prefix) only the folders are
-    read that some file points into; ``files`` should then be a written table.
+    Of blobs stored in segments (keyed.append_new) only those row groups or segments are
+    read that hold a key some file points at. Their keys are written down for it first.
     """
     wanted = files.select("blob_sha").distinct()
-    if PREFIX in blobs.columns:
-        # One row for each prefix in use: 256 at most.
-        used = wanted.select(key_prefix(F.col("blob_sha")).alias("p")).distinct().collect()
-        blobs = blobs.where(F.col(PREFIX).isin([r["p"] for r in used])).drop(PREFIX)
+    if SEGMENT in blobs.columns:
+        return rows_with_keys(blobs, "blob_sha", stage(wanted, "wanted-blobs")).drop(SEGMENT)
     return blobs.join(wanted, "blob_sha", "left_semi")
 
 
@@ -48,8 +47,20 @@ def blob_outcomes(blobs: DataFrame, limit: int | None = None) -> DataFrame:
     )
 
 
-def read_outcomes(files: DataFrame, blobs: DataFrame, limit: int | None = None) -> DataFrame:
-    """Files with ``outcome, is_transient, bytes``. Only the verdicts on blobs are shuffled, not the blobs."""
+def _by_size(files: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(files to read, files that their listed size makes too large, with the verdict)."""
+    large = F.coalesce(F.col("size") > limit, F.lit(False))
+    return files.where(~large), _with_verdict(files.where(large), F.lit(tests.TOO_LARGE))
+
+
+def read_outcomes(files: DataFrame, blobs: DataFrame, limit: int | None = None, by_size: bool = False) -> DataFrame:
+    """Files with ``outcome, is_transient, bytes``. Only the verdicts on blobs are shuffled, not the blobs.
+
+    ``by_size``: as for read_texts; ``bytes`` is then the listed size.
+    """
+    if by_size and limit is not None:
+        rest, large = _by_size(files, limit)
+        return read_outcomes(rest, blobs, limit).unionByName(large.withColumn("bytes", F.col("size").cast("bigint")))
     verdicts = blob_outcomes(needed_blobs(files, blobs), limit)
     judged = lookup_join(files, verdicts, ["blob_sha"])
     return _with_verdict(judged, F.coalesce("outcome", F.lit(tests.NOT_FOUND)))
@@ -62,11 +73,15 @@ def _with_verdict(files: DataFrame, outcome: Column) -> DataFrame:
     )
 
 
-def read_texts(files: DataFrame, blobs: DataFrame, limit: int | None = None) -> DataFrame:
+def read_texts(files: DataFrame, blobs: DataFrame, limit: int | None = None, by_size: bool = False) -> DataFrame:
     """Files with ``outcome, is_transient, text``; text is null unless the outcome is ok.
 
-    For jobs that want the content anyway: it is scanned and shuffled once.
+    For jobs that want the content anyway: it is scanned and shuffled once. With ``by_size`` a file whose
+    listed ``size`` is over the limit is too large without being read, whatever it holds.
     """
+    if by_size and limit is not None:
+        rest, large = _by_size(files, limit)
+        return read_texts(rest, blobs, limit).unionByName(large.withColumn("text", F.lit(None).cast("string")))
     attached = attach_content(files, blobs)
     content = F.col("content")
     outcome = tests.read_outcome(content, F.col("found"), F.col("read_error"), limit)

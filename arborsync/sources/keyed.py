@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from arborsync.sources.tables import read_or_empty
 
@@ -51,7 +51,7 @@ def append_new(rows: DataFrame, path: str, key: str, segment: int, row_group_byt
 
 def read_segments(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The whole table with its ``segment``; empty where none was written."""
-    return read_or_empty(spark, path, StructType(schema.fields).add(SEGMENT, "long"))
+    return read_or_empty(spark, path, StructType([*schema.fields, StructField(SEGMENT, LongType(), True)]))
 
 
 def any_of(column: Column, values: Sequence) -> Column:

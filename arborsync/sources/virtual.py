@@ -24,9 +24,9 @@ from arborsync.operators.content import read_outcomes
 from arborsync.operators.merkle import read_roots, store_snapshots
 from arborsync.operators.refs import HEADS, REMOTES, TAGS
 from arborsync.plans.crawl import Repository, with_config
-from arborsync.schemas import FOLDER_ENTRIES
+from arborsync.schemas import BLOBS, FOLDER_ENTRIES
 from arborsync.session import new_work_path
-from arborsync.sources.keyed import read_segments
+from arborsync.sources.keyed import append_new, read_segments
 from arborsync.sources.tables import read_table
 from arborsync.staging import stage
 
@@ -143,17 +143,15 @@ def _store_folders(spark: SparkSession, folder: str, path: str) -> None:
 
 
 def text_blobs(spark: SparkSession, folder: str) -> DataFrame:
-    """``blob_sha, content, read_error`` of the plain texts in both snapshots."""
-    return stored(spark, folder, "text-blobs", lambda: _text_blobs(spark, folder))
+    """``blob_sha, content, read_error, segment`` of the plain texts in both snapshots, the new one's stored in a later ingest."""
+    def write(path: str) -> None:
+        docs = files(spark, folder)
+        for segment, version in enumerate((OLD, NEW)):
+            rows = _versions(docs, version, False).select(F.encode("text", "UTF-8").alias("content"))
+            told = rows.select(F.sha2("content", 256).alias("blob_sha"), "content", F.lit(None).cast("string").alias("read_error"))
+            append_new(told.dropDuplicates(["blob_sha"]), path, "blob_sha", segment)
 
-
-def _text_blobs(spark: SparkSession, folder: str) -> DataFrame:
-    docs = files(spark, folder)
-    texts = _versions(docs, OLD, False).select("text").unionByName(_versions(docs, NEW, False).select("text"))
-    rows = texts.select(F.encode("text", "UTF-8").alias("content"))
-    return rows.select(
-        F.sha2("content", 256).alias("blob_sha"), "content", F.lit(None).cast("string").alias("read_error")
-    ).dropDuplicates(["blob_sha"])
+    return read_segments(spark, stored_path(spark, folder, "text-blobs", write), BLOBS)
 
 
 # --- planted content ---------------------------------------------------------
@@ -184,21 +182,18 @@ def _planted_sha() -> Column:
 
 
 def planted_blobs(spark: SparkSession, folder: str) -> DataFrame:
-    """``blob_sha, content, read_error``, one row per blob; missing ones have none."""
-    return stored(spark, folder, "planted-blobs", lambda: _planted_blobs(spark, folder))
-
-
-def _planted_blobs(spark: SparkSession, folder: str) -> DataFrame:
-    docs = files(spark, folder)
-    doc = F.col("doc_id")
-    # Texts as in the old snapshot, and the edited ones of the new snapshot.
-    edited = _versions(docs, NEW, True).where(_slot(True) == 2)
-    held = docs.unionByName(edited).where(doc % 9 != 4)
-    rows = held.select("doc_id", planted_content(F.col("text"), doc).alias("content"))
-    return rows.select(
-        _planted_sha().alias("blob_sha"), "content",
-        F.when(doc % 9 == 5, "Input/output error").alias("read_error"),
-    ).dropDuplicates(["blob_sha"])
+    """``blob_sha, content, read_error, segment``, one row per blob; missing ones have none. The edited texts of the
+    new snapshot came in a later ingest."""
+    def write(path: str) -> None:
+        docs = files(spark, folder)
+        doc = F.col("doc_id")
+        edited = _versions(docs, NEW, True).where(_slot(True) == 2)
+        for segment, held in enumerate((docs, edited)):
+            rows = held.where(doc % 9 != 4).select("doc_id", planted_content(F.col("text"), doc).alias("content"))
+            told = rows.select(_planted_sha().alias("blob_sha"), "content", F.when(doc % 9 == 5, "Input/output error").alias("read_error"))
+            append_new(told.dropDuplicates(["blob_sha"]), path, "blob_sha", segment)
+
+    return read_segments(spark, stored_path(spark, folder, "planted-blobs", write), BLOBS)
 
 
 # --- sources -----------------------------------------------------------------

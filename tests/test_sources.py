@@ -1,12 +1,12 @@
 import os
-import re
 
 from pyspark.sql import functions as F
 
 from arborsync.operators import history, listing, snapshot
-from arborsync.operators.content import attach_content, needed_blobs, read_outcomes
-from arborsync import session
-from arborsync.sources import directory, tables
+from arborsync import schemas, session
+from arborsync.functions import content as tests
+from arborsync.operators.content import attach_content, needed_blobs, read_outcomes, read_texts
+from arborsync.sources import directory, keyed, tables
 from arborsync.staging import stage
 from arborsync.streaming import events, sink
 
@@ -141,18 +141,48 @@ def test_history_limits_rows_before_the_shuffle(spark):
     assert [(r["n"], r["sha"], r["message"]) for r in out.orderBy("n").collect()] == [(1, "2999", "m"), (2, "2998", "m"), (3, "2997", "m")]
 
 
-def test_blobs_by_prefix_are_pruned(spark, tmp_path):
-    blobs = spark.range(500).select(
-        F.sha2(F.col("id").cast("string"), 256).alias("blob_sha"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content"),
-        F.lit(None).cast("string").alias("read_error"))
+def scanned(df):
+    """Rows that Parquet scans of an executed plan gave to Spark."""
+    df.collect()
+
+    def walk(plan):
+        name = plan.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(plan.executedPlan())
+        own = plan.metrics().get("numOutputRows").get().value() if name.startswith("Scan parquet") and "content" in plan.toString() else 0
+        if "QueryStage" in name:
+            own += walk(plan.plan())
+        return own + sum(walk(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_a_small_sync_reads_little_content(spark, tmp_path):
+    """Blobs of 3000 files, 30 of them added last: reading these leaves out the row groups of all others."""
     path = str(tmp_path / "blobs")
-    tables.write_blobs_by_prefix(blobs, path)
-    stored = spark.read.parquet(path)
-    files = spark.range(3).select(F.sha2(F.col("id").cast("string"), 256).alias("blob_sha"), F.lit("f").alias("path"))
-    read = attach_content(files, stored)
-    assert sorted(bytes(r["content"]) for r in read.collect()) == [b"0", b"1", b"2"]
-    plan = needed_blobs(files, stored)._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*key_prefix#\d+ IN", plan)
+    make = lambda low, high: spark.range(low, high).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("blob_sha"), F.encode(F.repeat(F.col("id").cast("string"), 300), "UTF-8").alias("content"),
+        F.lit(None).cast("string").alias("read_error"))
+    for segment, (low, high) in enumerate(((0, 2970), (2900, 3000))):
+        keyed.append_new(make(low, high), path, "blob_sha", segment, 1 << 17)
+    blobs = keyed.read_segments(spark, path, schemas.BLOBS)
+    files = make(2970, 3000).select("blob_sha", F.lit("f").alias("path"), F.lit(1).alias("size"))
+    read = attach_content(files, blobs)
+    assert sorted(bytes(r["content"])[:4] for r in read.collect()) == [str(i).encode() for i in range(2970, 3000)]
+    assert scanned(needed_blobs(files, blobs)) < 300
+    every = make(0, 3000).select("blob_sha", F.lit("f").alias("path"))
+    assert attach_content(every, blobs).where("found").count() == 3000
+
+
+def test_listed_sizes_spare_reading(spark):
+    rows = [("big", "b1", 10), ("small", "b2", 2), ("lies", "b3", 2), ("a/../x", "b1", 10), ("gone", "b9", 1)]
+    files = spark.createDataFrame(rows, "path string, blob_sha string, size long")
+    blobs = spark.createDataFrame([("b1", b"\x00" * 10, None), ("b2", b"ok", None), ("b3", b"0123456789", None)], schemas.BLOBS)
+    want = {"big": "too_large", "small": "ok", "lies": "too_large", "a/../x": "bad_path", "gone": "not_found"}
+    texts = read_texts(files, blobs, 5, by_size=True)
+    assert {r["path"]: r["outcome"] for r in texts.collect()} == {**want, "a/../x": tests.BAD_PATH}
+    assert {r["path"]: r["bytes"] for r in read_outcomes(files, blobs, 5, by_size=True).collect()}["big"] == 10
+    assert {r["path"]: r["outcome"] for r in read_texts(files, blobs, 5).collect()}["big"] == "binary"
 
 
 def test_clear_work_deletes_staged_tables(spark, tmp_path, monkeypatch):
