@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,6 +65,14 @@ class PhraseFilter:
         at = _places(hashes, self.bits)
         return (self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
+    def __getstate__(self) -> tuple[int, bytes]:
+        """A filter that is mostly empty is sent in little."""
+        return self.bits, zlib.compress(self.held.tobytes(), 1)
+
+    def __setstate__(self, state: tuple[int, bytes]) -> None:
+        self.bits = state[0]
+        self.held = np.frombuffer(zlib.decompress(state[1]), dtype=np.uint8)
+
     def joined(self, other: PhraseFilter) -> PhraseFilter:
         return PhraseFilter(self.bits, self.held | other.held)
 
@@ -280,8 +289,10 @@ def frequent_phrases(
     pairs = stage(_summed(drawn, _count(range(1, min(3, longest + 1)), longest, slice_bytes), lowered), "sample_pairs")
     held = _filter_of(pairs, longest, bits) or PhraseFilter(bits)
     if longest > 2:
-        run = _count(range(3, longest + 1), longest, slice_bytes, send(held, 2))
+        of_pairs = send(held, 2)
+        run = _count(range(3, longest + 1), longest, slice_bytes, of_pairs)
         more = _filter_of(stage(_summed(drawn, run, lowered), "sample_longer"), longest, bits)
+        of_pairs.destroy()  # what it helped to count is written
         held = held.joined(more) if more is not None else held
 
     proposed = send(held)
@@ -292,7 +303,9 @@ def frequent_phrases(
         before, proposed = proposed, send(held)
         run = _count(range(2, longest + 1), longest, slice_bytes, proposed, before)
         latest = stage(_summed(plain, run, least), "further_phrases")
+        before.destroy()
         parts.append(latest)
+    proposed.destroy()
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
