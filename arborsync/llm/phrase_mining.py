@@ -39,8 +39,8 @@ SAMPLE = 8
 DEVIATIONS = 2.0
 # Bits of the filter that tells tasks which phrases are proposed: 16 MB, whatever the input.
 FILTER_BITS = 27
-# Texts are worked on so many bytes at a time; longer ones are cut between words.
-SLICE_BYTES = 6 << 20
+# Texts are worked on so many bytes at a time, about 25 bytes of memory for each; longer ones are cut between words.
+SLICE_BYTES = 2 << 20
 
 _BUCKET_BITS = 15  # of bitmap_construct_agg
 _ENDS = b".,;:!?\n\x0b\x0c\r"
