@@ -11,7 +11,6 @@ from arborsync.operators import graph, history, refs, snapshot
 from arborsync.plans.sync_plan import plan_syncs
 from arborsync.sources import virtual
 from arborsync.sources.tables import read_table
-from arborsync.staging import stage
 
 CATALOG = Catalog()
 
@@ -176,7 +175,7 @@ def commit_distance(spark: SparkSession, folder: str) -> DataFrame:
     commits = virtual.commits(spark, folder, forked=True)
     old = commits.where("age = 3").select("repo_id", F.col("sha").alias("old_sha"))
     new = commits.where("age = 1").select("repo_id", F.col("sha").alias("new_sha"))
-    return graph.compare_commits(old.join(new, "repo_id"), commits)
+    return graph.compare_commits(old.join(new, "repo_id"), None, virtual.commit_index(spark, folder, forked=True))
 
 
 @CATALOG.query(
@@ -189,8 +188,8 @@ def reachable(spark: SparkSession, folder: str) -> DataFrame:
     """Every commit of every repository: is it an ancestor of the newest one?"""
     commits = virtual.commits(spark, folder, forked=True)
     heads = commits.where("age = 1").select("repo_id", F.col("sha").alias("head"))
-    index = stage(graph.chain_index(commits), "index")
-    known = graph.ancestors(heads, commits, index).select("repo_id", "sha", F.lit(True).alias("hit"))
+    index = virtual.commit_index(spark, folder, forked=True)
+    known = graph.ancestors(heads, None, index).select("repo_id", "sha", F.lit(True).alias("hit"))
     return commits.select("repo_id", "sha").join(known, ["repo_id", "sha"], "left").select(
         "repo_id", "sha", F.coalesce("hit", F.lit(False)).alias("is_reachable")
     )
@@ -223,5 +222,5 @@ def sync_plan(spark: SparkSession, folder: str) -> DataFrame:
     """Full, incremental or nothing, for every customer's repository."""
     commits = virtual.commits(spark, folder)
     sources, state = virtual.chain_states(spark, folder, commits)
-    planned = plan_syncs(sources, state, commits)
+    planned = plan_syncs(sources, state, commits, virtual.commit_index(spark, folder))
     return planned.select("config_hash", "last_sha", "head_sha", "n_failed", "reason", "mode", "distance")

@@ -5,90 +5,111 @@ a prefix of that chain, so the whole ancestor set of a commit is one number per
 chain. Both loops below are short: the index takes a number of rounds
 logarithmic in the longest chain, the walk one round per change of chain, not
 one per commit.
+
+The index is stored. An ingest places its new commits only, behind the chains that
+the stored ones end; a walk adds rows to what it has found and never rewrites them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.operators.skew import lookup_join
+from arborsync.schemas import CHAIN_INDEX, CHAIN_LINKS, CHAIN_TAILS
+from arborsync.sources.keyed import SEGMENT, read_segments, rows_with_keys, write_segment
 from arborsync.staging import stage
 
 # Merge links are grouped by this many positions of a chain, so that a long
 # chain is many join keys instead of one.
 BLOCK = 65_536
 
+_PLACE = ("repo_id", "sha", "chain", "pos")
+_LINK = ("repo_id", "chain", "pos", "block", "to_chain", "to_pos")
+
+
+@dataclass(frozen=True)
+class CommitIndex:
+    """``places`` (``repo_id, sha, chain, pos``), ``links`` (see merge_links) and ``tails`` (``repo_id, chain, pos``: a
+    row for each ingest that lengthened a chain). With a ``path`` the tables are stored there."""
+
+    places: DataFrame
+    links: DataFrame
+    tails: DataFrame
+
+
+def read_index(spark: SparkSession, path: str) -> CommitIndex:
+    """The stored index, empty where nothing was ingested."""
+    return CommitIndex(
+        read_segments(spark, f"{path}/places", CHAIN_INDEX), read_segments(spark, f"{path}/links", CHAIN_LINKS),
+        read_segments(spark, f"{path}/tails", CHAIN_TAILS))
+
 
-def _subtree_sizes(commits: DataFrame, firsts: DataFrame) -> DataFrame:
+def ingest_commits(commits: DataFrame, path: str, segment: int) -> None:
+    """Place the ``commits`` that are not indexed yet. Parents come in the same ingest as their children or before.
+
+    A commit whose parent is not known starts a chain. Reads of the stored index follow the new commits; a
+    repeated ingest of the same ``segment`` replaces what it wrote.
+    """
+    held = read_index(commits.sparkSession, path)
+    other = F.col(SEGMENT) != segment
+    added = extend_index(commits, CommitIndex(held.places.where(other), held.links, held.tails.where(other)))
+    write_segment(added.tails, f"{path}/tails", "chain", segment)
+    write_segment(added.links, f"{path}/links", "chain", segment)
+    write_segment(added.places, f"{path}/places", "sha", segment)
+
+
+def _subtree_sizes(firsts: DataFrame) -> DataFrame:
     """``repo_id, sha, size``: commits that reach a commit by first parents alone, itself included.
 
-    Doubling again: after k rounds a size covers 2^k steps and the pointer is 2^k
-    steps back; each round adds the sizes found that far ahead.
+    ``firsts``: ``repo_id, sha, first_parent``, null where there is none. Doubling: after k rounds a size covers
+    2^k steps and the pointer is 2^k steps back; each round adds the sizes found that far ahead.
     """
     state = stage(
-        commits.select("repo_id", "sha")
-        .join(firsts, ["repo_id", "sha"], "left")
-        .select("repo_id", "sha", F.col("first_parent").alias("back"), F.lit(1).cast("bigint").alias("size")),
-        "sizes",
-    )
-    while not state.where("back IS NOT NULL").isEmpty():
-        active = state.where("back IS NOT NULL")
-        ahead = active.groupBy("repo_id", F.col("back").alias("sha")).agg(F.sum("size").alias("more"))
+        firsts.select("repo_id", "sha", F.col("first_parent").alias("back"), F.lit(1).cast("bigint").alias("size")), "sizes")
+    own, sent = F.lit(True).alias("own"), F.lit(False).alias("own")
+    while not (active := state.where("back IS NOT NULL")).isEmpty():
         target = state.select("repo_id", F.col("sha").alias("back"), F.col("back").alias("_next"))
         stepped = lookup_join(active, target, ["repo_id", "back"], how="inner")
-        moved = stepped.select("repo_id", "sha", F.col("_next").alias("back"), "size")
-        state = stage(
-            moved.unionByName(state.where("back IS NULL"))
-            .join(ahead, ["repo_id", "sha"], "left")
-            .select("repo_id", "sha", "back", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")),
-            "sizes",
-        )
+        rows = stepped.select("repo_id", "sha", F.col("_next").alias("back"), "size", own).unionByName(
+            state.where("back IS NULL").select("repo_id", "sha", "back", "size", own)).unionByName(
+            active.select("repo_id", F.col("back").alias("sha"), F.lit(None).cast("string").alias("back"), "size", sent))
+        state = stage(rows.groupBy("repo_id", "sha").agg(F.max("back").alias("back"), F.sum("size").alias("size")), "sizes")
     return state.select("repo_id", "sha", "size")
 
 
-def _links(commits: DataFrame) -> DataFrame:
-    """Each commit with the first parent it continues, null where it starts a chain.
+def _links(firsts: DataFrame) -> DataFrame:
+    """``repo_id, sha, link``: each commit with the first parent it continues, null where it starts a chain.
 
     Of several commits with the same first parent the one with most commits behind
     it continues the chain: so following first parents changes chain at most
     log2(commits) times, and a main line is not broken by the branches it feeds.
     """
-    parents = commits.select("repo_id", "sha", F.get("parents", F.lit(0)).alias("first_parent"))
-    known = commits.select("repo_id", F.col("sha").alias("first_parent"))
-    # A parent that was never ingested is none.
-    firsts = stage(
-        lookup_join(
-            parents.where("first_parent IS NOT NULL"), known, ["repo_id", "first_parent"], "inner"
-        ).select("repo_id", "sha", "first_parent"),
-        "first-parents",
-    )
-    children = firsts.groupBy("repo_id", "first_parent").agg(F.count("*").alias("n"), F.max("sha").alias("heir"))
-    forked = stage(children.where("n > 1").select("repo_id").distinct(), "forked")
-    heirs = children.select("repo_id", "first_parent", "heir")
-    if not forked.isEmpty():
-        within = firsts.join(forked, "repo_id", "left_semi")
-        sizes = _subtree_sizes(commits.join(forked, "repo_id", "left_semi"), within)
-        heaviest = (
-            within.join(sizes, ["repo_id", "sha"])
-            .groupBy("repo_id", "first_parent")
-            .agg(F.max(F.struct("size", "sha")).alias("best"))
-            .select("repo_id", "first_parent", F.col("best.sha").alias("heir"))
-        )
-        heirs = heirs.join(forked, "repo_id", "left_anti").unionByName(heaviest)
-    links = heirs.select("repo_id", F.col("heir").alias("sha"), F.col("first_parent").alias("link"))
-    return commits.select("repo_id", "sha").join(links, ["repo_id", "sha"], "left")
+    children = firsts.where("first_parent IS NOT NULL").groupBy("repo_id", "first_parent").agg(F.count("*").alias("n"), F.max("sha").alias("heir"))
+    children = stage(children, "children")
+    heirs = children.where("n = 1").select("repo_id", F.col("heir").alias("sha"), F.col("first_parent").alias("link"))
+    forks = children.where("n > 1").select("repo_id", "first_parent")
+    if not forks.isEmpty():
+        # Pointers into the stored history end there: only what is new has a weight.
+        inside = firsts.join(firsts.select("repo_id", F.col("sha").alias("first_parent"), F.lit(True).alias("_in")), ["repo_id", "first_parent"], "left")
+        sizes = _subtree_sizes(inside.select("repo_id", "sha", F.when(F.col("_in"), F.col("first_parent")).alias("first_parent")))
+        rivals = firsts.join(forks, ["repo_id", "first_parent"], "left_semi").join(sizes, ["repo_id", "sha"])
+        best = rivals.groupBy("repo_id", "first_parent").agg(F.max(F.struct("size", "sha")).alias("best"))
+        heirs = heirs.unionByName(best.select("repo_id", F.col("best.sha").alias("sha"), F.col("first_parent").alias("link")))
+    return firsts.select("repo_id", "sha").join(heirs, ["repo_id", "sha"], "left")
 
 
-def chain_index(commits: DataFrame) -> DataFrame:
-    """``repo_id, sha, chain, pos``: the chain of each commit and its place in it, 1 = oldest.
+def _follow(links: DataFrame) -> DataFrame:
+    """``repo_id, sha, anchor, steps``: the start of each commit's chain among ``links`` and how far it is.
 
     Pointer doubling: a round lets every unfinished commit take over the pointers
     of the commit it points at, four jumps deep. Unfinished commits point at
     different commits, so no join key is ever hot.
     """
     state = stage(
-        _links(commits).select(
+        links.select(
             "repo_id", "sha",
             F.coalesce("link", "sha").alias("anchor"),
             F.when(F.col("link").isNull(), 0).otherwise(1).cast("bigint").alias("steps"),
@@ -113,7 +134,56 @@ def chain_index(commits: DataFrame) -> DataFrame:
                 (F.col("done") | F.col("_end")).alias("done"),
             )
         state = stage(state.where("done").unionByName(moving), "chains")
-    return state.select("repo_id", "sha", F.col("anchor").alias("chain"), (F.col("steps") + 1).alias("pos"))
+    return state.select("repo_id", "sha", "anchor", "steps")
+
+
+def _held_places(wanted: DataFrame, places: DataFrame) -> DataFrame:
+    """Stored places of ``wanted`` (``repo_id, sha``, written), reading what holds them."""
+    found = rows_with_keys(places, "sha", wanted.select("sha").distinct()) if SEGMENT in places.columns else places
+    return found.select(*_PLACE).join(wanted.select("repo_id", "sha").distinct(), ["repo_id", "sha"], "left_semi")
+
+
+def extend_index(commits: DataFrame, held: CommitIndex | None = None) -> CommitIndex:
+    """The rows that ``commits`` (``repo_id, sha, parents``) add to an index ``held``, those it has already left out."""
+    told = stage(commits.select("repo_id", "sha", "parents"), "new-commits")
+    earlier = None
+    if held is not None:
+        ends = told.select("repo_id", F.explode(F.concat(F.array("sha"), "parents")).alias("sha"))
+        earlier = stage(_held_places(stage(ends.distinct(), "asked-commits"), held.places), "held-places")
+        told = stage(told.join(earlier, ["repo_id", "sha"], "left_anti"), "new-commits")
+    parents = told.select("repo_id", "sha", F.get("parents", F.lit(0)).alias("first_parent"))
+    known = told.select("repo_id", F.col("sha").alias("first_parent"), F.lit(None).cast("string").alias("chain"), F.lit(None).cast("bigint").alias("pos"))
+    if earlier is not None:
+        # A stored chain goes on behind its last commit only.
+        of_chains = stage(earlier.select("repo_id", "chain").distinct(), "asked-chains")
+        tails = held.tails
+        tails = rows_with_keys(tails, "chain", of_chains.select("chain").distinct()) if SEGMENT in tails.columns else tails
+        last = tails.join(of_chains, ["repo_id", "chain"], "left_semi").groupBy("repo_id", "chain").agg(F.max("pos").alias("pos"))
+        open_ends = earlier.join(last, ["repo_id", "chain", "pos"], "left_semi")
+        known = known.unionByName(open_ends.select("repo_id", F.col("sha").alias("first_parent"), "chain", "pos"))
+    # A parent that was never ingested, or whose chain goes on elsewhere, is none.
+    placed = lookup_join(parents.where("first_parent IS NOT NULL"), known, ["repo_id", "first_parent"], "inner")
+    rooted = stage(
+        told.select("repo_id", "sha").join(placed, ["repo_id", "sha"], "left").select("repo_id", "sha", "first_parent", "chain", "pos"), "first-parents")
+    heirs = stage(_links(rooted.select("repo_id", "sha", "first_parent")), "heirs")
+    # The heir of a stored commit starts here, and takes over its chain.
+    behind = heirs.where("link IS NOT NULL").join(
+        rooted.where("chain IS NOT NULL").select("repo_id", "sha", F.col("chain").alias("_chain"), F.col("pos").alias("_pos")), ["repo_id", "sha"])
+    starts = stage(behind.select("repo_id", "sha", "_chain", "_pos"), "continued")
+    inner = heirs.join(starts.select("repo_id", "sha", F.lit(True).alias("_cut")), ["repo_id", "sha"], "left").select(
+        "repo_id", "sha", F.when(F.col("_cut").isNull(), F.col("link")).alias("link"))
+    followed = _follow(inner)
+    goes_on = lookup_join(followed, starts.withColumnRenamed("sha", "anchor"), ["repo_id", "anchor"], "left")
+    places = stage(goes_on.select(
+        "repo_id", "sha", F.coalesce("_chain", "anchor").alias("chain"), (F.col("steps") + 1 + F.coalesce("_pos", F.lit(0))).alias("pos")), "places")
+    everywhere = places if earlier is None else places.unionByName(earlier.select(*_PLACE))
+    tails = places.groupBy("repo_id", "chain").agg(F.max("pos").alias("pos"))
+    return CommitIndex(places, merge_links(told, everywhere), tails)
+
+
+def chain_index(commits: DataFrame) -> DataFrame:
+    """``repo_id, sha, chain, pos``: the chain of each commit and its place in it, 1 = oldest."""
+    return extend_index(commits).places
 
 
 def merge_links(commits: DataFrame, index: DataFrame) -> DataFrame:
@@ -130,66 +200,70 @@ def merge_links(commits: DataFrame, index: DataFrame) -> DataFrame:
         .where(F.col("chain") != F.col("to_chain"))
         .groupBy("repo_id", "chain", "pos", "to_chain")
         .agg(F.max("to_pos").alias("to_pos"))
-        .withColumn("block", F.floor(F.col("pos") / BLOCK))
+        .withColumn("block", F.floor(F.col("pos") / BLOCK).cast("bigint"))
+        .select(*_LINK)
     )
 
 
-def ancestor_reach(heads: DataFrame, commits: DataFrame, index: DataFrame) -> DataFrame:
+def _as_index(commits: DataFrame | None, index: DataFrame | CommitIndex | None) -> CommitIndex:
+    if isinstance(index, CommitIndex):
+        return index
+    if index is None:
+        return extend_index(commits)
+    return CommitIndex(index, stage(merge_links(commits, index), "merge-links"), index.select("repo_id", "chain", "pos"))
+
+
+def ancestor_reach(heads: DataFrame, commits: DataFrame | None, index: DataFrame | CommitIndex) -> DataFrame:
     """``repo_id, head, chain, reach``: how many commits of each chain are ancestors of ``head`` (or it).
 
-    ``heads`` holds distinct (repo_id, head); unknown commits give no rows.
+    ``heads`` holds distinct (repo_id, head); unknown commits give no rows. Without a CommitIndex the links are
+    made from ``commits``.
     """
-    links = stage(merge_links(commits, index), "merge-links")
-    start = heads.select("repo_id", F.col("head").alias("sha")).join(index, ["repo_id", "sha"])
-    reach = stage(start.select("repo_id", F.col("sha").alias("head"), "chain", F.col("pos").alias("reach")), "reach")
-    if links.isEmpty():
-        return reach
-    fresh = reach.withColumn("seen", F.lit(0).cast("bigint"))
+    known = _as_index(commits, index)
+    asked = stage(heads.select("repo_id", F.col("head").alias("sha")), "heads")
+    start = _held_places(asked, known.places)
+    none = F.lit(0).cast("bigint")
+    fresh = stage(start.select("repo_id", F.col("sha").alias("head"), "chain", F.col("pos").alias("reach"), none.alias("seen")), "reach")
+    key = ["repo_id", "head", "chain"]
+    found = fresh.select(*key, "reach")
     while not fresh.isEmpty():
         # Every link is met once per head: only positions new to the head are looked at.
+        links = known.links
+        if SEGMENT in links.columns:
+            links = rows_with_keys(links, "chain", fresh.select("chain").distinct())
         blocks = F.sequence(F.floor((F.col("seen") + 1) / BLOCK), F.floor(F.col("reach") / BLOCK))
         met = (
             fresh.withColumn("block", F.explode(blocks))
-            .join(links, ["repo_id", "chain", "block"])
+            .join(links.select(*_LINK), ["repo_id", "chain", "block"])
             .where((F.col("pos") > F.col("seen")) & (F.col("pos") <= F.col("reach")))
             .groupBy("repo_id", "head", F.col("to_chain").alias("chain"))
-            .agg(F.max("to_pos").alias("found"))
-        )
-        merged = stage(
-            reach.withColumn("old", F.col("reach")).drop("reach")
-            .join(met, ["repo_id", "head", "chain"], "full_outer")
-            .select(
-                "repo_id", "head", "chain",
-                F.coalesce("old", F.lit(0).cast("bigint")).alias("seen"),
-                F.greatest("old", "found").alias("reach"),
-            ),
-            "reach",
+            .agg(F.max("to_pos").alias("reach"))
         )
-        fresh = merged.where("reach > seen")
-        reach = merged.drop("seen")
-    return reach
+        before = found.groupBy(*key).agg(F.max("reach").alias("seen"))
+        further = met.join(before, key, "left").withColumn("seen", F.coalesce("seen", none)).where("reach > seen")
+        fresh = stage(further.select(*key, "reach", "seen"), "reach")
+        found = found.unionByName(fresh.select(*key, "reach"))
+    return found.groupBy(*key).agg(F.max("reach").alias("reach"))
 
 
-def ancestors(heads: DataFrame, commits: DataFrame, index: DataFrame) -> DataFrame:
+def ancestors(heads: DataFrame, commits: DataFrame | None, index: DataFrame | CommitIndex) -> DataFrame:
     """``repo_id, head, sha``: every commit reachable from each head, the head included."""
     reach = ancestor_reach(heads, commits, index)
-    met = lookup_join(index, reach, ["repo_id", "chain"], how="inner")
+    places = index.places if isinstance(index, CommitIndex) else index
+    met = lookup_join(places.select(*_PLACE), reach, ["repo_id", "chain"], how="inner")
     return met.where(F.col("pos") <= F.col("reach")).select("repo_id", "head", "sha")
 
 
-def compare_commits(pairs: DataFrame, commits: DataFrame, index: DataFrame | None = None) -> DataFrame:
+def compare_commits(pairs: DataFrame, commits: DataFrame | None, index: DataFrame | CommitIndex | None = None) -> DataFrame:
     """Add ``is_reachable`` and ``distance`` to distinct (repo_id, old_sha, new_sha) pairs.
 
     Reachable: old is new or an ancestor of it; an unknown commit is not.
     Distance: commits reachable from new and not from old; null if either is unknown.
     """
-    pairs = pairs.select("repo_id", "old_sha", "new_sha")
-    if index is None:
-        # Only repositories that are asked about are indexed.
-        commits = commits.join(pairs.select("repo_id").distinct(), "repo_id", "left_semi")
-        index = chain_index(commits)
+    pairs = stage(pairs.select("repo_id", "old_sha", "new_sha"), "commit-pairs")
+    known = _as_index(commits, index)
     ends = pairs.select("repo_id", F.explode(F.array("old_sha", "new_sha")).alias("head"))
-    reach = ancestor_reach(ends.where("head IS NOT NULL").distinct(), commits, index)
+    reach = stage(ancestor_reach(ends.where("head IS NOT NULL").distinct(), commits, known), "reached")
     of_new = pairs.join(
         reach.select("repo_id", F.col("head").alias("new_sha"), "chain", F.col("reach").alias("new_reach")),
         ["repo_id", "new_sha"],
@@ -199,7 +273,8 @@ def compare_commits(pairs: DataFrame, commits: DataFrame, index: DataFrame | Non
         ["repo_id", "old_sha", "chain"],
         "left",
     )
-    place = index.select(
+    old = pairs.select("repo_id", F.col("old_sha").alias("sha"))
+    place = _held_places(old, known.places).select(
         "repo_id", F.col("sha").alias("old_sha"), F.col("chain").alias("old_chain"), F.col("pos").alias("old_pos")
     )
     gap = F.greatest(F.col("new_reach") - F.coalesce("old_reach", F.lit(0)), F.lit(0))

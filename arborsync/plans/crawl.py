@@ -13,6 +13,7 @@ from arborsync.functions.content import OK, skip_reason
 from arborsync.operators.batching import assign_batches
 from arborsync.operators.content import read_outcomes, read_texts
 from arborsync.operators.diff import ADDED, DELETED, MODIFIED, RENAMED, changeset, filter_changes
+from arborsync.operators.graph import CommitIndex
 from arborsync.operators.refs import resolve_refs
 from arborsync.operators.skew import lookup_join
 from arborsync.operators.snapshot import files_only
@@ -30,6 +31,7 @@ class Repository:
 
     ``attempts`` (``config_hash, sync_id, path, outcome``) and ``deletes`` (``config_hash, sync_id,
     path``) are what earlier syncs wrote; from them a full sync tells which documents are gone.
+    ``index`` is the stored index of ``commits``; without it they are indexed for each sync.
     """
 
     sources: DataFrame
@@ -41,6 +43,7 @@ class Repository:
     failed_paths: DataFrame
     attempts: DataFrame | None = None
     deletes: DataFrame | None = None
+    index: CommitIndex | None = None
 
 
 def with_config(sources: DataFrame) -> DataFrame:
@@ -56,7 +59,7 @@ def plan(repo: Repository) -> DataFrame:
     sources = resolve_refs(with_config(repo.sources), repo.refs)
     stored = sync_state.load_state(sources, repo.sync_state, repo.failed_paths)
     snapshots = repo.tree.select("repo_id", "commit_sha")
-    return stage(plan_syncs(sources, stored, repo.commits, snapshots=snapshots), "plan")
+    return stage(plan_syncs(sources, stored, repo.commits, repo.index, snapshots), "plan")
 
 
 def held_documents(attempts: DataFrame, deletes: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborsync.operators.graph import compare_commits
+from arborsync.operators.graph import CommitIndex, compare_commits
 from arborsync.staging import stage
 
 FULL, INCREMENTAL, NOOP = "full", "incremental", "noop"
@@ -15,7 +15,7 @@ def plan_syncs(
     sources: DataFrame,
     state: DataFrame,
     commits: DataFrame,
-    index: DataFrame | None = None,
+    index: DataFrame | CommitIndex | None = None,
     snapshots: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``last_sha, n_failed, distance, mode, reason`` to sources with ``config_hash, repo_id, head_sha``.

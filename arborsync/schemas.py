@@ -38,6 +38,12 @@ FOLDER_ENTRIES = _table(
     ("folder_id", STRING), ("name", STRING), ("kind", STRING), ("child_id", STRING), ("mode", STRING), ("size", LONG),
 )
 SNAPSHOT_ROOTS = _table(("repo_id", STRING), ("commit_sha", STRING), ("tree_id", STRING), ("files", LONG))
+# The commit graph as chains: places, links that change chain, and how long chains were after each ingest.
+CHAIN_INDEX = _table(("repo_id", STRING), ("sha", STRING), ("chain", STRING), ("pos", LONG))
+CHAIN_LINKS = _table(
+    ("repo_id", STRING), ("chain", STRING), ("pos", LONG), ("block", LONG), ("to_chain", STRING), ("to_pos", LONG),
+)
+CHAIN_TAILS = _table(("repo_id", STRING), ("chain", STRING), ("pos", LONG))
 BLOBS = _table(("blob_sha", STRING), ("content", BinaryType()), ("read_error", STRING))
 DOCUMENTS_OUT = _table(
     ("config_hash", STRING), ("sync_id", LONG), ("title", STRING), ("content", STRING),

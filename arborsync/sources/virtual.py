@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborsync.functions.paths import passes_filter
+from arborsync.operators import graph
 from arborsync.operators.content import read_outcomes
 from arborsync.operators.merkle import read_roots, store_snapshots
 from arborsync.operators.refs import HEADS, REMOTES, TAGS
@@ -401,6 +402,16 @@ def commits(spark: SparkSession, folder: str, forked: bool = False) -> DataFrame
     return stored(spark, folder, "forked-commits" if forked else "commits", lambda: rows)
 
 
+def commit_index(spark: SparkSession, folder: str, forked: bool = False) -> graph.CommitIndex:
+    """The stored index of ``commits``: the newest three of each repository came in a later ingest than the rest."""
+    def write(path: str) -> None:
+        rows = commits(spark, folder, forked)
+        for segment, part in enumerate((rows.where("age > 3"), rows.where("age <= 3"))):
+            graph.ingest_commits(part, path, segment)
+
+    return graph.read_index(spark, stored_path(spark, folder, "forked-index" if forked else "commit-index", write))
+
+
 def touches(spark: SparkSession, folder: str) -> DataFrame:
     """(repo_id, path, sha): one repository in which commit l_orderkey touches file l_partkey."""
     return read_table(spark, folder, "lineitem").select(

@@ -60,6 +60,54 @@ def test_random_graphs(spark, seed, monkeypatch):
     assert listed == {(repo, sha) for repo, rows in histories.items() for sha in known[repo][rows[-1][1]]}
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_an_index_grown_in_ingests(spark, tmp_path, seed):
+    """Commits placed in four ingests, one of them twice: the same answers, and stored places never move."""
+    rng = random.Random(seed)
+    histories = {r: random_history(rng, r, n) for r, n in (("a", 160), ("b", 30))}
+    path, places = str(tmp_path / "index"), {}
+    for segment in (0, 1, 2, 2, 3):
+        rows = [row for rows in histories.values() for row in rows[len(rows) * segment // 4 : len(rows) * (segment + 1) // 4]]
+        again = [rows[0] for rows in histories.values()] if segment == 3 else []
+        graph.ingest_commits(spark.createDataFrame(rows + again, COMMITS), path, segment)
+        got = {(r["repo_id"], r["sha"]): (r["chain"], r["pos"]) for r in graph.read_index(spark, path).places.collect()}
+        assert all(got[k] == v for k, v in places.items()) and len(set(got.values())) == len(got)
+        places = got
+    index = graph.read_index(spark, path)
+    assert index.places.count() == len(places) == 190
+    ends = {}
+    for (_, sha), (chain, pos) in places.items():
+        ends.setdefault(chain, []).append(pos)
+    assert all(sorted(v) == list(range(1, len(v) + 1)) for v in ends.values())
+    pairs, expected = [], {}
+    for repo, rows in histories.items():
+        reach, shas = ancestors(rows), [sha for _, sha, _ in rows]
+        for _ in range(15):
+            old, new = rng.choice(shas), rng.choice(shas)
+            expected[repo, old, new] = (old in reach[new], len(reach[new] - reach[old]))
+        expected[repo, "nowhere", shas[-1]] = (False, None)
+    pairs = spark.createDataFrame(list(expected), "repo_id string, old_sha string, new_sha string")
+    got = graph.compare_commits(pairs, None, index).collect()
+    assert {(r["repo_id"], r["old_sha"], r["new_sha"]): (r["is_reachable"], r["distance"]) for r in got} == expected
+
+
+def test_an_ingest_goes_on_where_a_chain_ends(spark, tmp_path):
+    path = str(tmp_path / "index")
+    line = [("r", f"{i:03d}", [f"{i - 1:03d}"] if i else []) for i in range(50)]
+    graph.ingest_commits(spark.createDataFrame(line[:40], COMMITS), path, 0)
+    side = [("r", f"s{i}", ["039" if i == 0 else f"s{i - 1}"]) for i in range(3)]
+    graph.ingest_commits(spark.createDataFrame(line[40:] + side, COMMITS), path, 1)
+    places = {r["sha"]: (r["chain"], r["pos"]) for r in graph.read_index(spark, path).places.collect()}
+    assert places["049"] == ("000", 50) and places["s2"] == ("s0", 3)  # the heavier branch goes on
+    # A commit behind the middle of a chain starts its own.
+    graph.ingest_commits(spark.createDataFrame([("r", "late", ["020"]), ("x", "alone", ["049"])], COMMITS), path, 2)
+    index = graph.read_index(spark, path)
+    places = {(r["repo_id"], r["sha"]): (r["chain"], r["pos"]) for r in index.places.collect()}
+    assert places["r", "late"] == ("late", 1) and places["x", "alone"] == ("alone", 1)
+    heads = spark.createDataFrame([("r", "late"), ("x", "alone")], "repo_id string, head string")
+    assert graph.ancestors(heads, None, index).groupBy("head").count().collect() and graph.ancestors(heads, None, index).count() == 23
+
+
 def test_long_chain_takes_few_rounds(spark, monkeypatch):
     rounds = []
     original = graph.stage
