@@ -153,15 +153,10 @@ changed_paths as (
   from sided where new_ok and status in ('A', 'M', 'R')),
 held as (
   select e.config_hash, e.path from passing e join plan p on e.config_hash = p.config_hash
-  where p.n % 4 <> 0 and e.version = 'old' and e.outcome = 'ok' and e.doc_id % 7 <> 3
+  where p.n % 4 <> 0 and e.version = 'old' and e.doc_id % 7 <> 3
+    and (e.outcome = 'ok' or e.doc_id % 13 = 5 and e.outcome in ('binary', 'non_utf8'))
   union
   select config_hash, 'never/listed_' || cast(n as varchar) || '.md' from plan where n % 4 <> 0),
-delete_feed as (
-  select config_hash, old_path as path from sided where old_ok and status in ('D', 'R')
-  union all
-  select h.config_hash, h.path from held h join plan p on h.config_hash = p.config_hash
-  where p.mode = 'full' and not exists (
-    select 1 from passing e where e.config_hash = h.config_hash and e.version = 'new' and e.path = h.path)),
 retried as (
   select f.config_hash, f.repo_id, f.path, 'add' as action
   from failed_before f join plan p on f.config_hash = p.config_hash
@@ -181,6 +176,17 @@ attempts as (
          coalesce(e.outcome, 'not_found') = 'read_error' as is_transient, e.content
   from work w left join (select * from eligible where version = 'new') e
   on w.repo_id = e.source and w.path = e.path),
+delete_feed as (
+  select config_hash, old_path as path from sided where old_ok and status in ('D', 'R')
+  union
+  select h.config_hash, h.path from held h join plan p on h.config_hash = p.config_hash
+  where p.mode = 'full' and not exists (
+    select 1 from passing e where e.config_hash = h.config_hash and e.version = 'new' and e.path = h.path)
+  union
+  select h.config_hash, h.path from held h join attempts a on h.config_hash = a.config_hash and h.path = a.path
+  where a.outcome <> 'ok' and not a.is_transient
+  union
+  select 'old-' || config_hash, 'docs/left_' || cast(n as varchar) || '.md' from plan where n % 4 <> 0),
 numbered_attempts as (
   select *, row_number() over (partition by config_hash order by path) as attempted,
          coalesce(sum(case when outcome = 'ok' then 1 else 0 end)

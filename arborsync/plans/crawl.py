@@ -148,8 +148,20 @@ def incremental_paths(
     )
 
 
-def work_set(repo: Repository, planned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(files to read, delete feed) of all sources."""
+def unreadable_documents(attempts: DataFrame, held: DataFrame) -> DataFrame:
+    """``config_hash, path`` of held documents whose file was tried again and is no document any more.
+
+    A transient failure says nothing about the file, so its document stays.
+    """
+    lost = attempts.where((F.col("outcome") != OK) & ~F.col("is_transient")).select("config_hash", "path")
+    return held.join(lost, ["config_hash", "path"], "left_semi")
+
+
+def work_set(repo: Repository, planned: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(files to read, deletes known before reading, documents held) of all sources.
+
+    Deleted are files that are gone, and all documents of configurations that no source has any more.
+    """
     tree = eligible(repo.tree)
     full = planned.where(F.col("mode") == FULL)
     incremental = planned.where(F.col("mode") == INCREMENTAL)
@@ -160,14 +172,22 @@ def work_set(repo: Repository, planned: DataFrame) -> tuple[DataFrame, DataFrame
     deletes = changes.where(F.col("status").isin(DELETED, RENAMED)).select(
         "config_hash", F.col("old_path").alias("path")
     )
+    held = None
     if repo.attempts is not None:
         deleted = repo.deletes if repo.deletes is not None else repo.attempts.where("false")
-        held = held_documents(repo.attempts, deleted)
+        held = stage(held_documents(repo.attempts, deleted), "held-documents")
         # Each document meets its own source's mode; a source without a full sync has none here.
         stale = held.join(listed, ["config_hash", "path"], "left_anti")
         deletes = deletes.unionByName(lookup_join(stale, full.select("config_hash"), ["config_hash"], "inner"))
+        used = planned.select("config_hash", F.lit(True).alias("_used"))
+        deletes = deletes.unionByName(lookup_join(held, used, ["config_hash"]).where("_used IS NULL").select("config_hash", "path"))
     # Read by several joins and jobs below, and narrow.
-    return stage(work, "work-set"), deletes
+    return stage(work, "work-set"), deletes, held
+
+
+def _all_deletes(known: DataFrame, attempts: DataFrame, held: DataFrame | None) -> DataFrame:
+    """The delete feed: each path once."""
+    return known if held is None else known.unionByName(unreadable_documents(attempts, held)).distinct()
 
 
 def _describe(files: DataFrame, planned: DataFrame) -> DataFrame:
@@ -205,15 +225,17 @@ class CrawlResult:
 def crawl(repo: Repository) -> CrawlResult:
     """Run all sources at once: plan, choose files, read them, describe the documents."""
     planned = plan(repo)
-    work, deletes = work_set(repo, planned)
-    return CrawlResult(planned, _describe(read_texts(work, repo.blobs), planned), deletes)
+    work, deletes, held = work_set(repo, planned)
+    attempts = _describe(read_texts(work, repo.blobs), planned)
+    return CrawlResult(planned, attempts, _all_deletes(deletes, attempts, held))
 
 
 def crawl_outcomes(repo: Repository) -> CrawlResult:
     """The same crawl without text: enough for batches, progress, state and metrics."""
     planned = plan(repo)
-    work, deletes = work_set(repo, planned)
-    return CrawlResult(planned, stage(read_outcomes(work, repo.blobs), "attempts"), deletes)
+    work, deletes, held = work_set(repo, planned)
+    attempts = stage(read_outcomes(work, repo.blobs), "attempts")
+    return CrawlResult(planned, attempts, _all_deletes(deletes, attempts, held))
 
 
 def run_crawl(repo: Repository, output: str, sync_id: int) -> CrawlResult:
@@ -232,19 +254,21 @@ def run_crawl(repo: Repository, output: str, sync_id: int) -> CrawlResult:
             repo, attempts=read_or_empty(spark, f"{output}/attempts", ATTEMPTS).where(earlier),
             deletes=read_or_empty(spark, f"{output}/deletes", DELETES).where(earlier),
         )
-    result = crawl(repo)
+    planned = plan(repo)
+    work, known, held = work_set(repo, planned)
+    attempts = _describe(read_texts(work, repo.blobs), planned)
     attempts_path = f"{output}/attempts/sync_id={sync_id}"
-    result.attempts.write.mode("overwrite").parquet(attempts_path)
-    schema = result.attempts.schema
-    written = spark.read.schema(schema).parquet(attempts_path)
+    attempts.write.mode("overwrite").parquet(attempts_path)
+    written = spark.read.schema(attempts.schema).parquet(attempts_path)
     deletes_path = f"{output}/deletes/sync_id={sync_id}"
-    result.deletes.write.mode("overwrite").parquet(deletes_path)
-    saved = CrawlResult(result.plan, written, spark.read.schema(result.deletes.schema).parquet(deletes_path))
+    deletes = _all_deletes(known, written, held)
+    deletes.write.mode("overwrite").parquet(deletes_path)
+    saved = CrawlResult(planned, written, spark.read.schema(deletes.schema).parquet(deletes_path))
     saved.batches().write.mode("overwrite").parquet(f"{output}/batches/sync_id={sync_id}")
     failed = sync_state.next_failed(written, sync_id)
     failed.drop("sync_id").write.mode("overwrite").parquet(f"{output}/failed_paths/sync_id={sync_id}")
     counted = sync_metrics(saved.plan, written, saved.deletes, started, datetime.now(timezone.utc))
     counted.write.mode("overwrite").parquet(f"{output}/metrics/sync_id={sync_id}")
-    state = sync_state.next_state(result.plan, sync_id)
+    state = sync_state.next_state(planned, sync_id)
     state.drop("sync_id").write.mode("overwrite").parquet(f"{output}/sync_state/sync_id={sync_id}")
     return saved

@@ -292,7 +292,8 @@ def crawl_repository(spark: SparkSession, folder: str) -> Repository:
         "config_hash", sync_id.alias("sync_id"), "path", F.lit("read_error").alias("reason")
     )
     # Written by earlier syncs: sync 0 read the old snapshot, sync 1 deleted some of its files again;
-    # a file outside any snapshot was read, deleted and read once more.
+    # a file outside any snapshot was read, deleted and read once more. Some files that are binary or not
+    # UTF-8 now were read as text then (doc_id % 13 = 5), and settings used before left a document too.
     stated = configured.where(F.col("n") % 4 != 0)
     old_tree = stored_tree.where((F.col("commit_sha") == commit_sha(F.col("repo_id"), OLD)) & (F.col("mode") != LINK_MODE))
     listed = old_tree.join(stated.select("repo_id", "config_hash", "subdir", "extension_list"), "repo_id").where(
@@ -302,7 +303,12 @@ def crawl_repository(spark: SparkSession, folder: str) -> Repository:
     read = read_outcomes(listed, planted_blobs(spark, folder)).select("config_hash", "path", "outcome", doc.alias("doc"))
     extra = stated.select("config_hash", F.concat(F.lit("never/listed_"), F.col("n").cast("string"), F.lit(".md")).alias("path"))
     zero = F.lit(0).cast("bigint")
-    attempts = read.select("config_hash", zero.alias("sync_id"), "path", "outcome").unionByName(
+    as_text = (F.col("doc") % 13 == 5) & F.col("outcome").isin("binary", "non_utf8")
+    earlier = F.when(as_text, "ok").otherwise(F.col("outcome")).alias("outcome")
+    abandoned = stated.select(
+        F.concat(F.lit("old-"), "config_hash").alias("config_hash"), zero.alias("sync_id"),
+        F.concat(F.lit("docs/left_"), F.col("n").cast("string"), F.lit(".md")).alias("path"), F.lit("ok").alias("outcome"))
+    attempts = read.select("config_hash", zero.alias("sync_id"), "path", earlier).unionByName(abandoned).unionByName(
         extra.select("config_hash", F.explode(F.array(zero, zero + 2)).alias("sync_id"), "path", F.lit("ok").alias("outcome"))
     )
     deletes = read.where("doc % 7 = 3").select("config_hash", sync_id.alias("sync_id"), "path").unionByName(

@@ -164,7 +164,38 @@ def test_full_sync_reports_what_is_gone(spark):
     told = replace(
         repo, attempts=spark.createDataFrame(attempts, schemas.ATTEMPTS), deletes=spark.createDataFrame(deletes, schemas.DELETES))
     result = crawl.crawl_outcomes(told)
-    assert sorted(tuple(r) for r in result.deletes.collect()) == [(key, "back.md"), (key, "late.md"), (key, "old.md")]
+    assert sorted(tuple(r) for r in result.deletes.collect()) == sorted([(key, "back.md"), (key, "late.md"), (key, "old.md"), ("other", "x")])
+
+
+def test_documents_that_cannot_be_read_any_more_go(spark, tmp_path):
+    """Text that turns binary or invalid UTF-8 loses its document in both modes; a failed read does not."""
+    first = {"a.md": b"a", "b.md": b"b", "c.md": b"c", "d.md": b"d"}
+    second = {"a.md": b"\x00", "b.md": b"\xff", "c.md": b"later", "d.md": b"d"}
+    for mode in ("incremental", "full"):
+        out = str(tmp_path / mode)
+        held = documents(crawl.run_crawl(repository(spark, [first]), out, 1))
+        state, failed = read_state(spark, out)
+        repo = repository(spark, [first, second], state if mode == "incremental" else [(state[0][0], 1, "lost")], failed, errors=("c.md",))
+        result = crawl.run_crawl(repo, out, 2)
+        assert result.plan.first()["mode"] == mode
+        assert sorted(r["path"] for r in result.deletes.collect()) == ["a.md", "b.md"]
+        for row in result.deletes.collect():
+            held.pop(row["path"])
+        assert held | documents(result) == {"c.md": "c", "d.md": "d"}
+        assert spark.read.parquet(f"{out}/metrics/sync_id=2").first()["files_deleted"] == 2
+
+
+def test_documents_of_dropped_settings_go(spark, tmp_path):
+    out = str(tmp_path / "out")
+    crawl.run_crawl(repository(spark, [FIRST]), out, 1)
+    old = {r["config_hash"] for r in spark.read.parquet(f"{out}/sync_state").collect()}
+    state, failed = read_state(spark, out)
+    second = crawl.run_crawl(repository(spark, [FIRST], state, failed, subdir="docs", extensions=".md"), out, 2)
+    assert second.plan.first()["reason"] == "first_sync"
+    assert {(r["config_hash"], r["path"]) for r in second.deletes.collect()} == {(h, p) for h in old for p in ("docs/a.md", "docs/b.md", "docs/c.md")}
+    state, failed = read_state(spark, out)
+    third = crawl.run_crawl(repository(spark, [FIRST], state, failed, subdir="docs", extensions=".md"), out, 3)
+    assert third.deletes.count() == 0
 
 
 @pytest.mark.parametrize("history", ["kept", "rewritten", "pruned"])
