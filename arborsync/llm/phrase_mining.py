@@ -3,12 +3,14 @@
 Frequent phrases are found as Toivonen does. A sample of the texts, read with a lowered threshold, proposes
 phrases. One pass over all texts counts them and their negative border: every phrase that is not proposed
 itself but whose first and last words, one left out at either end, are. A border phrase that turns out
-frequent is a failure of the sample; it is proposed too, and a further pass counts the border that this adds,
-until no failure is left. A frequent phrase has frequent parts, so then none can be missing.
-
-Proposals reach the tasks as bits of a filter of fixed size. A bit set by another phrase makes tasks count a
-phrase more, never one less. Counts are summed by the phrases themselves; only inside one slice of a few
-megabytes do 64-bit hashes tell them apart.
+frequent is a failure of the sample. A further pass takes every phrase that its parts, frequent or counted in
+that pass themselves, make possible and that was not counted before, whatever its length: a frequent phrase
+has frequent parts, so after it nothing can be missing and the search is closed.
+
+The first full pass counts by 64-bit hashes, which keeps its shuffle small; the second counts what may be
+frequent once more by the phrases themselves, so a collision of hashes changes no count. Proposals reach the
+tasks as bits of a filter of fixed size; a bit set by another phrase makes tasks count a phrase more, never
+one less.
 """
 
 from __future__ import annotations
@@ -34,9 +36,9 @@ TOP = 2000
 # A phrase goes if a longer one around it has so many per cent of its occurrences.
 ABSORB = 100
 # One text in so many is in the sample; there a phrase must reach its share of the threshold less so many
-# standard deviations, which keeps failures, and with them further passes, rare.
+# standard deviations. A lower threshold makes the border larger, a higher one the second pass.
 SAMPLE = 8
-DEVIATIONS = 2.0
+DEVIATIONS = 1.0
 # Bits of the filter that tells tasks which phrases are proposed: 16 MB, whatever the input.
 FILTER_BITS = 27
 # Texts are worked on so many bytes at a time, about 25 bytes of memory for each; longer ones are cut between words.
@@ -47,7 +49,8 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 _WORD = byte_class(_ENDS + b" \t")
 _END = np.isin(np.arange(256), list(_ENDS))
 _GAP = re.compile(rb"[ \t.,;:!?\n\x0b\x0c\r]")
-_COUNT = "lang string, phrase binary, n bigint"
+_HASHED = "hash bigint, n bigint"
+_NAMED = "lang string, phrase binary, n bigint"
 
 
 def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -150,7 +153,12 @@ class Windows:
         """Hashes of phrases of ``width`` words from those of one word less; meaningless across a mark."""
         return mix(hashes[: len(self.words) - width + 1] ^ self.words[width - 1 :])
 
-    def counted(self, hashes: np.ndarray, width: int, chosen: np.ndarray) -> pa.RecordBatch:
+    def hashed(self, hashes: np.ndarray) -> pa.RecordBatch:
+        """(hash, n) of phrases."""
+        found, n = np.unique(hashes, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+
+    def named(self, hashes: np.ndarray, width: int, chosen: np.ndarray) -> pa.RecordBatch:
         """(lang, phrase, n) of the phrases of ``width`` words that start at the words ``chosen``."""
         _, at, n = np.unique(hashes[chosen], return_index=True, return_counts=True)
         first = chosen[at]
@@ -170,97 +178,75 @@ class Windows:
             [pa.array(self.langs, pa.string()), pa.array([b""] * len(n), pa.binary()), pa.array(n)], names=["lang", "phrase", "n"])
 
 
-def _count(widths: range, longest: int, limit: int, proposed=None, before=None, totals: bool = False):
-    """Counts of the phrases of ``widths`` words whose two parts of one word less are ``proposed`` (a broadcast
-    filter, None for any) and were not both so ``before``. Where the filter does not know a width, its counted phrases stand for it.
+def _chained(parts: np.ndarray | None, whole: np.ndarray) -> np.ndarray:
+    """Of phrases that are ``whole``, those of which both parts of one word less are ``parts``."""
+    return whole if parts is None else whole & parts[: len(whole)] & parts[1 : len(whole) + 1]
+
+
+def _widths(w: Windows, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(width, hashes, whole) of phrases by their first word; ``whole`` ones cross no mark."""
+    hashes = w.first
+    for width in range(1, min(longest, len(w.words)) + 1):
+        hashes = w.longer(hashes, width) if width > 1 else hashes
+        yield width, hashes, w.left[: len(hashes)] >= width
+
+
+def _count(widths: range, longest: int, limit: int, proposed=None):
+    """Counts by hash of the phrases of ``widths`` words of which both parts of one word less are proposed.
+
+    ``proposed``: a broadcast filter and the greatest width it knows; beyond, and without a filter, what is
+    counted stands for what is proposed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = proposed.value[0] if proposed is not None else None
-        known = proposed.value[1] if proposed is not None else 0
-        past = before.value[0] if before is not None else None
+        held, known = proposed.value if proposed is not None else (None, 0)
         for pieces in _pieces(batches, limit, longest):
-            w = Windows(pieces, longest)
-            if not len(w.words):
-                continue
-            if totals:
-                yield w.totals()
-            hashes = w.first
-            parts = old = None
-            for width in range(1, widths.stop):
-                if width > 1:
-                    if len(w.words) < width:
-                        break
-                    hashes = w.longer(hashes, width)
-                whole = w.left[: len(hashes)] >= width
-                if parts is not None:
-                    whole &= parts[: len(hashes)] & parts[1 : len(hashes) + 1]
+            w, parts = Windows(pieces, longest), None
+            for width, hashes, whole in _widths(w, widths.stop - 1):
+                counted = _chained(parts, whole)
                 if width in widths:
-                    new = whole if old is None else whole & ~(old[: len(hashes)] & old[1 : len(hashes) + 1])
-                    chosen = np.flatnonzero(new & w.own[: len(hashes)])
-                    if len(chosen):
-                        yield w.counted(hashes, width, chosen)
-                parts = whole
-                if now is not None and width <= known:
-                    parts = whole & now.holds(hashes)
-                if past is not None:
-                    held = w.left[: len(hashes)] >= width
-                    if old is not None:
-                        held &= old[: len(hashes)] & old[1 : len(hashes) + 1]
-                    old = held & past.holds(hashes)
+                    yield w.hashed(hashes[counted & w.own[: len(hashes)]])
+                parts = counted & held.holds(hashes) if width <= known else counted
 
     return run
 
 
-def _summed(rows: DataFrame, run, least: int) -> DataFrame:
-    counts = rows.mapInArrow(run, _COUNT).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-    return counts.where((F.col("f") >= least) | (F.octet_length("phrase") == 0))
-
-
-def _missing(bits: int, proposed=None):
-    """Places in the filter of phrases that are not yet ``proposed``."""
+def _resolve(longest: int, limit: int, proposed, frequent):
+    """Counts by name of the phrases that the pass with ``proposed`` found ``frequent`` (broadcast filters), and of
+    those it did not count although both their parts are frequent or counted here; and all words as the empty phrase.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = proposed.value[0] if proposed is not None else None
-        for batch in batches:
-            langs, phrases = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            hashes = np.zeros(len(langs), dtype=np.uint64)
-            w = split_words(phrases, _WORD)
-            for row, lang in enumerate(langs):
-                own = w.hashes[w.bounds[row] : w.bounds[row + 1]]
-                value = mix(own[:1] ^ np.uint64(_salt(lang)))
-                for word in range(1, len(own)):
-                    value = mix(value ^ own[word : word + 1])
-                hashes[row] = value[0]
-            at = _places(hashes, bits)
-            if held is not None:
-                at = at[~held.holds(hashes)]
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], names=["place"])
+        (before, _), (found, _) = proposed.value, frequent.value
+        for pieces in _pieces(batches, limit, longest):
+            w, parts, old = Windows(pieces, longest), None, None
+            yield w.totals()
+            for width, hashes, whole in _widths(w, longest):
+                counted = _chained(old, whole)
+                parts = _chained(parts, whole) & (~counted | found.holds(hashes))
+                old = counted & before.holds(hashes)
+                chosen = np.flatnonzero(parts & w.own[: len(hashes)])
+                if len(chosen):
+                    yield w.named(hashes, width, chosen)
 
     return run
 
 
-def _filter_of(frequent: DataFrame, longest: int, bits: int, proposed=None) -> PhraseFilter | None:
-    """The filter of the phrases of ``frequent`` that have longer ones and are not yet ``proposed``; None without any.
-
-    Bits are set where the phrases are; only the filter, of fixed size, comes to the driver.
-    """
-    short = frequent.where((F.octet_length("phrase") > 0) & (_width(F.col("phrase")) < longest)).select("lang", "phrase")
-    places = short.mapInArrow(_missing(bits, proposed), "place bigint")
-    parts = places.groupBy(F.shiftright("place", _BUCKET_BITS).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("place").bitwiseAND((1 << _BUCKET_BITS) - 1)).alias("bits")).collect()
-    if not parts:
-        return None
-    whole = np.zeros(1 << bits >> 3, dtype=np.uint8)
-    for part in parts:
-        begin = part["bucket"] << _BUCKET_BITS >> 3
-        whole[begin : begin + len(part["bits"])] = np.frombuffer(bytes(part["bits"]), dtype=np.uint8)
-    return PhraseFilter(bits, whole)
+def _frequent(rows: DataFrame, run, least: int) -> DataFrame:
+    return rows.mapInArrow(run, _HASHED).groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("hash")
 
 
-def _width(phrase: Column) -> Column:
-    text = phrase.cast("string")
-    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+def _filter_of(frequent: DataFrame, bits: int) -> PhraseFilter:
+    """The filter of the phrases in ``frequent``. Bits are set where the phrases are; only the filter, of fixed
+    size, comes to the driver."""
+    place = F.shiftrightunsigned("hash", 64 - bits)
+    parts = frequent.select(place.alias("place")).groupBy(F.shiftright("place", _BUCKET_BITS).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("place").bitwiseAND((1 << _BUCKET_BITS) - 1)).alias("bits"))
+    held = np.zeros(1 << bits >> 3, dtype=np.uint8)
+    for part in parts.collect():
+        begin = part["bucket"] << _BUCKET_BITS >> 3
+        held[begin : begin + len(part["bits"])] = np.frombuffer(bytes(part["bits"]), dtype=np.uint8)
+    return PhraseFilter(bits, held)
 
 
 def frequent_phrases(
@@ -286,29 +272,21 @@ def frequent_phrases(
     send = lambda held, known=longest: spark.sparkContext.broadcast((held, known))
 
     # The sample: words and pairs, then longer phrases made of frequent pairs.
-    pairs = stage(_summed(drawn, _count(range(1, min(3, longest + 1)), longest, slice_bytes), lowered), "sample_pairs")
-    held = _filter_of(pairs, longest, bits) or PhraseFilter(bits)
+    pairs = stage(_frequent(drawn, _count(range(1, min(2, longest) + 1), longest, slice_bytes), lowered), "sample_pairs")
+    held = _filter_of(pairs, bits)
     if longest > 2:
         of_pairs = send(held, 2)
-        run = _count(range(3, longest + 1), longest, slice_bytes, of_pairs)
-        more = _filter_of(stage(_summed(drawn, run, lowered), "sample_longer"), longest, bits)
+        more = stage(_frequent(drawn, _count(range(3, longest + 1), longest, slice_bytes, of_pairs), lowered), "sample_longer")
         of_pairs.destroy()  # what it helped to count is written
-        held = held.joined(more) if more is not None else held
+        held = held.joined(_filter_of(more, bits))
 
     proposed = send(held)
-    found = stage(_summed(plain, _count(range(1, longest + 1), longest, slice_bytes, proposed, totals=True), least), "phrases")
-    parts, latest = [found], found
-    while (failed := _filter_of(latest, longest, bits, proposed)) is not None:
-        held = held.joined(failed)
-        before, proposed = proposed, send(held)
-        run = _count(range(2, longest + 1), longest, slice_bytes, proposed, before)
-        latest = stage(_summed(plain, run, least), "further_phrases")
-        before.destroy()
-        parts.append(latest)
+    seen = stage(_frequent(plain, _count(range(1, longest + 1), longest, slice_bytes, proposed), least), "frequent_hashes")
+    found = send(_filter_of(seen, bits))
+    counts = plain.mapInArrow(_resolve(longest, slice_bytes, proposed, found), _NAMED).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    whole = stage(counts.where((F.col("f") >= least) | (F.octet_length("phrase") == 0)), "phrases")
     proposed.destroy()
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+    found.destroy()
     return whole.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
 
 
