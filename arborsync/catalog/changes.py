@@ -11,7 +11,8 @@ from arborsync.functions import paths
 from arborsync.operators import actions, diff, export, merkle, renames, snapshot, upsert
 from arborsync.operators.refs import resolve_refs
 from arborsync.plans import crawl
-from arborsync.sources import virtual
+from arborsync.session import new_work_path
+from arborsync.sources import ranged, virtual
 from arborsync.staging import stage
 
 CATALOG = Catalog()
@@ -19,6 +20,7 @@ CATALOG = Catalog()
 SHOWN = ("repo_id", "status", "old_path", "new_path")
 FILTER_SUBDIR, FILTER_EXTENSIONS = "moved", ".md,.json,gz"
 PART = 20
+UPSERT_RANGE = 2000
 
 
 def _changes(spark: SparkSession, folder: str, repo: str | None = None) -> DataFrame:
@@ -215,16 +217,13 @@ def incremental_paths(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@CATALOG.query(
-    f"""with {SNAPSHOTS}
+UPSERTED = f"""with {SNAPSHOTS}
 select 'git:corpus:' || path as source_url, text as content,
   cast(case when doc_id % 10 in (0, 2, 3) then 2 + doc_id % 2 else 1 end as bigint) as sync_id from new_tree"""
-)
-def apply_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of the old snapshot with the change set applied: those of the new one.
 
-    Every upsert comes twice or three times, with older versions that must lose.
-    """
+
+def _document_changes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents of the old snapshot, upserts, deletes); every upsert comes twice or three times, with older versions that must lose."""
     old, new = virtual.snapshot_pair(spark, folder)
     steps = stage(actions.upserts_and_deletes(diff.changeset(old, new)), "steps")
     url = F.concat(F.lit("git:corpus:"), "path").alias("source_url")
@@ -239,8 +238,23 @@ def apply_upsert(spark: SparkSession, folder: str) -> DataFrame:
     )
     stale = fresh.select("source_url", F.concat(F.lit("stale "), "content").alias("content"), F.lit(0).cast("bigint").alias("sync_id"))
     repeated = fresh.unionByName(fresh).unionByName(stale)
-    held = documents(virtual.OLD, F.lit(1))
-    return upsert.apply_upsert(held, repeated, keys.where(F.col("action") == actions.DELETE))
+    return documents(virtual.OLD, F.lit(1)), repeated, keys.where(F.col("action") == actions.DELETE).select("source_url")
+
+
+@CATALOG.query(UPSERTED)
+def apply_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of the old snapshot with the change set applied: those of the new one."""
+    return upsert.apply_upsert(*_document_changes(spark, folder))
+
+
+@CATALOG.query(UPSERTED)
+def apply_upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same on a stored table: a first version of the old documents, and one that rewrites the ranges that change."""
+    held, upserts, deletes = _document_changes(spark, folder)
+    path = new_work_path(spark, "documents")
+    ranged.upsert_ranged(path, held, None, 1, range_rows=UPSERT_RANGE)
+    ranged.upsert_ranged(path, upserts, deletes, 2, range_rows=UPSERT_RANGE)
+    return ranged.read_ranged(spark, path, held.schema)
 
 
 @CATALOG.query(

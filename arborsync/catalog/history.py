@@ -102,6 +102,16 @@ def last_commit_per_file(spark: SparkSession, folder: str) -> DataFrame:
     return history.last_commit_per_file(virtual.touches(spark, folder), virtual.touch_commits(spark, folder))
 
 
+@CATALOG.query(
+    f"""with {LAST_TOUCH}
+select 'corpus' as repo_id, 'parts/' || cast(l_partkey as varchar) || '.md' as path,
+  sha as last_commit_sha, o_orderdate as last_commit_time, author as last_commit_author, message as last_commit_message from last"""
+)
+def last_commit_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, kept up over five ingests of commits by month."""
+    return virtual.last_commits(spark, folder)
+
+
 @CATALOG.query(
     f"""with {LAST_TOUCH},
 ranked as (select *, row_number() over (partition by l_partkey order by o_orderdate desc, sha desc) as n

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from arborsync.functions.strings import strip
-from arborsync.operators.numbering import number_rows
 from arborsync.operators.skew import lookup_join
-from arborsync.staging import stage
+from arborsync.sources.keyed import read_segments, rows_with_keys, write_segment
 
 HISTORY_DEPTH = 10
 
@@ -27,32 +27,72 @@ def touches_with_commit(touches: DataFrame, commits: DataFrame) -> DataFrame:
     return lookup_join(touches.select("repo_id", "path", "sha"), told, ["repo_id", "sha"], "inner")
 
 
-def commit_positions(commits: DataFrame) -> DataFrame:
-    """``repo_id, sha, ts, author, message, position``: commits numbered per repository, oldest first, ties by id."""
+_CODE_BITS = 56
+
+
+def _micros(ts: Column, kind: str) -> Column:
+    """Microseconds since 1970; of a time without zone by its own calendar, whatever the session's zone."""
+    if kind != "timestamp_ntz":
+        return F.unix_micros(ts.cast("timestamp"))
+    days = F.date_diff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    within = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return days * 86_400_000_000 + within
+
+
+def coded_commits(commits: DataFrame) -> DataFrame:
+    """``repo_id, sha, ts, author, message, code``: within a repository codes are in the order of (ts, sha).
+
+    A code is one number of fixed width, so that a maximum of codes is hashed and combined before a shuffle:
+    the time, the first bytes of the id, and a place among the few commits that agree in both.
+    """
     told = commits.select("repo_id", "sha", "ts", "author", first_line(F.col("message")).alias("message"))
-    return number_rows(told, ["repo_id"], ["ts", "sha"], "position")
+    digits = _CODE_BITS // 4
+    head = F.conv(F.rpad(F.substring(F.hex(F.encode("sha", "UTF-8")), 1, digits), digits, "0"), 16, 10)
+    time = _micros(F.col("ts"), dict(told.dtypes)["ts"]).cast("decimal(38,0)")
+    rough = time * F.lit(10**17).cast("decimal(18,0)") + head.cast("decimal(17,0)")
+    alike = Window.partitionBy("repo_id", "_rough").orderBy("sha")
+    placed = told.withColumn("_rough", rough).withColumn("_n", F.row_number().over(alike))
+    code = (F.col("_rough") * 1000 + F.col("_n")).cast("decimal(38,0)")
+    return placed.withColumn("code", code).drop("_rough", "_n")
 
 
 def last_commit_per_file(touches: DataFrame, commits: DataFrame) -> DataFrame:
     """Newest commit touching each (repo_id, path), with time, author and first message line; equal times are told apart by commit id.
 
-    Commits are few next to touches, so they are numbered first: the aggregate over
+    Commits are few next to touches, so they get their codes first: the aggregate over
     the touches is then a maximum of numbers, hashed and combined before the
     shuffle, however many commits touch one file.
     """
-    places = stage(commit_positions(commits), "positions")
+    coded = coded_commits(commits)
     placed = lookup_join(
-        touches.select("repo_id", "path", "sha"), places.select("repo_id", "sha", "position"),
-        ["repo_id", "sha"], "inner",
-    )
-    newest = placed.groupBy("repo_id", "path").agg(F.max("position").alias("position"))
-    told = lookup_join(newest, places, ["repo_id", "position"], "inner")
+        touches.select("repo_id", "path", "sha"), coded.select("repo_id", "sha", "code"), ["repo_id", "sha"], "inner")
+    newest = placed.groupBy("repo_id", "path").agg(F.max("code").alias("code"))
+    told = lookup_join(newest, coded, ["repo_id", "code"], "inner")
     return told.select(
         "repo_id", "path", F.col("sha").alias("last_commit_sha"), F.col("ts").alias("last_commit_time"),
         F.col("author").alias("last_commit_author"), F.col("message").alias("last_commit_message"),
     )
 
 
+def ingest_touches(touches: DataFrame, commits: DataFrame, path: str, segment: int) -> None:
+    """Add the touches of new ``commits`` to the stored state: the newest of them for each file, as one segment.
+
+    Earlier segments are not read. Each has Bloom filters of the paths that it changed, so a look at
+    few files skips the blocks of commits that touched none. A repeated ingest replaces its segment.
+    """
+    write_segment(last_commit_per_file(touches, commits), path, "path", segment)
+
+
+def stored_last_commits(spark: SparkSession, path: str, schema: StructType, wanted: DataFrame | None = None) -> DataFrame:
+    """``last_commit_per_file`` over all ingested commits, of the files ``wanted`` (``repo_id, path``, all without it)."""
+    state = read_segments(spark, path, schema)
+    if wanted is not None:
+        state = rows_with_keys(state, "path", wanted.select("path").distinct()).join(wanted, ["repo_id", "path"], "left_semi")
+    best = F.max(F.struct("last_commit_time", "last_commit_sha", "last_commit_author", "last_commit_message")).alias("last")
+    newest = state.groupBy("repo_id", "path").agg(best)
+    return newest.select("repo_id", "path", "last.last_commit_sha", "last.last_commit_time", "last.last_commit_author", "last.last_commit_message")
+
+
 def file_history(touches: DataFrame, commits: DataFrame, depth: int = HISTORY_DEPTH) -> DataFrame:
     """The newest ``depth`` commits of each file, ``n`` = 1 for the newest.
 

@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 KEY = "source_url"
 
 
-def _one_per_key(rows: DataFrame, version: str) -> DataFrame:
+def _one_per_key(rows: DataFrame, version: str, key: str = KEY) -> DataFrame:
     """The greatest row of each key, by ``version`` first where there is such a column."""
     columns = rows.columns
     first = [version] if version in columns else []
-    order = first + [c for c in columns if c not in (KEY, *first)]
-    best = rows.groupBy(KEY).agg(F.max(F.struct(*order)).alias("_best"))
-    return best.select(*[F.col(c) if c == KEY else F.col(f"_best.`{c}`") for c in columns])
+    order = first + [c for c in columns if c not in (key, *first)]
+    best = rows.groupBy(key).agg(F.max(F.struct(*order)).alias("_best"))
+    return best.select(*[F.col(c) if c == key else F.col(f"_best.`{c}`") for c in columns])
 
 
 def apply_upsert(
-    documents: DataFrame, upserts: DataFrame, deletes: DataFrame | None = None, version: str = "sync_id"
+    documents: DataFrame, upserts: DataFrame, deletes: DataFrame | None = None, version: str = "sync_id", key: str = KEY
 ) -> DataFrame:
     """The table after one sync: an upsert replaces its key, a delete removes it unless upserted too.
 
@@ -26,11 +26,11 @@ def apply_upsert(
     column, and by the other columns among equals. Only the keys of the change meet the table; a
     small change set is broadcast by the planner and the documents are then not shuffled at all.
     """
-    upserts = _one_per_key(upserts, version)
-    touched = upserts.select(KEY)
+    upserts = _one_per_key(upserts, version, key)
+    touched = upserts.select(key)
     if deletes is not None:
-        touched = touched.union(deletes.select(KEY))
-    kept = documents.join(touched, KEY, "left_anti")
+        touched = touched.union(deletes.select(key))
+    kept = documents.join(touched, key, "left_anti")
     return kept.unionByName(upserts.select(*documents.columns))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborsync.functions.paths import passes_filter
-from arborsync.operators import graph
+from arborsync.operators import graph, history
 from arborsync.operators.content import read_outcomes
 from arborsync.operators.merkle import read_roots, store_snapshots
 from arborsync.operators.refs import HEADS, REMOTES, TAGS
@@ -437,6 +437,18 @@ def touch_commits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def last_commits(spark: SparkSession, folder: str, wanted: DataFrame | None = None) -> DataFrame:
+    """The newest commit of each touched file, from a state that took in the commits in five parts, by month."""
+    commits_of, part = touch_commits(spark, folder), lambda commits, i: commits.where(F.month("ts") % 5 == i)
+    schema = history.last_commit_per_file(touches(spark, folder), commits_of).schema
+
+    def write(path: str) -> None:
+        for segment in range(5):
+            history.ingest_touches(touches(spark, folder), part(commits_of, segment), path, segment)
+
+    return history.stored_last_commits(spark, stored_path(spark, folder, "last-commits", write), schema, wanted)
+
+
 def chain_states(spark: SparkSession, folder: str, graph: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sources, state) of the customers' repositories.
 
