@@ -15,7 +15,7 @@ from arborsync.session import new_work_path
 from arborsync.sources import virtual
 from arborsync.sources.tables import read_table
 from arborsync.staging import stage
-from arborsync.streaming import changefeed, events
+from arborsync.streaming import changefeed, events, keyed
 
 CATALOG = Catalog()
 
@@ -73,7 +73,12 @@ def _feed(spark: SparkSession, folder: str) -> DataFrame:
 def _event_stream(spark: SparkSession, folder: str, work: str) -> DataFrame:
     """The events table replayed from files in time order."""
     rows = read_table(spark, folder, "events")
-    rows.repartitionByRange(EVENT_FILES, "ts").write.parquet(f"{work}/events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    part = F.floor((at - F.lit(low)) * EVENT_FILES / F.lit((high or 0) - (low or 0) + 1))
+    # One write after the other: a stream takes files by their age.
+    for number in range(EVENT_FILES):
+        rows.where(part == number).write.mode("append").parquet(f"{work}/events")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events")
     return stream.select(
         F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("path"),
@@ -105,3 +110,51 @@ def stream_retry(spark: SparkSession, folder: str) -> DataFrame:
     state = events.last_outcomes(_event_stream(spark, folder, work))
     events.start_updates(state, f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return events.read_retry_queue(spark, f"{work}/out", state.schema)
+
+
+def _shuffled_events(spark: SparkSession, folder: str, work: str) -> DataFrame:
+    """The events table replayed out of order, every fifth event twice, in files by event_id % 4."""
+    rows = read_table(spark, folder, "events")
+    again = rows.where("event_id % 5 = 2")
+    for part in (3, 0, 2, 1):
+        own = F.col("event_id") % 4 == part
+        rows.where(own).unionByName(again.where(F.col("event_id") % 4 == (part + 1) % 4)).coalesce(1).write.mode("append").parquet(f"{work}/events")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events")
+    return stream.select(
+        F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("path"),
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), "event_type", "props")
+
+
+@CATALOG.query(
+    """select 'user/' || cast(user_id as varchar) as path, ts, event_id as seq, event_type, props
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events) where k = 1"""
+)
+def stream_latest_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest event per path as keyed state, events arriving late and repeated."""
+    work = new_work_path(spark, "latest-state")
+    newest = keyed.newest_versions(_shuffled_events(spark, folder, work))
+    keyed.write_rows(newest, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    found = keyed.newest_rows(spark.read.schema(newest.schema).parquet(f"{work}/out"))
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@CATALOG.query(
+    """with e as (
+  select user_id, ts, event_id, event_type = 'error' as failed,
+    lead(ts) over w as following, count(*) filter (event_type <> 'error') over w as successes
+  from events window w as (partition by user_id order by ts, event_id)),
+counted as (select *, row_number() over (partition by user_id, successes order by ts, event_id)
+    - case when successes > 0 then 1 else 0 end as attempt from e),
+timed as (select *, ts + to_microseconds(least(3600000000 * power(2, attempt - 1), 604800000000)::bigint) as due from counted where failed)
+select 'user/' || cast(user_id as varchar) as path, attempt::integer as attempt, ts as failed_at, event_id as seq, due as due_at from timed
+where (following is null or ceil(epoch_us(due) / 1000) <= ceil(epoch_us(following) / 1000))
+  and (following is not null or ceil(epoch_us(due) / 1000) <= floor((select max(epoch_us(ts)) from events) / 1000) - 3600000)"""
+)
+def stream_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    """Failed reads that fell due again before anything newer came, by timers with back-off."""
+    work = new_work_path(spark, "backoff")
+    events_in_order = _event_stream(spark, folder, work).withColumn("ts", F.col("ts").cast("timestamp"))
+    due = keyed.due_retries(events_in_order)
+    keyed.write_rows(due, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    found = spark.read.schema(due.schema).parquet(f"{work}/out")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("failed_at", "due_at")})
