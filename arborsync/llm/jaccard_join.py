@@ -28,6 +28,8 @@ RECALL = 0.9999
 # A block of a cluster: so many n-grams and texts at most (one text may hold more n-grams).
 BLOCK_SHINGLES = 300_000
 BLOCK_TEXTS = 512
+# Parts of a large cluster where its texts meet what is known of it.
+SALTS = 64
 
 _NODE = "struct<id:bigint,key:binary>"
 
@@ -178,18 +180,22 @@ def _assign(members: DataFrame) -> DataFrame:
     the other blocks of its step and those of the next step.
     """
     totals = members.groupBy("label").agg(F.sum("n").alias("grams"), F.count("*").alias("texts"))
-    small = (F.col("grams") <= BLOCK_SHINGLES) & (F.col("texts") <= BLOCK_TEXTS)
-    sized = members.join(totals, "label").withColumn(
-        "step", F.when(small, F.lit(0)).otherwise(F.floor(F.log(F.col("n").cast("double")) / math.log(1.01 / THRESHOLD)).cast("int"))
-    ).drop("grams", "texts")
-    per_step = sized.groupBy("label", "step").agg(F.sum("n").alias("grams"), F.count("*").alias("texts"))
+    large = totals.where((F.col("grams") > BLOCK_SHINGLES) | (F.col("texts") > BLOCK_TEXTS))
+    # A cluster may be a third of all texts: what is known of a large one is joined to its texts in so many parts.
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("part")
+    salted = members.withColumn("part", F.pmod(F.xxhash64("node.key"), F.lit(SALTS)))
+    marked = stage(
+        salted.join(large.select("label", parts, F.lit(True).alias("large")), ["label", "part"], "left").withColumn(
+            "step", F.when(F.col("large"), F.floor(F.log(F.col("n").cast("double")) / math.log(1.01 / THRESHOLD)).cast("int")).otherwise(0)),
+        "cluster-steps")
+    per_step = marked.where("large").groupBy("label", "step").agg(F.sum("n").alias("grams"), F.count("*").alias("texts"))
     blocks = per_step.select("label", "step", F.greatest(
         F.ceil(F.col("grams") / BLOCK_SHINGLES), F.ceil(F.col("texts") / BLOCK_TEXTS)).cast("int").alias("blocks"))
     # One entry per size step, of which there are a few dozen at most.
     by_cluster = blocks.groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("step", "blocks"))).alias("blocks"))
-    count = lambda step: F.coalesce(F.element_at("blocks", step), F.lit(0))
-    placed = sized.join(by_cluster, "label").withColumn(
-        "block", F.pmod(F.xxhash64("node.key"), count(F.col("step")).cast("bigint")).cast("int"))
+    placed = marked.join(by_cluster.select("label", parts, "blocks"), ["label", "part"], "left")
+    count = lambda step: F.when(F.col("large"), F.coalesce(F.element_at("blocks", step), F.lit(0))).when(step == 0, 1).otherwise(0)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node.key"), count(F.col("step")).cast("bigint")).cast("int"))
     numbers = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     name = lambda s1, b1, s2, b2: F.concat_ws(
         ":", F.hex("label.key"), F.coalesce(F.col("label.id").cast("string"), F.lit("")), *[x.cast("string") for x in (s1, b1, s2, b2)])
