@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from arborsync.catalog import Catalog
 from arborsync.catalog.fragments import FILES
 from arborsync.functions import keys, masking, paths, urls
+from arborsync.operators import masking as hiding
 from arborsync.sources import virtual
 from arborsync.sources.tables import read_table
 
@@ -201,6 +202,18 @@ def mask_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@CATALOG.query(
+    """with words as (select distinct unnest(regexp_extract_all(text, '[A-Za-z]+')) as w from benchmark),
+secrets as (select list(w order by length(w) desc, w) as held from words)
+select doc_id, list_reduce(list_prepend(text, held), lambda t, s: replace(t, s, '***')) as masked from documents, secrets"""
+)
+def mask_secret_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts with a table of secret values hidden, longest first: here every word of the benchmark."""
+    words = read_table(spark, folder, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)).alias("secret"))
+    docs = read_table(spark, folder, "documents").select("doc_id", F.col("text").alias("masked"))
+    return hiding.mask_secret_table(docs, "masked", words)
+
+
 @CATALOG.query(
     """with tokens as (select c_custkey, case c_custkey % 4 when 0 then c_name when 1 then c_mktsegment
   when 2 then null else c_name[1:8] end as token from customer)

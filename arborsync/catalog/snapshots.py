@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arborsync.catalog import Catalog
 from arborsync.catalog.fragments import CRAWL_SOURCES, FILES, PLANTED, SNAPSHOTS
 from arborsync.functions import mime, paths
-from arborsync.operators import export, listing, snapshot
+from arborsync.operators import export, intervals, listing, snapshot
 from arborsync.operators.refs import resolve_refs
 from arborsync.plans import crawl
 from arborsync.sources import virtual
@@ -33,6 +33,17 @@ def snapshot_list(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.list_files(_new(spark, folder))
 
 
+@CATALOG.query(
+    f"""with {SNAPSHOTS}
+select source as repo_id, cast(position as bigint) as position, path, blob as blob_sha, size
+from (select *, unnest([1, 3]) as position from old_tree union all by name select *, 2 as position from new_tree)"""
+)
+def snapshot_from_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Every stored snapshot of every source, rebuilt from the intervals in which its files held."""
+    store, positions = virtual.interval_store(spark, folder)
+    return intervals.files_at(spark, store, positions).select("repo_id", "position", "path", "blob_sha", "size")
+
+
 @CATALOG.query(
     f"""with {SNAPSHOTS}
 select section as repo_id, '{{"path":"' || path || '","name":"' || string_split(path, '/')[-1] || '","size":' || size || ',"type":"file"}}' as file_info,

@@ -29,11 +29,13 @@ def mask_secrets(text: Column, secrets: Sequence[str | Column], longest_first: b
     """Replace each secret value in turn; columns allow per-row secrets.
 
     Given order is kept, which can leave pieces when one secret holds another;
-    ``longest_first`` avoids that for literal secrets.
+    ``longest_first`` avoids that for literal secrets, which then come before columns.
+    operators.masking hides a whole table of secrets.
     """
     values = list(secrets)
     if longest_first:
-        values = sorted(values, key=len, reverse=True)
+        literals = [v for v in values if not isinstance(v, Column)]
+        values = sorted(literals, key=len, reverse=True) + [v for v in values if isinstance(v, Column)]
     for value in values:
         if isinstance(value, Column):
             usable = F.coalesce(value, F.lit("")) != ""

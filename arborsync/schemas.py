@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -38,6 +39,14 @@ FOLDER_ENTRIES = _table(
     ("folder_id", STRING), ("name", STRING), ("kind", STRING), ("child_id", STRING), ("mode", STRING), ("size", LONG),
 )
 SNAPSHOT_ROOTS = _table(("repo_id", STRING), ("commit_sha", STRING), ("tree_id", STRING), ("files", LONG))
+# Files by the positions from and up to which they hold; segment and bucket are folders.
+OPENED_ROWS = _table(
+    ("repo_id", STRING), ("path", STRING), ("mode", STRING), ("blob_sha", STRING), ("size", LONG), ("valid_from", LONG),
+    ("segment", LONG), ("bucket", IntegerType()),
+)
+CLOSED_ROWS = _table(
+    ("repo_id", STRING), ("path", STRING), ("valid_from", LONG), ("valid_to", LONG), ("segment", LONG), ("bucket", IntegerType()),
+)
 # The commit graph as chains: places, links that change chain, and how long chains were after each ingest.
 CHAIN_INDEX = _table(("repo_id", STRING), ("sha", STRING), ("chain", STRING), ("pos", LONG))
 CHAIN_LINKS = _table(

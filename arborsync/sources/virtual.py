@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborsync.functions.paths import passes_filter
-from arborsync.operators import graph, history
+from arborsync.operators import graph, history, intervals
 from arborsync.operators.content import read_outcomes
 from arborsync.operators.merkle import read_roots, store_snapshots
 from arborsync.operators.refs import HEADS, REMOTES, TAGS
@@ -143,6 +143,20 @@ def _store_folders(spark: SparkSession, folder: str, path: str) -> None:
         store_snapshots(snapshot.drop("doc_id"), path, segment)
 
 
+def interval_store(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """(store, positions) of every source's snapshots: the old one at 1, the new one at 2, the old one again at 3."""
+    repos = stored(spark, folder, "repositories", lambda: read_table(spark, folder, "documents").select(F.col("source").alias("repo_id")).distinct())
+    at = lambda position: repos.withColumn("position", F.lit(position).cast("bigint"))
+
+    def write(path: str) -> None:
+        old, new = snapshot_pair(spark, folder, "source")
+        for position, rows in enumerate((old, new, old), 1):
+            intervals.ingest_snapshots(rows, at(position), path, position)
+
+    path = stored_path(spark, folder, "intervals", write)
+    return path, stored(spark, folder, "positions", lambda: at(1).unionByName(at(2)).unionByName(at(3)))
+
+
 def text_blobs(spark: SparkSession, folder: str) -> DataFrame:
     """``blob_sha, content, read_error, segment`` of the plain texts in both snapshots, the new one's stored in a later ingest."""
     def write(path: str) -> None:
