@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborsync.catalog import Catalog
-from arborsync.catalog.fragments import PLANTED
+from arborsync.catalog.fragments import FILES, PLANTED
 from arborsync.functions import content as tests
 from arborsync.operators import content as reading
-from arborsync.sources import virtual
+from arborsync.session import new_work_path
+from arborsync.sources import directory, directory_source, virtual
+from arborsync.staging import stage
 
 CATALOG = Catalog()
 
@@ -105,3 +107,18 @@ def download_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.select(
         "path", "file_name", "mime_type", "found", F.octet_length("content").cast("bigint").alias("bytes")
     )
+
+
+@CATALOG.query(
+    f"""with {FILES}
+select path, octet_length(encode(text)) as size, sha256(text) as blob_sha, starts_with(path, 'src3/') as in_folder from files"""
+)
+def ingest_directory(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document written as a file and read back through the data source, one folder once more by a filter."""
+    root = new_work_path(spark, "directory").removeprefix("file://").removeprefix("file:")
+    docs = virtual.files(spark, folder).select("path", F.encode("text", "UTF-8").alias("content"))
+    stage(directory.write_directory(docs, root), "written-files")
+    files, again = (directory_source.load_directory(spark, root) for _ in range(2))
+    part = again.where(F.col("path").startswith("src3/")).select("path", F.lit(True).alias("in_folder"))
+    return files.join(part, "path", "left").select(
+        "path", "size", F.sha2("content", 256).alias("blob_sha"), F.coalesce("in_folder", F.lit(False)).alias("in_folder"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,7 @@ JOB_CONF = {
 }
 
 _local_work_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "arborsync", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -37,6 +40,20 @@ def build_session(app: str = "arborsync", cores: int | str = "*", **conf: str) -
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they find it wherever the driver runs."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="arborsync-")) / "arborsync.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as held:
+        for source in sorted(package.rglob("*.py")):
+            held.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder for intermediate tables, the one the cluster names in spark.checkpoint.dir.
 

@@ -123,6 +123,25 @@ def read_directory(files: DataFrame, root: str, limit: int | None = None) -> Dat
     return opened.unionByName(closed)
 
 
+def write_directory(files: DataFrame, root: str) -> DataFrame:
+    """Write ``content`` to ``path`` below ``root``, a folder all executors see; gives ``path, size`` once run.
+
+    A repeated task writes the same file again; each file appears whole.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                place = os.path.join(root, path)
+                os.makedirs(os.path.dirname(place), exist_ok=True)
+                with open(f"{place}.{os.getpid()}~", "wb") as handle:
+                    handle.write(content)
+                os.replace(handle.name, place)
+            yield pd.DataFrame({"path": batch["path"], "size": [len(c) for c in batch["content"]]})
+
+    return files.select("path", "content").mapInPandas(write, "path string, size bigint")
+
+
 def ingest_directory(
     spark: SparkSession, root: str, repo_id: str, commit_sha: str, limit: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
