@@ -93,7 +93,6 @@ def test_empty_table(docs):
 def test_long_texts_are_cut_at_line_ends(prose):
     import tracemalloc
 
-    import numpy as np
     import pyarrow as pa
 
     texts = [b"a b c d\n\nlast one\n", None, b"", prose(1, 300).encode(), b"x" * 900 + b"\n" + b"y z"]
