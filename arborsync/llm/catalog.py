@@ -176,46 +176,60 @@ TOOLS = {
 
 _TOOL_CALLS_SQL = """
 with t as (select conv_id, turn, role, coalesce(text, '') as body, role <> 'assistant' as is_call,
-    concat(conv_id, '-', case when role = 'assistant' then turn - 1 else turn end) as id,
+    case when role = 'assistant' then turn - 1 else turn end as asked,
     len(list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0b\\f\\r]+'), lambda w: w <> '')) as words from conversations),
- c as (select * from t where is_call), r as (select * from t where not is_call),
- calls as (select c.*, row_number() over (partition by c.conv_id order by c.turn) as step, r.id is not null as answered,
-     case when before.id is not null then before.id end as needs
-   from c left join r using (id) left join c as before on before.conv_id = c.conv_id and before.turn = c.turn - 2),
+ named as (select *, concat(conv_id, '-', case when conv_id % 4 = 3 and asked % 4 in (2, 3) then asked - 2 else asked end) as id from t),
+ placed as (select *, row_number() over (partition by is_call, id order by turn) = 1 as is_first from named),
+ c as (select *, case when conv_id % 4 = 1 or conv_id % 4 = 2 and turn % 4 in (0, 1) then turn + 2
+     when conv_id % 4 = 2 or conv_id % 4 = 0 and turn >= 2 then turn - 2 end as needed from placed where is_call),
+ r as (select * from placed where not is_call),
+ known as (select c.*, n.id is not null as has_need, r.id is not null as answered
+   from c left join c as n on n.conv_id = c.conv_id and n.turn = c.needed left join r on r.id = c.id and r.is_first),
+ runs as (select *, turn + 2 * row_number() over (partition by conv_id, turn % 2 order by turn desc) as run from known),
+ ranked as (select *, conv_id % 4 = 2 and has_need as cyclic,
+     case when conv_id % 4 = 1 then row_number() over (partition by conv_id, turn % 2, run order by turn desc) else 0 end as level from runs),
+ steps as (select id, row_number() over (partition by conv_id order by cyclic, level, turn) as step from ranked where is_first),
+ calls as (select ranked.*, case when is_first then step end as step from ranked join steps using (id)),
  judged as (select *, list_sort(list_filter(case when role = 'user' then
        [case when length(body) < 20 then 'question: minLength' end, case when length(body) > 350 then 'question: maxLength' end,
         case when words < 3 then 'words: minimum' end, case when words > 60 then 'words: maximum' end]
      else ['words: not allowed', case when turn > 0 then 'turn: maximum' end] end, lambda e: e is not null)) as found,
-     case when turn >= 2 and needs is null then [concat('needs ', conv_id, '-', turn - 2, ': missing')] else [] end as absent from calls)
-select conv_id, turn, 'call' as kind, id, case when answered then 'linked' else 'unanswered' end as status, step,
-  array_to_string(list_concat(found, absent), '; ') as errors, len(found) + len(absent) as n_errors,
+     case when is_first and needed is not null and not has_need then [concat('needs ', conv_id, '-', needed, ': missing')] else [] end as absent,
+     case when is_first and cyclic then ['needs: cyclic'] else [] end as circle from calls)
+select conv_id, turn, 'call' as kind, id, case when not is_first then 'duplicate' when answered then 'linked' else 'unanswered' end as status, step,
+  array_to_string(list_concat(list_concat(found, absent), circle), '; ') as errors, len(found) + len(absent) + len(circle) as n_errors,
   concat('{"arguments":{"question":', to_json(body)::varchar, ',"turn":', turn, ',"words":', words, '},"id":"', id, '","kind":"call","needs":',
-    case when turn >= 2 then concat('["', conv_id, '-', turn - 2, '"]') else '[]' end, ',"tool":"', case when role = 'user' then 'ask' else 'instruct' end, '"}') as json
+    case when needed is not null then concat('["', conv_id, '-', needed, '"]') else '[]' end, ',"tool":"', case when role = 'user' then 'ask' else 'instruct' end, '"}') as json
 from judged
 union all
-select r.conv_id, r.turn, 'result', r.id, case when calls.id is not null then 'linked' else 'orphan' end, calls.step, '', 0,
-  concat('{"content":', to_json(r.body)::varchar, ',"id":"', r.id, '","kind":"result"}')
-from r left join calls on calls.id = r.id"""
+select r.conv_id, r.turn, 'result', r.id, case when not r.is_first then 'duplicate' when calls.id is not null then 'linked' else 'orphan' end,
+  case when r.is_first then calls.step end, '', 0, concat('{"content":', to_json(r.body)::varchar, ',"id":"', r.id, '","kind":"result"}')
+from r left join calls on calls.id = r.id and calls.is_first"""
 
 
 @CATALOG.query(_TOOL_CALLS_SQL)
 def op4_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations as tool use: a turn that is not the assistant's is a call that builds on the call
-    two turns before; an assistant's turn is the result of the turn before."""
+    """Conversations as tool use: a turn that is not the assistant's is a call, an assistant's turn the result
+    of the turn before. By conv_id % 4 calls need the call two turns before, the one two turns later, each
+    other in pairs, or nothing but share their ids in pairs."""
     turns = table(spark, folder, "conversations")
     body = F.coalesce("text", F.lit(""))
+    turn, group = F.col("turn"), F.col("conv_id") % 4
     name = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    known_as = lambda turn: name(F.when((group == 3) & (turn % 4).isin(2, 3), turn - 2).otherwise(turn))
     trimmed = F.btrim(body, F.lit(quality_rules.SPACES))
     words = F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, quality_rules.SPACE_RUN)))
     is_result = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    later = (group == 1) | ((group == 2) & (turn % 4).isin(0, 1))
+    earlier = (group == 2) | ((group == 0) & (turn >= 2))
+    needs = F.when(later, F.array(name(turn + 2))).when(earlier, F.array(name(turn - 2))).otherwise(F.array().cast("array<string>"))
     calls = turns.where(~is_result).select(
-        F.col("conv_id").alias("conversation"), name(F.col("turn")).alias("id"), F.col("turn").alias("position"),
+        F.col("conv_id").alias("conversation"), known_as(turn).alias("id"), turn.alias("position"),
         F.when(F.col("role") == "user", "ask").otherwise("instruct").alias("tool"),
-        F.to_json(F.struct(words.alias("words"), F.col("turn"), body.alias("question"))).alias("arguments"),
-        F.when(F.col("turn") >= 2, F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>")).alias("needs"),
+        F.to_json(F.struct(words.alias("words"), turn, body.alias("question"))).alias("arguments"), needs.alias("needs"),
     )
     results = turns.where(is_result).select(
-        F.col("conv_id").alias("conversation"), name(F.col("turn") - 1).alias("id"), F.col("turn").alias("position"), body.alias("content"))
+        F.col("conv_id").alias("conversation"), known_as(turn - 1).alias("id"), turn.alias("position"), body.alias("content"))
     linked = tool_calls.link_calls(calls, results, TOOLS)
     return linked.select(
         F.col("conversation").alias("conv_id"), F.col("position").alias("turn"), "kind", "id", "status", "step",

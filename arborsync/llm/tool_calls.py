@@ -78,46 +78,73 @@ def _check(tool: Column, arguments: str, schemas: Mapping[str, Mapping]) -> Colu
     return reduce(lambda rest, name: F.when(tool == name, schema_errors(arguments, schemas[name])).otherwise(rest), sorted(schemas), unknown)
 
 
+# No way is longer; ways in circles stop growing here.
+LONGEST_WAY = 1 << 40
+
+
 def topological_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(conversation, key, level, cyclic) for ``nodes`` (conversation, key, position), which must be unique.
 
     ``edges`` (conversation, key, needs): a call and one it needs. Where every need comes earlier in
-    position, position is already a topological order and the level is 0. Other conversations are
-    peeled: level n holds the calls whose needs all lie below; what never becomes free is cyclic.
+    position, position is already a topological order and the level is 0. In other conversations the
+    level is the number of calls on the longest way of needs. A call whose needs are all settled is
+    settled; one with a single open need hands its way on to what that one needs, so that ways
+    double in each round and a chain of calls takes as many rounds as its length has digits to base
+    two. What is on no way to a settled call is cyclic, or needs something that is; its level is null.
     """
     places = nodes.select("conversation", F.col("key").alias("needs"), F.col("position").alias("needed_position"))
     known = edges.join(places, ["conversation", "needs"]).join(nodes, ["conversation", "key"])
     late = known.where(~(F.col("needed_position") < F.col("position")) | F.col("position").isNull() | F.col("needed_position").isNull())
-    disordered = late.select("conversation").distinct()
-    flat = F.lit(0).cast("bigint")
-    if disordered.isEmpty():
-        return nodes.select("conversation", "key", flat.alias("level"), F.lit(False).alias("cyclic"))
-    inside = F.broadcast if disordered.limit(10_001).count() <= 10_000 else (lambda df: df)
-    open_edges = stage(known.join(inside(disordered), "conversation", "left_semi").select("conversation", "key", "needs"), "edges")
-    left = stage(nodes.join(inside(disordered), "conversation", "left_semi").select("conversation", "key"), "open")
-    settled = nodes.join(inside(disordered), "conversation", "left_anti").select(
-        "conversation", "key", flat.alias("level"), F.lit(False).alias("cyclic"))
-    level = 0
+    disordered = stage(late.select("conversation").distinct(), "disordered")
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    settled = nodes.join(disordered, "conversation", "left_anti").select("conversation", "key", zero.alias("level"))
+    # A way from a call to an open need: ``far`` calls on, the last of which may still need more.
+    ways = stage(known.join(disordered, "conversation", "left_semi").select("conversation", "key", "needs", one.alias("far")), "ways")
+    at = ["conversation", "key"]
+    left = stage(nodes.join(disordered, "conversation", "left_semi").select(*at, zero.alias("level")), "open")
+    circles = stage(left.select(*at).limit(0), "circles")
+    idle, limit, latest = 0, 2, circles
     while not left.isEmpty():
-        blocked = open_edges.select("conversation", "key").distinct()
-        free = stage(left.join(blocked, ["conversation", "key"], "left_anti"), "free")
-        if free.isEmpty():
-            return settled.union(left.select("conversation", "key", F.lit(level).cast("bigint"), F.lit(True)))
-        settled = settled.union(free.select("conversation", "key", F.lit(level).cast("bigint"), F.lit(False)))
-        done = free.select("conversation", F.col("key").alias("needs"))
-        open_edges = stage(open_edges.join(done, ["conversation", "needs"], "left_anti"), "edges")
-        left = stage(left.join(free, ["conversation", "key"], "left_anti"), "open")
-        level += 1
-    return settled
+        free = stage(left.join(ways.select(*at).distinct(), at, "left_anti"), "free")
+        settled = settled.unionByName(free)
+        # A way back to its own call is a circle, and so is what needs a call of one.
+        on = ways.where("key = needs").select(*at).unionByName(
+            ways.join(latest.select("conversation", F.col("key").alias("needs")), ["conversation", "needs"], "left_semi").select(*at))
+        latest = stage(on.distinct(), "circles")
+        circles = circles.unionByName(latest)
+        idle = idle + 1 if free.isEmpty() and latest.isEmpty() else 0
+        if idle == 0:
+            # Circles of calls with several needs are no ways of one call; they are what stays while all ways have doubled so often.
+            limit = max(left.count(), 1).bit_length() + 1
+        if idle > limit:
+            break
+        done = free.select("conversation", F.col("key").alias("needs"), F.col("level").alias("reached"))
+        met = ways.join(latest, at, "left_anti").join(done, ["conversation", "needs"], "left")
+        gained = met.where("reached is not null").groupBy(*at).agg(F.max(F.col("reached") + F.col("far")).alias("gained"))
+        rest = stage(met.where("reached is null").select(*at, "needs", "far"), "ways")
+        left = stage(left.join(free.select(*at).unionByName(latest), at, "left_anti").join(gained, at, "left").select(
+            *at, F.greatest("level", F.coalesce("gained", zero)).alias("level")), "open")
+        # Only a call that waits for one other hands on, and what that one has gained so far goes with it.
+        single = rest.groupBy(*at).agg(F.count("*").alias("n"), F.max("needs").alias("then"), F.max("far").alias("further")).where("n = 1")
+        onward = single.join(left, at).select("conversation", F.col("key").alias("needs"), "then", "further", F.col("level").alias("passed"))
+        jumped = stage(rest.join(onward, ["conversation", "needs"], "left"), "jumps")
+        passed = jumped.where("then is not null").groupBy(*at).agg(F.max(F.col("far") + F.col("passed")).alias("gained"))
+        left = stage(left.join(passed, at, "left").select(*at, F.greatest("level", F.coalesce("gained", zero)).alias("level")), "open")
+        far = F.least(F.col("far") + F.coalesce("further", zero), F.lit(LONGEST_WAY).cast("bigint"))
+        ways = stage(
+            jumped.select(*at, F.coalesce("then", "needs").alias("needs"), far.alias("far")).groupBy(*at, "needs").agg(F.max("far").alias("far")), "ways")
+    circles = circles.unionByName(left.select(*at)).distinct()
+    return settled.select(*at, "level", F.lit(False).alias("cyclic")).unionByName(
+        circles.select(*at, F.lit(None).cast("bigint").alias("level"), F.lit(True).alias("cyclic")))
 
 
 def _steps(calls: DataFrame) -> DataFrame:
-    """Add step: 1, 2, ... in each conversation by (level, position, key).
+    """Add step: 1, 2, ... in each conversation by (cyclic, level, position, key).
 
     One sort by range cuts long conversations into pieces; a piece counts its own rows, and only the
     conversation that goes on from the piece before is shifted.
     """
-    order = ["conversation", "level", "position", "key"]
+    order = ["conversation", "cyclic", "level", "position", "key"]
     pieces = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = calls.repartitionByRange(pieces, *order).sortWithinPartitions(*order)
     # Where a row lies is a fact of this one shuffle, so it is written down first.
@@ -141,14 +168,16 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
     ties by position; a result has its call's step; duplicates and orphans have none. errors holds
     schema violations, ``needs <id>: missing`` and ``needs: cyclic``. json is the message with sorted
     keys and no spaces, absent parts left out; arguments that are not JSON stay a string. A null
-    conversation is a conversation of its own; repeated identical rows get identical answers.
+    conversation is a conversation of its own; repeated identical rows get identical answers; of rows
+    that share id and position the least by its other columns comes first. Further columns play no part.
     """
     name = lambda df: F.coalesce(F.col("conversation").cast("string"), F.lit("\0null"))
     key = F.coalesce(F.col("id"), F.concat(F.lit("\0"), F.coalesce(F.col("position").cast("string"), F.lit(""))))
     told = lambda df, kind: df.withColumns({"_conversation": name(df), "_key": F.concat(key, F.when(F.col("id").isNull(), kind).otherwise(""))})
-    asked, answered = told(calls, "\0call"), told(results, "\0result")
+    asked = told(calls.select("conversation", "id", "position", "tool", "arguments", "needs"), "\0call")
+    answered = told(results.select("conversation", "id", "position", "content"), "\0result")
     by = ["_conversation", "_key"]
-    first_calls = asked.groupBy(*by).agg(F.min(F.struct("position", "tool", "arguments")).alias("call"), F.min_by("needs", "position").alias("needs"))
+    first_calls = asked.groupBy(*by).agg(F.min(F.struct("position", "tool", "arguments", "needs")).alias("call")).withColumn("needs", F.col("call.needs"))
     first_results = answered.groupBy(*by).agg(F.min(F.struct("position", "content")).alias("result"))
     links = stage(first_calls.join(first_results, by, "full"), "links")
 
@@ -169,7 +198,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
 
     none = F.array().cast("array<string>")
     checked = asked.withColumn("_errors", _check(F.col("tool"), "arguments", schemas)).join(about, by)
-    is_first = F.struct("position", "tool", "arguments").eqNullSafe(F.col("call"))
+    is_first = F.struct("position", "tool", "arguments", "needs").eqNullSafe(F.col("call"))
     call_status = F.when(~is_first, _REPEATED).when(F.col("result").isNotNull(), _ANSWERED).otherwise(_OPEN)
     call_errors = F.concat(
         "_errors", F.when(is_first, F.coalesce("absent", none)).otherwise(none),

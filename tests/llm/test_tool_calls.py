@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -74,3 +75,54 @@ def test_repeated_rows_and_empty_tables(link, spark):
         spark.createDataFrame([(1, "x", 0, "say", "{}", []), (1, "x", 0, "say", "{}", [])], CALLS), spark.createDataFrame([], RESULTS), SCHEMAS)
     assert [(r["status"], r["step"]) for r in linked.collect()] == [("unanswered", 1)] * 2
     assert link([]) == {}
+
+
+def brute_levels(needs):
+    """Longest way of needs of each call, None on or behind a circle."""
+    level, open_calls = {}, dict(needs)
+    while True:
+        free = [k for k, n in open_calls.items() if all(x in level for x in n)]
+        if not free:
+            return level | {k: None for k in open_calls}
+        level |= {k: 1 + max((level[x] for x in open_calls[k]), default=-1) for k in free}
+        open_calls = {k: n for k, n in open_calls.items() if k not in free}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_levels_of_random_needs(spark, seed):
+    draw = random.Random(seed)
+    needs, nodes, edges = {}, [], []
+    for c in range(12):
+        keys = [f"{c}-{i}" for i in range(draw.choice([1, 5, 25]))]
+        for i, key in enumerate(keys):
+            back = keys[:i] if c % 3 else keys
+            needs[key] = set(draw.sample(back, min(len(back), draw.choice([0, 1, 1, 1, 2, 3]))))
+            nodes.append((str(c), key, draw.randrange(10)))
+            edges += [(str(c), key, n) for n in needs[key]]
+    found = t.topological_levels(
+        spark.createDataFrame(nodes, "conversation string, key string, position bigint"), spark.createDataFrame(edges, "conversation string, key string, needs string"))
+    got = {r["key"]: (r["conversation"], None if r["cyclic"] else r["level"]) for r in found.collect()}
+    position = {k: p for _, k, p in nodes}
+    late = {c for c, k, n in edges if position[n] >= position[k]}
+    want = brute_levels(needs)
+    assert got == {k: (c, want[k] if c in late else 0) for c, k, _ in nodes} and late
+
+
+def test_a_long_chain_in_reverse_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    original = t.stage
+    monkeypatch.setattr(t, "stage", lambda df, label: rounds.append(label) or original(df, label))
+    n = 10_000
+    nodes = spark.range(n).selectExpr("'c' as conversation", "cast(id as string) as key", "id as position")
+    edges = spark.range(n - 1).selectExpr("'c' as conversation", "cast(id as string) as key", "cast(id + 1 as string) as needs")
+    found = t.topological_levels(nodes, edges)
+    assert found.where(f"level = {n} - 1 - cast(key as bigint)").count() == n
+    assert rounds.count("free") <= 20
+
+
+def test_ties_and_further_columns(spark):
+    calls = spark.createDataFrame([(1, "x", 0, "say", "{}", ["b"], "mine"), (1, "x", 0, "say", "{}", ["a"], "mine"), (1, "y", 0, "say", "{}", [], "mine")], CALLS + ", status string")
+    results = spark.createDataFrame([(1, "x", 0, "2", 5), (1, "x", 0, "1", 5)], RESULTS + ", step int")
+    rows = sorted((r["kind"], r["id"], r["status"], r["json"]) for r in t.link_calls(calls, results, SCHEMAS).collect())
+    assert [r[2] for r in rows] == ["duplicate", "linked", "unanswered", "duplicate", "linked"] or [r[2] for r in rows] == ["linked", "duplicate", "unanswered", "linked", "duplicate"]
+    assert [r[3] for r in rows if r[2] == "linked"] == ['{"arguments":{},"id":"x","kind":"call","needs":["a"],"tool":"say"}', '{"content":"1","id":"x","kind":"result"}']
