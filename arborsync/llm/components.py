@@ -24,7 +24,8 @@ def connected_components(edges: DataFrame, one: str = "a", other: str = "b") ->
         held = labels.select(F.col("node").alias("b"), "label")
         near = both.join(held, "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lowered = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("new"))
-        handed = lowered.groupBy(F.col("old").alias("new")).agg(F.min("new").alias("handed"))
+        # Written, so that the join with it is a plain one of two tables: adaptive execution can split a giant component.
+        handed = stage(lowered.groupBy(F.col("old").alias("new")).agg(F.min("new").alias("handed")), "handed")
         jumped = lowered.join(handed, "new", "left").select(
             "node", "old", F.least("new", F.coalesce("handed", "new")).alias("label")
         )

@@ -244,7 +244,8 @@ def recurring_lines(
     merged = seen.join(template, "line").groupBy("template", "key").agg(F.min("doc_id").alias("doc_id")).groupBy("template").agg(
         F.count("*").alias("n_texts"), first)
     alone = lines.join(template, "line", "left_anti").select("line", "n_texts", "first", "short")
-    together = template.join(merged, "template").select("line", "n_texts", "first", F.lit(False).alias("short"))
+    # A template may be that of very many lines: two written tables can be joined in slices.
+    together = template.join(stage(merged, "merged_templates"), "template").select("line", "n_texts", "first", F.lit(False).alias("short"))
     enough = F.when(F.col("short"), F.greatest(F.lit(short_texts), F.lit(least_texts))).otherwise(least_texts)
     recurring = alone.union(together).where(F.col("n_texts") >= enough).select("line", F.col("first.key").alias("keeper"))
     return seen.select("key", "line", "line_no").join(recurring, "line").where("key <> keeper").groupBy("key").agg(
