@@ -105,7 +105,21 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@CATALOG.query()
+_SIMILAR_SQL = r"""
+with recursive d as (select doc_id, text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+ t as (select text, any_value(words) as words, min(doc_id) as id, count(*) as n_copies from d where len(words) > 0 group by text),
+ g as (select distinct id, list_slice(words, i, i + 4) as gram from (select id, words, unnest(range(1, greatest(len(words) - 3, 2))) as i from t)),
+ n as (select id, count(*) as n from g group by id),
+ p as (select a.id as a, b.id as b, count(*) as k from g as a join g as b on a.gram = b.gram and a.id <> b.id group by all),
+ l as (select a, b from p join n as x on x.id = a join n as y on y.id = b where 10 * k >= 8 * (x.n + y.n - k)),
+ r as (select id as a, id as b from t union select r.a, l.b from r join l on l.a = r.b),
+ c as (select a, min(b) as class_id from r group by a),
+ m as (select a, count(*) as n_links from l group by a)
+select d.doc_id, coalesce(c.class_id, d.doc_id) as class_id, coalesce(n_links, 0)::bigint as n_links, coalesce(n_copies, 1)::bigint as n_copies
+from d left join t on t.text = d.text left join c on c.a = t.id left join m on m.a = t.id"""
+
+
+@CATALOG.query(_SIMILAR_SQL)
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return jaccard_join.similar_texts(docs).select("doc_id", "class_id", "n_links", "n_copies")

@@ -61,7 +61,7 @@ STAGES = [
     ("SentencePiece encoding", encode_pieces),
 ]
 
-# Templates, similarity classes and piece ids cannot be written in SQL; tests/llm compares with brute force.
+# Line templates and piece ids cannot be written in SQL; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
