@@ -194,7 +194,8 @@ def score_quality(
 
     Word vectors come from all texts. The network learns from about ``rows`` rows of ``labels``, chosen
     by a hash of the id among those where ``learn`` holds and the label is 0 or 1; labels of unknown
-    documents are of no use. Null and empty texts are scored as texts of no tokens. Without two
+    documents are of no use. An id that stands in several documents, or is labelled several times, gives a row to
+    learn from for each pair; equal rows get equal scores. Null and empty texts are scored as texts of no tokens. Without two
     classes to learn from, every score is the share of label 1 (0.5 without any label).
     """
     pooled = stage(_pooled(docs, text, word_vectors(docs, text)), "pooled")
