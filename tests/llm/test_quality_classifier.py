@@ -84,7 +84,7 @@ def test_odd_rows(spark, odd, prose):
     assert all(0 <= r["score"] <= 1 for r in rows) and scored.columns.count("score") == 1
     # Null, empty and blank texts have no tokens: one score for all of them.
     blank = [r["score"] for r in rows if r["line"] == "mine" and r["doc_id"] in (0, 1, 2)]
-    assert len(blank) == 3 and len(set(blank)) == 1
+    assert len(blank) == 3 and max(blank) - min(blank) < 1e-9
 
 
 @pytest.mark.parametrize("given, expected", [([], 0.5), ([(0, 1), (1, 1)], 1.0)])
