@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,15 +214,13 @@ def _searcher(shipped):
     return search
 
 
-def cut(text: str | None, spans: list[dict] | None) -> str | None:
-    """``text`` without the bytes of ``spans``."""
-    if not text or not spans:
-        return text
-    raw, kept, at = text.encode(), [], 0
-    for span in spans:
-        kept.append(raw[at : span["byte_begin"]])
-        at = span["byte_end"]
-    return b"".join([*kept, raw[at:]]).decode()
+def cut(text: Column, spans: Column) -> Column:
+    """``text`` without the bytes of ``spans``, which lie in order and apart; whole words, so what is left is text too."""
+    raw = text.cast("binary")
+    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda s: s["byte_end"].cast("bigint")))
+    ends = F.concat(F.transform(spans, lambda s: s["byte_begin"].cast("bigint")), F.array(F.octet_length(raw).cast("bigint")))
+    pieces = F.zip_with(begins, ends, lambda b, e: F.substring(raw, (b + 1).cast("int"), (e - b).cast("int")).cast("string"))
+    return F.array_join(pieces, "")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -232,15 +230,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options)
     become neighbours; they are not searched again.
     """
 
-    @F.arrow_udf("string")
-    def cut_spans(texts, spans):
-        return pa.array([cut(t.as_py(), s.as_py()) for t, s in zip(texts, spans)], pa.string())
-
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    others = [c for c in docs.columns if c != text]
+    row = F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_none")).alias("_row")
     found = find(docs.select(row, F.col(f"`{text}`").alias("_text")), benchmark, text="_text", **options)
     hit = F.size("spans") > 0
     words_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["word_end"] - s["word_begin"])
     kept = found.where(~hit | (words_hit < F.col("n_words")))
-    cleaned = F.when(hit, cut_spans("_text", "spans")).otherwise(F.col("_text"))
+    cleaned = F.when(hit, cut(F.col("_text"), F.col("spans"))).otherwise(F.col("_text"))
     named = kept.withColumn("_text", cleaned)
     return named.select(*[F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns])
