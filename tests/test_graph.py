@@ -160,3 +160,52 @@ def test_plan_modes(spark):
     got = {r["config_hash"]: (r["mode"], r["reason"], r["distance"]) for r in plan_syncs(sources, state, commits).collect()}
     assert {c: v[:2] for c, v in got.items()} == {c: v[2:] for c, v in cases.items()}
     assert got["edge"][2] == 1000 and got["far"][2] == 1001 and got["same"][2] == 0 and got["lost"][2] is None
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_a_pass_over_repositories_answers_like_rounds(spark, tmp_path, monkeypatch, seed):
+    """Repositories within the limits of a pass, beyond them and of both kinds: one index, one set of answers."""
+    monkeypatch.setattr(graph, "PUSHED_KEYS", 0)
+    rng = random.Random(seed)
+    histories = {f"r{i}": random_history(rng, f"r{i}", n) for i, n in enumerate((90, 25, 25, 3, 1))}
+    known = {repo: ancestors(rows) for repo, rows in histories.items()}
+    pairs, told = {}, []
+    for repo, rows in histories.items():
+        shas = [sha for _, sha, _ in rows]
+        for _ in range(6):
+            old, new = rng.choice(shas), rng.choice(shas)
+            pairs[repo, old, new] = (old in known[repo][new], len(known[repo][new] - known[repo][old]))
+        pairs[repo, "nowhere", shas[0]] = pairs[repo, shas[0], "nowhere"] = (False, None)
+    asked = spark.createDataFrame(list(pairs), "repo_id string, old_sha string, new_sha string")
+    for rows_in_pass in (50_000, 30, 0):
+        monkeypatch.setattr(graph, "PASS_ROWS", rows_in_pass)
+        path = str(tmp_path / str(rows_in_pass))
+        for segment in (0, 1):
+            rows = [row for rows in histories.values() for row in (rows[len(rows) // 2:] if segment else rows[: len(rows) // 2])]
+            graph.ingest_commits(spark.createDataFrame(rows, COMMITS), path, segment)
+        index = graph.read_index(spark, path)
+        told.append([sorted(map(tuple, t.drop("segment").collect())) for t in (index.places, index.links, index.tails)])
+        got = graph.compare_commits(asked, None, index).collect()
+        assert {(r["repo_id"], r["old_sha"], r["new_sha"]): (r["is_reachable"], r["distance"]) for r in got} == pairs
+        heads = asked.select("repo_id", asked.new_sha.alias("head")).distinct()
+        listed = {(r["repo_id"], r["head"], r["sha"]) for r in graph.ancestors(heads, None, index).collect()}
+        assert listed == {(repo, new, sha) for repo, _, new in pairs if new != "nowhere" for sha in known[repo][new]}
+    assert told[0] == told[1] == told[2]
+
+
+def test_small_repositories_take_no_rounds(spark, tmp_path, monkeypatch):
+    """What is written does not grow with the length of a history: every table once, whatever the depth."""
+    labels = []
+    original = graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, label: labels.append(label) or original(df, label))
+    monkeypatch.setattr(graph, "PUSHED_KEYS", 10)
+    rows = [(f"r{r}", f"{r}-{i:03d}", [f"{r}-{i - 1 - (i > 1 and i % 5 == 1):03d}"] if i else []) for r in range(20) for i in range(40)]
+    for segment in (0, 1):
+        part = [row for row in rows if (int(row[1][-3:]) >= 37) == segment]
+        graph.ingest_commits(spark.createDataFrame(part, COMMITS), str(tmp_path / "index"), segment)
+    pairs = [(f"r{r}", f"{r}-036", f"{r}-039") for r in range(20)]
+    asked = spark.createDataFrame(pairs, "repo_id string, old_sha string, new_sha string")
+    got = graph.compare_commits(asked, None, graph.read_index(spark, str(tmp_path / "index"))).collect()
+    assert len(got) == 20 and all(r["is_reachable"] and r["distance"] == 3 for r in got)
+    assert not {"sizes", "chains", "reach"} & set(labels)
+    assert len(labels) <= 11
