@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from arborsync.functions.strings import strip
 from arborsync.operators.skew import lookup_join
 from arborsync.sources.keyed import read_segments, rows_with_keys, write_segment
+from arborsync.staging import stage
 
 HISTORY_DEPTH = 10
 
@@ -24,7 +25,9 @@ def touches_with_commit(touches: DataFrame, commits: DataFrame) -> DataFrame:
         "repo_id", "sha", "ts", "author",
         first_line(F.col("message")).alias("message"),
     )
-    return lookup_join(touches.select("repo_id", "path", "sha"), told, ["repo_id", "sha"], "inner")
+    # Ids differ in their first bytes, which sorts compare first; repositories do not.
+    return lookup_join(touches.select("repo_id", "path", "sha"), told, ["sha", "repo_id"], "inner").select(
+        "repo_id", "sha", "path", "ts", "author", "message")
 
 
 _CODE_BITS = 56
@@ -50,10 +53,28 @@ def coded_commits(commits: DataFrame) -> DataFrame:
     head = F.conv(F.rpad(F.substring(F.hex(F.encode("sha", "UTF-8")), 1, digits), digits, "0"), 16, 10)
     time = _micros(F.col("ts"), dict(told.dtypes)["ts"]).cast("decimal(38,0)")
     rough = time * F.lit(10**17).cast("decimal(18,0)") + head.cast("decimal(17,0)")
-    alike = Window.partitionBy("repo_id", "_rough").orderBy("sha")
-    placed = told.withColumn("_rough", rough).withColumn("_n", F.row_number().over(alike))
+    rough = told.withColumn("_rough", rough)
+    # Hardly any agree in both, so only those few are sorted; the rest get their code where they lie.
+    likeness = F.xxhash64("_rough", "repo_id").alias("_like")
+    ties = rough.groupBy(likeness).agg(F.count("*").alias("_ties")).where("_ties > 1").select("_like")
+    ties = stage(ties, "tied-commits")
+    rough = rough.withColumn("_like", likeness)
+    one = F.lit(1)
+    if ties.isEmpty():
+        placed = rough.withColumn("_n", one)
+    else:
+        alike = Window.partitionBy("_rough", "repo_id").orderBy("sha")
+        tied = rough.join(ties, "_like", "left_semi").withColumn("_n", F.row_number().over(alike))
+        placed = rough.join(ties, "_like", "left_anti").withColumn("_n", one).unionByName(tied)
     code = (F.col("_rough") * 1000 + F.col("_n")).cast("decimal(38,0)")
-    return placed.withColumn("code", code).drop("_rough", "_n")
+    return placed.select(*told.columns, code.alias("code"))
+
+
+def _packed(sha: Column) -> Column:
+    """A commit id as bytes, half as many for hexadecimal ones; different ids stay different."""
+    raw = F.unhex(sha)
+    is_hex = F.lower(F.hex(raw)) == sha
+    return F.when(is_hex, F.concat(F.lit(bytearray(b"\x01")), raw)).otherwise(F.concat(F.lit(bytearray(b"\x00")), F.encode(sha, "UTF-8")))
 
 
 def last_commit_per_file(touches: DataFrame, commits: DataFrame) -> DataFrame:
@@ -64,16 +85,24 @@ def last_commit_per_file(touches: DataFrame, commits: DataFrame) -> DataFrame:
     shuffle, however many commits touch one file.
     """
     coded = coded_commits(commits)
-    placed = lookup_join(
-        touches.select("repo_id", "path", "sha"), coded.select("repo_id", "sha", "code"), ["repo_id", "sha"], "inner")
+    sha = _packed(F.col("sha")).alias("_sha")
+    placed = lookup_join(touches.select("repo_id", "path", sha), coded.select("repo_id", sha, "code"), ["_sha", "repo_id"], "inner")
     newest = placed.groupBy("repo_id", "path").agg(F.max("code").alias("code"))
-    told = lookup_join(newest, coded, ["repo_id", "code"], "inner")
+    told = lookup_join(newest, coded, ["code", "repo_id"], "inner")
     return told.select(
         "repo_id", "path", F.col("sha").alias("last_commit_sha"), F.col("ts").alias("last_commit_time"),
         F.col("author").alias("last_commit_author"), F.col("message").alias("last_commit_message"),
     )
 
 
+def last_commits_schema(commits: DataFrame) -> StructType:
+    """The columns of ``last_commit_per_file``."""
+    told = commits.select(
+        "repo_id", F.lit("").alias("path"), F.col("sha").alias("last_commit_sha"), F.col("ts").alias("last_commit_time"),
+        F.col("author").alias("last_commit_author"), F.col("message").alias("last_commit_message"))
+    return StructType([StructField(f.name, f.dataType, True) for f in told.schema])
+
+
 def ingest_touches(touches: DataFrame, commits: DataFrame, path: str, segment: int) -> None:
     """Add the touches of new ``commits`` to the stored state: the newest of them for each file, as one segment.
 
@@ -96,12 +125,15 @@ def stored_last_commits(spark: SparkSession, path: str, schema: StructType, want
 def file_history(touches: DataFrame, commits: DataFrame, depth: int = HISTORY_DEPTH) -> DataFrame:
     """The newest ``depth`` commits of each file, ``n`` = 1 for the newest.
 
-    A row_number filter like this keeps only ``depth`` rows per file and task
-    before the shuffle.
+    A dense_rank filter like this keeps only the rows of ``depth`` commits per file and task before the shuffle, and
+    touches told twice share a rank, so they need no shuffle of their own. Files are sorted by a hash first,
+    which takes no comparison of strings; the hash decides nothing else.
     """
-    newest_first = Window.partitionBy("repo_id", "path").orderBy(F.col("ts").desc(), F.col("sha").desc())
-    seen = touches_with_commit(touches.select("repo_id", "path", "sha").distinct(), commits)
-    return seen.withColumn("n", F.row_number().over(newest_first)).where(F.col("n") <= depth)
+    newest_first = Window.partitionBy("_file", "repo_id", "path").orderBy(F.col("ts").desc(), F.col("sha").desc())
+    seen = touches_with_commit(touches, commits).withColumn("_file", F.xxhash64("repo_id", "path"))
+    newest = seen.withColumn("n", F.dense_rank().over(newest_first)).where(F.col("n") <= depth)
+    once = newest.withColumn("_before", F.lag("n").over(newest_first))
+    return once.where(F.col("_before").isNull() | (F.col("_before") != F.col("n"))).drop("_file", "_before")
 
 
 def changed_since(last_commits: DataFrame, stored: DataFrame) -> DataFrame:

@@ -59,3 +59,36 @@ def test_state_plus_new_touches_equals_the_full_run(spark, tmp_path):
     wanted = spark.createDataFrame([("r", "p1"), ("s", "p2"), ("r", "none")], "repo_id string, path string")
     some = shown(history.stored_last_commits(spark, path, schema, wanted))
     assert some == {k: v for k, v in want.items() if k in {("r", "p1"), ("s", "p2")}} and some
+
+
+def test_an_ingest_shuffles_no_touch_of_other_commits(spark, tmp_path, monkeypatch):
+    """Five ingests by month bring each touch once, to the ingest of its commit."""
+    from arborsync.sources import virtual
+
+    months = [datetime(1995, 1 + i % 12, 3) for i in range(60)]
+    spark.createDataFrame([(i, t, "1-URGENT", "O") for i, t in enumerate(months)], "o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(i % 60, i % 7) for i in range(200)], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    brought, original = [], history.ingest_touches
+    monkeypatch.setattr(history, "ingest_touches", lambda touched, *rest: brought.append(touched.count()) or original(touched, *rest))
+    found = shown(virtual.last_commits(spark, str(tmp_path)))
+    assert sum(brought) == 200
+    assert found == shown(history.last_commit_per_file(virtual.touches(spark, str(tmp_path)), virtual.touch_commits(spark, str(tmp_path))))
+
+
+def test_codes_need_no_sort_of_commits(spark):
+    """Times and first bytes rarely agree; only then are commits sorted for their codes."""
+    commits = [("r", f"{i:040x}"[::-1], datetime(2000, 1, 1), "me", "m") for i in range(50)]
+    touches = [("r", f"p{i % 5}", sha) for i, (_, sha, *_) in enumerate(commits)]
+    held, touched = tables(spark, commits, touches, "timestamp_ntz")
+    newest = history.last_commit_per_file(touched, held)
+    assert "Window" not in newest._jdf.queryExecution().toString()
+    assert shown(newest) == brute(commits, touches)
+
+
+def test_history_counts_a_touch_told_twice_once(spark):
+    commits = [("r", f"c{i}", datetime(2000, 1, 1 + i // 2), "me", "m") for i in range(8)]
+    touches = [("r", "p", f"c{i}") for i in range(8) for _ in range(3)]
+    held, touched = tables(spark, commits, touches, "timestamp_ntz")
+    found = history.file_history(touched, held, 5)
+    assert sorted((r["n"], r["sha"]) for r in found.collect()) == [(i + 1, f"c{7 - i}") for i in range(5)]
+    assert "Aggregate" not in found._jdf.queryExecution().toString()
