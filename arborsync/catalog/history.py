@@ -154,13 +154,12 @@ where m.mark is null or epoch(l.ts) > floor(m.mark)"""
 def changed_since(spark: SparkSession, folder: str) -> DataFrame:
     """Files of each supplier's repository whose last commit is newer than its mark."""
     lines = read_table(spark, folder, "lineitem")
-    name = F.concat(F.lit("supplier-"), F.col("l_suppkey").cast("string")).alias("repo_id")
+    name = virtual.supplier_repo(F.col("l_suppkey")).alias("repo_id")
     touched = lines.select(
         name, F.concat(F.lit("parts/"), F.col("l_partkey").cast("string")).alias("path"),
         virtual.order_sha(F.col("l_orderkey")).alias("sha"),
     )
-    orders = virtual.touch_commits(spark, folder).drop("repo_id")
-    commits = touched.select("repo_id", "sha").distinct().join(orders, "sha")
+    commits = virtual.supplier_commits(spark, folder)
     shipped = F.floor(F.avg(F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))))
     marks = (
         lines.where("l_suppkey % 3 <> 0").groupBy(name)
