@@ -137,3 +137,15 @@ def test_keyed_segments(spark, tmp_path):
     assert many.count() == 80 and "segment" in many.columns and scanned(many.select("content")) <= 80
     assert keyed.rows_with_keys(table, "blob_sha", keys(0, 0)).count() == 0
     assert keyed.read_segments(spark, str(tmp_path / "none"), kind).count() == 0 and schema
+
+
+def test_blobs_move_once_into_a_segment(spark, tmp_path):
+    """One shuffle makes keys distinct and puts them in order; what is stored stays out."""
+    path = str(tmp_path / "blobs")
+    rows = spark.range(200).selectExpr("cast(id % 50 as string) as blob_sha", "cast(cast(id % 50 as string) as binary) as content")
+    plan = rows.repartitionByRange("blob_sha").dropDuplicates(["blob_sha"]).sortWithinPartitions("blob_sha")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    keyed.append_new(rows.where("blob_sha < '3'"), path, "blob_sha", 0, once=True)
+    keyed.append_new(rows, path, "blob_sha", 1, once=True)
+    held = spark.read.parquet(path)
+    assert held.count() == held.select("blob_sha").distinct().count() == 50
