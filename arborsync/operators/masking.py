@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -15,44 +16,72 @@ from arborsync.functions.masking import MASK
 BLOCK_BYTES = 8 << 20
 
 
-def hide(text: str, matches: Iterator[tuple[int, int, int]]) -> str:
-    """``text`` with the ``matches`` (last place, length, rank) masked, longest first, then by rank, then from the left.
+# Stretches of up to so many characters are remembered, so many of them at a time.
+STRETCH_CHARS, STRETCHES = 64, 1 << 17
 
-    What is masked already is no part of a further match.
+
+class Masker(dict):
+    """Masks ``secrets``, which come longest first; holds masked stretches of the texts seen last.
+
+    A stretch is a longest run of characters that secrets hold. No match crosses the ends of one, so each
+    is masked by itself, and what is the same in many texts, such as a word, is masked once.
     """
-    found = sorted((-length, rank, end - length + 1) for end, length, rank in matches)
-    if not found:
-        return text
-    taken = bytearray(len(text))
-    chosen = []
-    for length, _, begin in found:
-        end = begin - length
-        # A longer match comes first, so one that meets it covers one of its own ends.
-        if not taken[begin] and not taken[end - 1]:
-            taken[begin:end] = b"\x01" * (end - begin)
-            chosen.append((begin, end))
-    out, at = [], 0
-    for begin, end in sorted(chosen):
-        out += (text[at:begin], MASK)
-        at = end
-    return "".join(out) + text[at:]
-
-
-_automata: dict[str, object] = {}
-
-
-def _automaton(block):
-    """Built once for each Python worker and block."""
-    import ahocorasick
 
-    if block.id not in _automata:
-        _automata.clear()
-        made = ahocorasick.Automaton()
-        for rank, secret in enumerate(block.value):
-            made.add_word(secret, (len(secret), rank))
-        made.make_automaton()
-        _automata[block.id] = made
-    return _automata[block.id]
+    def __init__(self, secrets: list[str]) -> None:
+        import ahocorasick
+
+        super().__init__()
+        self.lengths = [len(secret) for secret in secrets]
+        self.stretches = re.compile(f"([{re.escape(''.join(sorted(set().union(*secrets))))}]+)")
+        self.automaton = ahocorasick.Automaton()
+        for rank, secret in enumerate(secrets):
+            self.automaton.add_word(secret, rank)
+        self.automaton.make_automaton()
+
+    def mask(self, text: str) -> str:
+        # Every other part is a stretch.
+        parts = self.stretches.split(text)
+        parts[1::2] = map(self.__getitem__, parts[1::2])
+        return "".join(parts)
+
+    def __missing__(self, stretch: str) -> str:
+        masked = self.hide(stretch)
+        if len(stretch) <= STRETCH_CHARS:
+            if len(self) >= STRETCHES:
+                self.clear()
+            self[stretch] = masked
+        return masked
+
+    def hide(self, text: str) -> str:
+        """``text`` with all matches masked, by rank, then from the left. What is masked already is no part of a further match."""
+        found = sorted((rank, last) for last, rank in self.automaton.iter(text))
+        if not found:
+            return text
+        taken = bytearray(len(text))
+        chosen = []
+        for rank, last in found:
+            length = self.lengths[rank]
+            begin = last - length + 1
+            # A longer match comes first, so one that meets it covers one of its own ends.
+            if not taken[begin] and not taken[last]:
+                taken[begin : last + 1] = b"\x01" * length
+                chosen.append((begin, last + 1))
+        out, at = [], 0
+        for begin, end in sorted(chosen):
+            out += (text[at:begin], MASK)
+            at = end
+        return "".join(out) + text[at:]
+
+
+_maskers: dict[str, Masker] = {}
+
+
+def _masker(block) -> Masker:
+    """Built once for each Python worker and block."""
+    if block.id not in _maskers:
+        _maskers.clear()
+        _maskers[block.id] = Masker(block.value)
+    return _maskers[block.id]
 
 
 class _Sent:
@@ -68,13 +97,10 @@ class _Sent:
 
 def _mask(column: int, block: _Sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(block)
+        masker = _masker(block)
         for batch in batches:
             texts = batch.column(column)
-            masked = (
-                None if text is None else hide(text, ((end, length, rank) for end, (length, rank) in automaton.iter(text)))
-                for text in (texts[i].as_py() for i in range(len(texts)))
-            )
+            masked = (None if text is None else masker.mask(text) for text in (texts[i].as_py() for i in range(len(texts))))
             columns = list(batch.columns)
             columns[column] = pa.array(masked, texts.type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)

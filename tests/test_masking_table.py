@@ -30,3 +30,27 @@ def test_many_secrets_in_one_pass(spark):
     rows = table.limit(50).selectExpr("concat('before ', secret, ' after ', secret) as text")
     assert {r["text"] for r in masking.mask_secret_table(rows, "text", table).collect()} == {"before *** after ***"}
     assert masking.mask_secret_table(rows, "text", table.where("false")).count() == 50
+
+
+def test_equal_stretches_are_masked_once_and_any_character_may_end_one(monkeypatch):
+    hidden = []
+    plain = masking.Masker.hide
+    monkeypatch.setattr(masking.Masker, "hide", lambda self, text: hidden.append(text) or plain(self, text))
+    masker = masking.Masker(["words", "or", "a"])
+    assert masker.mask("swords or, swords and words: or") == "s*** ***, s*** ***nd ***: ***"
+    assert [masker.mask("swords or swords")] * 100 == [masker.mask("swords or swords") for _ in range(100)]
+    assert sorted(hidden) == sorted(["swords", "or", "a", "d", "words"])
+
+    monkeypatch.setattr(masking, "STRETCHES", 3)
+    rng = random.Random(9)
+    for letters in ("^-]a", "\\[&~é", "*|a\n", "--b 😀"):
+        secrets = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 4))) for _ in range(8)}, key=lambda s: (-len(s), s))
+        masker = masking.Masker(secrets)
+        for _ in range(200):
+            text = "".join(rng.choice(letters + "xy") for _ in range(rng.randint(0, 150)))
+            # A mark no secret holds, as the mask's own stars are no part of a match.
+            expected = text
+            for secret in secrets:
+                expected = expected.replace(secret, "\0")
+            assert masker.mask(text) == expected.replace("\0", masking.MASK)
+        assert len(masker) <= 3
