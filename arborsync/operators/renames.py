@@ -35,43 +35,57 @@ def blob_grams(blobs: DataFrame) -> DataFrame:
     return grams.select("blob_sha", "grams", F.size("grams").alias("n"))
 
 
-def _candidates(sides: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
-    """``repo_id, old_blob, new_blob``: all pairs that can reach ``threshold``, and some that do not.
+def numbered_files(loose: DataFrame, blobs: DataFrame) -> DataFrame:
+    """``file, repo_id, blob_sha, gone, came, grams, n``, written: one row per text blob of each repository.
 
-    ``sides``: ``repo_id, status, blob_sha``. Two sets share at least threshold * n runs if they reach
-    the threshold, n being the larger size; so they share one of the first n - threshold * n + 1 of
-    each, in any order common to both.
+    ``file`` is a number that stands for repository and blob in all steps on runs, which are many and narrow.
     """
-    per_blob = sides.select("repo_id", "blob_sha").distinct().join(grams, "blob_sha")
-    runs = per_blob.select("repo_id", "blob_sha", "n", F.explode("grams").alias("gram"))
-    common = runs.groupBy("repo_id", "gram").agg(F.count("*").alias("held_by"))
-    rare_first = Window.partitionBy("repo_id", "blob_sha").orderBy("held_by", "gram")
-    first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1
+    gone, came = (F.bool_or(F.col("status") == code).alias(name) for code, name in ((DELETED, "gone"), (ADDED, "came")))
+    sides = loose.groupBy("repo_id", "blob_sha").agg(gone, came)
+    known = blob_grams(needed_blobs(loose, blobs)).join(sides, "blob_sha")
+    return stage(known.select(F.monotonically_increasing_id().alias("file"), "repo_id", "blob_sha", "gone", "came", "grams", "n"), "grams")
+
+
+def shared_runs(files: DataFrame) -> DataFrame:
+    """``gram, repo_id, file, held_by`` of the runs that more than one file of a repository holds."""
+    runs = files.select("repo_id", "file", F.explode("grams").alias("gram"))
+    # The number comes first: runs are sorted by it, and repositories are few.
+    common = runs.groupBy("gram", "repo_id").agg(F.count("*").alias("held_by")).where(F.col("held_by") > 1)
+    return runs.join(common, ["gram", "repo_id"])
+
+
+def _candidates(files: DataFrame, threshold: float) -> DataFrame:
+    """``old_file, new_file``: all pairs that can reach ``threshold``, and some that do not.
+
+    Two sets share at least threshold * n runs if they reach the threshold, n being the larger size; so
+    they share one of the first n - threshold * n + 1 of each, in any order common to both. Runs that one
+    file alone holds are the rarest and make no pair: the others are counted from the end.
+    """
+    narrow = files.select("file", "gone", "came", "n")
+    common_first = Window.partitionBy("file").orderBy(F.desc("held_by"), F.desc("gram"))
     known_by = (
-        runs.join(common, ["repo_id", "gram"])
-        .withColumn("_place", F.row_number().over(rare_first))
-        .where((F.col("_place") <= first) & (F.col("held_by") > 1))
-        .select("repo_id", "blob_sha", "n", "gram")
+        shared_runs(files).join(narrow, "file")
+        .withColumn("_place", F.row_number().over(common_first))
+        .where(F.col("_place") >= F.ceil(F.lit(threshold) * F.col("n")))
+        .select("gram", "repo_id", "file", "gone", "came", "n")
     )
     index = stage(known_by, "rename-index")
 
-    def side(code: str, name: str) -> DataFrame:
-        own = sides.where(F.col("status") == code).select("repo_id", "blob_sha").distinct()
-        return index.join(own, ["repo_id", "blob_sha"]).select(
-            "repo_id", "gram", F.col("blob_sha").alias(f"{name}_blob"), F.col("n").alias(f"{name}_n"))
+    def side(which: str, name: str) -> DataFrame:
+        return index.where(which).select("gram", "repo_id", F.col("file").alias(f"{name}_file"), F.col("n").alias(f"{name}_n"))
 
-    met = side(DELETED, "old").join(side(ADDED, "new"), ["repo_id", "gram"])
+    met = side("gone", "old").join(side("came", "new"), ["gram", "repo_id"])
     fitting = met.where(F.least("old_n", "new_n") >= F.lit(threshold) * F.greatest("old_n", "new_n"))
-    return fitting.select("repo_id", "old_blob", "new_blob").distinct()
+    return fitting.select("old_file", "new_file").distinct()
 
 
-def _scored(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+def _scored(pairs: DataFrame, files: DataFrame, threshold: float) -> DataFrame:
     """Pairs that reach the threshold, with their ``similarity``."""
-    old = grams.select(F.col("blob_sha").alias("old_blob"), F.col("grams").alias("old_grams"))
-    new = grams.select(F.col("blob_sha").alias("new_blob"), F.col("grams").alias("new_grams"))
+    old = files.select(F.col("file").alias("old_file"), "repo_id", F.col("blob_sha").alias("old_blob"), F.col("grams").alias("old_grams"))
+    new = files.select(F.col("file").alias("new_file"), F.col("blob_sha").alias("new_blob"), F.col("grams").alias("new_grams"))
     shared = F.size(F.array_intersect("old_grams", "new_grams"))
     similarity = shared / F.greatest(F.size("old_grams"), F.size("new_grams"))
-    scores = pairs.join(old, "old_blob").join(new, "new_blob").select(
+    scores = pairs.join(old, "old_file").join(new, "new_file").select(
         "repo_id", "old_blob", "new_blob", similarity.alias("similarity"))
     return scores.where(F.col("similarity") >= threshold)
 
@@ -88,8 +102,8 @@ def similar_renames(changes: DataFrame, blobs: DataFrame, threshold: float = MIN
         F.coalesce("old_blob", "new_blob").alias("blob_sha"),
     )
     loose = stage(loose, "loose")
-    grams = stage(blob_grams(needed_blobs(loose, blobs)), "grams")
-    scores = _scored(_candidates(loose.select("repo_id", "status", "blob_sha"), grams, threshold), grams, threshold)
+    files = numbered_files(loose, blobs)
+    scores = _scored(_candidates(files, threshold), files, threshold)
     old = loose.where(F.col("status") == DELETED).select("repo_id", F.col("path").alias("old_path"), F.col("blob_sha").alias("old_blob"))
     new = loose.where(F.col("status") == ADDED).select("repo_id", F.col("path").alias("new_path"), F.col("blob_sha").alias("new_blob"))
     left = stage(scores.join(old, ["repo_id", "old_blob"]).join(new, ["repo_id", "new_blob"]).select(

@@ -1,3 +1,4 @@
+import math
 import random
 
 from arborsync.operators import diff, renames
@@ -72,3 +73,56 @@ def test_a_shared_header_loses_no_pair(spark):
     new = {f"new/{i:03d}": edited(rng, b, 3) for i, b in enumerate(bases)}
     _, found = run(spark, old, new)
     assert sorted((r["old_path"][4:], r["new_path"][4:]) for r in found.collect()) == [(f"{i:03d}",) * 2 for i in range(150)]
+
+
+def test_only_shared_runs_are_ordered_and_candidates_follow_the_order(spark):
+    rng = random.Random(8)
+    files = []
+    for number in range(60):
+        held = {rng.randrange(40) for _ in range(rng.randint(1, 12))} | {1000 * number + i for i in range(rng.randint(0, 8))}
+        files.append((number + (number % 7 << 33), "rs"[number % 2], f"s{number}", number % 3 != 0, number % 3 != 1, sorted(held), len(held)))
+    schema = "file bigint, repo_id string, blob_sha string, gone boolean, came boolean, grams array<bigint>, n int"
+    table = spark.createDataFrame(files, schema)
+    held_by = {}
+    for f in files:
+        for g in f[5]:
+            held_by[f[1], g] = held_by.get((f[1], g), 0) + 1
+    runs = {(g, f[1], f[0], held_by[f[1], g]) for f in files for g in f[5] if held_by[f[1], g] > 1}
+    got = [tuple(r) for r in renames.shared_runs(table).select("gram", "repo_id", "file", "held_by").collect()]
+    assert len(got) == len(runs) < sum(f[6] for f in files) and set(got) == runs
+
+    for threshold in (0.3, 0.5, 0.8):
+        # By definition: the first n - threshold * n + 1 runs of each file, from rare to common over all of them.
+        known = {}
+        for f in files:
+            ordered = sorted(f[5], key=lambda g: (held_by[f[1], g], g))
+            known[f[0]] = {g for g in ordered[: f[6] - math.ceil(threshold * f[6]) + 1] if held_by[f[1], g] > 1}
+        expected = {
+            (a[0], b[0]) for a in files for b in files
+            if a[3] and b[4] and a[1] == b[1] and known[a[0]] & known[b[0]] and min(a[6], b[6]) >= threshold * max(a[6], b[6])
+        }
+        found = [tuple(r) for r in renames._candidates(table, threshold).collect()]
+        assert len(found) == len(set(found)) and set(found) == expected
+        alike = {(a[0], b[0]) for a in files for b in files if a[3] and b[4] and a[1] == b[1] and a is not b
+                 and len(set(a[5]) & set(b[5])) >= threshold * max(a[6], b[6])}
+        assert alike <= expected
+
+
+def test_a_blob_of_two_repositories_is_paired_in_each(spark):
+    rng = random.Random(9)
+    first, second = text(rng), text(rng)
+    edits = [edited(rng, first, 3), edited(rng, first, 5), edited(rng, second, 3)]
+    held = {"a": first, "b": second, **{f"e{i}": t for i, t in enumerate(edits)}}
+    change = "repo_id string, status string, old_path string, new_path string, old_blob string, new_blob string"
+    changes = spark.createDataFrame([
+        ("r", "D", "x", None, "a", None), ("r", "A", None, "y", None, "e0"), ("r", "A", None, "z", None, "e2"),
+        ("s", "D", "x", None, "a", None), ("s", "A", None, "y", None, "e1"),
+        ("t", "A", None, "x", None, "a"), ("t", "D", "y", None, "b", None), ("t", "D", "z", None, "e0", None),
+    ], change)
+    blobs = spark.createDataFrame([(k, bytearray(t.encode()), None) for k, t in held.items()], "blob_sha string, content binary, read_error string")
+    found = {(r["repo_id"], r["old_path"], r["new_path"], r["old_blob"], r["new_blob"]): r["similarity"]
+             for r in renames.similar_renames(changes, blobs).collect()}
+    assert found == {
+        ("r", "x", "y", "a", "e0"): similarity(first, edits[0]), ("s", "x", "y", "a", "e1"): similarity(first, edits[1]),
+        ("t", "z", "x", "e0", "a"): similarity(first, edits[0]),
+    }
