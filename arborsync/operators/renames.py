@@ -8,6 +8,7 @@ make a candidate. Candidates are scored on whole texts and matched one to one, b
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,10 @@ from arborsync.staging import stage
 # Fixed value: the share of common text from which on two files count as one renamed.
 MIN_SIMILARITY = 0.5
 SHINGLE_WORDS = 3
+# Groups of pairs that no pair connects are matched in one pass each, if this small and found in so many spreads of their label.
+GROUP_PAIRS, SPREADS = 50_000, 3
+
+
 def shingles(words: Column) -> Column:
     """Distinct hashes of the runs of three words. ``words`` must be a stored column: it is read per run."""
     starts = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0)))
@@ -90,12 +95,39 @@ def _scored(pairs: DataFrame, files: DataFrame, threshold: float) -> DataFrame:
     return scores.where(F.col("similarity") >= threshold)
 
 
-def similar_renames(changes: DataFrame, blobs: DataFrame, threshold: float = MIN_SIMILARITY) -> DataFrame:
+def _grouped(pairs: DataFrame, group_pairs: int) -> DataFrame:
+    """``pairs`` with ``group, whole``: pairs that share a file are in one group if it is whole, which large or far-flung ones are not."""
+    labelled = pairs.withColumn("group", F.xxhash64("repo_id", "old_path"))
+    for path in ("new_path", "old_path") * SPREADS:
+        least = labelled.groupBy("repo_id", path).agg(F.min("group").alias("_least"))
+        spread = labelled.join(least, ["repo_id", path]).select(*pairs.columns, F.col("_least").alias("group"))
+        labelled = stage(spread, "pair-groups")
+    # Old paths have one label each by now; a new one with two keeps the groups of both open.
+    ends = labelled.groupBy("repo_id", "new_path").agg((F.min("group") < F.max("group")).alias("_open"))
+    sizes = labelled.join(ends, ["repo_id", "new_path"]).groupBy("group").agg(
+        ((F.count("*") <= group_pairs) & ~F.bool_or("_open")).alias("whole"))
+    return stage(labelled.join(sizes, "group"), "pair-groups")
+
+
+def _best_first(pairs: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of a whole group that are taken, best first."""
+    order = sorted(zip(-pairs["similarity"], pairs["_lot"], pairs["old_path"], pairs["new_path"], pairs["repo_id"], range(len(pairs))))
+    gone, came, taken = set(), set(), []
+    for _, _, old, new, repo, at in order:
+        if (repo, old) not in gone and (repo, new) not in came:
+            gone.add((repo, old))
+            came.add((repo, new))
+            taken.append(at)
+    return pairs.iloc[taken].drop(columns=["group", "whole", "_lot"])
+
+
+def similar_renames(changes: DataFrame, blobs: DataFrame, threshold: float = MIN_SIMILARITY, group_pairs: int = GROUP_PAIRS) -> DataFrame:
     """``repo_id, old_path, new_path, old_blob, new_blob, similarity``, one to one.
 
     ``changes`` is a paired change set; only its deleted and added rows take part. A pair is taken
     if it is the best of both its files, and so on with the files left. Equal scores go by a hash of
-    the two paths, which keeps the rounds few where many files are alike.
+    the two paths, which keeps the rounds few where many files are alike. Groups of up to ``group_pairs``
+    connected pairs are walked best first instead, in one pass, which takes the same pairs.
     """
     loose = changes.where(F.col("status").isin(DELETED, ADDED)).select(
         "repo_id", "status", F.coalesce("old_path", "new_path").alias("path"),
@@ -110,19 +142,21 @@ def similar_renames(changes: DataFrame, blobs: DataFrame, threshold: float = MIN
         "repo_id", "old_path", "new_path", "old_blob", "new_blob", "similarity"), "similar-pairs")
     lot = F.md5(F.concat_ws("\x1f", "old_path", "new_path"))
     place = F.struct(-F.col("similarity"), lot, "old_path", "new_path")
-    found = None
-    while True:
+    groups = _grouped(left, group_pairs)
+    small = groups.where("whole").withColumn("_lot", lot).groupBy("group").applyInPandas(_best_first, left.schema)
+    found = stage(small, "matched")
+    left = groups.where("not whole").select(*left.columns)
+    while not left.isEmpty():
         best_old = left.groupBy("repo_id", "old_path").agg(F.min(place).alias("_best_old"))
         best_new = left.groupBy("repo_id", "new_path").agg(F.min(place).alias("_best_new"))
         ranked = left.join(best_old, ["repo_id", "old_path"]).join(best_new, ["repo_id", "new_path"])
         matched = stage(
             ranked.where((place == F.col("_best_old")) & (place == F.col("_best_new"))).select(*left.columns), "matched")
-        found = matched if found is None else found.unionByName(matched)
-        if matched.isEmpty():
-            return found
+        found = found.unionByName(matched)
         left = stage(
             left.join(matched.select("repo_id", "old_path"), ["repo_id", "old_path"], "left_anti")
             .join(matched.select("repo_id", "new_path"), ["repo_id", "new_path"], "left_anti"), "similar-pairs")
+    return found
 
 
 def merge_similar(changes: DataFrame, renames: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -126,3 +127,37 @@ def test_a_blob_of_two_repositories_is_paired_in_each(spark):
         ("r", "x", "y", "a", "e0"): similarity(first, edits[0]), ("s", "x", "y", "a", "e1"): similarity(first, edits[1]),
         ("t", "z", "x", "e0", "a"): similarity(first, edits[0]),
     }
+
+
+def test_groups_in_one_pass_and_in_rounds_take_the_same_pairs(spark, monkeypatch):
+    rng = random.Random(10)
+    base, line = text(rng, 120), text(rng, 1200).split()
+    # One group of near copies, each edited on its own, and a chain in which every file resembles the next.
+    old = {f"old/{i:02d}": edited(rng, base, 4 + i) for i in range(20)}
+    new = {f"new/{i:02d}": edited(rng, base, 4 + i) for i in range(20)}
+    for i in range(50):
+        (old, new)[i % 2][f"chain/{'on'[i % 2]}{i}"] = " ".join(line[20 * i : 20 * i + 100])
+    lot = lambda a, b: hashlib.md5(f"{a}\x1f{b}".encode()).hexdigest()
+    pairs = sorted((-similarity(x, y), lot(a, b), a, b) for a, x in old.items() for b, y in new.items() if similarity(x, y) >= 0.5)
+    expected = {}
+    for score, _, a, b in pairs:
+        if a not in expected and b not in {v[0] for v in expected.values()}:
+            expected[a] = (b, -score)
+    changes, found = run(spark, old, new)
+    staged = []
+    plain = renames.stage
+    monkeypatch.setattr(renames, "stage", lambda df, label: staged.append(label) or plain(df, label))
+    loose = changes.select("repo_id", "status", "old_path", "new_path", "old_blob", "new_blob")
+    texts = {t for files in (old, new) for t in files.values()}
+    blobs = spark.createDataFrame([(f"s{hash(t)}", bytearray(t.encode()), None) for t in texts], "blob_sha string, content binary, read_error string")
+    rounds = {}
+    near = loose.where("not startswith(coalesce(old_path, new_path), 'chain')")
+    for name, given, most in (("rounds", loose, 0), ("mixed", loose, 50_000), ("pass", near, 50_000)):
+        staged.clear()
+        got = renames.similar_renames(given, blobs, group_pairs=most)
+        rounds[name] = staged.count("matched")
+        assert {r["old_path"]: (r["new_path"], r["similarity"]) for r in got.collect()} == {
+            a: b for a, b in expected.items() if given is loose or not a.startswith("chain")}
+    # Near copies alone need no round beyond the pass; the chain is too long for a label to reach its ends.
+    assert rounds["pass"] == 1 < rounds["mixed"] and rounds["rounds"] > 2
+    assert len(found.collect()) == len(expected)
