@@ -161,3 +161,42 @@ def test_groups_in_one_pass_and_in_rounds_take_the_same_pairs(spark, monkeypatch
     # Near copies alone need no round beyond the pass; the chain is too long for a label to reach its ends.
     assert rounds["pass"] == 1 < rounds["mixed"] and rounds["rounds"] > 2
     assert len(found.collect()) == len(expected)
+
+
+def test_copies_are_paired_without_all_their_pairs_and_no_table_goes_through_the_driver(spark, monkeypatch):
+    rng = random.Random(11)
+    base = text(rng, 150)
+    edits = [edited(rng, base, k) for k in (3, 3, 5, 5)]
+    held = {"a": base, "b": edits[0], "c": edits[1], "d": edits[2], "e": edits[3], "f": text(rng)}
+    side = {"D": {"a": 60, "b": 25, "f": 9}, "A": {"c": 50, "d": 20, "e": 31}}
+    rows = [("r", s, f"{s}/{b}{i}" if s == "D" else None, f"{s}/{b}{i}" if s == "A" else None, b if s == "D" else None, b if s == "A" else None)
+            for s, of in side.items() for b, n in of.items() for i in range(n)]
+    changes = spark.createDataFrame(rows, "repo_id string, status string, old_path string, new_path string, old_blob string, new_blob string")
+    blobs = spark.createDataFrame([(k, bytearray(t.encode()), None) for k, t in held.items()], "blob_sha string, content binary, read_error string")
+    lot = lambda a, b: hashlib.md5(f"{a}\x1f{b}".encode()).hexdigest()
+    gone, came = [[(r[2] or r[3], r[4] or r[5]) for r in rows if r[1] == s] for s in "DA"]
+    score = {(x, y): similarity(held[x], held[y]) for x in side["D"] for y in side["A"]}
+    pairs = sorted((-score[x, y], lot(a, b), a, b, x, y) for a, x in gone for b, y in came if score[x, y] >= 0.5)
+    expected, taken = {}, set()
+    for s, _, a, b, x, y in pairs:
+        if a not in expected and b not in taken:
+            expected[a] = (b, x, y, -s)
+            taken.add(b)
+    plain, staged = renames.stage, []
+
+    def watched(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        staged.append((label, out := plain(df, label), [line for line in plan.splitlines() if "Broadcast" in line and "Join" in line]))
+        return out
+
+    monkeypatch.setattr(renames, "stage", watched)
+    monkeypatch.setattr(renames, "BLOCK_PATHS", 16, raising=False)
+    for most in (50_000, 500):
+        staged.clear()
+        got = renames.similar_renames(changes, blobs, group_pairs=most).collect()
+        assert len(got) == len(expected) == 85
+        assert {r["old_path"]: (r["new_path"], r["old_blob"], r["new_blob"], r["similarity"]) for r in got} == expected
+        # Rows written stay near those of the paths, not their pairs; only keys of wanted blobs may be broadcast.
+        assert len(pairs) > 8000 and all(out.count() <= len(rows) for label, out, _ in staged if label != "rename-index")
+        assert not [line for _, _, joins in staged for line in joins if "LeftSemi" not in line]
+        assert (len([1 for label, _, _ in staged if label == "matched"]) == 1) == (most == 50_000)
